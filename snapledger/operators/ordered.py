@@ -29,13 +29,10 @@ def carry_forward(
     """Last non-null ``value`` up to and including the current row."""
     rows = df.withColumn(BLOCK, block).withColumn("__v", value)
     per_block = [*keys, BLOCK]
-    seen = rows.filter("__v is not null").groupBy(*per_block).agg(F.max_by("__v", _order(order)).alias("__last"))
-    # a block may carry nothing of its own, so its summary row must exist all the same
-    blocks = rows.select(*per_block).distinct()
+    last = F.max_by("__v", F.when(F.col("__v").isNotNull(), _order(order)))
+    blocks = rows.groupBy(*per_block).agg(last.alias("__last"))
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = lookup(blocks, seen, per_block, ["__last"]).select(
-        *per_block, F.last("__last", ignorenulls=True).over(before).alias("__in")
-    )
+    carried = blocks.select(*per_block, F.last("__last", ignorenulls=True).over(before).alias("__in"))
     upto = Window.partitionBy(*per_block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumn("__own", F.last("__v", ignorenulls=True).over(upto))
     out = lookup(local, carried, per_block, ["__in"])

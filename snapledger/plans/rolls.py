@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from snapledger.functions import values
 from snapledger.operators import assemble, quality, reconcile
 from snapledger.operators.groupwise import lookup
+from snapledger.session import cut
 
 
 class RollBatch(NamedTuple):
@@ -54,15 +55,16 @@ def run_rolls(
     context: DataFrame, payloads: DataFrame, summary: DataFrame, cover: DataFrame | None = None,
     max_voter_pages: int | None = None,
 ) -> RollBatch:
-    """Lazy plan for any number of documents at once.
+    """One plan for any number of documents at once.
 
-    ``payloads``: roll_id, page, band, payload (JSON text of a strip). A strip that cannot be
+    Typed cards are written once to the shared folder: every later step reads them, and none
+    parses the payloads again. ``payloads``: roll_id, page, band, payload (JSON text of a strip). A strip that cannot be
     read is listed in ``failed``; a card without a usable serial goes to ``rejected``.
     """
     strips = assemble.parse_strips(first_voter_pages(payloads, max_voter_pages))
     strips = strips.withColumn("band_no", assemble.band_number())
     tagged = assemble.carry_region(strips, order=("page", "band_no"))
-    usable, rejected = assemble.split_malformed(assemble.explode_cards(tagged))
+    usable, rejected = assemble.split_malformed(cut(assemble.explode_cards(tagged)))
     electors = assemble.assemble(usable)
     if cover is not None:
         context, summary = enrich_context(context, cover), enrich_summary(summary, cover)

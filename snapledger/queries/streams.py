@@ -1,0 +1,59 @@
+"""Streams over the given tables, drained once and read back."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from snapledger.queries import identity as persons
+from snapledger.queries import ledger
+from snapledger.queries.registry import Tables, query
+from snapledger.session import shared_dir
+from snapledger.streaming import ledger as stream
+
+
+def _folder(spark):
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+
+@query(
+    "stream_latest",
+    f"select user_id, {ledger.LATEST_SQL} from ({ledger.EVENTS_SQL}) e group by user_id",
+)
+def stream_latest(spark, sf_dir):
+    schema = Tables(spark, sf_dir).events.schema
+    events = stream.read_stream(spark, sf_dir, schema, "events.parquet").select(
+        "user_id", "ts", "event_id", *[F.expr(v).alias(k) for k, v in ledger.STAMPS.items()]
+    )
+    out = _folder(spark)
+    stream.run_latest_state(
+        events, ["user_id"], ledger.SEQ, list(ledger.STAMPS), f"{out}/state", f"{out}/checkpoint", ["error"]
+    )
+    return stream.read_latest_state(spark, f"{out}/state", ["user_id"])
+
+
+@query(
+    "stream_identity",
+    f"""
+    with {persons.ENTRY_SQL}
+    select sha256('key|' || k) as person_id, k as epic_no,
+      arg_min(nm, (o_orderdate, l_linenumber, l_orderkey, nm)) as canonical_name, count(*) as placements
+    from e where k is not null group by k
+    """,
+)
+def stream_identity(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    rolls = t.orders.select(F.col("o_orderkey").alias("roll_id"), F.col("o_orderdate").alias("ingest_seq"))
+    lines = stream.read_stream(spark, sf_dir, t.lineitem.schema, "lineitem.parquet")
+    entries = lines.select(
+        F.col("l_orderkey").alias("roll_id"), F.col("l_linenumber").alias("serial_no"),
+        F.expr(persons.KEY).alias("epic_no"), F.expr(persons.NAME).alias("full_name"),
+    )
+    out = _folder(spark)
+
+    def prepare(df):
+        return df.join(rolls, "roll_id").withColumn("serial_no", F.struct("serial_no", "roll_id", "full_name"))
+
+    registry = "person_id string, epic_no string, first_roll_id bigint"
+    stream.run_identity(entries, out, f"{out}/checkpoint", registry, prepare)
+    placed = spark.read.parquet(f"{out}/placement").groupBy("person_id").agg(F.count("*").alias("placements"))
+    return spark.read.parquet(f"{out}/person").drop("batch").join(placed, "person_id")
