@@ -10,6 +10,7 @@ from snapledger.functions import values
 from snapledger.operators import manifest, resolve
 from snapledger.operators.groupwise import lookup
 from snapledger.plans import rolls, warehouse
+from snapledger.session import cut
 from snapledger.sources import sinks
 
 STAMPED = ["status", "stage", "error", "reconciles", "elector_count", "archive_uri"]
@@ -50,7 +51,8 @@ def run_state(
     keep = lambda df: df.join(wanted, "roll_id", "left_semi")
     result = rolls.run_rolls(context, keep(payloads), keep(summary), keep(cover))
     verdicts = result.recon.select("roll_id", "reconciles", F.col("cards_printed").cast("int").alias("elector_count"))
-    gated = manifest.qc_gate(lookup(jobs, verdicts, ["roll_id"], ["reconciles", "elector_count"]), required=require_reconcile)
+    known = lookup(jobs, verdicts, ["roll_id"], ["reconciles", "elector_count"])
+    gated = cut(manifest.qc_gate(known, required=require_reconcile))
     accepted = gated.filter("gate <> 'rejected'").select("roll_id")
     allowed = lambda df: df.join(accepted, "roll_id", "left_semi")
     warehouse.load(
@@ -60,13 +62,20 @@ def run_state(
     )
     uri = values.storage_key("state_cd", "ac_no", "file_name")
     passed = F.col("gate") != "rejected"
+    def step(stage: str, error: str | None = None, archived=None):
+        no_uri = F.lit(None).cast("string")
+        return F.struct(
+            F.lit(stage).alias("stage"), F.lit(error).cast("string").alias("error"),
+            (no_uri if archived is None else archived).alias("archive_uri"),
+        )
+
     steps = F.array_compact(
         F.array(
-            F.struct(F.lit("extracted").alias("stage"), F.lit("").alias("error"), F.lit(None).cast("string").alias("archive_uri")),
-            F.when(~passed, F.struct(F.lit("failed"), F.lit("reconcile failed"), F.lit(None).cast("string"))),
-            F.when(passed, F.struct(F.lit("loaded"), F.lit(None).cast("string"), F.lit(None).cast("string"))),
-            F.when(passed & F.lit(archive), F.struct(F.lit("archived"), F.lit(None).cast("string"), uri)),
-            F.when(passed, F.struct(F.lit("done"), F.lit(None).cast("string"), F.lit(None).cast("string"))),
+            step("extracted", ""),
+            F.when(~passed, step("failed", "reconcile failed")),
+            F.when(passed, step("loaded")),
+            F.when(passed & F.lit(archive), step("archived", archived=uri)),
+            F.when(passed, step("done")),
         )
     )
     events = gated.select(*schemas.JOB_KEY, "reconciles", "elector_count", F.posexplode(steps).alias("step", "s"))

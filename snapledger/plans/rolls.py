@@ -57,15 +57,15 @@ def run_rolls(
 ) -> RollBatch:
     """One plan for any number of documents at once.
 
-    Typed cards are written once to the shared folder: every later step reads them, and none
-    parses the payloads again. ``payloads``: roll_id, page, band, payload (JSON text of a strip). A strip that cannot be
+    Typed cards and assembled entries are each written once to the shared folder: every later
+    step reads them, and none parses or assembles again. ``payloads``: roll_id, page, band, payload (JSON text of a strip). A strip that cannot be
     read is listed in ``failed``; a card without a usable serial goes to ``rejected``.
     """
     strips = assemble.parse_strips(first_voter_pages(payloads, max_voter_pages))
     strips = strips.withColumn("band_no", assemble.band_number())
     tagged = assemble.carry_region(strips, order=("page", "band_no"))
     usable, rejected = assemble.split_malformed(cut(assemble.explode_cards(tagged)))
-    electors = assemble.assemble(usable)
+    electors = cut(assemble.assemble(usable))
     if cover is not None:
         context, summary = enrich_context(context, cover), enrich_summary(summary, cover)
     recon = reconcile.reconcile(context, electors, summary)

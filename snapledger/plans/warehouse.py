@@ -11,6 +11,7 @@ from snapledger.functions.text import as_col, filled
 from snapledger.operators import identity, reconcile, resolve
 from snapledger.operators.groupwise import lookup
 from snapledger.plans.rolls import RollBatch
+from snapledger.session import cut
 from snapledger.sources import sinks
 
 COVER_COLUMNS = [f.strip().split(" ")[0] for f in schemas.COVER_PAYLOAD.replace("<section_no:int,section_name:string>", "").split(", ")]
@@ -92,11 +93,11 @@ def load(
     spark: SparkSession, root: str, batch: int, result: RollBatch, cover: DataFrame, eras: DataFrame,
 ) -> None:
     """Writes all tables of a batch and commits its documents. Re-running a batch changes nothing."""
-    docs = placed(result.context, cover)
+    docs = cut(placed(result.context, cover))
     rolls = roll_rows(docs, eras)
     area = docs.select("roll_id", "state_cd", "ac_no", "part_no")
     flagged = resolve.has_supplement(result.summary, result.electors)
-    linked = resolve.supplement_link(result.electors, flagged)
+    linked = cut(resolve.supplement_link(result.electors, flagged))
     listed = geography(docs)
     place = ["state_cd", "ac_no", "part_no"]
     known = listed["section"].select(*place, "section_no")
@@ -105,13 +106,13 @@ def load(
         known = known.unionByName(sinks.read_rows(spark, root, "section", batch).select(*place, "section_no"))
     known = known.distinct().withColumn("__known", F.lit(True))
     linked = lookup(lookup(linked, area, ["roll_id"], place), known, [*place, "section_no"], ["__known"])
-    electors = linked.select(
+    electors = cut(linked.select(
         "roll_id", "state_cd", "ac_no", "part_no", F.when(F.col("__known"), F.col("section_no")).alias("section_no"),
         "serial_no", "epic_no", F.coalesce(F.nullif("full_name", F.lit("")), F.lit("UNKNOWN")).alias("full_name"),
         "relation_type", "relation_name", "house_number", "age", "gender", F.lit(True).alias("photo_present"),
         F.coalesce("status", F.lit("active")).alias("entry_status"), "deletion_reason_code",
         F.col("linked_supplement_no").alias("supplement_no"), "source_page", "confidence", "flags",
-    )
+    ))
     supplements = lookup(
         linked.filter("linked_supplement_no is not null").select("roll_id", F.col("linked_supplement_no").alias("supplement_no"))
         .unionByName(flagged.filter("has_supplement").select("roll_id", F.lit(1).alias("supplement_no"))).distinct(),
@@ -125,6 +126,7 @@ def load(
     if began:
         earlier = sinks.read_rows(spark, root, "person_epic", batch).select("person_id", "epic_no", "first_roll_id")
     persons, fresh = identity.register(seen, earlier)
+    fresh = cut(fresh)
     sinks.write_batch(
         root, batch, docs,
         facts={"roll": rolls, "elector": electors},

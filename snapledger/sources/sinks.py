@@ -58,11 +58,10 @@ def read_facts(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def read_rows(spark: SparkSession, root: str, table: str, before: int | None = None) -> DataFrame:
     """Rows of all committed batches (of those before ``before``, for a load that may be a replay)."""
-    batches = spark.read.parquet(f"{root}/{COMMITS}").select("batch").distinct()
-    rows = spark.read.parquet(f"{root}/{table}")
+    batches, rows = spark.read.parquet(f"{root}/{COMMITS}"), spark.read.parquet(f"{root}/{table}")
     if before is not None:
-        rows = rows.filter(F.col("batch") < before)
-    return rows.join(batches, "batch", "left_semi").drop("batch")
+        batches, rows = batches.filter(F.col("batch") < before), rows.filter(F.col("batch") < before)
+    return rows.join(batches.select("batch").distinct(), "batch", "left_semi").drop("batch")
 
 
 # dimension -> (keys, columns whose last value counts, columns whose first value stays)
