@@ -31,15 +31,24 @@ def first_appearances(
     )
 
 
-def register(
+def new_keys(
     entries: DataFrame, registry: DataFrame | None = None, key: str = "epic_no", **names: str
-) -> tuple[DataFrame, DataFrame]:
-    """(new persons, new registry rows) for keys that ``registry`` lacks."""
+) -> DataFrame:
+    """One row per key that ``registry`` lacks: person_id, key, canonical_name, first_roll_id."""
     unseen = entries
     if registry is not None:
         unseen = entries.join(registry.select(key).distinct(), key, "left_anti")
-    fresh = first_appearances(unseen, key, **names).withColumn("person_id", person_id(key))
-    return fresh.select("person_id", key, "canonical_name"), fresh.select("person_id", key, "first_roll_id")
+    return first_appearances(unseen, key, **names).select(
+        person_id(key).alias("person_id"), key, "canonical_name", "first_roll_id"
+    )
+
+
+def register(
+    entries: DataFrame, registry: DataFrame | None = None, key: str = "epic_no", **names: str
+) -> tuple[DataFrame, DataFrame]:
+    """(new persons, new registry rows) for keys that ``registry`` lacks."""
+    fresh = new_keys(entries, registry, key, **names)
+    return fresh.drop("first_roll_id"), fresh.drop("canonical_name")
 
 
 def place(

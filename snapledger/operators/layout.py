@@ -364,18 +364,20 @@ def parse_script_cards(tokens: DataFrame, latin: str = "latin", script: str = "s
     )
 
 
-def as_strips(cards: DataFrame, tokens: DataFrame, pages: DataFrame) -> DataFrame:
-    """Cards and headers of strip images -> the strip rows that assembly reads.
-
-    ``pages``: image_id, roll_id, page, band. A strip is one page half, so its card list is short.
-    """
-    fields = ["serial_no", "marker_box", "epic_no", "full_name", "relation_type", "relation_name", "house_number",
-              "age", "gender", "deleted_watermark", "deletion_reason_code"]
-    typed = [F.col("serial_no").cast("string").alias("serial_no") if f == "serial_no" else F.col(f) for f in fields]
-    listed = cards.groupBy(IMAGE).agg(
-        F.array_sort(F.collect_list(F.struct("y", "col", F.struct(*typed).alias("card")))).alias("__cards")
-    ).select(IMAGE, F.transform("__cards", lambda c: c["card"]).alias("cards"))
-    out = lookup(lookup(pages, listed, [IMAGE], ["cards"]), section_headers(tokens), [IMAGE], ["section_header"])
-    return out.withColumns(
-        {"failed": F.lit(False), "section_header": F.coalesce("section_header", F.lit(""))}
-    ).drop(IMAGE)
+def strips_of(tokens: DataFrame, pages: DataFrame) -> DataFrame:
+    """Strip rows with their section headers. ``pages``: image_id, roll_id, page, band[, failed]."""
+    out = lookup(pages, section_headers(tokens), [IMAGE], ["section_header"])
+    return out.withColumn("section_header", F.coalesce("section_header", F.lit("")))
+
+
+def cards_in_strips(cards: DataFrame, strips: DataFrame) -> DataFrame:
+    """Parsed cards with the roll, page, region and supplement of their strip, as assembly reads them."""
+    place = ["roll_id", "page", "band_no", "region", "supplement_no"]
+    out = cards.join(strips.select(IMAGE, *place), IMAGE)
+    blank = lambda c: F.nullif(F.col(c), F.lit("")).alias(c)
+    return out.select(
+        "roll_id", F.col("page").alias("source_page"), "band_no", F.struct("y", "col").alias("pos"), "region",
+        "supplement_no", "serial_no", "epic_no", "full_name", blank("relation_type"), blank("relation_name"),
+        blank("house_number"), F.nullif("age", F.lit(0)).alias("age"), blank("gender"), blank("marker_box"),
+        "deleted_watermark", blank("deletion_reason_code"),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.functions import values
-from snapledger.operators import assemble, quality, reconcile
+from snapledger.operators import assemble, layout, quality, reconcile
 from snapledger.operators.groupwise import lookup
 from snapledger.session import cut
 
@@ -64,7 +64,26 @@ def run_rolls(
     strips = assemble.parse_strips(first_voter_pages(payloads, max_voter_pages))
     strips = strips.withColumn("band_no", assemble.band_number())
     tagged = assemble.carry_region(strips, order=("page", "band_no"))
-    usable, rejected = assemble.split_malformed(cut(assemble.explode_cards(tagged)))
+    return _finish(context, strips, cut(assemble.explode_cards(tagged)), summary, cover)
+
+
+def run_tokens(
+    context: DataFrame, tokens: DataFrame, pages: DataFrame, summary: DataFrame, cover: DataFrame | None = None,
+    max_voter_pages: int | None = None, dpi: int = 200,
+) -> RollBatch:
+    """The same from layout tokens. ``pages``: image_id, roll_id, page, band of the voter strips."""
+    wanted = first_voter_pages(pages, max_voter_pages)
+    kept = tokens.join(wanted.select("image_id"), "image_id", "left_semi")
+    strips = layout.strips_of(kept, wanted).withColumn("band_no", assemble.band_number())
+    if "failed" not in strips.columns:
+        strips = strips.withColumn("failed", F.lit(False))
+    tagged = assemble.carry_region(strips, order=("page", "band_no"))
+    cards = cut(layout.cards_in_strips(layout.parse_cards(kept, dpi=dpi), tagged))
+    return _finish(context, strips, cards, summary, cover)
+
+
+def _finish(context, strips, cards, summary, cover) -> RollBatch:
+    usable, rejected = assemble.split_malformed(cards)
     electors = cut(assemble.assemble(usable))
     if cover is not None:
         context, summary = enrich_context(context, cover), enrich_summary(summary, cover)

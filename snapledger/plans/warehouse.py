@@ -125,8 +125,8 @@ def load(
     earlier = spark.createDataFrame([], registry)
     if began:
         earlier = sinks.read_rows(spark, root, "person_epic", batch).select("person_id", "epic_no", "first_roll_id")
-    persons, fresh = identity.register(seen, earlier)
-    fresh = cut(fresh)
+    persons = cut(identity.new_keys(seen, earlier))
+    fresh = persons.drop("canonical_name")
     sinks.write_batch(
         root, batch, docs,
         facts={"roll": rolls, "elector": electors},
@@ -135,7 +135,7 @@ def load(
             "supplement": supplements,
             "summary": result.summary,
             "cover_count": docs.select("roll_id", *[F.col(f"c_{c}").alias(c) for c in counts]),
-            "person": persons,
+            "person": persons.drop("first_roll_id"),
             "person_epic": fresh,
             "placement": identity.place(seen, earlier.unionByName(fresh)),
         },

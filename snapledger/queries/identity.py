@@ -37,9 +37,9 @@ ENTRY_SQL = f"""
 )
 def identity_tier1(spark, sf_dir):
     entries = _entries(spark, sf_dir).withColumn("serial_no", F.struct("serial_no", "roll_id", "full_name"))
-    persons, registry = identity.register(entries)
-    placements = identity.place(entries, registry).groupBy("person_id").agg(F.count("*").alias("placements"))
-    return persons.join(registry.select("person_id", "first_roll_id"), "person_id").join(placements, "person_id")
+    persons = identity.new_keys(entries)
+    placements = identity.place(entries, persons).groupBy("person_id").agg(F.count("*").alias("placements"))
+    return persons.join(placements, "person_id")
 
 
 @query(

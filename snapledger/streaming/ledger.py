@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from snapledger.operators import identity
 from snapledger.operators.groupwise import first_by
 from snapledger.operators.manifest import latest_state
+from snapledger.session import cut
 
 
 def read_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -80,13 +81,14 @@ def run_identity(
     spark = entries.sparkSession
 
     def load(df: DataFrame, batch: int) -> None:
-        rows = prepare(df)
+        rows = prepare(df).persist()
         known = _earlier(spark, f"{root}/person_epic", batch, registry_schema)
-        persons, fresh = identity.register(rows, known)
-        _write_batch(persons, f"{root}/person", batch)
-        _write_batch(fresh, f"{root}/person_epic", batch)
-        new = spark.read.schema(registry_schema).parquet(f"{root}/person_epic/batch={batch}")
-        _write_batch(identity.place(rows, known.unionByName(new)), f"{root}/placement", batch)
+        fresh = cut(identity.new_keys(rows, known))
+        registry = fresh.drop("canonical_name")
+        _write_batch(fresh.drop("first_roll_id"), f"{root}/person", batch)
+        _write_batch(registry, f"{root}/person_epic", batch)
+        _write_batch(identity.place(rows, known.unionByName(registry)), f"{root}/placement", batch)
+        rows.unpersist()
 
     query = (
         entries.writeStream.foreachBatch(load)

@@ -3,9 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from snapledger import schemas
 from snapledger.operators import forms, layout
+from snapledger.plans.rolls import run_tokens
+from tests import fixtures as fx
 
 
 class Page:
@@ -60,12 +63,15 @@ def test_label_state_machine(parsed):
     assert (r.relation_type, r.relation_name) == ("Father", "")         # nothing continues an empty field
 
 
-def test_header_and_strips(spark):
-    p = card_page()
-    tokens = p.df(spark)
-    pages = spark.createDataFrame([("a", "r1", 3, "top")], "image_id string, roll_id string, page int, band string")
-    s = layout.as_strips(layout.parse_cards(tokens), tokens, pages).first()
-    assert s.section_header == "ListofAdditions 2(..)" and len(s.cards) == 12 and s.cards[0].serial_no == "1"
+def test_tokens_end_to_end(spark):
+    """Two overlapping strips of one page: the carried header makes the cards additions."""
+    tokens = card_page().df(spark)
+    tokens = tokens.unionByName(tokens.filter("y < 250 and y > 50").withColumn("image_id", F.lit("b")))
+    pages = spark.createDataFrame([("a", "r1", 3, "top"), ("b", "r1", 3, "bot")], "image_id string, roll_id string, page int, band string")
+    out = run_tokens(spark.createDataFrame([("r1",)], "roll_id string"), tokens, pages, spark.createDataFrame([], fx.SUMMARY))
+    got = {r.serial_no: r for r in out.electors.collect()}
+    assert sorted(got) == list(range(1, 13)) and got[1].status == "added" and got[1].supplement_no == 2
+    assert got[5].deleted_watermark and got[5].deletion_reason_code is None and got[2].relation_name is None
 
 
 def test_fixes_replace_only_stamped_cards(spark):
