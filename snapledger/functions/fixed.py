@@ -107,3 +107,95 @@ TOP_BAND_END = 0.55
 BOTTOM_BAND_START = 0.48
 FIRST_VOTER_PAGE = 3
 CARD_HEIGHT_AT_200_DPI = 219
+
+# Layout thresholds, as shares of a card height, a column width or a label height.
+ANCHOR_SIDE = 0.5  # an anchor lies right of this share of its column
+TEXT_SIDE = 0.5  # card text lies left of this share of its column
+SCRIPT_TEXT_SIDE = 0.6  # the same for the script engine
+CARD_PAD = 0.15  # a card starts this much above its anchor
+SAME_LINE = 0.35  # tokens this near to the anchor are on its line
+SERIAL_BOX = 0.35  # a bare reason letter lies left of this share of the column
+ROW_GAP = 0.5  # a gap of this much opens a new grid row
+SCRIPT_AGE_BELOW = 0.4  # an unlabelled age lies this much below the anchor
+RIGHT_TOLERANCE = 0.6  # a value right of a label differs by less than this in y
+BELOW_FROM, BELOW_TO, BELOW_WIDTH = 0.6, 2.2, 8  # a value below a label: from, to, and how far right
+SECTIONS_DOWN, SECTIONS_RIGHT = 6, 12  # the section list under its header
+COUNT_ROWS, COUNT_ROW = 3, 1.2  # the count table under its header: reach, and height of one row
+
+# Layout distances in pixels.
+LEAST_LABEL_HEIGHT = 12.0
+RIGHT_OFFSET = 5
+SUMMARY_ROW_TOLERANCE = 15.0
+MODIFICATION_REACH = 120.0
+
+# Texts that mark noise lines and section headers of a card strip.
+NOISE_ANYWHERE = ["as on", "#/#"]
+NOISE_HEADS = ["parliamentary", "section no", "assembly", "part no"]
+SECTION_HEAD = "sectionnoand"
+SECTION_LISTS = ["listofaddition", "listofdeletion"]
+
+# Headers and row labels of the summary page.
+SUMMARY_HEADS = [("male", "net_male"), ("female", "net_female"), ("third", "net_third_gender"), ("total", "net_total")]
+SUMMARY_ROWS = {
+    "net": ["net elector", "i+ii", "i+ll", "after this revision"],
+    "add": ["list of additions"],
+    "del": ["list of deletions"],
+}
+
+# Cover labels whose value stands to their right.
+COVER_RIGHT = {
+    "year_of_revision": "yearofrevision",
+    "qualifying_date": "qualifyingdate",
+    "date_of_publication": "dateofpublication",
+    "date_of_updation": "dateofupdation",
+    "type_of_revision": "typeofrevision",
+    "main_town_or_village": "maintownorvillage",
+    "post_office": "postoffice",
+    "police_station": "policestation",
+    "block": "block",
+    "tehsil_mandal": "tehsil",
+    "taluk": "taluk",
+    "district_name": "district",
+    "pin_code": "pincode",
+    "polling_station_type": "typeofpollingstation",
+    "aux_a": "auxiliarypolling",
+    "aux_b": "stationsinthispart",
+}
+# Cover labels whose value stands below them.
+COVER_BELOW = {
+    "roll_identification": "rollidentification",
+    "station": "nameofpollingstation",
+    "polling_station_address": "addressofpollingstation",
+}
+# Cover lines that carry label and value together.
+COVER_LINES = {
+    "title": "electoralroll",
+    "ac": "assemblyconstituency",
+    "pc": "parliamentaryconstituency",
+    "part": "partno",
+    "sections_head": "sectionsinthepart",
+}
+# Headers of the count table on a cover.
+COUNT_HEADS = {
+    "starting_serial_no": ["starting"],
+    "ending_serial_no": ["ending"],
+    "net_male": ["male"],
+    "net_female": ["female"],
+    "net_third_gender": ["thirdgender", "third"],
+    "net_total": ["total"],
+}
+
+# Names under which catalog records carry a field, in order of preference.
+CATALOG_STATE = {"state_cd": ["stateCd"], "state_name": ["stateName", "stateNameEn"], "state_type": ["stateType"]}
+CATALOG_DISTRICT = {
+    "district_cd": ["districtCd", "districtCode"],
+    "district_name": ["districtValue", "districtName", "districtNameEn"],
+}
+CATALOG_AREA = {
+    "ac_no": ["asmblyNo", "acNo", "acNumber"],
+    "ac_name": ["asmblyName", "acName", "constituencyName"],
+    "ac_id": ["acId", "asmblyId"],
+    "district_cd": ["districtCd", "districtCode"],
+    "category": ["category", "reservationStatus", "acType"],
+}
+UNNAMED = "(unknown)"

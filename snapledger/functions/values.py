@@ -117,11 +117,11 @@ def part_in_file(name: Column | str) -> Column:
 def constituency(line: Column | str) -> Column:
     """``...: {no}-{NAME}({RES})`` -> struct(no, name, reservation); the bracket is optional."""
     tail = F.substring_index(as_col(line), ":", -1)
-    full, bare = r"(\d+)\s*-\s*(.+?)\s*\(([A-Za-z]+)\)", r"(\d+)\s*-\s*(.+)$"
+    pattern = r"(\d+)\s*-\s*(.+?)\s*(?:\(([A-Za-z]+)\)|$)"
     return F.struct(
-        to_int(F.coalesce(group(tail, full, 1), group(tail, bare, 1))).alias("no"),
-        strip(F.coalesce(group(tail, full, 2), group(tail, bare, 2))).alias("name"),
-        F.upper(group(tail, full, 3)).alias("reservation"),
+        to_int(group(tail, pattern, 1)).alias("no"),
+        strip(group(tail, pattern, 2)).alias("name"),
+        F.upper(group(tail, pattern, 3)).alias("reservation"),
     )
 
 

@@ -114,3 +114,8 @@ def assemble(cards_df: DataFrame) -> DataFrame:
     """All steps, from typed reads to final cards (unordered; order by roll and serial on output)."""
     cleaned = cards_df.withColumns(cards.normalised())
     return classify(guard_sections(best_reads(cleaned)))
+
+
+def in_order(electors: DataFrame, key: str = "roll_id", serial: str = "serial_no") -> DataFrame:
+    """Entries in print order, for output only: a range-partitioned sort, one huge roll spans many tasks."""
+    return electors.orderBy(key, serial)

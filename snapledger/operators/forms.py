@@ -11,12 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.functions import values
+from snapledger.functions import fixed, values
 from snapledger.functions.text import after_colon, despace, filled, group, strip, to_int
 from snapledger.operators.groupwise import lookup
 
 IMAGE = "image_id"
-LEAST_HEIGHT = 12.0
 
 
 def find_labels(tokens: DataFrame, labels: dict[str, str], keys: Sequence[str] = (IMAGE,)) -> DataFrame:
@@ -36,29 +35,29 @@ def find_labels(tokens: DataFrame, labels: dict[str, str], keys: Sequence[str] =
 
 def _height() -> Column:
     """Token height, at least 12; an unknown or zero height counts as 12."""
-    h = F.coalesce(F.nullif(F.col("y2") - F.col("y"), F.lit(0.0)), F.lit(LEAST_HEIGHT))
-    return F.greatest(h, F.lit(LEAST_HEIGHT))
+    h = F.coalesce(F.nullif(F.col("y2") - F.col("y"), F.lit(0.0)), F.lit(fixed.LEAST_LABEL_HEIGHT))
+    return F.greatest(h, F.lit(fixed.LEAST_LABEL_HEIGHT))
 
 
-def to_the_right(label: Column, tolerance: float = 0.6) -> Column:
+def to_the_right(label: Column, tolerance: float = fixed.RIGHT_TOLERANCE) -> Column:
     """Aggregate: text of the nearest token right of ``label`` on its row."""
-    on_row = (F.abs(F.col("y") - label["y"]) < tolerance * label["h"]) & (F.col("x") > label["x"] + 5)
+    on_row = (F.abs(F.col("y") - label["y"]) < tolerance * label["h"]) & (F.col("x") > label["x"] + fixed.RIGHT_OFFSET)
     return F.min_by("text", F.when(on_row, F.struct("x", "tok_no")))
 
 
-def below(label: Column, max_gap: float = 2.2) -> Column:
+def below(label: Column, max_gap: float = fixed.BELOW_TO) -> Column:
     """Aggregate: text of the first token under ``label``, within ``max_gap`` label heights."""
     under = (
-        (F.col("y") > label["y"] + 0.6 * label["h"])
+        (F.col("y") > label["y"] + fixed.BELOW_FROM * label["h"])
         & (F.col("y") < label["y"] + max_gap * label["h"])
-        & (F.col("x") < label["x"] + 8 * label["h"])
+        & (F.col("x") < label["x"] + fixed.BELOW_WIDTH * label["h"])
     )
     return F.min_by("text", F.when(under, F.struct("y", "x", "tok_no")))
 
 
 def label_values(
     tokens: DataFrame, right: dict[str, str], under: dict[str, str], keys: Sequence[str] = (IMAGE,),
-    tolerance: float = 0.6, max_gap: float = 2.2, extra: Sequence[tuple[str, Column]] = (),
+    tolerance: float = fixed.RIGHT_TOLERANCE, max_gap: float = fixed.BELOW_TO, extra: Sequence[tuple[str, Column]] = (),
 ) -> DataFrame:
     """Values printed right of / below their labels; text after a colon where there is one.
 
@@ -85,23 +84,13 @@ def nearest(x: Column, headers: Sequence[tuple[str, Column]]) -> Column:
     return F.array_min(F.array_compact(spans))["name"]
 
 
-NET = [("male", "net_male"), ("female", "net_female"), ("third", "net_third_gender"), ("total", "net_total")]
-SUMMARY_ROWS = {
-    "net": ["net elector", "i+ii", "i+ll", "after this revision"],
-    "add": ["list of additions"],
-    "del": ["list of deletions"],
-}
-ROW_TOLERANCE = 15.0
-MODIFICATION_REACH = 120.0
-
-
 def parse_summary(tokens: DataFrame) -> DataFrame:
     """Summary page: net totals, additions, deletions and modifications, read by position."""
     low = F.lower(F.col("text"))
     marks = []
-    for head, name in NET:
+    for head, name in fixed.SUMMARY_HEADS:
         marks.append(F.min_by("x", F.when(F.ltrim(low).startswith(head), F.struct("y", "tok_no"))).alias(f"__x_{name}"))
-    for row, labels in SUMMARY_ROWS.items():
+    for row, labels in fixed.SUMMARY_ROWS.items():
         hit = F.lit(False)
         for label in labels:
             hit = hit | F.contains(low, F.lit(label))
@@ -111,16 +100,16 @@ def parse_summary(tokens: DataFrame) -> DataFrame:
     names = [c for c in anchors.columns if c != IMAGE]
     digits = strip("text")
     numbers = lookup(tokens.withColumn("__n", to_int(digits)).filter(digits.rlike(r"^\d{1,5}$")), anchors, [IMAGE], names)
-    col = nearest(F.col("x"), [(name, F.col(f"__x_{name}")) for _, name in NET])
+    col = nearest(F.col("x"), [(name, F.col(f"__x_{name}")) for _, name in fixed.SUMMARY_HEADS])
     numbers = numbers.withColumn("__col", col)
 
     def read(row: str, name: str) -> Column:
-        hit = (F.abs(F.col("y") - F.col(f"__y_{row}")) < ROW_TOLERANCE) & (F.col("__col") == name)
+        hit = (F.abs(F.col("y") - F.col(f"__y_{row}")) < fixed.SUMMARY_ROW_TOLERANCE) & (F.col("__col") == name)
         return F.max_by("__n", F.when(hit, F.col("tok_no")))
 
-    changed = (F.abs(F.col("y") - F.col("__y_mod")) < MODIFICATION_REACH) & (F.length(digits) <= 4)
+    changed = (F.abs(F.col("y") - F.col("__y_mod")) < fixed.MODIFICATION_REACH) & (F.length(digits) <= 4)
     totals = numbers.groupBy(IMAGE).agg(
-        *[read("net", name).alias(name) for _, name in NET],
+        *[read("net", name).alias(name) for _, name in fixed.SUMMARY_HEADS],
         read("add", "net_total").alias("additions_total"),
         read("del", "net_total").alias("deletions_total"),
         F.max(F.when(changed, F.col("__n"))).alias("num_modifications"),
@@ -129,71 +118,31 @@ def parse_summary(tokens: DataFrame) -> DataFrame:
     return lookup(tokens.select(IMAGE).distinct(), totals, [IMAGE], cols)
 
 
-RIGHT_OF = {
-    "year_of_revision": "yearofrevision",
-    "qualifying_date": "qualifyingdate",
-    "date_of_publication": "dateofpublication",
-    "date_of_updation": "dateofupdation",
-    "type_of_revision": "typeofrevision",
-    "main_town_or_village": "maintownorvillage",
-    "post_office": "postoffice",
-    "police_station": "policestation",
-    "block": "block",
-    "tehsil_mandal": "tehsil",
-    "taluk": "taluk",
-    "district_name": "district",
-    "pin_code": "pincode",
-    "polling_station_type": "typeofpollingstation",
-    "aux_a": "auxiliarypolling",
-    "aux_b": "stationsinthispart",
-}
-BELOW = {
-    "roll_identification": "rollidentification",
-    "station": "nameofpollingstation",
-    "polling_station_address": "addressofpollingstation",
-}
-LINES = {
-    "title": "electoralroll",
-    "ac": "assemblyconstituency",
-    "pc": "parliamentaryconstituency",
-    "part": "partno",
-    "sections_head": "sectionsinthepart",
-}
-ELECTOR_HEADS = {
-    "starting_serial_no": ["starting"],
-    "ending_serial_no": ["ending"],
-    "net_male": ["male"],
-    "net_female": ["female"],
-    "net_third_gender": ["thirdgender", "third"],
-    "net_total": ["total"],
-}
-
-
 def elector_table(tokens: DataFrame) -> DataFrame:
     """The count table of a cover: the first number row under its headers, by nearest header."""
     flat = F.lower(despace("text"))
     token = F.struct("x", "y", _height().alias("h"))
     heads = tokens.groupBy(IMAGE).agg(
         *[F.min_by(token, F.when(flat.isin(*names), F.struct("y", "tok_no"))).alias(f"__h_{c}")
-          for c, names in ELECTOR_HEADS.items()]
+          for c, names in fixed.COUNT_HEADS.items()]
     )
-    of = lambda f: [F.col(f"__h_{c}")[f] for c in ELECTOR_HEADS]
+    of = lambda f: [F.col(f"__h_{c}")[f] for c in fixed.COUNT_HEADS]
     heads = heads.select(
-        IMAGE, *[F.col(f"__h_{c}.x").alias(f"__x_{c}") for c in ELECTOR_HEADS],
+        IMAGE, *[F.col(f"__h_{c}.x").alias(f"__x_{c}") for c in fixed.COUNT_HEADS],
         F.greatest(*of("y")).alias("__base"), F.least(*of("h")).alias("__row_h"),
     )
     cols = [c for c in heads.columns if c != IMAGE]
     numbers = lookup(tokens.filter(strip("text").rlike(r"^\d{1,6}$")), heads, [IMAGE], cols)
-    in_reach = (F.col("y") > F.col("__base")) & (F.col("y") < F.col("__base") + 3 * F.col("__row_h"))
+    in_reach = (F.col("y") > F.col("__base")) & (F.col("y") < F.col("__base") + fixed.COUNT_ROWS * F.col("__row_h"))
     numbers = numbers.filter(in_reach)
     first = numbers.groupBy(IMAGE).agg(F.min("y").alias("__first"))
     row = lookup(numbers, first, [IMAGE], ["__first"]).filter(
-        F.abs(F.col("y") - F.col("__first")) < 1.2 * F.col("__row_h")
+        F.abs(F.col("y") - F.col("__first")) < fixed.COUNT_ROW * F.col("__row_h")
     )
-    row = row.withColumn("__col", nearest(F.col("x"), [(c, F.col(f"__x_{c}")) for c in ELECTOR_HEADS]))
+    row = row.withColumn("__col", nearest(F.col("x"), [(c, F.col(f"__x_{c}")) for c in fixed.COUNT_HEADS]))
     number = to_int(strip("text"))
     return row.groupBy(IMAGE).agg(
-        *[F.min_by(number, F.when(F.col("__col") == c, F.col("tok_no"))).alias(c) for c in ELECTOR_HEADS]
+        *[F.min_by(number, F.when(F.col("__col") == c, F.col("tok_no"))).alias(c) for c in fixed.COUNT_HEADS]
     )
 
 
@@ -202,7 +151,7 @@ def section_list(tokens: DataFrame, heads: DataFrame) -> DataFrame:
     near = lookup(tokens, heads, [IMAGE], ["sections_head"])
     h = F.col("sections_head")
     inside = (
-        (F.col("y") > h["y"]) & (F.col("y") < h["y"] + 6 * h["h"]) & (F.col("x") < h["x"] + 12 * h["h"])
+        (F.col("y") > h["y"]) & (F.col("y") < h["y"] + fixed.SECTIONS_DOWN * h["h"]) & (F.col("x") < h["x"] + fixed.SECTIONS_RIGHT * h["h"])
     )
     pattern = r"^(\d+)\s*-\s*(.+)"
     text = strip("text")
@@ -217,9 +166,9 @@ def section_list(tokens: DataFrame, heads: DataFrame) -> DataFrame:
 
 def parse_cover(tokens: DataFrame) -> DataFrame:
     """Cover page: identity, revision, area, station, sections and the count table."""
-    lines = find_labels(tokens, LINES)
-    found = lookup(label_values(tokens, RIGHT_OF, BELOW), lines, [IMAGE], list(LINES))
-    found = lookup(found, elector_table(tokens), [IMAGE], list(ELECTOR_HEADS))
+    lines = find_labels(tokens, fixed.COVER_LINES)
+    found = lookup(label_values(tokens, fixed.COVER_RIGHT, fixed.COVER_BELOW), lines, [IMAGE], list(fixed.COVER_LINES))
+    found = lookup(found, elector_table(tokens), [IMAGE], list(fixed.COUNT_HEADS))
     found = lookup(found, section_list(tokens, lines), [IMAGE], ["sections"])
     title, ac, pc = values.roll_title("title.text"), values.constituency("ac.text"), values.constituency("pc.text")
     numbered = r"^(\d+)\s*-\s*(.+)"
@@ -247,7 +196,7 @@ def parse_cover(tokens: DataFrame) -> DataFrame:
         ),
         "num_auxiliary_stations": first_int(aux),
         "sections": F.col("sections"),
-        **{c: F.col(c) for c in ELECTOR_HEADS},
+        **{c: F.col(c) for c in fixed.COUNT_HEADS},
     }
     return found.select(IMAGE, *[c.alias(n) for n, c in out.items()])
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapledger.functions import fixed, values
-from snapledger.functions.text import after_colon, group, strip, strip_label, to_int, without_blanks
+from snapledger.functions.text import after_colon, contains_any, group, strip, strip_label, to_int, without_blanks
 from snapledger.operators.groupwise import attach, first_by, lookup
 from snapledger.operators.ordered import carry_forward, following, gap_sessions, previous, running_sum, upper_median
 from snapledger.session import cut
@@ -42,7 +42,7 @@ def anchors_of(tokens: DataFrame, text: str = "text") -> DataFrame:
     key = group(without_blanks(text), f"({fixed.KEY_ANYWHERE})")
     return (
         tokens.withColumn("epic_no", key)
-        .filter(F.col("epic_no").isNotNull() & (F.col("x") - F.col("x0") > 0.5 * F.col("cw")))
+        .filter(F.col("epic_no").isNotNull() & (F.col("x") - F.col("x0") > fixed.ANCHOR_SIDE * F.col("cw")))
         .select(IMAGE, "col", F.col("tok_no").alias("anchor"), F.col("y").alias("ay"), "x0", "cw", "epic_no")
     )
 
@@ -61,14 +61,14 @@ def card_intervals(anchors: DataFrame, heights: DataFrame, block_height: float =
     """Anchors with their half-open interval [top, bottom) and the image's card height."""
     sized = lookup(anchors, heights, [IMAGE], ["card_h"])
     nexts = following(sized, [IMAGE, "col"], ["ay", "anchor"], y_block("ay", block_height), __next=F.col("ay"))
-    pad = F.floor(0.15 * F.col("card_h"))
+    pad = F.floor(fixed.CARD_PAD * F.col("card_h"))
     return nexts.withColumn("top", F.col("ay") - pad).withColumn(
         "bottom", F.coalesce("__next", F.col("ay") + F.col("card_h")) - pad
     ).drop("__next")
 
 
 def tokens_in_cards(
-    tokens: DataFrame, cards: DataFrame, share: float = 0.5, block_height: float = ROWS_PER_BLOCK
+    tokens: DataFrame, cards: DataFrame, share: float = fixed.TEXT_SIDE, block_height: float = ROWS_PER_BLOCK
 ) -> DataFrame:
     """Tokens in the left ``share`` of their column, with the card whose interval holds them.
 
@@ -97,7 +97,7 @@ def tokens_in_cards(
     )
 
 
-def card_parts(tokens: DataFrame, dpi: int = 200, share: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def card_parts(tokens: DataFrame, dpi: int = 200, share: float = fixed.TEXT_SIDE) -> tuple[DataFrame, DataFrame]:
     """(cards with intervals, tokens in cards) of one engine's tokens.
 
     Anchors, cards and placed tokens are each read several times by what follows, so each is
@@ -121,14 +121,14 @@ def serials(held: DataFrame, fused_is_deletion: bool = False) -> DataFrame:
     engine and a reason for the other.
     """
     order = F.struct("tok_no") if fused_is_deletion else F.struct("y", "tok_no")
-    near = F.abs(F.col("y") - F.col("ay")) < 0.35 * F.col("card_h")
+    near = F.abs(F.col("y") - F.col("ay")) < fixed.SAME_LINE * F.col("card_h")
     text = strip("text")
     numbered = near & text.rlike(fixed.SERIAL_TOKEN)
     apart = F.upper(group(text, r"^([A-Za-z])\s*\d" if fused_is_deletion else r"^([A-Za-z])\s+\d"))
     letter = F.when(numbered & apart.isin(*fixed.REASONS), apart)
     if not fused_is_deletion:
         bare = F.upper(text)
-        in_box = near & ~numbered & bare.isin(*fixed.REASONS) & (F.col("x") - F.col("x0") < 0.35 * F.col("cw"))
+        in_box = near & ~numbered & bare.isin(*fixed.REASONS) & (F.col("x") - F.col("x0") < fixed.SERIAL_BOX * F.col("cw"))
         letter = F.coalesce(letter, F.when(in_box, bare))
     serial = F.when(numbered, to_int(group(text, r"(\d{1,4})")))
     return held.groupBy(IMAGE, "anchor").agg(
@@ -142,12 +142,12 @@ def token_roles(held: DataFrame) -> DataFrame:
     Noise lines, serials and bare reason letters are dropped.
     """
     low = F.ltrim(F.lower(F.col("text")))
-    near = F.abs(F.col("y") - F.col("ay")) < 0.35 * F.col("card_h")
-    noise = F.contains(low, F.lit("as on")) | F.contains(low, F.lit("#/#"))
-    for head in ("parliamentary", "section no", "assembly", "part no"):
+    near = F.abs(F.col("y") - F.col("ay")) < fixed.SAME_LINE * F.col("card_h")
+    noise = contains_any(low, fixed.NOISE_ANYWHERE)
+    for head in fixed.NOISE_HEADS:
         noise = noise | low.startswith(head)
     serial = near & strip("text").rlike(fixed.SERIAL_TOKEN)
-    bare = near & F.upper(strip("text")).isin(*fixed.REASONS) & (F.col("x") - F.col("x0") < 0.35 * F.col("cw"))
+    bare = near & F.upper(strip("text")).isin(*fixed.REASONS) & (F.col("x") - F.col("x0") < fixed.SERIAL_BOX * F.col("cw"))
     relation = F.lit(None).cast("string")
     for head, name in reversed(fixed.RELATION_LABELS):
         relation = F.when(low.startswith(head), name).otherwise(relation)
@@ -204,7 +204,7 @@ def grid_rows(cards: DataFrame, block_height: float = ROWS_PER_BLOCK) -> DataFra
     order = ["ay", "col", "anchor"]
     block = y_block("ay", block_height)
     spaced = previous(cards, [IMAGE], order, block, __prev=F.col("ay"))
-    opens = F.col("__prev").isNull() | (F.col("ay") - F.col("__prev") >= 0.5 * F.col("card_h"))
+    opens = F.col("__prev").isNull() | (F.col("ay") - F.col("__prev") >= fixed.ROW_GAP * F.col("card_h"))
     return gap_sessions(spaced, [IMAGE], order, opens, block, "grid_row").drop("__prev")
 
 
@@ -272,11 +272,7 @@ def vote_serials(cards: DataFrame, block_height: float = ROWS_PER_BLOCK) -> Data
 def section_headers(tokens: DataFrame) -> DataFrame:
     """Topmost section header of each image ('' where there is none)."""
     flat = without_blanks(F.lower(F.col("text")))
-    header = (
-        flat.startswith("sectionnoand")
-        | F.contains(flat, F.lit("listofaddition"))
-        | F.contains(flat, F.lit("listofdeletion"))
-    )
+    header = flat.startswith(fixed.SECTION_HEAD) | contains_any(flat, fixed.SECTION_LISTS)
     top = F.min_by("text", F.when(header, F.struct("y", "tok_no")))
     return tokens.groupBy(IMAGE).agg(F.coalesce(top, F.lit("")).alias("section_header"))
 
@@ -315,7 +311,7 @@ def parse_script_cards(tokens: DataFrame, latin: str = "latin", script: str = "s
     text = strip("text")
     number = to_int(group(text, r"(\d{1,3})"))
     labelled = F.contains(F.col("text"), F.lit(fixed.SCRIPT_AGE))
-    plain = ~labelled & number.between(10, 120) & (F.col("y") > F.col("ay") + 0.4 * F.col("card_h"))
+    plain = ~labelled & number.between(10, 120) & (F.col("y") > F.col("ay") + fixed.SCRIPT_AGE_BELOW * F.col("card_h"))
     ages = held.groupBy(IMAGE, "anchor").agg(
         F.coalesce(
             _last(F.when(labelled, number), F.struct("tok_no")),
@@ -328,15 +324,9 @@ def parse_script_cards(tokens: DataFrame, latin: str = "latin", script: str = "s
     native = native.filter("cw is not null").withColumn(
         "col", F.least(F.lit(2), F.floor(F.col("x") / F.col("cw")).cast("int"))
     ).withColumn("x0", F.col("col") * F.col("cw"))
-    lines = tokens_in_cards(native, cards, 0.6)
+    lines = tokens_in_cards(native, cards, fixed.SCRIPT_TEXT_SIDE)
     order = F.struct("y", "tok_no")
 
-    def has(words):
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | F.contains(F.col("text"), F.lit(w))
-        return hit
-
     value = after_colon("text")
     relation = F.lit(None).cast("string")
     for word, name in reversed(fixed.SCRIPT_RELATION):
@@ -344,12 +334,12 @@ def parse_script_cards(tokens: DataFrame, latin: str = "latin", script: str = "s
     gender = F.lit(None).cast("string")
     for word, name in fixed.SCRIPT_GENDER:
         gender = F.when(F.contains(F.col("text"), F.lit(word)), name).otherwise(gender)
-    name = F.when(has(fixed.SCRIPT_NAME) & (value != ""), value)
+    name = F.when(contains_any("text", fixed.SCRIPT_NAME) & (value != ""), value)
     fields = lines.groupBy(IMAGE, "anchor").agg(
         F.min_by(name, F.when(name.isNotNull(), order)).alias("full_name"),
         _last(relation, order).alias("relation_type"),
         _last(F.when(relation.isNotNull(), value), order).alias("relation_name"),
-        _last(F.when(has(fixed.SCRIPT_HOUSE), value), order).alias("house_number"),
+        _last(F.when(contains_any("text", fixed.SCRIPT_HOUSE), value), order).alias("house_number"),
         _last(gender, order).alias("gender"),
     )
     keys = [IMAGE, "anchor"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,3 +59,8 @@ def rolls_of(areas: DataFrame, parts: DataFrame, rolls: DataFrame) -> DataFrame:
         .join(rolls, "part_id")
         .orderBy("root", F.col("date_of_publication").desc_nulls_last(), "roll_id")
     )
+
+
+def era_scoped(rolls: DataFrame, area: Sequence[str], era: str = "era_name") -> DataFrame:
+    """Areas under their era-scoped keys: an area seen in two eras is two rows, linked by lineage."""
+    return rolls.groupBy(era, *area).agg(F.count("*").alias("rolls"))

@@ -125,3 +125,13 @@ def delivery_summary(
         F.count_if(verified).alias("verified"),
     )
     return out.withColumn("ok", F.col("verified") == F.col("requested"))
+
+
+def latest_publication(rolls: DataFrame, keys: Sequence[str], published: str = "date_of_publication") -> DataFrame:
+    return rolls.groupBy(*keys).agg(F.max(published).alias("latest_publication"), F.count("*").alias("rolls"))
+
+
+def first_areas(jobs: DataFrame, area: str = "ac_no", n: int | None = None) -> DataFrame:
+    """Distinct areas in order, the first ``n`` of them when the work is bounded."""
+    areas = jobs.select(area).distinct().orderBy(area)
+    return areas if n is None else areas.limit(n)

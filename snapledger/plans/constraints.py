@@ -13,6 +13,7 @@ def _not_negative(*columns: str) -> dict[str, str]:
     return {f"{c} >= 0": f"{c} >= 0" for c in columns}
 
 
+# The CHECK rules, unique keys and references of the domain tables.
 NET = ("net_male", "net_female", "net_third_gender", "net_total")
 
 CHECKS: dict[str, dict[str, str]] = {

@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from snapledger import schemas
 from snapledger.functions import cards, values
 from snapledger.operators import assemble, reconcile, resolve
 from snapledger.queries.registry import Tables, query
+from snapledger.session import cut
 
 ENTRY = {
     "roll_id": "l_orderkey",
@@ -51,7 +51,8 @@ def _documents(spark, sf_dir):
         *[F.count_if(F.expr(v)).alias(k) for k, v in COUNTED.items()]
     )
     found = rolls.join(counted, "roll_id", "left").na.fill(0)
-    return rolls, entries, found
+    printed = found.select("roll_id", *[F.expr(v).alias(k) for k, v in PRINTED.items()], F.expr(COVER_TOTAL).alias("cover_total"))
+    return rolls, entries, printed
 
 
 @query(
@@ -69,9 +70,10 @@ def _documents(spark, sf_dir):
     """,
 )
 def recon_view(spark, sf_dir):
-    rolls, entries, found = _documents(spark, sf_dir)
-    summary = found.select("roll_id", *[F.expr(v).alias(k) for k, v in PRINTED.items()])
-    cover = found.select("roll_id", F.expr(COVER_TOTAL).alias("net_total"))
+    rolls, entries, printed = _documents(spark, sf_dir)
+    printed = cut(printed)  # the two printed tables: written once, read as summary and as cover
+    summary = printed.drop("cover_total")
+    cover = printed.select("roll_id", F.col("cover_total").alias("net_total"))
     return reconcile.roll_reconciliation(rolls, entries, summary, cover)
 
 
@@ -91,8 +93,7 @@ CHECK_NAMES = ("net_total", "net_male", "net_female", "net_third_gender", "addit
     """,
 )
 def recon_checks(spark, sf_dir):
-    rolls, entries, found = _documents(spark, sf_dir)
-    summary = found.select("roll_id", *[F.expr(v).alias(k) for k, v in PRINTED.items()])
+    rolls, entries, summary = _documents(spark, sf_dir)
     out = reconcile.reconcile(rolls, entries, summary, status="entry_status")
     return out.select("roll_id", *[F.col("checks")[c].alias(f"ok_{c}") for c in CHECK_NAMES], "reconciles")
 
@@ -199,7 +200,7 @@ def carry_forward(spark, sf_dir):
 
 
 # one strip per turn: three cards, of which one has a broken serial on some turns
-PAYLOAD = """to_json(named_struct('section_header', role, 'cards', array(
+PAYLOAD = """to_json(named_struct('section_header', {header}, 'cards', array(
     named_struct('serial_no', cast(turn * 3 + 1 as string), 'full_name', concat(' ', role, ' '), 'age', turn * 7 % 3,
                  'epic_no', '  ', 'gender', 'm', 'deleted_watermark', true),
     named_struct('serial_no', case when turn % 3 = 0 then 'x' else cast(turn * 3 + 2 as string) end,
@@ -228,7 +229,7 @@ def card_coerce(spark, sf_dir):
     from snapledger.operators.groupwise import attach
 
     c = Tables(spark, sf_dir).conversations
-    strips = assemble.parse_strips(c.select("conv_id", "turn", F.expr(PAYLOAD).alias("payload")))
+    strips = assemble.parse_strips(c.select("conv_id", "turn", F.expr(PAYLOAD.format(header="role")).alias("payload")))
     rows = strips.select("conv_id", "turn", F.posexplode("cards").alias("pos", "card"))
     typed = rows.select("conv_id", "turn", "pos", *cards.coerced("card"))
     counted = attach(typed, ["conv_id"], rejected=F.count_if(F.col("serial_no").isNull()))
@@ -319,7 +320,33 @@ def failed_list(spark, sf_dir):
     return attach(failed_strips(strips, "user_id", "event_id"), ["user_id"], n_failed=F.count("*"))
 
 
-@query("roll_assembly", None)
+@query(
+    "roll_assembly",
+    f"""
+    with h as (select conv_id, turn, lower({HEADER}) as h from conversations),
+    r as (select *, case when contains(h, 'addition') then 'additions' when contains(h, 'deletion') then 'deletions'
+             when contains(h, 'section no') then 'main_roll' end as st from h),
+    g as (select conv_id, turn, coalesce(last_value(st ignore nulls) over (partition by conv_id order by turn
+             rows between unbounded preceding and current row), 'main_roll') as region from r),
+    c as (select conv_id, turn * 3 + 1 as serial, region, true as stamp, 'Male' as gender from g
+          union all select conv_id, turn * 3 + 2, region, false, null from g where turn % 3 <> 0
+          union all select conv_id, turn * 3 + 3, region, false, 'Female' from g),
+    m as (select *, max(case when region = 'main_roll' then serial end) over (partition by conv_id) as top from c),
+    s as (select *, case when region = 'main_roll' or serial <= top then case when stamp then 'deleted' else 'active' end
+             when region = 'additions' then 'added' else 'deleted' end as status from m),
+    k as (select conv_id, count(*) as cards_printed, count(*) filter (where status = 'deleted') as deletions,
+            count(*) filter (where status = 'added') as additions, 0::bigint as modifications,
+            count(*) filter (where status <> 'deleted') as live_cards,
+            count(*) filter (where status <> 'deleted' and gender = 'Male') as live_male,
+            count(*) filter (where status <> 'deleted' and gender = 'Female') as live_female,
+            0::bigint as live_third_gender from s group by 1),
+    n as (select conv_id, cast(count(*) as integer) as net_total, cast(count(*) filter (where turn > 1) as integer)
+            as additions_total from conversations group by 1)
+    select cast(k.conv_id as varchar) as roll_id, k.* exclude (conv_id), net_total, additions_total,
+      live_cards = net_total and additions = additions_total as reconciles
+    from k join n on n.conv_id = k.conv_id
+    """,
+)
 def roll_assembly(spark, sf_dir):
     """The whole chain: payloads -> cards -> assembled cards -> checks per document."""
     from snapledger.plans.rolls import run_rolls
@@ -327,12 +354,11 @@ def roll_assembly(spark, sf_dir):
     c = Tables(spark, sf_dir).conversations
     strips = c.select(
         F.col("conv_id").cast("string").alias("roll_id"), F.col("turn").cast("int").alias("page"),
-        F.lit("top").alias("band"), F.expr(PAYLOAD).alias("payload"),
+        F.lit("top").alias("band"), F.expr(PAYLOAD.format(header=HEADER)).alias("payload"),
     )
-    rolls = strips.select("roll_id").distinct()
-    summary = strips.groupBy("roll_id").agg(F.count("*").cast("int").alias("net_total"))
-    for field in schemas.SUMMARY_PAYLOAD.split(", "):
-        name = field.split(" ")[0]
-        if name != "net_total":
-            summary = summary.withColumn(name, F.lit(None).cast("int"))
-    return run_rolls(rolls, strips, summary).recon.drop("checks")
+    unread = F.lit(None).cast("int")
+    summary = strips.groupBy("roll_id").agg(
+        F.count("*").cast("int").alias("net_total"), F.count_if(F.col("page") > 1).cast("int").alias("additions_total")
+    ).select("*", *[unread.alias(n) for n in ("net_male", "net_female", "net_third_gender", "deletions_total", "num_modifications")])
+    recon = run_rolls(summary.select("roll_id"), strips, summary).recon
+    return recon.drop("checks", "net_male", "net_female", "net_third_gender", "deletions_total")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from snapledger.operators import identity, lineage, resolve
+from snapledger.operators import identity, lineage, manifest, resolve
 from snapledger.queries.registry import Tables, query
 
 KEY = "case when l_suppkey % 13 = 0 then null else concat('K', cast(l_partkey as varchar(20))) end"
@@ -243,9 +243,23 @@ def _eras(o):
 def era_latest(spark, sf_dir):
     t = Tables(spark, sf_dir)
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return o.groupBy("c_nationkey").agg(
-        F.max(F.expr(PUBLISHED)).cast("string").alias("latest_publication"), F.count("*").alias("rolls")
-    )
+    published = o.select("c_nationkey", F.expr(PUBLISHED).cast("string").alias("date_of_publication"))
+    return manifest.latest_publication(published, ["c_nationkey"])
+
+
+@query(
+    "era_scope",
+    """
+    with y as (select distinct year(o_orderdate) - year(o_orderdate) % 2 as a from orders),
+    e as (select 'era ' || a as era_name, make_date(a, 2, 19) as f,
+            case when exists (select 1 from y z where z.a = y.a + 2) then make_date(a + 2, 2, 19) end as t from y)
+    select era_name, o_custkey, count(*) as rolls from orders left join e on f <= o_orderdate::date and
+      (t is null or o_orderdate::date < t) group by 1, 2
+    """,
+)
+def era_scope(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return lineage.era_scoped(resolve.era_of(o, _eras(o), "o_orderdate"), ["o_custkey"])
 
 
 @query(

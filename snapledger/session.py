@@ -24,6 +24,9 @@ def local_session(cores: str = "*", app: str = "snapledger", **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -35,13 +38,15 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="spark-snapledger-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="spark-snapledger-", dir="/tmp")
+    return _LOCAL_FOLDERS[app]
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that retries never replay the loop before it."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    """Materialise ``df`` in the shared folder, so that retries never replay what came before it."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)

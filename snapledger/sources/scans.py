@@ -17,39 +17,29 @@ def picked(raw: Column, *keys: str) -> Column:
     return F.coalesce(*[F.nullif(F.get_json_object(raw, f"$.{k}"), F.lit("")) for k in keys])
 
 
+def _fields(record: str, keys: dict[str, list[str]]) -> dict[str, Column]:
+    return {name: picked(F.col(record), *names) for name, names in keys.items()}
+
+
 def catalog_states(raw: DataFrame, record: str = "raw") -> DataFrame:
     """State records with varying key names -> typed rows; the raw record is kept."""
-    r = F.col(record)
-    return raw.select(
-        picked(r, "stateCd").alias("state_cd"),
-        F.coalesce(picked(r, "stateName", "stateNameEn"), F.lit("(unknown)")).alias("state_name"),
-        picked(r, "stateType").alias("state_type"),
-        r.alias("raw"),
-    )
+    f = _fields(record, fixed.CATALOG_STATE)
+    f["state_name"] = F.coalesce(f["state_name"], F.lit(fixed.UNNAMED))
+    return raw.select(*[c.alias(n) for n, c in f.items()], F.col(record).alias("raw"))
 
 
 def catalog_districts(raw: DataFrame, record: str = "raw") -> DataFrame:
-    r = F.col(record)
-    return raw.select(
-        "state_cd",
-        picked(r, "districtCd", "districtCode").alias("district_cd"),
-        F.coalesce(picked(r, "districtValue", "districtName", "districtNameEn"), F.lit("(unknown)")).alias("district_name"),
-        r.alias("raw"),
-    )
+    f = _fields(record, fixed.CATALOG_DISTRICT)
+    f["district_name"] = F.coalesce(f["district_name"], F.lit(fixed.UNNAMED))
+    return raw.select("state_cd", *[c.alias(n) for n, c in f.items()], F.col(record).alias("raw"))
 
 
 def catalog_areas(raw: DataFrame, record: str = "raw") -> tuple[DataFrame, DataFrame]:
     """(area rows, records without a usable number)."""
-    r = F.col(record)
-    rows = raw.select(
-        "state_cd",
-        picked(r, "asmblyNo", "acNo", "acNumber").try_cast("int").alias("ac_no"),
-        picked(r, "asmblyName", "acName", "constituencyName").alias("ac_name"),
-        F.coalesce(picked(r, "acId", "asmblyId"), F.lit("")).alias("ac_id"),
-        picked(r, "districtCd", "districtCode").alias("district_cd"),
-        picked(r, "category", "reservationStatus", "acType").alias("category"),
-        r.alias("raw"),
-    )
+    f = _fields(record, fixed.CATALOG_AREA)
+    f["ac_no"] = f["ac_no"].try_cast("int")
+    f["ac_id"] = F.coalesce(f["ac_id"], F.lit(""))
+    rows = raw.select("state_cd", *[c.alias(n) for n, c in f.items()], F.col(record).alias("raw"))
     return rows.filter("ac_no is not null"), rows.filter("ac_no is null")
 
 
