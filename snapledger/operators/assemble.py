@@ -14,10 +14,11 @@ PAGES_PER_BLOCK = 64
 
 
 def parse_strips(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """JSON payload of a strip -> header and card list; an unreadable payload is a failed strip."""
-    parsed = F.from_json(F.col(payload), schemas.STRIP_PAYLOAD)
-    df = payloads.withColumn("__p", parsed)
-    bad = F.col(payload).isNull() | F.col("__p").isNull() | F.col("__p.cards").isNull()
+    """JSON payload of a strip -> header and card list. Text that is no JSON is a failed strip;
+    a value of the wrong type is only a null field."""
+    df = payloads.withColumn("__p", F.from_json(F.col(payload), schemas.STRIP_PAYLOAD))
+    empty = F.col("__p.section_header").isNull() & F.col("__p.cards").isNull()
+    bad = F.col(payload).isNull() | (empty & F.get_json_object(payload, "$").isNull())
     old = F.coalesce(F.col("failed"), F.lit(False)) if "failed" in payloads.columns else F.lit(False)
     return df.withColumns(
         {"section_header": F.col("__p.section_header"), "cards": F.col("__p.cards"), "failed": old | bad}

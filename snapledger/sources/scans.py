@@ -93,3 +93,12 @@ def states(spark: SparkSession) -> DataFrame:
 def eras(spark: SparkSession) -> DataFrame:
     rows = spark.createDataFrame(fixed.ERAS, "era_name string, f string, t string")
     return rows.select("era_name", F.to_date("f").alias("effective_from"), F.to_date("t").alias("effective_to"))
+
+
+def from_payload(pages: DataFrame, fields: str, payload: str = "payload") -> DataFrame:
+    """JSON text of summary or cover pages -> typed columns next to the page's keys.
+
+    ``fields`` is one of the ``*_PAYLOAD`` shapes; text that is no JSON gives nulls.
+    """
+    keys = [c for c in pages.columns if c != payload]
+    return pages.withColumn("__p", F.from_json(F.col(payload), fields)).select(*keys, "__p.*")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from snapledger import schemas
 from snapledger.operators import assemble, reconcile
+from snapledger.sources import scans
 from snapledger.plans.rolls import enrich_context, run_rolls
 from tests import fixtures as fx
 
@@ -97,3 +98,29 @@ def test_component_identity(spark):
     summary = spark.createDataFrame([("a", 5, 6)], "roll_id string, net_male int, net_total int")
     r = reconcile.component_identity(part, summary, measures=(("male", "net_male"), ("total", "net_total"))).first()
     assert r.male_sum == 5 and r.male_holds and not r.total_holds
+
+
+def test_odd_payloads(spark):
+    """Wrong types null one field, an empty object is an empty strip, other text is a failure."""
+    odd = {"section_header": "", "cards": [fx.card(1, age="45"), fx.card(2, age=45.5, serial_no=" 2 "), {"serial_no": None}, fx.card(3)]}
+    df = spark.createDataFrame([("r", 3, "top", json.dumps(odd)), ("r", 4, "top", "{}"), ("r", 5, "top", '{"section_header": "x'), ("r", 6, "top", None)], fx.PAYLOADS)
+    strips = assemble.parse_strips(df)
+    assert {r.page: r.failed for r in strips.collect()} == {3: False, 4: False, 5: True, 6: True}
+    out = run_rolls(df.select("roll_id").distinct(), df, spark.createDataFrame([], fx.SUMMARY))
+    assert sorted((r.serial_no, r.age) for r in out.electors.collect()) == [(1, None), (2, None), (3, 30)]
+    assert out.rejected.count() == 1
+
+
+def test_summary_and_cover_payloads(spark):
+    pages = spark.createDataFrame([("r", '{"net_total": 5, "net_male": null}'), ("q", "oops")], "roll_id string, payload string")
+    got = {r.roll_id: r.net_total for r in scans.from_payload(pages, schemas.SUMMARY_PAYLOAD).collect()}
+    assert got == {"r": 5, "q": None}
+    cover = spark.createDataFrame([("r", '{"sections": [{"section_no": 1}], "ac_no": 4}')], "roll_id string, payload string")
+    r = scans.from_payload(cover, schemas.COVER_PAYLOAD).first()
+    assert r.ac_no == 4 and r.sections[0].section_no == 1
+
+
+def test_first_voter_pages_only(spark):
+    df = spark.createDataFrame(fx.good_roll("r1"), fx.PAYLOADS)
+    out = run_rolls(df.select("roll_id").distinct(), df, spark.createDataFrame([], fx.SUMMARY), max_voter_pages=1)
+    assert [r.serial_no for r in assemble.in_order(out.electors).collect()] == [1, 2, 3, 4]
