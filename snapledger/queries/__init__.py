@@ -1,6 +1,8 @@
 """Registered queries: each reads the given tables and, where SQL can say it, has a twin in SQL."""
 
-from snapledger.queries import assembly, catalog, geometry, identity, ledger, reads, scalars, streams  # noqa: F401
+from snapledger.queries import (  # noqa: F401
+    assembly, catalog, geometry, identity, ledger, pages, reads, scalars, storage, streams,
+)
 from snapledger.queries.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
