@@ -47,24 +47,27 @@ def anchors_of(tokens: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def spaced(anchors: DataFrame, block_height: float = ROWS_PER_BLOCK) -> DataFrame:
+    """Anchors with ``next_y``, the y of the anchor below in their column (null for the last)."""
+    return following(anchors, [IMAGE, "col"], ["ay", "anchor"], y_block("ay", block_height), next_y=F.col("ay"))
+
+
 def card_heights(anchors: DataFrame, dpi: int = 200, block_height: float = ROWS_PER_BLOCK) -> DataFrame:
-    """Per image the upper median of positive gaps between anchors of one column, or a default."""
-    gaps = previous(anchors, [IMAGE, "col"], ["ay", "anchor"], y_block("ay", block_height), __prev=F.col("ay"))
-    gaps = gaps.select(IMAGE, (F.col("ay") - F.col("__prev")).alias("gap")).filter("gap > 0")
+    """Per image the upper median of positive gaps between (spaced) anchors of a column, or a default."""
+    gaps = anchors.select(IMAGE, (F.col("next_y") - F.col("ay")).alias("gap")).filter("gap > 0")
     median = upper_median(gaps, [IMAGE], "gap", block_height / 16, "card_h")
     default = F.lit(float(round(fixed.CARD_HEIGHT_AT_200_DPI * dpi / 200)))
     images = anchors.select(IMAGE).distinct()
     return lookup(images, median, [IMAGE], ["card_h"]).withColumn("card_h", F.coalesce("card_h", default))
 
 
-def card_intervals(anchors: DataFrame, heights: DataFrame, block_height: float = ROWS_PER_BLOCK) -> DataFrame:
-    """Anchors with their half-open interval [top, bottom) and the image's card height."""
+def card_intervals(anchors: DataFrame, heights: DataFrame) -> DataFrame:
+    """(Spaced) anchors with their half-open interval [top, bottom) and the image's card height."""
     sized = lookup(anchors, heights, [IMAGE], ["card_h"])
-    nexts = following(sized, [IMAGE, "col"], ["ay", "anchor"], y_block("ay", block_height), __next=F.col("ay"))
     pad = F.floor(fixed.CARD_PAD * F.col("card_h"))
-    return nexts.withColumn("top", F.col("ay") - pad).withColumn(
-        "bottom", F.coalesce("__next", F.col("ay") + F.col("card_h")) - pad
-    ).drop("__next")
+    return sized.withColumn("top", F.col("ay") - pad).withColumn(
+        "bottom", F.coalesce("next_y", F.col("ay") + F.col("card_h")) - pad
+    ).drop("next_y")
 
 
 def tokens_in_cards(
@@ -104,7 +107,7 @@ def card_parts(tokens: DataFrame, dpi: int = 200, share: float = fixed.TEXT_SIDE
     written once to the shared folder; this runs jobs.
     """
     placed = columns_of(tokens)
-    anchors = cut(anchors_of(placed))
+    anchors = cut(spaced(anchors_of(placed)))
     cards = cut(card_intervals(anchors, card_heights(anchors, dpi)))
     return cards, cut(tokens_in_cards(placed, cards, share))
 

@@ -104,11 +104,11 @@ def order_statistic(
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__c"))
     counts = counts.withColumn(BLOCK, F.floor(F.col(value) / F.lit(float(width))))
     coarse = counts.groupBy(*keys, BLOCK).agg(F.sum("__c").alias("__s"))
+    # one row per value range: few enough to scan per key
     along = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = counts.groupBy(*keys).agg(F.sum("__c").alias("__n"))
-    before = coarse.withColumn("__before", F.coalesce(F.sum("__s").over(along), F.lit(0)))
     target = (
-        lookup(before, totals, keys, ["__n"])
+        coarse.withColumn("__before", F.coalesce(F.sum("__s").over(along), F.lit(0)))
+        .withColumn("__n", F.sum("__s").over(Window.partitionBy(*keys)))
         .withColumn("__rank", rank.cast("bigint"))
         .filter("__before <= __rank and __rank < __before + __s")
         .select(*keys, BLOCK, "__before", "__rank")

@@ -40,7 +40,7 @@ HEIGHT_SQL = f"""
 
 @query("upper_median", f"with {HEIGHT_SQL} select image_id, card_h from h")
 def upper_median(spark, sf_dir):
-    return layout.card_heights(_anchors(_tokens(spark, sf_dir)), block_height=DAY)
+    return layout.card_heights(layout.spaced(_anchors(_tokens(spark, sf_dir)), DAY), block_height=DAY)
 
 
 @query(
@@ -57,8 +57,8 @@ def upper_median(spark, sf_dir):
 )
 def interval_join(spark, sf_dir):
     tokens = _tokens(spark, sf_dir)
-    anchors = _anchors(tokens)
-    cards = layout.cut(layout.card_intervals(anchors, layout.card_heights(anchors, block_height=DAY), DAY))
+    anchors = layout.cut(layout.spaced(_anchors(tokens), DAY))
+    cards = layout.cut(layout.card_intervals(anchors, layout.card_heights(anchors, block_height=DAY)))
     points = tokens.filter("event_type <> 'signup'").select(
         "*", F.lit(0.0).alias("x0"), F.lit(200.0).alias("cw"), F.col("event_type").alias("text")
     )

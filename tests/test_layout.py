@@ -86,7 +86,7 @@ def test_fixes_replace_only_stamped_cards(spark):
 def test_default_height_for_a_lone_card(spark):
     p = Page().put(0, 0, "wide", 1200).put(250, 100, "ABC0000001")
     placed = layout.columns_of(p.df(spark))
-    assert layout.card_heights(layout.anchors_of(placed), dpi=300).first().card_h == round(219 * 300 / 200)
+    assert layout.card_heights(layout.spaced(layout.anchors_of(placed)), dpi=300).first().card_h == round(219 * 300 / 200)
 
 
 @pytest.mark.parametrize("seed", range(2))
