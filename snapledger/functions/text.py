@@ -41,7 +41,8 @@ def to_int(c: Column | str) -> Column:
 
 
 def despace(c: Column | str) -> Column:
-    return F.regexp_replace(as_col(c), r"\s+", "")
+    """Text without any ASCII white space (a character map: far cheaper than a pattern)."""
+    return F.translate(as_col(c), BLANKS, "")
 
 
 def without_blanks(c: Column | str) -> Column:
@@ -73,11 +74,8 @@ def first_filled(*cols: Column | str) -> Column:
 
 
 def contains_any(c: Column | str, needles: Sequence[str]) -> Column:
-    c = as_col(c)
-    hit = F.lit(False)
-    for needle in needles:
-        hit = hit | F.contains(c, F.lit(needle))
-    return hit
+    """One alternation, so that a computed ``c`` is evaluated once even where a filter inlines it."""
+    return as_col(c).rlike("|".join(rf"\Q{needle}\E" for needle in needles))
 
 
 def code_shaped(c: Column | str) -> Column:

@@ -6,73 +6,83 @@ second one; no pairs of tokens are ever formed, and both are partial before the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.functions import fixed, values
-from snapledger.functions.text import after_colon, despace, filled, group, strip, to_int
+from snapledger.functions.text import after_colon, contains_any, despace, filled, group, strip, to_int
 from snapledger.operators.groupwise import lookup
 
 IMAGE = "image_id"
 
 
-def find_labels(tokens: DataFrame, labels: dict[str, str], keys: Sequence[str] = (IMAGE,)) -> DataFrame:
-    """One row per image; column ``name`` is the token (struct) that carries ``needle``, or null.
+def label_rows(tokens: DataFrame, labels: dict[str, str], keys: Sequence[str] = (IMAGE,)) -> DataFrame:
+    """One row per image and label found: the token ``at`` (x, y, h, text) that carries its needle.
 
     An exact match (spaces and case aside) comes before a containing one, then the topmost.
+    Tokens without any label are dropped before they are grouped.
     """
-    flat = F.lower(despace("text"))
-    found = []
-    for name, needle in labels.items():
-        wanted = F.lower(F.regexp_replace(F.lit(needle), r"\s+", ""))
-        rank = F.struct((flat != wanted).alias("partial"), "y", "tok_no")
-        token = F.struct("x", "y", _height().alias("h"), "text")
-        found.append(F.min_by(token, F.when(F.contains(flat, wanted), rank)).alias(name))
-    return tokens.groupBy(*keys).agg(*found)
+    wanted = {name: re.sub(r"\s+", "", needle).lower() for name, needle in labels.items()}
+    flat = F.col("__flat")
+    named = tokens.withColumn("__flat", F.lower(despace("text"))).filter(contains_any(flat, list(wanted.values())))
+    hits = [
+        F.when(F.contains(flat, F.lit(needle)), F.struct(F.lit(name).alias("label"), (flat != needle).alias("partial")))
+        for name, needle in wanted.items()
+    ]
+    rows = named.select(
+        *keys, "x", "y", "tok_no", "text", _height().alias("h"), F.explode(F.array_compact(F.array(*hits))).alias("__hit")
+    )
+    token, rank = F.struct("x", "y", "h", "text"), F.struct("__hit.partial", "y", "tok_no")
+    return rows.groupBy(*keys, F.col("__hit.label").alias("label")).agg(F.min_by(token, rank).alias("at"))
 
 
-def _height() -> Column:
-    """Token height, at least 12; an unknown or zero height counts as 12."""
-    h = F.coalesce(F.nullif(F.col("y2") - F.col("y"), F.lit(0.0)), F.lit(fixed.LEAST_LABEL_HEIGHT))
-    return F.greatest(h, F.lit(fixed.LEAST_LABEL_HEIGHT))
+def _wide(rows: DataFrame, keys: Sequence[str], value: str, names: Sequence[str]) -> DataFrame:
+    """Label rows -> one row per image with a column per label; an image has as many rows as labels."""
+    found = F.map_from_entries(F.collect_list(F.struct("label", value)))
+    folded = rows.groupBy(*keys).agg(found.alias("__m"))
+    return folded.select(*keys, *[F.try_element_at("__m", F.lit(n)).alias(n) for n in names])
 
 
-def to_the_right(label: Column, tolerance: float = fixed.RIGHT_TOLERANCE) -> Column:
-    """Aggregate: text of the nearest token right of ``label`` on its row."""
-    on_row = (F.abs(F.col("y") - label["y"]) < tolerance * label["h"]) & (F.col("x") > label["x"] + fixed.RIGHT_OFFSET)
-    return F.min_by("text", F.when(on_row, F.struct("x", "tok_no")))
+def find_labels(tokens: DataFrame, labels: dict[str, str], keys: Sequence[str] = (IMAGE,)) -> DataFrame:
+    """One row per image that has any label; column ``name`` is the token of that label, or null."""
+    return _wide(label_rows(tokens, labels, keys), keys, "at", list(labels))
 
 
-def below(label: Column, max_gap: float = fixed.BELOW_TO) -> Column:
-    """Aggregate: text of the first token under ``label``, within ``max_gap`` label heights."""
-    under = (
-        (F.col("y") > label["y"] + fixed.BELOW_FROM * label["h"])
-        & (F.col("y") < label["y"] + max_gap * label["h"])
-        & (F.col("x") < label["x"] + fixed.BELOW_WIDTH * label["h"])
-    )
-    return F.min_by("text", F.when(under, F.struct("y", "x", "tok_no")))
+def _height() -> Column:
+    """Token height, at least 12; an unknown or zero height counts as 12."""
+    h = F.coalesce(F.nullif(F.col("y2") - F.col("y"), F.lit(0.0)), F.lit(fixed.LEAST_LABEL_HEIGHT))
+    return F.greatest(h, F.lit(fixed.LEAST_LABEL_HEIGHT))
 
 
 def label_values(
     tokens: DataFrame, right: dict[str, str], under: dict[str, str], keys: Sequence[str] = (IMAGE,),
-    tolerance: float = fixed.RIGHT_TOLERANCE, max_gap: float = fixed.BELOW_TO, extra: Sequence[tuple[str, Column]] = (),
+    tolerance: float = fixed.RIGHT_TOLERANCE, max_gap: float = fixed.BELOW_TO,
 ) -> DataFrame:
     """Values printed right of / below their labels; text after a colon where there is one.
 
-    A label without a token to its right may carry the value itself, after its own colon.
+    Right: the nearest token on the label's row. Below: the first one within ``max_gap`` label
+    heights. A label without a token to its right may carry the value itself, after its own colon.
+    Each token meets only the few labels of its image, and only fitting ones leave the join.
     """
-    needles = {f"__r_{n}": needle for n, needle in right.items()} | {f"__b_{n}": needle for n, needle in under.items()}
-    labels = find_labels(tokens, needles, keys)
-    near = lookup(tokens, labels, keys, list(needles))
-    aggs = [to_the_right(F.col(f"__r_{n}"), tolerance).alias(f"__v_{n}") for n in right]
-    aggs += [below(F.col(f"__b_{n}"), max_gap).alias(f"__v_{n}") for n in under]
-    found = lookup(near.groupBy(*keys).agg(*aggs, *[c.alias(n) for n, c in extra]), labels, keys, list(needles))
-    own = lambda n: F.when(F.contains(F.col(f"__r_{n}.text"), F.lit(":")), F.col(f"__r_{n}.text"))
-    out = {n: filled(after_colon(F.coalesce(f"__v_{n}", own(n)))) for n in right}
-    out |= {n: filled(after_colon(f"__v_{n}")) for n in under}
-    return found.select(*keys, *[c.alias(n) for n, c in out.items()], *[n for n, _ in extra])
+    labels = label_rows(tokens, {**right, **under}, keys)
+    is_below = F.col("label").isin(*under) if under else F.lit(False)
+    others = tokens.select(*keys, "x", "y", "tok_no", "text").join(labels, list(keys))
+    at, dx, dy = F.col("at"), F.col("x") - F.col("at.x"), F.col("y") - F.col("at.y")
+    on_row = ~is_below & (F.abs(dy) < tolerance * at["h"]) & (F.col("x") > at["x"] + fixed.RIGHT_OFFSET)
+    beneath = (
+        is_below & (F.col("y") > at["y"] + fixed.BELOW_FROM * at["h"]) & (F.col("y") < at["y"] + max_gap * at["h"])
+        & (dx < fixed.BELOW_WIDTH * at["h"])
+    )
+    order = F.struct(F.when(is_below, F.col("y")).otherwise(F.col("x")), "x", "tok_no")
+    near = others.filter(on_row | beneath).groupBy(*keys, "label").agg(F.min_by("text", order).alias("__v"))
+    found = lookup(labels, near, [*keys, "label"], ["__v"])
+    own = F.when(~is_below & F.contains(F.col("at.text"), F.lit(":")), F.col("at.text"))
+    found = found.withColumn("value", filled(after_colon(F.coalesce("__v", own))))
+    names = [*right, *under]
+    return lookup(tokens.select(*keys).distinct(), _wide(found, keys, "value", names), keys, names)
 
 
 def nearest(x: Column, headers: Sequence[tuple[str, Column]]) -> Column:
@@ -86,17 +96,14 @@ def nearest(x: Column, headers: Sequence[tuple[str, Column]]) -> Column:
 
 def parse_summary(tokens: DataFrame) -> DataFrame:
     """Summary page: net totals, additions, deletions and modifications, read by position."""
-    low = F.lower(F.col("text"))
+    low = F.col("__low")
     marks = []
     for head, name in fixed.SUMMARY_HEADS:
         marks.append(F.min_by("x", F.when(F.ltrim(low).startswith(head), F.struct("y", "tok_no"))).alias(f"__x_{name}"))
     for row, labels in fixed.SUMMARY_ROWS.items():
-        hit = F.lit(False)
-        for label in labels:
-            hit = hit | F.contains(low, F.lit(label))
-        marks.append(F.min_by("y", F.when(hit, F.col("tok_no"))).alias(f"__y_{row}"))
+        marks.append(F.min_by("y", F.when(contains_any(low, labels), F.col("tok_no"))).alias(f"__y_{row}"))
     marks.append(F.min_by("y", F.when(F.contains(low, F.lit("modification")), F.col("tok_no"))).alias("__y_mod"))
-    anchors = tokens.groupBy(IMAGE).agg(*marks)
+    anchors = tokens.withColumn("__low", F.lower("text")).groupBy(IMAGE).agg(*marks)
     names = [c for c in anchors.columns if c != IMAGE]
     digits = strip("text")
     numbers = lookup(tokens.withColumn("__n", to_int(digits)).filter(digits.rlike(r"^\d{1,5}$")), anchors, [IMAGE], names)
@@ -120,11 +127,12 @@ def parse_summary(tokens: DataFrame) -> DataFrame:
 
 def elector_table(tokens: DataFrame) -> DataFrame:
     """The count table of a cover: the first number row under its headers, by nearest header."""
-    flat = F.lower(despace("text"))
+    flat, names = F.col("__flat"), [n for options in fixed.COUNT_HEADS.values() for n in options]
     token = F.struct("x", "y", _height().alias("h"))
-    heads = tokens.groupBy(IMAGE).agg(
-        *[F.min_by(token, F.when(flat.isin(*names), F.struct("y", "tok_no"))).alias(f"__h_{c}")
-          for c, names in fixed.COUNT_HEADS.items()]
+    named = tokens.withColumn("__flat", F.lower(despace("text"))).filter(flat.isin(names))
+    heads = named.groupBy(IMAGE).agg(
+        *[F.min_by(token, F.when(flat.isin(*options), F.struct("y", "tok_no"))).alias(f"__h_{c}")
+          for c, options in fixed.COUNT_HEADS.items()]
     )
     of = lambda f: [F.col(f"__h_{c}")[f] for c in fixed.COUNT_HEADS]
     heads = heads.select(
