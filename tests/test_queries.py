@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from snapledger.queries import ORACLE, QUERIES
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -24,4 +25,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) == set(ORACLE)
