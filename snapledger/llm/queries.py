@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+import public_tokenizers
 
-from snapledger.llm import secret_scan, spans
+from snapledger.llm import packing, pii, secret_scan, spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +34,15 @@ def _span_digest(found: DataFrame, base: tuple[str, ...], kinds: tuple[str, ...]
 def op1_secrets(spark, folder):
     """Secrets in every document."""
     return _span_digest(secret_scan.find_secrets(table(spark, folder, "documents")), secret_scan.BASE_KINDS, secret_scan.KINDS)
+
+
+@query
+def op6_pii(spark, folder):
+    """Personal data in every document."""
+    return _span_digest(pii.find_pii(table(spark, folder, "documents")), pii.BASE_KINDS, pii.KINDS)
+
+
+@query
+def op9_packing(spark, folder):
+    """All documents in sequences of 1024 tokens."""
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
