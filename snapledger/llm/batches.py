@@ -126,3 +126,37 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     counts = np.diff(np.searchsorted(starts, offsets))
     return hash_runs(data, starts, ends), counts
+
+
+class Slots:
+    """An open-addressing table of 64-bit keys other than 0, for whole arrays at once; callers keep their values by slot."""
+
+    def __init__(self, size: int):
+        self.keys = np.zeros(size, np.uint64)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys) >> np.uint64(8)).astype(np.int64) & (len(self.keys) - 1)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, -1 where it isn't kept."""
+        slot, mask = self._home(keys), len(self.keys) - 1
+        kept = self.keys[slot]
+        out = np.where(kept == keys, slot, -1)
+        open_ = np.flatnonzero((kept != keys) & (kept != 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & mask
+            kept = self.keys[slot[open_]]
+            hit = kept == keys[open_]
+            out[open_[hit]] = slot[open_[hit]]
+            open_ = open_[~hit & (kept != 0)]
+        return out
+
+    def insert(self, keys: np.ndarray) -> np.ndarray:
+        """The slots given to distinct keys that aren't kept yet."""
+        slot, open_, mask = self._home(keys), np.arange(len(keys)), len(self.keys) - 1
+        while len(open_):
+            at = slot[open_]
+            self.keys[at] = np.where(self.keys[at] == 0, keys[open_], self.keys[at])
+            open_ = open_[self.keys[at] != keys[open_]]
+            slot[open_] = (slot[open_] + 1) & mask
+        return slot

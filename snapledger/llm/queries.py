@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from snapledger.llm import packing, pii, secret_scan, spans
+from snapledger.llm import language, packing, pii, secret_scan, spans, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +46,15 @@ def op6_pii(spark, folder):
 def op9_packing(spark, folder):
     """All documents in sequences of 1024 tokens."""
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op7_language(spark, folder):
+    """The language of every document."""
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op10_toxicity(spark, folder):
+    """How likely every document is toxic."""
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))

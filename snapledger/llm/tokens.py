@@ -11,7 +11,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from snapledger.llm.batches import _SPACE, hash_runs, utf8
+from snapledger.llm.batches import _SPACE, Slots, hash_runs, utf8
 
 MOST_PIECES = 1 << 20
 
@@ -29,39 +29,17 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.bytes_of[number] = len(token)  # in a byte-level vocabulary each character stands for one byte
-        self.clear()
+        self.clear(4 * MOST_PIECES)
 
-    def clear(self) -> None:
-        self.keys = np.zeros(4 * MOST_PIECES, np.uint64)
-        self.start = np.zeros(4 * MOST_PIECES, np.int32)
-        self.size = np.zeros(4 * MOST_PIECES, np.int32)
+    def clear(self, size: int) -> None:
+        self.slots = Slots(size)
+        self.start, self.size = np.zeros(size, np.int32), np.zeros(size, np.int32)
         self.ids, self.used, self.pieces = np.zeros(1 << 16, np.int32), 0, 0
 
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        """The slot of each hash, -1 where it isn't kept."""
-        mask = len(self.keys) - 1
-        slot = (hashes >> np.uint64(8)).astype(np.int64) & mask
-        out, open_ = np.full(len(hashes), -1, np.int64), np.arange(len(hashes))
-        while len(open_):
-            at = slot[open_]
-            key = self.keys[at]
-            hit = key == hashes[open_]
-            out[open_[hit]] = at[hit]
-            open_ = open_[~hit & (key != 0)]
-            slot[open_] = (slot[open_] + 1) & mask
-        return out
-
     def _insert(self, hashes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         """Distinct hashes that aren't kept yet."""
-        mask = len(self.keys) - 1
-        slot, open_ = (hashes >> np.uint64(8)).astype(np.int64) & mask, np.arange(len(hashes))
-        while len(open_):
-            at = slot[open_]
-            self.keys[at] = np.where(self.keys[at] == 0, hashes[open_], self.keys[at])
-            won = self.keys[at] == hashes[open_]
-            self.start[at[won]], self.size[at[won]] = start[open_[won]], size[open_[won]]
-            open_ = open_[~won]
-            slot[open_] = (slot[open_] + 1) & mask
+        slots = self.slots.insert(hashes)
+        self.start[slots], self.size[slots] = start, size
         self.pieces += len(hashes)
 
     def _keep(self, ids: np.ndarray) -> int:
@@ -100,22 +78,17 @@ class Encoder:
         at = np.flatnonzero(cut)
         starts, ends = at[:-1], at[1:]
         hashes = hash_runs(data, starts, ends) | np.uint64(1)
-        slots = self._find(hashes)
+        slots = self.slots.find(hashes)
         new = np.flatnonzero(slots < 0)
         if len(new):
             _, first = np.unique(hashes[new], return_index=True)
             new = new[np.sort(first)]
-            if self.pieces + len(new) > MOST_PIECES and self.pieces:
-                self.clear()
-                _, first = np.unique(hashes, return_index=True)
-                new = np.sort(first)
-            while 2 * (self.pieces + len(new)) > len(self.keys):  # one text may hold more pieces than are to be kept
-                self.keys, self.start, self.size = (np.zeros(2 * len(self.keys), x.dtype) for x in (self.keys, self.start, self.size))
-                self.ids, self.used, self.pieces = self.ids[:1 << 16], 0, 0
+            if self.pieces and self.pieces + len(new) > MOST_PIECES or 2 * len(new) > len(self.start):
                 _, first = np.unique(hashes, return_index=True)
                 new = np.sort(first)
+                self.clear(max(4 * MOST_PIECES, 1 << (2 * len(new)).bit_length()))  # one text may hold more pieces than are kept
             self._learn(data, starts[new], ends[new], hashes[new])
-            slots = self._find(hashes)
+            slots = self.slots.find(hashes)
         sizes = self.size[slots].astype(np.int64)
         shift = np.repeat(self.start[slots] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
         ids = self.ids[shift + np.arange(len(shift))]
