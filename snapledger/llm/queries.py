@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from snapledger.llm import language, packing, pii, secret_scan, spans, toxicity
+from snapledger.llm import language, license_scan, mixing, packing, pii, secret_scan, spans, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,3 +58,18 @@ def op7_language(spark, folder):
 def op10_toxicity(spark, folder):
     """How likely every document is toxic."""
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op2_licenses(spark, folder):
+    """Licences of every document."""
+    return license_scan.find_licences(table(spark, folder, "documents"))
+
+
+@query
+def op5_mixing(spark, folder):
+    """Words that the mix takes from every document."""
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLE["op5_mixing"] = mixing.SQL
