@@ -6,7 +6,9 @@ TEMPLATES = [
      documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
      to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software""",
      ["permission is hereby granted free of charge"]),
-    ("mit", "Released under the MIT License. Licensed under the MIT License", ["mit license"]),
+    ("mit", "Released under the MIT License", ["mit license"]),
+    ("mit", "Licensed under the MIT License", ["mit license"]),
+    ("apache", "Licensed under the Apache License, Version 2.0", ["apache license version 2 0"]),
     ("apache", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
      compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
      required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
