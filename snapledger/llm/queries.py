@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from snapledger.llm import language, license_scan, mixing, packing, pii, secret_scan, spans, toxicity
+from snapledger.llm import language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +73,12 @@ def op5_mixing(spark, folder):
 
 
 ORACLE["op5_mixing"] = mixing.SQL
+
+
+@query
+def op3_minhash(spark, folder):
+    """Near duplicates among all documents."""
+    return minhash.link_documents(table(spark, folder, "documents"), words=4)
+
+
+ORACLE["op3_minhash"] = minhash.SQL

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from snapledger.llm.batches import Slots, slices, texts_of
 from snapledger.llm.language import held_out
+from snapledger.llm.storage import stored
 
 ORDER, BITS = 6, 10
 DISCOUNT = 0.75
-#: Size of the models: so many sequences of six characters have counts of their own, the most frequent in labelled rows first.
-SEQUENCES = 1 << 20
+#: Size of the models: at most so many sequences of six characters have counts of their own, the most frequent in labelled rows.
+SEQUENCES = 1 << 19
 #: Learn from about so many labelled rows (those whose ids have the smallest hashes), and fit the score on so many left out.
 LABELLED = 200_000
 FITTED = 40_000
@@ -87,6 +88,17 @@ def count_sequences(rows: DataFrame) -> DataFrame:
     return found.groupBy("sequence").agg(*(F.sum(c).alias(c) for c in schema[1:]))
 
 
+def least_count(counts: DataFrame) -> int:
+    """The smallest count in labelled texts that no more than SEQUENCES sequences reach; the sample bounds how many counts differ."""
+    sizes = counts.groupBy((F.col("toxic") + F.col("plain")).alias("n")).agg(F.count("*").alias("sequences")).collect()
+    total = 0
+    for n, sequences_ in sorted(((r["n"], r["sequences"]) for r in sizes), reverse=True):
+        total += sequences_
+        if total > SEQUENCES:
+            return n + 1
+    return 0
+
+
 def models(sequence: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[Slots, np.ndarray, np.ndarray]:
     """Log-likelihood ratios by sequence, and what backing off adds after a sequence, of six, five and four characters.
 
@@ -194,9 +206,9 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     sample = F.broadcast(known.where(near < int(span * min(1.0, LABELLED / total))))
     fold = held_out(F.col("doc_id"), 5, 4)
     classed = rows.join(sample, "doc_id", "left").select("text", F.when(~fold, F.col("toxic")).alias("toxic"))
-    counts = count_sequences(classed).orderBy((F.col("toxic") + F.col("plain")).desc(), F.col("all").desc(), "sequence").limit(SEQUENCES).toPandas()
-    counts = counts.sort_values("sequence")
-    model = context.broadcast(models(*(counts[c].to_numpy() for c in ("sequence", "toxic", "plain"))))
+    counts = stored(count_sequences(classed))
+    kept = counts.where(F.col("toxic") + F.col("plain") >= least_count(counts)).drop("all").toPandas().sort_values("sequence")
+    model = context.broadcast(models(*(kept[c].to_numpy() for c in ("sequence", "toxic", "plain"))))
     names = [f"x{k}" for k in range(2 + len(WINDOWS))]
 
     def measured(batches):
