@@ -89,7 +89,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b").distinct()
 
 
-def _runs(batches, key: list[str]):
+def runs(batches, key: list[str]):
     """Arrow tables of the rows of one key each, from batches that are sorted by it."""
     held: list[pa.RecordBatch] = []
     held_key = None
@@ -135,7 +135,7 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
 def _compare(batches):
     """Pairs (a, b) of different components under one key whose short sets are nearly as similar as is asked; a margin of 1 %."""
     gathered: list[np.ndarray] = []
-    for table in _runs(batches, ["key", "low", "high"]):
+    for table in runs(batches, ["key", "low", "high"]):
         if table.num_rows < 2:
             continue
         table = table.combine_chunks()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from snapledger.llm import fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, toxicity
+from snapledger.llm import embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +88,12 @@ ORACLE["op3_minhash"] = minhash.SQL
 def op4_fingerprints(spark, folder):
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint.fingerprint_documents(table(spark, folder, "documents"))
+
+
+@query
+def op8_embeddings(spark, folder):
+    """Near duplicates among all embeddings."""
+    return embeddings.link_embeddings(table(spark, folder, "embeddings"))
+
+
+ORACLE["op8_embeddings"] = embeddings.SQL
