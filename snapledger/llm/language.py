@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.batches import mix, slices, texts_of
+from snapledger.llm.batches import mix, slices
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -113,7 +113,7 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     def predict(batches):
         for batch in batches:
             for part in slices(batch, SLICE):
-                texts = part.column(1).to_pylist()
+                texts = [t or "" for t in part.column(1).to_pylist()]
                 lettered = np.array([bool(_LETTER.search(t)) for t in texts])
                 names, best = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 if langs and lettered.any():
@@ -124,9 +124,10 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
                     best[own] = 1 / odds.sum(axis=1)
                     for k, lang in zip(own.tolist(), top.tolist(), strict=True):
                         names[k] = langs[lang]
-                yield pa.record_batch([part.column(0), pa.array(names, pa.string()), pa.array(best), *part.columns[2:]], ["doc_id", "lang_pred", "score", *keep])
+                yield pa.record_batch([part.column(0), pa.array(names, pa.string()), pa.array(best), *(part.column(k) for k in places)], ["doc_id", "lang_pred", "score", *keep])
 
-    rows = texts_of(df, id_col, text_col) if not keep else df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep)
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"), *(F.col(c).alias(f"kept{k}") for k, c in enumerate(keep) if c != text_col))
+    places = [rows.columns.index("body" if c == text_col else f"kept{k}") for k, c in enumerate(keep)]
     types = "".join(f", `{name}` {kind}" for name, kind in df.select(*keep).dtypes)
     found = rows.mapInArrow(predict, f"doc_id long, lang_pred string, score double{types}")
     return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", *keep)
