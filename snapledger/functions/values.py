@@ -147,9 +147,9 @@ def gender_in(line: Column | str) -> Column:
 
 
 def lifecycle(status: Column | str, reason_code: Column | str) -> Column:
-    """Status of an entry as a life event; a deletion without a known reason is just 'removed'."""
+    """Status of an entry as a life event; a deletion without a known reason is just 'removed', none is active."""
     status, reason_code = as_col(status), as_col(reason_code)
-    out = F.when(status != "deleted", "active")
+    out = F.when(F.coalesce(status, F.lit("active")) != "deleted", "active")
     for code, meaning in fixed.LIFECYCLE.items():
         out = out.when(reason_code == code, meaning)
     return out.otherwise("removed")

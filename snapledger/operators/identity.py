@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,8 +156,10 @@ def similar_names(
     Works on distinct (block, name) pairs, so copies cost nothing. Two sets that reach the
     threshold must share one of the rarest ``n - ceil(t * n) + 1`` trigrams of each (prefix
     filter), so only names that share a rare trigram and are near in size are ever compared;
-    the filter loses no match. Ties go to the smaller name.
+    the filter loses no match. Ties go to the smaller name. A score counts as rounded to 3 places;
+    all is decided on integers, by the least fraction that is rounded up to the threshold.
     """
+    least, scale = max(1, 2 * ceil(Fraction(str(threshold)) * 1000) - 1), 2000
     keys = [*block, name]
     lefts = left.select(*keys).filter(F.col(name).isNotNull()).distinct()
     rights = right.select(*keys).filter(F.col(name).isNotNull()).distinct()
@@ -165,7 +169,7 @@ def similar_names(
     ranked = grams.join(frequency, [*block, "__g"]).groupBy(*keys, "__n").agg(
         F.array_sort(F.collect_list(F.struct("__df", "__g"))).alias("__all")  # bounded by one name's length
     )
-    keep = F.col("__n") - F.ceil(F.col("__n") * F.lit(threshold)).cast("int") + 1
+    keep = F.col("__n") - F.floor((F.col("__n") * least + scale - 1) / scale).cast("int") + 1
     sets = ranked.select(
         *keys, "__n", F.transform("__all", lambda s: s["__g"]).alias("__set"),
         F.transform(F.slice("__all", F.lit(1), keep), lambda s: s["__g"]).alias("__prefix"),
@@ -173,17 +177,22 @@ def similar_names(
 
     def side(names: DataFrame, tag: str) -> DataFrame:
         return sets.join(names, keys, "left_semi").select(
-            *block, F.col(name).alias(f"__{tag}"), F.col("__n").alias(f"__{tag}_n"),
-            F.col("__set").alias(f"__{tag}_set"), F.explode("__prefix").alias("__g"),
+            *block, F.col(name).alias(f"__{tag}"), F.col("__n").alias(f"__{tag}_n"), F.explode("__prefix").alias("__g")
         )
 
-    near = (F.col("__l_n") >= F.col("__r_n") * threshold) & (F.col("__r_n") >= F.col("__l_n") * threshold)
-    pairs = side(lefts, "l").join(side(rights, "r"), [*block, "__g"]).filter(near)
+    def full(tag: str) -> DataFrame:
+        return sets.select(*block, F.col(name).alias(f"__{tag}"), F.col("__set").alias(f"__{tag}_set"))
+
+    near = (F.col("__l_n") * scale >= F.col("__r_n") * least) & (F.col("__r_n") * scale >= F.col("__l_n") * least)
+    pairs = side(lefts, "l").join(side(rights, "r"), [*block, "__g"]).filter(near).drop("__g").distinct()
+    pairs = pairs.join(full("l"), [*block, "__l"]).join(full("r"), [*block, "__r"])
     common = F.size(F.array_intersect("__l_set", "__r_set"))
-    jaccard = F.round(common / (F.col("__l_n") + F.col("__r_n") - common), 3)
-    scored = pairs.select(*block, F.col("__l").alias(name), F.col("__r").alias("matched_name"), jaccard.alias("score"))
+    union = F.col("__l_n") + F.col("__r_n") - common
+    scored = pairs.filter(common * scale >= union * least).select(
+        *block, F.col("__l").alias(name), F.col("__r").alias("matched_name"), F.round(common / union, 3).alias("score")
+    )
     return first_by(
-        scored.filter(F.col("score") >= threshold), keys, [F.col("score").desc(), F.col("matched_name").asc()]
+        scored, keys, [F.col("score").desc(), F.col("matched_name").asc()]
     )
 
 

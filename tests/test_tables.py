@@ -114,7 +114,8 @@ def test_current_status_orders_unpublished_last(spark):
     assert (r.latest_roll_id, r.name, r.lifecycle_status) == ("r2", "b", "shifted_out")
 
 
-def test_similar_names_lose_no_match(spark):
+@pytest.mark.parametrize("threshold", [0.2, 0.333, 0.5, 0.55, 0.667, 1.0])
+def test_similar_names_lose_no_match(spark, threshold):
     """Prefix-filtered best matches equal comparing every pair, on a small fixture."""
     rnd = random.Random(1)
     name = lambda: "".join(rnd.choice("abc") for _ in range(rnd.randrange(3, 8)))
@@ -124,11 +125,11 @@ def test_similar_names_lose_no_match(spark):
     want = {}
     for b, n in set(left):
         scored = [(-round(len(grams(n) & grams(m)) / len(grams(n) | grams(m)) + 1e-12, 3), m) for c, m in set(right) if c == b]
-        scored = [s for s in scored if -s[0] >= 0.5]
+        scored = [s for s in scored if -s[0] >= threshold]
         if scored:
             want[b, n] = min(scored)[1]
     df = lambda data: spark.createDataFrame(data, "b string, n string")
-    got = {(r.b, r.n): r.matched_name for r in identity.similar_names(df(left), df(right), ["b"], "n", 0.5).collect()}
+    got = {(r.b, r.n): r.matched_name for r in identity.similar_names(df(left), df(right), ["b"], "n", threshold).collect()}
     assert got == want
 
 
