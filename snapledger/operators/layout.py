@@ -26,12 +26,12 @@ def y_block(y: str = "y", height: float = ROWS_PER_BLOCK) -> Column:
 
 
 def columns_of(tokens: DataFrame, parts: int = 3) -> DataFrame:
-    """Tokens with ``col`` (0-based equal columns of the image width), ``cw`` and ``x0``."""
+    """Tokens with ``col`` (0-based equal columns of the image width; the last where there is no width), ``cw`` and ``x0``."""
     sized = attach(tokens, [IMAGE], __width=F.max("x2"))
     cw = F.col("__width") / parts
     return (
         sized.withColumn("cw", cw)
-        .withColumn("col", F.least(F.lit(parts - 1), F.floor(F.col("x") / F.col("cw")).cast("int")))
+        .withColumn("col", F.least(F.lit(parts - 1), F.floor(F.try_divide("x", "cw")).cast("int")))
         .withColumn("x0", F.col("col") * F.col("cw"))
         .drop("__width")
     )
@@ -325,7 +325,7 @@ def parse_script_cards(tokens: DataFrame, latin: str = "latin", script: str = "s
     width = tokens.filter(F.col("engine") == latin).groupBy(IMAGE).agg((F.max("x2") / 3).alias("cw"))
     native = lookup(tokens.filter(F.col("engine") == script), width, [IMAGE], ["cw"])
     native = native.filter("cw is not null").withColumn(
-        "col", F.least(F.lit(2), F.floor(F.col("x") / F.col("cw")).cast("int"))
+        "col", F.least(F.lit(2), F.floor(F.try_divide("x", "cw")).cast("int"))
     ).withColumn("x0", F.col("col") * F.col("cw"))
     lines = tokens_in_cards(native, cards, fixed.SCRIPT_TEXT_SIDE)
     order = F.struct("y", "tok_no")

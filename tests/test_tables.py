@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from snapledger.operators import consensus, identity, lineage, manifest, merge, quality, resolve
+from snapledger.functions import values
+from snapledger.operators import consensus, identity, layout, lineage, manifest, merge, quality, resolve
 from snapledger.plans import constraints
 
 
@@ -230,3 +231,14 @@ def test_checkpoints_votes_and_holdout(spark):
     assert len(picked) == 10 and max(picked) < 50 and picked.isdisjoint(r.k for r in train.collect()) and train.count() == 90
     s = spark.createDataFrame([(1, None, None, None), (2, "no_stamp_exclude", False, False), (3, "x", True, None)], "i int, flag string, uncertain boolean, review boolean")
     assert sorted(r.i for r in consensus.trainable(s).collect()) == [1, 3] and [r.i for r in consensus.clean(consensus.trainable(s)).collect()] == [1]
+
+
+def test_an_image_without_width_ends_no_job(spark):
+    tokens = spark.createDataFrame([("i", 1, 0.0, 0.0, 0.0, "x"), ("j", 1, 5.0, 9.0, 0.0, "y")], "image_id string, tok_no int, x double, x2 double, y double, text string")
+    got = {r[layout.IMAGE]: r["col"] for r in layout.columns_of(tokens.withColumnRenamed("image_id", layout.IMAGE)).collect()}
+    assert got == {"i": 2, "j": 1}
+
+
+def test_a_null_status_is_active(spark):
+    got = spark.createDataFrame([(None, None), ("deleted", None), ("kept", None)], "s string, r string").select(values.lifecycle("s", "r")).collect()
+    assert [r[0] for r in got] == ["active", "removed", "active"]
