@@ -90,4 +90,4 @@ def append_events(events: DataFrame, root: str, batch: int) -> None:
 
 
 def read_events(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/job_events").drop("batch")
+    return sinks.read_table(spark, root, "job_events", schemas.JOB_EVENTS).drop("batch")

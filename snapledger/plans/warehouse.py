@@ -100,10 +100,7 @@ def load(
     linked = cut(resolve.supplement_link(result.electors, flagged))
     listed = geography(docs)
     place = ["state_cd", "ac_no", "part_no"]
-    known = listed["section"].select(*place, "section_no")
-    began = sinks.exists(spark, f"{root}/{sinks.COMMITS}")
-    if began:
-        known = known.unionByName(sinks.read_rows(spark, root, "section", batch).select(*place, "section_no"))
+    known = listed["section"].unionByName(sinks.read_rows(spark, root, "section", batch)).select(*place, "section_no")
     known = known.distinct().withColumn("__known", F.lit(True))
     linked = lookup(lookup(linked, area, ["roll_id"], place), known, [*place, "section_no"], ["__known"])
     electors = cut(linked.select(
@@ -113,18 +110,16 @@ def load(
         F.coalesce("status", F.lit("active")).alias("entry_status"), "deletion_reason_code",
         F.col("linked_supplement_no").alias("supplement_no"), "source_page", "confidence", "flags",
     ))
+    read = linked.filter("linked_supplement_no is not null").select("roll_id", F.col("linked_supplement_no").alias("supplement_no")).distinct()
+    # a change that only the totals tell of is of supplement 1
+    unread = flagged.filter("has_supplement").join(read, "roll_id", "left_anti").select("roll_id", F.lit(1).alias("supplement_no"))
     supplements = lookup(
-        linked.filter("linked_supplement_no is not null").select("roll_id", F.col("linked_supplement_no").alias("supplement_no"))
-        .unionByName(flagged.filter("has_supplement").select("roll_id", F.lit(1).alias("supplement_no"))).distinct(),
-        docs.withColumnRenamed("c_type_of_revision", "type_of_revision"), ["roll_id"], ["type_of_revision"],
+        read.unionByName(unread), docs.withColumnRenamed("c_type_of_revision", "type_of_revision"), ["roll_id"], ["type_of_revision"],
     )
     counts = ["starting_serial_no", "ending_serial_no", "net_male", "net_female", "net_third_gender", "net_total"]
     # the sequence of a document is its batch, then its id: what tier-1 identity calls "first"
     seen = electors.withColumn("ingest_seq", F.struct(F.lit(batch).alias("batch"), F.col("roll_id").alias("roll")))
-    registry = "person_id string, epic_no string, first_roll_id string"
-    earlier = spark.createDataFrame([], registry)
-    if began:
-        earlier = sinks.read_rows(spark, root, "person_epic", batch).select("person_id", "epic_no", "first_roll_id")
+    earlier = sinks.read_rows(spark, root, "person_epic", batch)
     persons = cut(identity.new_keys(seen, earlier))
     fresh = persons.drop("canonical_name")
     sinks.write_batch(

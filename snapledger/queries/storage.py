@@ -27,32 +27,24 @@ def committed_snapshot(spark, sf_dir):
     sinks.write_batch(root, 1, o, {"roll": o.withColumn("v", F.lit("first"))}, {})
     sinks.write_batch(root, 2, again, {"roll": again.withColumn("v", F.lit("second"))}, {})
     sinks.write_table(again.withColumn("v", F.lit("lost")), root, "roll", 3, sinks.AREA)
-    return sinks.read_facts(spark, root, "roll").select("roll_id", "state_cd", "ac_no", "v")
+    return sinks.read_facts(spark, root, "roll", "roll_id bigint, state_cd string, ac_no int, v string")
 
 
 @query(
     "result_documents",
     """
-    with c as (select o_orderkey, cast((l_linenumber - 1) // 3 as integer) as ch, l_linenumber, l_quantity
-               from orders left join lineitem on l_orderkey = o_orderkey),
-    f as (select *, min(ch) over (partition by o_orderkey) as first_ch from c)
-    select o_orderkey as roll_id, cast(coalesce(ch - first_ch, 0) as integer) as chunk, count(l_linenumber) as n,
-      cast(min(l_linenumber) as integer) as first_serial, coalesce(ch = first_ch, true) as has_context
-    from f group by o_orderkey, ch, first_ch
+    select o_orderkey as roll_id, 'roll' as line, cast(null as integer) as serial_no, o_orderpriority as language_code,
+      cast(o_totalprice as double) as net_total, o_orderstatus = 'O' as reconciles, null as l_partkey from orders
+    union all
+    select l_orderkey, 'elector', l_linenumber, null, null, null, l_partkey from lineitem
     """,
 )
 def result_documents(spark, sf_dir):
     t = Tables(spark, sf_dir)
     key = F.col("o_orderkey").alias("roll_id")
     context = t.orders.select(key, F.col("o_orderpriority").alias("language_code"))
-    summary = t.orders.select(key, F.col("o_totalprice").alias("net_total"))
+    summary = t.orders.select(key, F.col("o_totalprice").cast("double").alias("net_total"))
     recon = t.orders.select(key, (F.col("o_orderstatus") == "O").alias("reconciles"))
-    electors = t.lineitem.select(
-        F.col("l_orderkey").alias("roll_id"), F.col("l_linenumber").alias("serial_no"), "l_partkey", "l_quantity"
-    )
-    docs = sinks.result_documents(context, summary, recon, electors, per_document=3)
-    return docs.select(
-        "roll_id", "chunk", F.size("electors").cast("bigint").alias("n"),
-        F.get(F.col("electors"), F.lit(0))["serial_no"].alias("first_serial"),
-        (F.col("context").isNotNull() & F.col("recon").isNotNull()).alias("has_context"),
-    )
+    electors = t.lineitem.select(F.col("l_orderkey").alias("roll_id"), F.col("l_linenumber").cast("int").alias("serial_no"), "l_partkey")
+    docs = sinks.result_documents(context, summary, recon, electors)
+    return docs.select("roll_id", "line", "serial_no", "context.language_code", "summary.net_total", "recon.reconciles", "elector.l_partkey")

@@ -8,8 +8,6 @@ CARD_FIELDS = (
 
 STRIP_PAYLOAD = f"section_header string, cards array<struct<{CARD_FIELDS}>>"
 
-STRIPS = f"roll_id string, page int, band string, failed boolean, {STRIP_PAYLOAD}"
-
 TOKENS = (
     "image_id string, tok_no int, engine string, x double, y double, x2 double, y2 double, "
     "text string, conf double"
@@ -20,10 +18,6 @@ SUMMARY_PAYLOAD = (
     "deletions_total int, num_modifications int"
 )
 
-SUMMARY = f"roll_id string, {SUMMARY_PAYLOAD}, ending_serial_no int"
-
-SUMMARY_ROW = "roll_id string, row_ordinal string, male int, female int, third_gender int, total int"
-
 COVER_PAYLOAD = (
     "state_name string, year_of_revision int, qualifying_date string, type_of_revision string, "
     "date_of_publication string, date_of_updation string, roll_identification string, ac_no int, "
@@ -36,36 +30,6 @@ COVER_PAYLOAD = (
     "net_third_gender int, net_total int"
 )
 
-COVER = f"roll_id string, {COVER_PAYLOAD}"
-
-CONTEXT = (
-    "roll_id string, language_code string, state_cd string, ac_no int, part_no int, "
-    "roll_type string, source_pdf_filename string, source_pdf_sha256 string"
-)
-
-ROLL = (
-    "roll_id string, part_id string, era_name string, year_of_revision int, qualifying_date date, "
-    "date_of_publication date, roll_type string, revision_no int, language_code string, "
-    "source_pdf_sha256 string, ingest_seq bigint"
-)
-
-ELECTOR = (
-    "roll_id string, section_no int, serial_no int, epic_no string, full_name string, "
-    "relation_type string, relation_name string, house_number string, age int, gender string, "
-    "entry_status string, deletion_reason_code string, supplement_no int"
-)
-
-PERSON = "person_id string, epic_no string, canonical_name string"
-PERSON_KEY = "person_id string, epic_no string, first_roll_id string"
-PLACEMENT = (
-    "person_id string, roll_id string, serial_no int, match_method string, "
-    "match_confidence decimal(4,3)"
-)
-ERA = "era_name string, effective_from date, effective_to date"
-LINEAGE = (
-    "predecessor_ac_id string, successor_ac_id string, change_type string, effective_era string"
-)
-
 JOB_KEY = ("state_cd", "ac_no", "year", "roll_type", "language", "part_no")
 JOB_EVENTS = (
     "seq bigint, ts timestamp, state_cd string, ac_no int, year int, roll_type string, "
@@ -73,9 +37,45 @@ JOB_EVENTS = (
     "reconciles boolean, elector_count int, archive_uri string"
 )
 
-READ_FIELDS = ("name", "relation_type", "relation_name", "house_number", "age", "gender")
-READS = "card_id string, reader string, " + ", ".join(f"{f} string" for f in READ_FIELDS)
 SAMPLES = (
     "crop string, flag string, uncertain boolean, review boolean, name string, "
     "relation_type string, relation_name string, house_number string, age int, gender string"
 )
+
+_PART = "state_cd string, ac_no int, part_no int"
+#: The tables that a load writes; each also has the number of its batch.
+WAREHOUSE = {
+    "state": "roll_id string, state_cd string, state_name string",
+    "district": "roll_id string, state_cd string, district_name string",
+    "parliamentary_constituency": "roll_id string, state_cd string, pc_no int, pc_name string",
+    "assembly_constituency": (
+        "roll_id string, state_cd string, ac_no int, ac_name string, district_name string, pc_no int, reservation_status string"
+    ),
+    "part": (
+        f"roll_id string, {_PART}, main_town_or_village string, post_office string, police_station string, "
+        "tehsil_mandal string, block string, taluk string, pin_code string, polling_station_no int, "
+        "polling_station_name string, polling_station_address string, polling_station_type string, num_auxiliary_stations int"
+    ),
+    "section": f"roll_id string, {_PART}, section_no int, section_name string",
+    "roll": (
+        f"roll_id string, {_PART}, part_id string, era_name string, year_of_revision int, qualifying_date date, "
+        "type_of_revision string, date_of_publication date, date_of_updation date, roll_identification string, "
+        "roll_type string, revision_no int, language_code string, source_pdf_filename string, source_pdf_sha256 string"
+    ),
+    "elector": (
+        f"roll_id string, {_PART}, section_no int, serial_no int, epic_no string, full_name string, relation_type string, "
+        "relation_name string, house_number string, age int, gender string, photo_present boolean, entry_status string, "
+        "deletion_reason_code string, supplement_no int, source_page int, confidence double, flags array<string>"
+    ),
+    "supplement": "roll_id string, supplement_no int, type_of_revision string",
+    "summary": f"roll_id string, {SUMMARY_PAYLOAD}, ending_serial_no int",
+    "cover_count": (
+        "roll_id string, starting_serial_no int, ending_serial_no int, net_male int, net_female int, "
+        "net_third_gender int, net_total int"
+    ),
+    "person": "person_id string, epic_no string, canonical_name string",
+    "person_epic": "person_id string, epic_no string, first_roll_id string",
+    "placement": (
+        "person_id string, roll_id string, serial_no int, match_method string, match_confidence decimal(4,3)"
+    ),
+}

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapledger import schemas
 from snapledger.operators.groupwise import lookup
 from snapledger.operators.merge import upsert
 
@@ -19,46 +21,64 @@ AREA = ("state_cd", "ac_no")
 COMMITS = "_commits"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def write_table(df: DataFrame, root: str, table: str, batch: int, partition: Sequence[str] = ()) -> None:
-    """Rows of one batch. Rebalancing gives files of even size and splits a huge partition."""
-    cols = ["batch", *partition]
-    rows = df.withColumn("batch", F.lit(batch))
+    """The rows of one batch, in place of all that the batch held before, also if there are none now.
+
+    Rebalancing gives files of even size and splits a huge partition.
+    """
     (
-        rows.hint("rebalance", *cols)
+        df.hint("rebalance", *partition)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*cols)
-        .parquet(f"{root}/{table}")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partition)
+        .parquet(f"{root}/{table}/batch={batch}")
     )
 
 
 def write_batch(root: str, batch: int, rolls: DataFrame, facts: dict[str, DataFrame], plain: dict[str, DataFrame]) -> None:
-    """All tables of a batch, then its commit. ``facts`` are laid out by area."""
+    """All tables of a batch, then its commit. ``facts`` are laid out by area.
+
+    A replay withdraws the batch's commit first, so that no reader sees it half replaced.
+    """
+    done = rolls.select("roll_id").distinct()
+    write_table(done.limit(0), root, COMMITS, batch)
     for table, df in facts.items():
         write_table(df, root, table, batch, AREA)
     for table, df in plain.items():
         write_table(df, root, table, batch)
-    write_table(rolls.select("roll_id").distinct(), root, COMMITS, batch)
+    write_table(done, root, COMMITS, batch)
 
 
-def committed(spark: SparkSession, root: str) -> DataFrame:
-    """(roll_id, batch): the last committed batch of every document."""
-    return spark.read.parquet(f"{root}/{COMMITS}").groupBy("roll_id").agg(F.max("batch").alias("batch"))
+def read_table(spark: SparkSession, root: str, table: str, schema: str | None = None) -> DataFrame:
+    """All rows of a table with their ``batch``, committed or not; a table that was never written has none.
 
+    ``schema``: the declared one of the warehouse unless given, so that empty tables and partition values keep their types.
+    """
+    declared = f"{schema or schemas.WAREHOUSE[table]}, batch int"
+    try:
+        found = spark.read.schema(declared).parquet(f"{root}/{table}")
+        return found.select(*found.columns)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], declared)
+
+
+def commits(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
+    """(roll_id, batch) of all commits, ``roll_id`` typed as in ``like``."""
+    return read_table(spark, root, COMMITS, f"roll_id {like.schema['roll_id'].dataType.simpleString()}")
 
-def read_facts(spark: SparkSession, root: str, table: str) -> DataFrame:
+
+def read_facts(spark: SparkSession, root: str, table: str, schema: str | None = None) -> DataFrame:
     """Rows of committed documents, each from its last batch; area filters prune folders."""
-    return spark.read.parquet(f"{root}/{table}").join(committed(spark, root), ["roll_id", "batch"], "left_semi").drop("batch")
+    rows = read_table(spark, root, table, schema)
+    last = commits(spark, root, rows).groupBy("roll_id").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["roll_id", "batch"], "left_semi").drop("batch")
 
 
 def read_rows(spark: SparkSession, root: str, table: str, before: int | None = None) -> DataFrame:
     """Rows of all committed batches (of those before ``before``, for a load that may be a replay)."""
-    batches, rows = spark.read.parquet(f"{root}/{COMMITS}"), spark.read.parquet(f"{root}/{table}")
+    batches, rows = read_table(spark, root, COMMITS, "roll_id string"), read_table(spark, root, table)
     if before is not None:
         batches, rows = batches.filter(F.col("batch") < before), rows.filter(F.col("batch") < before)
     return rows.join(batches.select("batch").distinct(), "batch", "left_semi").drop("batch")
@@ -85,42 +105,29 @@ DIMENSIONS: dict[str, tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]]
 def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A dimension folded from all committed batches under its column policy."""
     keys, last, first = DIMENSIONS[table]
-    rows = spark.read.parquet(f"{root}/{table}")
-    done = spark.read.parquet(f"{root}/{COMMITS}").select("roll_id", "batch")
-    rows = rows.join(done, ["roll_id", "batch"], "left_semi")
+    rows = read_table(spark, root, table)
+    rows = rows.join(commits(spark, root, rows), ["roll_id", "batch"], "left_semi")
     if not last and not first:
         return rows.select(*keys).distinct()
     return upsert(rows, keys, F.struct("batch", "roll_id"), last=last, first=first)
 
 
-def result_documents(
-    context: DataFrame, summary: DataFrame, recon: DataFrame, electors: DataFrame, per_document: int = 10_000
-) -> DataFrame:
-    """One JSON document per roll: context, summary, recon and its electors in serial order.
+def result_documents(context: DataFrame, summary: DataFrame, recon: DataFrame, electors: DataFrame) -> DataFrame:
+    """The lines of each roll's document, alike for rolls of any size.
 
-    A roll of more than ``per_document`` electors continues in further documents (``chunk``
-    1, 2, ...), cut by serial number, so that no task ever holds a whole huge roll.
+    One line ``roll`` with context, summary and recon, and one line ``elector`` for each elector; so no task holds a whole roll.
     """
-    keys = ["roll_id"]
     struct = lambda df: F.struct(*[c for c in df.columns if c != "roll_id"])
-    chunked = electors.withColumn("chunk", F.floor((F.col("serial_no") - 1) / per_document).cast("int"))
+    heads = context.select("roll_id", F.lit("roll").alias("line"), F.lit(None).cast(electors.schema["serial_no"].dataType).alias("serial_no"),
+                           struct(context).alias("context"))
+    heads = lookup(heads, summary.select("roll_id", struct(summary).alias("summary")), ["roll_id"], ["summary"])
+    heads = lookup(heads, recon.select("roll_id", struct(recon).alias("recon")), ["roll_id"], ["recon"])
     cards = [c for c in electors.columns if c not in ("roll_id", "serial_no")]
-    chunks = chunked.groupBy("roll_id", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("serial_no", *cards))).alias("electors")
-    )
-    first = chunked.groupBy("roll_id").agg(F.min("chunk").alias("__first"))
-    heads = context.select("roll_id", struct(context).alias("context"))
-    heads = lookup(heads, summary.select("roll_id", struct(summary).alias("summary")), keys, ["summary"])
-    heads = lookup(heads, recon.select("roll_id", struct(recon).alias("recon")), keys, ["recon"])
-    heads = lookup(heads, first, keys, ["__first"])
-    out = heads.withColumn("__first", F.coalesce("__first", F.lit(0))).join(chunks, "roll_id", "left")
-    leads = F.coalesce("chunk", F.lit(0)) == F.col("__first")
-    return out.select(
-        "roll_id", (F.coalesce("chunk", F.lit(0)) - F.col("__first")).alias("chunk"),
-        *[F.when(leads, F.col(c)).alias(c) for c in ("context", "summary", "recon")],
-        F.coalesce("electors", F.array().cast(chunks.schema["electors"].dataType)).alias("electors"),
-    )
+    lines = electors.select("roll_id", F.lit("elector").alias("line"), "serial_no", F.struct(*cards).alias("elector"))
+    return heads.unionByName(lines, allowMissingColumns=True)
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    documents.write.mode("overwrite").json(path)
+    """JSON lines in the order of rolls, each roll's own line first, then its electors by serial; a huge roll spans files."""
+    order = [F.col("roll_id"), F.col("line").desc(), F.col("serial_no").asc_nulls_last()]
+    documents.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").json(path)

@@ -13,9 +13,9 @@ from snapledger.operators.manifest import latest_state
 from snapledger.session import cut
 
 
-def read_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, folder: str, schema, files_per_batch: int | None = None) -> DataFrame:
     """Parquet files of a folder as a stream; the checkpoint remembers which were read."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)

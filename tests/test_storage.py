@@ -112,24 +112,56 @@ def test_state_run(spark, tmp_path, rows):
 def test_uncommitted_rows_are_invisible(spark, tmp_path):
     root = str(tmp_path / "w")
     df = spark.createDataFrame([("r1", "S01", 1, 5)], "roll_id string, state_cd string, ac_no int, v int")
+    shape = "roll_id string, state_cd string, ac_no int, v int"
+    got = lambda: [r.v for r in sinks.read_facts(spark, root, "f", shape).collect()]
+    assert got() == []                                                            # never written
     sinks.write_batch(root, 1, df, {"f": df}, {})
     sinks.write_table(df.withColumn("v", F.lit(9)), root, "f", 2, sinks.AREA)     # a load that died before its commit
-    assert [r.v for r in sinks.read_facts(spark, root, "f").collect()] == [5]
+    assert got() == [5]
     sinks.write_batch(root, 2, df, {"f": df.withColumn("v", F.lit(6))}, {})
-    assert [r.v for r in sinks.read_facts(spark, root, "f").collect()] == [6]
+    assert got() == [6]
+
+
+def test_a_replay_leaves_none_of_its_earlier_rows(spark, tmp_path):
+    root, shape = str(tmp_path / "w"), "roll_id string, state_cd string, ac_no int, v int"
+    df = spark.createDataFrame([("r1", "01", 1, 5), ("r1", "02", 1, 6), ("r2", None, 1, 7)], shape)
+    got = lambda: sorted((r.roll_id, r.state_cd, r.v) for r in sinks.read_facts(spark, root, "f", shape).collect())
+    sinks.write_batch(root, 1, df, {"f": df}, {})
+    assert got() == [("r1", "01", 5), ("r1", "02", 6), ("r2", None, 7)]
+    sinks.write_batch(root, 1, df, {"f": df.filter("state_cd = '01'")}, {})
+    assert got() == [("r1", "01", 5)]
+    sinks.write_batch(root, 1, df, {"f": df.limit(0)}, {})
+    assert got() == []
+
+
+def test_an_empty_first_batch_blocks_no_later_one(spark, tmp_path):
+    root = str(tmp_path / "w")
+    wrong = [fx.good_summary("r1", net_male=9)]
+    run(spark, root, 1, ("r1",), wrong, require_reconcile=True)
+    for table in schemas.WAREHOUSE:
+        assert sinks.read_table(spark, root, table).count() == 0
+    run(spark, root, 2, ("r1",), [fx.good_summary("r1")], require_reconcile=True)
+    assert sinks.read_facts(spark, root, "elector").count() == 8
+
+
+def test_declared_schemas_are_those_written(spark, tmp_path):
+    root = str(tmp_path / "w")
+    run(spark, root, 1, ("r1",), [fx.good_summary("r1")])
+    kinds = lambda df: {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for table in schemas.WAREHOUSE:
+        assert kinds(spark.read.parquet(f"{root}/{table}")) == kinds(sinks.read_table(spark, root, table)), table
 
 
 def test_documents(spark, tmp_path):
     payloads = spark.createDataFrame(fx.good_roll("r1"), fx.PAYLOADS)
     context = spark.createDataFrame([("r1", "S01"), ("r0", "S01")], "roll_id string, state_cd string")
     b = rolls.run_rolls(context, payloads, spark.createDataFrame([fx.good_summary("r1")], fx.SUMMARY))
-    docs = sinks.result_documents(b.context, b.summary, b.recon, b.electors, per_document=3)
-    got = {(r.roll_id, r.chunk): r for r in docs.collect()}
-    assert sorted(got) == [("r0", 0), ("r1", 0), ("r1", 1), ("r1", 2)]
-    assert [e.serial_no for c in range(3) for e in got["r1", c].electors] == list(range(1, 9))
-    assert got["r1", 0].recon.reconciles and got["r1", 1].recon is None and got["r0", 0].electors == []
+    docs = sinks.result_documents(b.context, b.summary, b.recon, b.electors)
+    got = {(r.roll_id, r.line, r.serial_no): r for r in docs.collect()}
+    assert sorted(k for k in got if k[1] == "elector") == [("r1", "elector", n) for n in range(1, 9)]
+    assert got["r1", "roll", None].recon.reconciles and got["r1", "elector", 1].recon is None and got["r0", "roll", None].elector is None
     sinks.write_documents(docs, str(tmp_path / "d"))
-    assert spark.read.json(str(tmp_path / "d")).count() == 4
+    assert spark.read.json(str(tmp_path / "d")).count() == 10
 
 
 def test_stream_state_equals_batch(spark, tmp_path, rows):
