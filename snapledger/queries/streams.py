@@ -21,7 +21,7 @@ def _folder(spark):
 )
 def stream_latest(spark, sf_dir):
     schema = Tables(spark, sf_dir).events.schema
-    events = stream.read_stream(spark, sf_dir, schema, "events.parquet").select(
+    events = stream.read_stream(spark, f"{sf_dir}/events.parquet", schema).select(
         "user_id", "ts", "event_id", *[F.expr(v).alias(k) for k, v in ledger.STAMPS.items()]
     )
     out = _folder(spark)
@@ -43,7 +43,7 @@ def stream_latest(spark, sf_dir):
 def stream_identity(spark, sf_dir):
     t = Tables(spark, sf_dir)
     rolls = t.orders.select(F.col("o_orderkey").alias("roll_id"), F.col("o_orderdate").alias("ingest_seq"))
-    lines = stream.read_stream(spark, sf_dir, t.lineitem.schema, "lineitem.parquet")
+    lines = stream.read_stream(spark, f"{sf_dir}/lineitem.parquet", t.lineitem.schema)
     entries = lines.select(
         F.col("l_orderkey").alias("roll_id"), F.col("l_linenumber").alias("serial_no"),
         F.expr(persons.KEY).alias("epic_no"), F.expr(persons.NAME).alias("full_name"),

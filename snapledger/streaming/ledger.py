@@ -11,14 +11,19 @@ from snapledger.operators import identity
 from snapledger.operators.groupwise import first_by
 from snapledger.operators.manifest import latest_state
 from snapledger.session import cut
+from snapledger.sources import sinks
 
 
-def read_stream(spark: SparkSession, folder: str, schema, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream; the checkpoint remembers which were read."""
+def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """A parquet file, or the parquet files of a folder, as a stream; the checkpoint remembers which were read.
+
+    Only a pattern may match a single file as well as a folder, so the path is given as one.
+    """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _write_batch(df: DataFrame, folder: str, batch: int) -> None:
@@ -61,14 +66,6 @@ def count_attempts(
     return unique.groupBy(*keys).agg(F.count_if(is_attempt).alias("attempts"))
 
 
-def _earlier(spark: SparkSession, folder: str, batch: int, schema: str) -> DataFrame:
-    """What the batches before this one wrote (a replay must not see its own output)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema + ", batch int").parquet(folder).filter(F.col("batch") < batch).drop("batch")
-
-
 def run_identity(
     entries: DataFrame, root: str, checkpoint: str, registry_schema: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
@@ -82,7 +79,8 @@ def run_identity(
 
     def load(df: DataFrame, batch: int) -> None:
         rows = prepare(df).persist()
-        known = _earlier(spark, f"{root}/person_epic", batch, registry_schema)
+        # a replay must not see its own output
+        known = sinks.read_table(spark, root, "person_epic", registry_schema).filter(F.col("batch") < batch).drop("batch")
         fresh = cut(identity.new_keys(rows, known))
         registry = fresh.drop("canonical_name")
         _write_batch(fresh.drop("first_roll_id"), f"{root}/person", batch)
