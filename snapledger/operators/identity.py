@@ -74,13 +74,14 @@ def one_per_key(
     return first_by(keyed, [roll, key], [F.col(c).asc_nulls_last() for c in (serial, *ties)])
 
 
-def fold_chains(merges: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """``(person_id -> into_id)`` chains flattened to their last link, by pointer doubling.
+def fold_chains(merges: DataFrame) -> DataFrame:
+    """``(person_id -> into_id)`` chains flattened to their last link, by pointer doubling; a cycle raises.
 
-    The k-th round reaches 2^k links, so 40 rounds cover any finite chain; a cycle raises.
+    The k-th round reaches 2^k links. A chain has no more links than there are rows, so pointers that still move after that
+    many run in a cycle.
     """
     flat = cut(merges.select("person_id", "into_id"))
-    for _ in range(max_rounds):
+    for _ in range(flat.count().bit_length() + 1):
         step = flat.select(F.col("person_id").alias("into_id"), F.col("into_id").alias("__next"))
         jumped = flat.join(step, "into_id", "left").select(
             "person_id", F.coalesce("__next", "into_id").alias("into_id"), F.col("__next").isNotNull().alias("moved")

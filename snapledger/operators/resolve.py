@@ -53,25 +53,14 @@ def name_to_code(
 def era_of(df: DataFrame, eras: DataFrame, date: str, keep: Sequence[str] = ("era_name",)) -> DataFrame:
     """The era with ``from <= date < to`` (an open ``to`` never ends); null outside all eras.
 
-    Eras are spread over the decades they touch, which gives the range join an equality key;
-    no side is broadcast by force.
+    Eras are few, one for each redrawing of boundaries, and become one array, a scalar subquery. So rows neither move nor meet
+    on a key of a few values. A date in several eras gives a row for each.
     """
-    decade = lambda d: F.floor(F.year(d) / 10).cast("int")
-    spread = eras.select(
-        "effective_from", "effective_to", *keep,
-        F.explode(
-            F.sequence(decade(F.col("effective_from")),
-                       F.coalesce(decade(F.col("effective_to")), F.lit(999)))
-        ).alias("__decade"),
-    )
-    rows = df.withColumn("__decade", decade(F.col(date)))
+    listed = eras.agg(F.array_sort(F.collect_list(F.struct("effective_from", "effective_to", *keep)))).scalar()
     when = F.col(date).cast("date")
-    on = (
-        (rows["__decade"] == spread["__decade"])
-        & (spread["effective_from"] <= when)
-        & (spread["effective_to"].isNull() | (when < spread["effective_to"]))
-    )
-    return rows.join(spread, on, "left").drop("__decade", "effective_from", "effective_to")
+    fits = F.filter("__eras", lambda e: (e["effective_from"] <= when) & (e["effective_to"].isNull() | (when < e["effective_to"])))
+    found = F.transform(fits, lambda e: F.struct(*[e[k].alias(k) for k in keep]))
+    return df.withColumn("__eras", listed).select(*df.columns, F.inline_outer(found))
 
 
 def child_by_number(

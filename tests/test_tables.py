@@ -40,7 +40,7 @@ def test_resolve(spark):
 def test_eras(spark):
     d = dt.date
     eras = spark.createDataFrame([("old", d(1976, 1, 1), d(2008, 2, 19)), ("new", d(2008, 2, 19), None)], "era_name string, effective_from date, effective_to date")
-    df = spark.createDataFrame([(d(2008, 2, 18),), (d(2008, 2, 19),), (d(2999, 1, 1),), (d(1900, 1, 1),), (None,)], "at date")
+    df = spark.createDataFrame([(d(2008, 2, 18),), (d(2008, 2, 19),), (d(2999, 1, 1),), (d(9999, 12, 31),), (d(1900, 1, 1),), (None,)], "at date")
     got = {r["at"]: r.era_name for r in resolve.era_of(df, eras, "at").collect()}
     assert list(got.values()).count(None) == 2 and got[d(2008, 2, 18)] == "old" and got[d(2008, 2, 19)] == got[d(2999, 1, 1)] == "new"
 
@@ -92,9 +92,11 @@ def test_merged_persons(spark):
     merges = spark.createDataFrame([("p3", "p2"), ("p2", "p1")], "person_id string, into_id string")
     got = {r.epic_no: r.person_id for r in identity.apply_merges(registry, identity.fold_chains(merges)).collect()}
     assert got == {"K1": "p1", "K2": "p1", "K3": "p1", "K4": "p4"}
-    loop = spark.createDataFrame([("a", "b"), ("b", "a")], "person_id string, into_id string")
-    with pytest.raises(ValueError):
-        identity.fold_chains(loop, max_rounds=5)
+    chain = spark.createDataFrame([(f"p{k}", f"p{k + 1}") for k in range(9)], "person_id string, into_id string")
+    assert {r.into_id for r in identity.fold_chains(chain).collect()} == {"p9"}
+    for loop in (["ab", "ba"], ["ab", "bc", "ca", "xa"]):
+        with pytest.raises(ValueError):
+            identity.fold_chains(spark.createDataFrame([tuple(e) for e in loop], "person_id string, into_id string"))
 
 
 def test_key_twice_in_a_roll(spark):
