@@ -5,110 +5,131 @@ a class; its five-character level holds continuation counts (after how many diff
 both back off to four-character continuation counts that the classes share and that come from all documents, labelled or not.
 So an expression that was never labelled is no evidence. A text is judged by its log-likelihood ratio per character, over the
 whole text and over its best windows of several widths; a logistic fit on rows left out of the counts turns that into a score.
+
+All levels that belong to six characters hold the third to the fifth of them. So counts are dealt by these three, each part
+of the model is computed on its own, and a character is looked up in one part. Parts are tables in the shared folder, which
+the workers read; the driver never holds them. A sequence that no labelled text holds has the same probability in both models
+but for what its shorter levels differ, so only sequences, continuations and contexts of labelled texts are kept: this is exact.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.batches import Slots, slices, texts_of
+from snapledger.llm.batches import Slots, mix, slices, texts_of
 from snapledger.llm.language import held_out
 from snapledger.llm.storage import stored
+from snapledger.session import shared_dir
 
-ORDER, BITS = 6, 10
+ORDER = 6
 DISCOUNT = 0.75
-#: Size of the models: at most so many sequences of six characters have counts of their own, the most frequent in labelled rows.
-SEQUENCES = 1 << 19
-#: Learn from about so many labelled rows (those whose ids have the smallest hashes), and fit the score on so many left out.
-LABELLED = 200_000
+#: Counts in a part of the model, about; entries that a worker keeps in memory between its batches, others are read again.
+PART, RESIDENT = 1 << 18, 8 << 20
+#: Labels up to this number are sent to the texts, more are joined by a shuffle; results are the same.
+SENT = 1 << 20
+#: Fit the score on about so many labelled rows that are left out of the counts (those whose ids have the smallest hashes).
 FITTED = 40_000
 WINDOWS = (8, 12, 16, 32, 64)
-SLICE = 1 << 20
+SLICE, LARGE_SLICE = 1 << 20, 8 << 20
+#: A sequence's key is the sum of its characters' terms by place; parts of it lack the terms of the characters they lack.
+_TERMS = mix(np.arange(1, ORDER + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_BUCKET_BITS = 16
 
 
-def _mask(n: int) -> int:
-    return (1 << BITS * n) - 1
+def _term(codes: np.ndarray, place: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (codes + np.uint64(1)) * _TERMS[place]
 
 
 def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each text's sequences of six characters as numbers, in order; whether a sequence lies in one text; where each text begins.
+    """The characters of all texts, whether the sequence of six from each lies in one text, and where each text begins.
 
     Texts are lower-cased, stand between spaces, and have any white space as a space; rare characters count as one. A text
     with under six characters gets spaces after it.
     """
     padded = [f" {t.lower()} ".ljust(ORDER) for t in texts]
     sizes = np.array([len(t) for t in padded], np.int64)
-    codes = np.minimum(np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32), _mask(1)).astype(np.int64)
+    codes = np.minimum(np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32), 1023).astype(np.uint64)
     codes[(codes >= 9) & (codes <= 13)] = 32
-    value = codes[:len(codes) - ORDER + 1].copy()
-    for j in range(1, ORDER):
-        value <<= BITS
-        value |= codes[j:j + len(value)]
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
-    return value, left[:len(value)] >= ORDER, np.cumsum(sizes) - sizes
+    return codes, left[:len(codes) - ORDER + 1] >= ORDER, np.cumsum(sizes) - sizes
+
+
+def _keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The key of the sequence from each character, the terms of its first and last, and its bucket by the third to fifth."""
+    n = len(codes) - ORDER + 1
+    middle = _term(codes[2:n + 2], 2) + _term(codes[3:n + 3], 3) + _term(codes[4:n + 4], 4)
+    first, last = _term(codes[:n], 0), _term(codes[5:n + 5], 5)
+    return first + _term(codes[1:n + 1], 1) + middle + last, first, last, (mix(middle) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
 
 
 def count_sequences(rows: DataFrame) -> DataFrame:
-    """(sequence, toxic, plain, all): how often it stands in texts of either class and in how many slices of all texts.
+    """(bucket, sequence, ends, toxic, plain): how often a sequence stands in texts of either class, from each task.
 
-    ``rows``: text, and toxic 1, 0 or null. Each task adds up its own counts before it hands them on.
+    ``rows``: text, and toxic 1, 0 or null. ``ends``: its first, second and last character. Each task adds up its own counts
+    before it hands them on; those of several tasks are still to be added up.
     """
-    schema = ["sequence", "toxic", "plain", "all"]
+    schema = ["bucket", "sequence", "ends", "toxic", "plain"]
 
     def count(batches):
         gathered: list[tuple] = []
         size = 0
 
         def merged():
-            keys, place = np.unique(np.concatenate([g[0] for g in gathered]), return_inverse=True)
-            return keys, *(np.bincount(place, np.concatenate([g[k] for g in gathered])).astype(np.int64) for k in (1, 2, 3))
+            keys, at, place = np.unique(np.concatenate([g[1] for g in gathered]), return_index=True, return_inverse=True)
+            return (np.concatenate([g[0] for g in gathered])[at], keys, np.concatenate([g[2] for g in gathered])[at],
+                    *(np.bincount(place, np.concatenate([g[k] for g in gathered])).astype(np.int64) for k in (3, 4)))
+
+        def batch_of(found):
+            return pa.record_batch([pa.array(found[0]), pa.array(found[1].view(np.int64)), *map(pa.array, found[2:])], schema)
 
         for batch in batches:
             for part in slices(batch, SLICE):
-                value, inside, starts = sequences(part.column(0).to_pylist())
-                if not len(value):
+                codes, inside, starts = sequences(part.column(0).to_pylist())
+                if not len(inside):
                     continue
+                value, _, _, bucket = _keys(codes)
                 kind = part.column(1).fill_null(2).to_numpy(zero_copy_only=False).astype(np.int64)
-                kind = np.repeat(kind, np.diff(np.append(starts, len(value) + ORDER - 1)))[:len(value)]
-                keys, n = np.unique((value << 2 | kind)[inside], return_counts=True)
-                gathered.append((keys >> 2, n * (keys & 3 == 1), n * (keys & 3 == 0), n))
-                size += len(keys)
+                kind = np.repeat(kind, np.diff(np.append(starts, len(codes))))[:len(value)]
+                for k in range(3):
+                    own = np.flatnonzero(inside & (kind == k))
+                    keys, at, n = np.unique(value[own], return_index=True, return_counts=True)
+                    at = own[at]
+                    ends = (codes[at] << np.uint64(42) | codes[at + 1] << np.uint64(21) | codes[at + 5]).astype(np.int64)
+                    gathered.append((bucket[at], keys, ends, n * (k == 1), n * (k == 0)))
+                    size += len(keys)
                 if size > 4 << 20:
                     gathered = [merged()]
                     if len(gathered[0][0]) > 2 << 20:
-                        yield pa.record_batch([pa.array(c) for c in gathered.pop()], schema)
+                        yield batch_of(gathered.pop())
                     size = sum(len(g[0]) for g in gathered)
         if gathered:
-            yield pa.record_batch([pa.array(c) for c in merged()], schema)
-
-    found = rows.mapInArrow(count, ", ".join(f"{c} long" for c in schema))
-    return found.groupBy("sequence").agg(*(F.sum(c).alias(c) for c in schema[1:]))
+            yield batch_of(merged())
 
+    return rows.mapInArrow(count, ", ".join(f"{c} long" for c in schema))
 
-def least_count(counts: DataFrame) -> int:
-    """The smallest count in labelled texts that no more than SEQUENCES sequences reach; the sample bounds how many counts differ."""
-    sizes = counts.groupBy((F.col("toxic") + F.col("plain")).alias("n")).agg(F.count("*").alias("sequences")).collect()
-    total = 0
-    for n, sequences_ in sorted(((r["n"], r["sequences"]) for r in sizes), reverse=True):
-        total += sequences_
-        if total > SEQUENCES:
-            return n + 1
-    return 0
 
+def models(sequence: np.ndarray, ends: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and log-likelihood ratios: of sequences of six and five characters, and what backing off adds after five and four.
 
-def models(sequence: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[Slots, np.ndarray, np.ndarray]:
-    """Log-likelihood ratios by sequence, and what backing off adds after a sequence, of six, five and four characters.
-
-    Keys carry their length in the top bits. Bounded by SEQUENCES.
+    Takes all counts of some middles; a sequence may be given several times.
     """
-    before5, at_before5 = np.unique(sequence >> BITS, return_inverse=True)
-    five, at_five = np.unique(sequence & _mask(5), return_inverse=True)
-    before4, at_before4 = np.unique(five >> BITS, return_inverse=True)
-    four, at_four = np.unique(five & _mask(4), return_inverse=True)
-    _, at_before3 = np.unique(four >> BITS, return_inverse=True)
+    sequence, at, place = np.unique(sequence, return_index=True, return_inverse=True)
+    toxic, plain, ends = np.bincount(place, toxic), np.bincount(place, plain), ends[at].astype(np.uint64)
+    low = np.uint64((1 << 21) - 1)
+    second, last = _term(ends >> np.uint64(21) & low, 1), _term(ends & low, 5)
+    before5, at_before5 = np.unique(sequence - last, return_inverse=True)
+    five, one, at_five = np.unique(sequence - _term(ends >> np.uint64(42), 0), return_index=True, return_inverse=True)
+    before4, at_before4 = np.unique(five - last[one], return_inverse=True)
+    four, at, at_four = np.unique(five - second[one], return_index=True, return_inverse=True)
+    _, at_before3 = np.unique(four - last[one][at], return_inverse=True)
     ways = np.bincount(at_four)
     shared = ((ways + 0.1) / (np.bincount(at_before3, ways)[at_before3] + 6.4))[at_four]
     logs = []
@@ -122,47 +143,107 @@ def models(sequence: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[
         p6 = np.maximum(n - DISCOUNT, 0) / np.maximum(all5, 1)[at_before5] + rest5[at_before5] * p5[at_five]
         logs.append([np.log(x) for x in (rest4, p5, rest5, p6)])
     rest4, p5, rest5, p6 = (a - b for a, b in zip(*logs, strict=True))
-    size = 1 << max(10, int(3 * len(sequence)).bit_length())
-    slots, ratio, after = Slots(size), np.zeros(size, np.float32), np.zeros(size, np.float32)
-    keys5 = np.union1d(five, before5)
-    for length, keys in ((6, sequence), (5, keys5), (4, before4)):
-        at = slots.insert(_key(keys, length))
-        if length == 6:
-            ratio[at] = p6
-        elif length == 5:
-            ratio[at[np.searchsorted(keys5, five)]], after[at[np.searchsorted(keys5, before5)]] = p5, rest5
-        else:
-            after[at] = rest4
-    return slots, ratio, after
+    labelled = toxic + plain > 0
+    levels = [(sequence, p6, labelled)]
+    levels += [(k, v, np.bincount(at, labelled, len(k)) > 0) for k, v, at in ((five, p5, at_five), (before5, rest5, at_before5), (before4, rest4, at_before4[at_five]))]
+    return np.concatenate([k[held] for k, _, held in levels]), np.concatenate([v[held] for _, v, held in levels]).astype(np.float32)
+
+
+class Model:
+    """The model at ``path``, of so many ``entries`` by part, dealt over ``parts`` parts."""
+
+    def __init__(self, path: str, parts: int, entries: dict[int, int]):
+        self.path, self.parts, self.entries = path, parts, entries
+        self.kept: dict[int, tuple[Slots, np.ndarray]] = {}
+        self.room = RESIDENT
+        self.slice = SLICE if sum(entries.values()) <= RESIDENT else LARGE_SLICE
+
+    def part(self, k: int) -> tuple[Slots, np.ndarray]:
+        if k in self.kept:
+            return self.kept[k]
+        system, path = fs.FileSystem.from_uri(self.path)
+        table = pq.read_table(f"{path}/part={k}", filesystem=system, columns=["key", "value"], use_threads=False)
+        size = 1 << max(6, (3 * len(table) // 2).bit_length())
+        slots, values = Slots(size), np.zeros(size, np.float32)
+        values[slots.insert(table["key"].to_numpy().view(np.uint64))] = table["value"].to_numpy()
+        if len(table) <= self.room:
+            self.room -= len(table)
+            self.kept[k] = slots, values
+        return slots, values
+
+    def odds(self, codes: np.ndarray) -> np.ndarray:
+        """The log-likelihood ratio of the last character of the sequence from each character."""
+        six, first, last, bucket = _keys(codes)
+        part = bucket * self.parts >> _BUCKET_BITS
+        order = np.argsort(part.astype(np.uint16), kind="stable")
+        edges = np.searchsorted(part[order], np.arange(self.parts + 1))
+        out = np.zeros(len(six))
+        for k in self.entries:
+            own = order[edges[k]:edges[k + 1]]
+            if not len(own):
+                continue
+            slots, values = self.part(k)
+
+            def of(keys, slots=slots, values=values):
+                at = slots.find(keys)
+                return at, np.where(at >= 0, values[at], 0)
+
+            at, found = of(six[own])
+            new = np.flatnonzero(at < 0)
+            rare = own[new]
+            five = six[rare] - first[rare]
+            at, short = of(five)
+            shorter = np.flatnonzero(at < 0)
+            short[shorter] = of(five[shorter] - last[rare[shorter]])[1]
+            found[new] = of(six[rare] - last[rare])[1] + short
+            out[own] = found
+        return out
+
+
+_MODELS: dict[str, Model] = {}
+
+
+def model_of(path: str, parts: int, entries: dict[int, int]) -> Model:
+    """The worker's copy of the model at ``path``, in place of any other."""
+    if path not in _MODELS:
+        _MODELS.clear()
+        _MODELS[path] = Model(path, parts, entries)
+    return _MODELS[path]
+
+
+def learn(classed: DataFrame) -> tuple[str, int, dict[int, int]]:
+    """Where the model of ``classed`` (text, toxic) is stored, its number of parts, and the entries of each part that has any."""
+    spark = classed.sparkSession
+    counts = stored(count_sequences(classed))
+    parts = min(1 << _BUCKET_BITS, max(1, -(-counts.count() // PART)))
+    dealt = counts.select(F.shiftright(F.col("bucket") * parts, _BUCKET_BITS).cast("int").alias("part"), "sequence", "ends", "toxic", "plain")
 
+    def build(key, table):
+        keys, values = models(table["sequence"].to_numpy().view(np.uint64), *(table[c].to_numpy() for c in ("ends", "toxic", "plain")))
+        return pa.table([pa.array(np.full(len(keys), key[0].as_py(), np.int32)), pa.array(keys.view(np.int64)), pa.array(values)], ["part", "key", "value"])
 
-def _key(sequence: np.ndarray, length: int) -> np.ndarray:
-    return sequence.astype(np.uint64) | np.uint64(length << 61)
+    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    schema = "part int, key long, value float"
+    dealt.groupBy("part").applyInArrow(build, schema).write.partitionBy("part").parquet(path)
+    found = spark.read.schema(schema).parquet(path).groupBy("part").count().collect()
+    return path, parts, {r["part"]: r["count"] for r in sorted(found)}
 
 
-def features(texts: list[str], model: tuple[Slots, np.ndarray, np.ndarray]) -> np.ndarray:
+def features(texts: list[str], model: Model) -> np.ndarray:
     """Log-likelihood ratio per character of each whole text, the logarithm of its length, and its best window of each width."""
     if not texts:
         return np.zeros((0, 2 + len(WINDOWS)))
-    slots, ratio, after = model
-    value, inside, starts = sequences(texts)
-    six = slots.find(_key(value, 6))
-    odds = ratio[six]
-    new = np.flatnonzero((six < 0) & inside)
-    before = slots.find(_key(value[new] >> BITS, 5))
-    five = slots.find(_key(value[new] & _mask(5), 5))
-    four = slots.find(_key(value[new] >> BITS & _mask(4), 4))
-    odds[new] = np.where(before >= 0, after[before], 0) + np.where(five >= 0, ratio[five], np.where(four >= 0, after[four], 0))
-    odds = np.where(inside, odds, 0).astype(np.float64)
+    codes, inside, starts = sequences(texts)
+    odds = np.where(inside, model.odds(codes), 0)
     running = np.concatenate([[0.0], np.cumsum(odds)])
     counts = np.add.reduceat(inside.astype(np.int64), starts)
     out = np.zeros((len(texts), 2 + len(WINDOWS)))
     out[:, 0] = (running[starts + counts] - running[starts]) / counts
     out[:, 1] = np.log(counts)
-    last = np.repeat(starts + counts, np.diff(np.append(starts, len(value))))
+    last = np.repeat(starts + counts, np.diff(np.append(starts, len(inside))))
     for k, width in enumerate(WINDOWS):
-        fits = np.arange(len(value)) + width <= last
-        window = np.full(len(value), -np.inf)
+        fits = np.arange(len(inside)) + width <= last
+        window = np.full(len(inside), -np.inf)
         window[fits] = (running[np.flatnonzero(fits) + width] - running[np.flatnonzero(fits)]) / width
         best = np.maximum.reduceat(window, starts)
         out[:, 2 + k] = np.where(counts >= width, best, out[:, 0])
@@ -197,34 +278,33 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     every text gets the rate of toxic labels (under 0.5 if there is none). Repeated rows are each answered; other columns are
     left out; an empty table gives no rows.
     """
-    rows, context = texts_of(df, id_col, text_col), df.sparkSession.sparkContext
+    rows = texts_of(df, id_col, text_col)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(~held_out(F.col("doc_id"), 5, 0))
     span, total = 1 << 30, max(1, known.count())
     near = F.pmod(F.xxhash64("doc_id"), F.lit(span))
-    # at most about LABELLED rows, so this side is small whatever the input
-    sample = F.broadcast(known.where(near < int(span * min(1.0, LABELLED / total))))
     fold = held_out(F.col("doc_id"), 5, 4)
-    classed = rows.join(sample, "doc_id", "left").select("text", F.when(~fold, F.col("toxic")).alias("toxic"))
-    counts = stored(count_sequences(classed))
-    kept = counts.where(F.col("toxic") + F.col("plain") >= least_count(counts)).drop("all").toPandas().sort_values("sequence")
-    model = context.broadcast(models(*(kept[c].to_numpy() for c in ("sequence", "toxic", "plain"))))
+    classed = rows.join(F.broadcast(known) if total <= SENT else known, "doc_id", "left").select("text", F.when(~fold, F.col("toxic")).alias("toxic"))
+    model = learn(classed)
     names = [f"x{k}" for k in range(2 + len(WINDOWS))]
 
     def measured(batches):
+        own = model_of(*model)
         for batch in batches:
-            for part in slices(batch, SLICE):
-                x = features(part.column(0).to_pylist(), model.value)
+            for part in slices(batch, own.slice):
+                x = features(part.column(0).to_pylist(), own)
                 yield pa.record_batch([*(pa.array(c) for c in x.T), part.column(1)], [*names, "toxic"])
 
+    # about FITTED rows, so this side is small whatever the input
     left_out = F.broadcast(known.where(fold & (near < int(span * min(1.0, 5 * FITTED / total)))))
     fitted = rows.join(left_out, "doc_id").select("text", "toxic").mapInArrow(measured, ", ".join(f"{n} double" for n in names) + ", toxic int").toPandas()
     weights = logistic(fitted[names].to_numpy(float), fitted["toxic"].to_numpy(float))
 
     def scored(batches):
+        own = model_of(*model)
         for batch in batches:
-            for part in slices(batch, SLICE):
-                x = features(part.column(1).to_pylist(), model.value)
+            for part in slices(batch, own.slice):
+                x = features(part.column(1).to_pylist(), own)
                 value = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500)))
                 yield pa.record_batch([part.column(0), pa.array(value)], ["doc_id", "score"])
 

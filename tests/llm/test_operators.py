@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -206,3 +208,55 @@ def test_pipeline_of_an_empty_table(spark, docs, labels, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def toxic_by_phrases(spark, phrase, noise):
+    """Scores of unlabelled texts with and without phrases that stand once in a counted and once in a fitted toxic text."""
+    parts = {k: [d for d in range(4000) if zlib.crc32(str(d).encode()) % 5 == k] for k in (0, 1, 4)}
+    texts, known = [], []
+    for k in range(40):
+        for part in (1, 4):
+            texts += [(parts[part][2 * k], f"{noise(k, part, 1)} {phrase(k, True)}"), (parts[part][2 * k + 1], f"{noise(k, part, 0)} {phrase(k, False)}")]
+            known += [(parts[part][2 * k], 1), (parts[part][2 * k + 1], 0)]
+        texts += [(parts[0][2 * k], phrase(k, True)), (parts[0][2 * k + 1], phrase(k, False))]
+    found = toxicity.score_toxicity(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(known, "doc_id long, toxic int"))
+    got = {r["doc_id"]: r["score"] for r in found.collect()}
+    return [got[parts[0][2 * k]] for k in range(40)], [got[parts[0][2 * k + 1]] for k in range(40)]
+
+
+def letters(seed, n, alphabet="abcdefghijklmnopqrstuvwxyz"):
+    return "".join(np.random.default_rng(seed).choice(list(alphabet), n))
+
+
+def test_toxic_phrases_seen_once_count_however_large_the_corpus(spark):
+    toxic, plain = toxic_by_phrases(spark, lambda k, bad: letters([k, bad], 60), lambda k, part, bad: letters([k, part, bad, 7], 8000))
+    assert sum(a > 0.5 > b for a, b in zip(toxic, plain, strict=True)) >= 38
+
+
+def test_toxicity_odds_equal_brute_force(spark, monkeypatch):
+    texts = [(prose(k, 12) + "!" * (k % 3), [1, 0, None][k % 3]) for k in range(30)]
+    table = spark.createDataFrame(texts, "text string, toxic int")
+    found = [toxicity.learn(table)]
+    monkeypatch.setattr(toxicity, "PART", 300)
+    found.append(toxicity.learn(table.repartition(3)))
+    assert found[0][1] == 1 and found[1][1] > 3
+    grams = [(t[k:k + 6], c) for text, c in texts for t in [f" {text} "] for k in range(len(t) - 5)]
+    fives = {g[1:] for g, _ in grams}
+    n = {c: Counter(g for g, kind in grams if kind == c) for c in (1, 0)}
+    ways = {c: Counter(g[1:] for g in n[c]) for c in (1, 0)}
+
+    def shared(four):
+        return (sum(f[1:] == four for f in fives) + 0.1) / (sum(f[1:4] == four[:3] for f in fives) + 6.4)
+
+    def back(counts, g, lower):
+        beside = [v for k, v in counts.items() if k[:-1] == g[:-1]]
+        return lower if not beside else (max(counts[g] - 0.75, 0) + 0.75 * len(beside) * lower) / sum(beside)
+
+    text = " " + prose(3, 6) + " unseen w1 " + prose(99, 4) + " "
+    want = []
+    for g in (text[k:k + 6] for k in range(len(text) - 5)):
+        toxic, plain = (back(n[c], g, back(ways[c], g[1:], shared(g[2:]))) for c in (1, 0))
+        want.append(np.log(toxic / plain))
+    codes, inside, _ = toxicity.sequences([text[1:-1]])
+    for model in found:
+        assert np.allclose(toxicity.Model(*model).odds(codes)[inside], want, atol=1e-5)
