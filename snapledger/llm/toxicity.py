@@ -51,12 +51,12 @@ def _term(codes: np.ndarray, place: int) -> np.ndarray:
 def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The characters of all texts, whether the sequence of six from each lies in one text, and where each text begins.
 
-    Texts are lower-cased, stand between spaces, and have any white space as a space; rare characters count as one. A text
-    with under six characters gets spaces after it.
+    Texts are lower-cased, stand between spaces, and have ASCII white space as a space; every other character stands for itself.
+    A text with under six characters gets spaces after it.
     """
     padded = [f" {t.lower()} ".ljust(ORDER) for t in texts]
     sizes = np.array([len(t) for t in padded], np.int64)
-    codes = np.minimum(np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32), 1023).astype(np.uint64)
+    codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     codes[(codes >= 9) & (codes <= 13)] = 32
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
     return codes, left[:len(codes) - ORDER + 1] >= ORDER, np.cumsum(sizes) - sizes

@@ -260,3 +260,9 @@ def test_toxicity_odds_equal_brute_force(spark, monkeypatch):
     codes, inside, _ = toxicity.sequences([text[1:-1]])
     for model in found:
         assert np.allclose(toxicity.Model(*model).odds(codes)[inside], want, atol=1e-5)
+
+
+def test_toxic_phrases_are_found_in_any_script(spark):
+    cyrillic = "абвгдежзийклмнопрстуфхцчшщыэюя"
+    toxic, plain = toxic_by_phrases(spark, lambda k, bad: letters([5, k % 4, bad], 60, cyrillic), lambda k, part, bad: letters([k, part, bad], 50, cyrillic))
+    assert sum(a > 0.5 > b for a, b in zip(toxic, plain, strict=True)) == 40
