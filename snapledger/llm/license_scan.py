@@ -1,7 +1,7 @@
 """Licence scan by a positional rare-token index, in DataFrame operations only.
 
 The index holds the words of each licence notice that are rarest over all documents, with their places in the notice. A file
-looks up its own rarest licence words; each pair of a place in the file and one in a notice votes for the offset between them,
+looks up all of them that it holds; each pair of a place in the file and one in a notice votes for the offset between them,
 and the offset with most votes aligns the notice. A label is given when enough words align and all key phrases of the notice
 stand in the file.
 """
@@ -19,8 +19,8 @@ from snapledger.llm.licences import PHRASES, TEMPLATES
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words: ASCII other than digits and lower-case letters (texts are lower-cased before).
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Words of each notice that the index holds, licence words that a file looks up (its rarest), and votes that align a notice.
-INDEXED, LOOKED_UP, VOTES = 12, 24, 2
+#: Words of each notice that the index holds, and votes that align a notice.
+INDEXED, VOTES = 12, 2
 
 
 def plain_words(text: str) -> list[str]:
@@ -86,7 +86,7 @@ def find_licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     looked_up = spaced.select(
         "doc_id", "words", F.size("words").cast("long").alias("n_words"),
-        F.slice(F.array_intersect(F.lit(indexed), "words"), 1, LOOKED_UP).alias("rare"),
+        F.array_intersect(F.lit(indexed), "words").alias("rare"),
         F.array_compact(F.array(*(verified(k) for k in range(len(templates))))).alias("verified"),
         *(places(F.col("words"), F.col("spaced"), p.split(" ")).alias(f"base_{k}") for k, (p, _) in enumerate(phrases)),
     )

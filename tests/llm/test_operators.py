@@ -266,3 +266,12 @@ def test_toxic_phrases_are_found_in_any_script(spark):
     cyrillic = "абвгдежзийклмнопрстуфхцчшщыэюя"
     toxic, plain = toxic_by_phrases(spark, lambda k, bad: letters([5, k % 4, bad], 60, cyrillic), lambda k, part, bad: letters([k, part, bad], 50, cyrillic))
     assert sum(a > 0.5 > b for a, b in zip(toxic, plain, strict=True)) == 40
+
+
+def test_a_file_of_all_notices_gets_all_labels(spark):
+    notices = [text for _, text, _ in license_scan.TEMPLATES]
+    texts = [*notices, "\n\n".join([prose(1, 50), *notices, prose(2, 50)])]
+    found = {r["doc_id"]: r for r in license_scan.find_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    whole = found.pop(len(notices))
+    assert set(whole["labels"].split(",")) == {label for r in found.values() for label in r["labels"].split(",")} == {t[0] for t in license_scan.TEMPLATES}
+    assert whole["score"] == 1.0
