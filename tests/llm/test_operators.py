@@ -275,3 +275,23 @@ def test_a_file_of_all_notices_gets_all_labels(spark):
     whole = found.pop(len(notices))
     assert set(whole["labels"].split(",")) == {label for r in found.values() for label in r["labels"].split(",")} == {t[0] for t in license_scan.TEMPLATES}
     assert whole["score"] == 1.0
+
+
+def test_packing_keeps_all_three_limits(spark):
+    table = spark.createDataFrame([(k, prose(k, 5 + 37 * k % 90), 11 * k % 40) for k in range(120)], "doc_id long, text string, unmasked long")
+    pieces = packing.pack(table.repartition(2), tokenizer(), unmasked_col="unmasked", size=128, segments=3, loss=50).collect()
+    first, inside, total = {k: 11 * k % 40 for k in range(120)}, {}, {}
+    for p in pieces:
+        bearing = max(0, p["start"] + p["length"] - max(p["start"], first[p["doc_id"]]))
+        inside.setdefault(p["sequence_id"], []).append((p["length"], 1, bearing))
+        total.setdefault(p["doc_id"], []).append((p["start"], p["length"], p["doc_tokens"]))
+    used = [tuple(map(sum, zip(*x, strict=True))) for x in inside.values()]
+    assert all(t <= 128 and s <= 3 and b <= 50 for t, s, b in used)
+    assert any(s == 3 for _, s, _ in used) and any(b == 50 for _, _, b in used)
+    for found in total.values():
+        at = 0
+        for start, length, whole in sorted(found):
+            assert start == at
+            at += length
+        assert at == whole
+    assert len(total) == 120
