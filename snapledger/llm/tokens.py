@@ -1,7 +1,7 @@
 """Ids of a byte-level BPE tokenizer for many texts at once.
 
 A pre-token never crosses from other characters to white space, so a text may be cut before each run of white space and the
-pieces encoded alone. Pieces recur, so their ids are kept in a bounded table per worker; only new ones reach the tokenizer.
+pieces encoded alone. A special token that a text holds literally is one id, as by the tokenizer itself. Pieces recur, so their ids are kept in a bounded table per worker; only new ones reach the tokenizer.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():

@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 
 import corpus_pipeline
-from snapledger.llm import embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, toxicity
+from snapledger.llm import embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, tokens, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [f"w{k}" for k in range(400)]
@@ -295,3 +296,14 @@ def test_packing_keeps_all_three_limits(spark):
             at += length
         assert at == whole
     assert len(total) == 120
+
+
+@pytest.mark.parametrize("text", ["a<|endoftext|>b", " x  <|endoftext|>\n\ny <|endoftext|> z", "<|endoftext|>"])
+def test_special_tokens_in_a_text_are_one_id(text):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer())
+    ids, counts = tokens.Encoder(tokenizer()).encode(pa.array([text, "plain words", text]))
+    want = [whole.encode(t, add_special_tokens=False).ids for t in (text, "plain words", text)]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert whole.token_to_id("<|endoftext|>") in want[0]
