@@ -31,13 +31,17 @@ _STRING = r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'"
 #: A name that begins a run of name characters, an assignment sign, then where the right side begins.
 _PAIR = re.compile(rf"""(?<![A-Za-z0-9_.-])({_NAME})["']?[\x20\t]*(?::=|=>|=(?!=)|:(?!:|//))[\x20\t]*(?=\S)""")
 _TERM = re.compile(rf"""({_STRING})|([^\s,;"'(){{}}\[\]<>|&+#*%$]++)""")
+#: The unquoted value of a line that is one setting: up to white space, then nothing or a comment.
+_VALUE = re.compile(r"""(?![\"'])(\S++)(?=[\x20\t\r]*$|[\x20\t]+[#;])""", re.M)
+_SETTING = re.compile(r"[\x20\t]*(?:export[\x20\t]+)?\Z")
+_REFERENCE = re.compile(r"\$(?:\w+$|\{.*\}$|\()|%\w+%$|[\w.]+[(\[].*[)\]];?$")
 _PLUS = re.compile(r"[\x20\t]*\+[\x20\t]*")
 
 #: How much a part of a name says that its literal is secret.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "api_key": 1.0,
     "access_key": 1.0, "private_key": 1.0, "secret_key": 1.0, "auth": 0.6, "credential": 0.9, "credentials": 0.9, "bearer": 0.8,
-    "signing_key": 0.9, "encryption_key": 0.9, "client_secret": 1.0, "key": 0.4,
+    "signing_key": 0.9, "encryption_key": 0.9, "client_secret": 1.0, "key": 0.5,
 }
 _BREAK = re.compile(r"[_.\-]+|(?<=[a-z0-9])(?=[A-Z])")
 _PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|changeme|example|your[_-].*|<.*>|\$\{.*\})$")
@@ -69,6 +73,19 @@ def base_spans(text: str) -> list[tuple]:
     return found
 
 
+def _setting(text: str, pair: re.Match) -> tuple[int, int, str] | None:
+    """The whole unquoted value where the line is ``name=value``, and no reference or call."""
+    before = text[max(0, pair.start() - 80):pair.start()]
+    line = before.rfind("\n") + 1
+    if not line and pair.start() > 80 or text[pair.end(1):pair.end()].strip() != "=" or not _SETTING.match(before, line):
+        return None
+    value = _VALUE.match(text, pair.end())
+    if not value or _REFERENCE.match(value[1]):
+        return None
+    literal = value[1].rstrip(".,;")
+    return value.start(), value.start() + len(literal), literal
+
+
 def literal_spans(text: str, least: float) -> list[tuple]:
     """Literals that reach a sensitive name, directly or through constants, scored ``least`` or more."""
     if "=" not in text and ":" not in text:
@@ -76,12 +93,14 @@ def literal_spans(text: str, least: float) -> list[tuple]:
     constants: dict[str, list[tuple[int, int, str]]] = {}
     best: dict[tuple[int, int], float] = {}
     for pair in _PAIR.finditer(text):
-        at, parts, plain = pair.end(), [], True
+        at, parts, plain, known = pair.end(), [], True, False
         while term := _TERM.match(text, at):
             if term[1]:
                 parts.append((term.start() + 1, term.end() - 1, term[1][1:-1]))
+                known = True
             elif term[2] in constants:
                 parts += constants[term[2]]
+                known = True
             else:
                 parts.append((term.start(), term.end(), term[2].rstrip(".")))
                 plain = False
@@ -89,6 +108,8 @@ def literal_spans(text: str, least: float) -> list[tuple]:
             if not more:
                 break
             at = more.end()
+        if not known and (whole := _setting(text, pair)):
+            parts, plain = [whole], False
         if not parts:
             continue
         if plain:

@@ -307,3 +307,16 @@ def test_special_tokens_in_a_text_are_one_id(text):
     want = [whole.encode(t, add_special_tokens=False).ids for t in (text, "plain words", text)]
     assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
     assert whole.token_to_id("<|endoftext|>") in want[0]
+
+
+@pytest.mark.parametrize(("text", "value"), [
+    ("user = bob\npassword = p@ss#w0rd1!\n", "p@ss#w0rd1!"), ("export TOKEN=$aB3%x&9*kQ2 # of the test\n", "$aB3%x&9*kQ2"),
+    ("key = 'aG7xQ2mZ9kLp4RtW'", "aG7xQ2mZ9kLp4RtW"),
+])
+def test_secrets_hold_whole_values(text, value):
+    assert [text[s:e] for kind, s, e, _ in secret_scan.scan_text(text) if kind == "literal"] == [value]
+
+
+@pytest.mark.parametrize("text", ["password=$DB_PASSWORD\n", "password = get_password()[0]\n"])
+def test_references_are_no_settings(text):
+    assert not secret_scan._setting(text, secret_scan._PAIR.search(text))
