@@ -82,6 +82,20 @@ def _emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """Numbers that mod-97 confirms: of the groups from a beginning, as many as it does; the words after one may look like groups."""
+    found, at = [], 0
+    while m := _IBAN.search(text, at):
+        at, run = m.start() + 1, m[0]
+        while 15 <= len(run.replace(" ", "")):
+            if len(run.replace(" ", "")) <= 34 and mod97(run):
+                at = m.start() + len(run)
+                found.append((m.start(), at))
+                break
+            run = run.rpartition(" ")[0]
+    return found
+
+
 def _ip_part(part: str) -> bool:
     short = part.lstrip("0") or "0"
     return len(short) <= 3 and int(short) <= 255
@@ -99,7 +113,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def more_spans(text: str) -> list[tuple[str, int, int]]:
-    found = [("iban", m.start(), m.end()) for m in _IBAN.finditer(text) if 15 <= len(m[0].replace(" ", "")) <= 34 and mod97(m[0])]
+    found = [("iban", s, e) for s, e in _ibans(text)]
     found += [("ssn", m.start(), m.end()) for m in _SSN.finditer(text)]
     return found + [("tel", m.start(), m.end()) for m in _TEL.finditer(text)]
 

@@ -320,3 +320,10 @@ def test_secrets_hold_whole_values(text, value):
 @pytest.mark.parametrize("text", ["password=$DB_PASSWORD\n", "password = get_password()[0]\n"])
 def test_references_are_no_settings(text):
     assert not secret_scan._setting(text, secret_scan._PAIR.search(text))
+
+
+@pytest.mark.parametrize("after", ["", " BANK", " BANK OF X1", " ABC", ". BANK", " AT61 1904 3002 3457 3201 KONTO"])
+def test_account_numbers_end_before_words(after):
+    number = "AT61 1904 3002 3457 3201"
+    found = [(s, e) for kind, s, e, _ in pii.scan_text(f"to {number}{after}") if kind == "iban"]
+    assert found == [(3, 27), (28, 52)][:1 + after.count(number)]
