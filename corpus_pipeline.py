@@ -6,6 +6,10 @@ predecessor kept; all but the last return the columns of documents. Extra column
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,18 +53,22 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _heads(texts: pd.Series, words: pd.Series) -> pd.Series:
+    """Each text up to the end of so many words."""
+    return pd.Series([t[:next(islice(re.finditer(mixing.WORD, t), n - 1, None)).end()] for t, n in zip(texts, words, strict=True)])
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: repeated for complete epochs, left out where it takes none.
 
-    Where a source's budget ends within a document, that document's first words stand for it, joined by spaces.
+    Where a source's budget ends within a document, its text up to the end of its last word taken stands for it, white space as it is.
     """
     kept = ("text", "lang", "n_chars")
     rows = stored(mixing.measured(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=kept))
     found = mixing.taken(rows, mixing.planned(rows)).where("taken > 0")
     whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
     whole_docs = found.where(whole > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), whole))).select("doc_id", "kept.text", "kept.lang", "source", "kept.n_chars")
-    head = F.array_join(F.slice(F.regexp_extract_all("kept.text", F.lit(mixing.WORD), F.lit(0)), F.lit(1), part), " ")
-    heads = found.where(part > 0).select("doc_id", head.alias("text"), "kept.lang", "source")
+    heads = found.where(part > 0).select("doc_id", F.pandas_udf(_heads, "string")("kept.text", part).alias("text"), "kept.lang", "source")
     heads = heads.select("doc_id", "text", "lang", "source", F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
     return whole_docs.unionByName(heads)
 

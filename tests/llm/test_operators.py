@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import public_tokenizers
@@ -327,3 +328,8 @@ def test_account_numbers_end_before_words(after):
     number = "AT61 1904 3002 3457 3201"
     found = [(s, e) for kind, s, e, _ in pii.scan_text(f"to {number}{after}") if kind == "iban"]
     assert found == [(3, 27), (28, 52)][:1 + after.count(number)]
+
+
+def test_cut_texts_keep_their_white_space():
+    cut = corpus_pipeline._heads(pd.Series(["  a\n\nb\tc  d", "x"]), pd.Series([3, 1]))
+    assert cut.tolist() == ["  a\n\nb\tc", "x"]
