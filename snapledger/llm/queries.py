@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from snapledger.llm import embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, toxicity
+from snapledger.llm import embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, toxicity, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,3 +97,12 @@ def op8_embeddings(spark, folder):
 
 
 ORACLE["op8_embeddings"] = embeddings.SQL
+
+
+@query
+def op13_spelling(spark, folder):
+    """Spelling variants among the words of all documents."""
+    return variants.group_variants(table(spark, folder, "documents"))
+
+
+ORACLE["op13_spelling"] = variants.SQL
