@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from snapledger.llm import embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, toxicity, variants
+from snapledger.llm import alignment, embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, toxicity, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,3 +106,9 @@ def op13_spelling(spark, folder):
 
 
 ORACLE["op13_spelling"] = variants.SQL
+
+
+@query
+def op12_alignment(spark, folder):
+    """Two tokenizers aligned over all documents."""
+    return alignment.align(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
