@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from snapledger.llm import alignment, embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, toxicity, variants
+from snapledger.llm import alignment, embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, spans, substrings, toxicity, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,3 +112,13 @@ ORACLE["op13_spelling"] = variants.SQL
 def op12_alignment(spark, folder):
     """Two tokenizers aligned over all documents."""
     return alignment.align(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_substrings(spark, folder):
+    """Passages that repeat across or within documents, removed."""
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op11_substrings"] = substrings.SQL
