@@ -25,6 +25,7 @@ STATUSES = ["active", "deleted", "added", "modified"]
 ROLL_TYPES = ["SIR_FinalRoll", "SIR_DraftRoll", "FinalRoll", "DraftRoll", "Supplement"]
 RESERVATIONS = ["GEN", "SC", "ST"]
 STATION_TYPES = ["General", "Male", "Female"]
+CHANGES = ["unchanged", "renumber", "split", "merge", "new", "abolished", "rehomed"]
 JOB_STATUSES = ["pending", "fetching", "fetched", "verified", "failed", "skipped"]
 STAGES = ["pending", "extracted", "loaded", "archived", "done", "failed"]
 

@@ -60,6 +60,31 @@ def rolls_of(areas: DataFrame, parts: DataFrame, rolls: DataFrame) -> DataFrame:
     )
 
 
+def inherit(
+    areas: DataFrame, edges: DataFrame, key: Sequence[str], era: str, eras: Sequence[str], cols: Sequence[str],
+) -> DataFrame:
+    """``areas`` with nulls of ``cols`` filled along lineage, and the successors that no row shows yet.
+
+    ``edges``: ``predecessor_<key>`` and ``<key>``. Era by era in the order of time an area takes the value that its
+    predecessors hold, if those that hold one agree; so a renumbered or re-homed area and the parts of a split one inherit,
+    and a merged one only what is not in question. One aggregate and one join for each era; only edges into it take part.
+    """
+    told = edges.filter(" and ".join(f"{k} is not null" for k in key)).select(*key).distinct()
+    known = areas.unionByName(told.join(areas.select(*key), list(key), "left_anti"), allowMissingColumns=True)
+    done = None
+    for name in eras:
+        own = known.filter(F.col(era) == name)
+        if done is not None:
+            before = done.select(*[F.col(k).alias(f"predecessor_{k}") for k in key], *cols)
+            held = edges.filter(F.col(era) == name).join(before, [f"predecessor_{k}" for k in key])
+            agreed = [F.when(F.min(c).eqNullSafe(F.max(c)), F.min(c)).alias(f"__{c}") for c in cols]
+            own = lookup(own, held.groupBy(*key).agg(*agreed), key, [f"__{c}" for c in cols])
+            own = own.withColumns({c: F.coalesce(c, f"__{c}") for c in cols}).drop(*[f"__{c}" for c in cols])
+        done = cut(own) if done is None else done.unionByName(cut(own))
+    others = known.filter(~F.coalesce(F.col(era).isin(*eras), F.lit(False)))
+    return others if done is None else done.unionByName(others)
+
+
 def era_scoped(rolls: DataFrame, area: Sequence[str], era: str = "era_name") -> DataFrame:
     """Areas under their era-scoped keys: an area seen in two eras is two rows, linked by lineage."""
     return rolls.groupBy(era, *area).agg(F.count("*").alias("rolls"))

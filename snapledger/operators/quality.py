@@ -34,14 +34,29 @@ def unique_audit(df: DataFrame, table: str, key: Sequence[str], nulls_equal: boo
     )
 
 
+def reference_orphans(
+    child: DataFrame, fk: str | Sequence[str], parent: DataFrame, parent_key: str | Sequence[str]
+) -> DataFrame:
+    """Values of a reference, of one column or several, that have no target, and the ``rows`` that hold each.
+
+    A null in any column exempts the row. Counted per value first, so a hot value is one row in the join.
+    """
+    fk, parent_key = ([k] if isinstance(k, str) else list(k) for k in (fk, parent_key))
+    whole = child.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(fk)]).dropna()
+    held = whole.groupBy(*whole.columns).agg(F.count("*").alias("rows"))
+    targets = parent.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(parent_key)]).dropna().distinct()
+    orphans = held.join(targets, held.columns[:-1], "left_anti")
+    return orphans.withColumnsRenamed({f"__k{i}": c for i, c in enumerate(fk)})
+
+
 def reference_audit(
-    child: DataFrame, table: str, fk: str, parent: DataFrame, parent_key: str
+    child: DataFrame, table: str, fk: str | Sequence[str], parent: DataFrame, parent_key: str | Sequence[str]
 ) -> DataFrame:
-    """Rows whose reference has no target. Counted per value first, so a hot value is one row."""
-    values = child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("__k")).agg(F.count("*").alias("__n"))
-    orphans = values.join(parent.select(F.col(parent_key).alias("__k")).distinct(), "__k", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("__n"), F.lit(0).cast("bigint")).alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(f"{fk} references {parent_key}").alias("rule"), "violations"
+    """Number of rows whose reference has no target."""
+    named = [k if isinstance(k, str) else f"({', '.join(k)})" for k in (fk, parent_key)]
+    orphans = reference_orphans(child, fk, parent, parent_key)
+    return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint")).alias("violations")).select(
+        F.lit(table).alias("table_name"), F.lit(f"{named[0]} references {named[1]}").alias("rule"), "violations"
     )
 
 

@@ -13,6 +13,9 @@ def _not_negative(*columns: str) -> dict[str, str]:
     return {f"{c} >= 0": f"{c} >= 0" for c in columns}
 
 
+AREA = ("state_cd", "era_name", "ac_no")
+PART = (*AREA, "part_no")
+
 # The CHECK rules, unique keys and references of the domain tables.
 NET = ("net_male", "net_female", "net_third_gender", "net_total")
 
@@ -49,6 +52,7 @@ CHECKS: dict[str, dict[str, str]] = {
         "reason only when deleted": "deletion_reason_code is null or entry_status = 'deleted'",
     },
     "summary": _not_negative(*NET, "num_modifications"),
+    "ac_lineage": {"known change": _in("change_type", fixed.CHANGES)},
     "summary_row": {
         "known ordinal": _in("row_ordinal", ("I", "II", "III", "IV")),
         "total adds up": "total = male + female + third_gender",
@@ -72,9 +76,9 @@ UNIQUE: dict[str, list[tuple[tuple[str, ...], bool]]] = {
     "state": [(("state_cd",), False)],
     "district": [(("state_cd", "district_name"), False)],
     "parliamentary_constituency": [(("state_cd", "pc_no"), False)],
-    "assembly_constituency": [(("state_cd", "ac_no"), False)],
-    "part": [(("state_cd", "ac_no", "part_no"), False)],
-    "section": [(("state_cd", "ac_no", "part_no", "section_no"), False)],
+    "assembly_constituency": [(AREA, False)],
+    "part": [(PART, False)],
+    "section": [((*PART, "section_no"), False)],
     "roll": [
         (("part_id", "year_of_revision", "roll_type", "revision_no", "language_code"), True),
         (("source_pdf_sha256",), False),
@@ -90,12 +94,41 @@ UNIQUE: dict[str, list[tuple[tuple[str, ...], bool]]] = {
     "job": [(("state_cd", "ac_no", "year", "roll_type", "language", "part_no"), False)],
 }
 
-# (child, column, parent, parent column)
-REFERENCES = [
+# table -> columns that are never null
+REQUIRED: dict[str, tuple[str, ...]] = {
+    "state": ("state_cd", "state_name"),
+    "district": ("state_cd", "district_name"),
+    "parliamentary_constituency": ("state_cd", "pc_no", "pc_name"),
+    "assembly_constituency": (*AREA, "ac_name"),
+    "part": (*PART, "num_auxiliary_stations"),
+    "section": (*PART, "section_no"),
+    "ac_lineage": ("change_type",),
+    "roll": ("roll_id", "part_id", "year_of_revision", "roll_type", "language_code"),
+    "supplement": ("roll_id", "supplement_no"),
+    "elector": ("roll_id", "serial_no", "full_name", "photo_present", "entry_status"),
+    "summary": ("roll_id",),
+    "summary_row": ("roll_id", "row_ordinal"),
+    "cover_count": ("roll_id",),
+    "person_epic": ("person_id", "epic_no"),
+    "placement": ("person_id", "roll_id", "serial_no", "match_method"),
+}
+
+# (child, column or columns, parent, its column or columns)
+REFERENCES: list[tuple[str, str | tuple[str, ...], str, str | tuple[str, ...]]] = [
+    ("assembly_constituency", ("state_cd", "district_name"), "district", ("state_cd", "district_name")),
+    ("assembly_constituency", ("state_cd", "pc_no"), "parliamentary_constituency", ("state_cd", "pc_no")),
+    ("part", AREA, "assembly_constituency", AREA),
+    ("section", PART, "part", PART),
+    ("roll", PART, "part", PART),
+    ("elector", (*PART, "section_no"), "section", (*PART, "section_no")),
+    ("elector", ("roll_id", "supplement_no"), "supplement", ("roll_id", "supplement_no")),
+    ("summary_row", ("roll_id", "supplement_no"), "supplement", ("roll_id", "supplement_no")),
+    ("placement", ("roll_id", "serial_no"), "elector", ("roll_id", "serial_no")),
+    ("ac_lineage", AREA, "assembly_constituency", AREA),
+    ("ac_lineage", tuple(f"predecessor_{c}" for c in AREA), "assembly_constituency", AREA),
     ("district", "state_cd", "state", "state_cd"),
     ("parliamentary_constituency", "state_cd", "state", "state_cd"),
     ("assembly_constituency", "state_cd", "state", "state_cd"),
-    ("roll", "part_id", "part", "part_id"),
     ("roll", "era_name", "era", "era_name"),
     ("supplement", "roll_id", "roll", "roll_id"),
     ("elector", "roll_id", "roll", "roll_id"),
@@ -117,13 +150,15 @@ def audit(tables: dict) -> "DataFrame":  # noqa: F821
     found = []
     for name, df in tables.items():
         rules = {n: e for n, e in CHECKS.get(name, {}).items() if all(w in df.columns for w in _columns(e))}
+        rules |= {f"{c} not null": f"{c} is not null" for c in REQUIRED.get(name, ()) if c in df.columns}
         if rules:
             found.append(quality.check_audit(df, name, rules))
         for key, nulls_equal in UNIQUE.get(name, []):
             if set(key) <= set(df.columns):
                 found.append(quality.unique_audit(df, name, key, nulls_equal))
     for child, fk, parent, parent_key in REFERENCES:
-        if child in tables and parent in tables and fk in tables[child].columns:
+        columns = [(fk,) if isinstance(fk, str) else fk, (parent_key,) if isinstance(parent_key, str) else parent_key]
+        if child in tables and parent in tables and {*columns[0]} <= {*tables[child].columns} and {*columns[1]} <= {*tables[parent].columns}:
             found.append(quality.reference_audit(tables[child], child, fk, tables[parent], parent_key))
     return quality.union_audits(found)
 

@@ -1,4 +1,8 @@
-"""A batch of documents -> geography, snapshot, checksum and identity tables."""
+"""A batch of documents -> geography, snapshot, checksum and identity tables.
+
+Numbers of areas, parts and sections are those of an era, the regime of boundaries that a document was published under. So the
+era is part of their keys; what is one area on the ground under two eras is two rows, and lineage tells of it.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +12,16 @@ from pyspark.sql import functions as F
 from snapledger import schemas
 from snapledger.functions import values
 from snapledger.functions.text import as_col, filled
-from snapledger.operators import identity, reconcile, resolve
+from snapledger.operators import identity, lineage as lineages, reconcile, resolve
 from snapledger.operators.groupwise import lookup
 from snapledger.plans.rolls import RollBatch
 from snapledger.session import cut
 from snapledger.sources import sinks
 
+#: The era of documents that fall into none of the eras given; their areas stay apart from all others.
+NO_ERA = "none"
+PART = ("state_cd", "era_name", "ac_no", "part_no")
+
 COVER_COLUMNS = [f.strip().split(" ")[0] for f in schemas.COVER_PAYLOAD.replace("<section_no:int,section_name:string>", "").split(", ")]
 
 
@@ -43,17 +51,32 @@ def placed(context: DataFrame, cover: DataFrame) -> DataFrame:
     ).drop("__ac")
 
 
+def dated(docs: DataFrame, eras: DataFrame) -> DataFrame:
+    """Documents with their dates and the era that their publication (else qualifying date, else revision year) falls in."""
+    docs = docs.withColumns(
+        {
+            "qualifying_date": values.iso_date("c_qualifying_date"),
+            "date_of_publication": values.iso_date("c_date_of_publication"),
+            "date_of_updation": values.iso_date("c_date_of_updation"),
+            "year_of_revision": F.coalesce("c_year_of_revision", F.lit(0)),
+        }
+    )
+    year_start = F.when(F.col("year_of_revision") > 0, F.make_date("year_of_revision", F.lit(1), F.lit(1)))
+    docs = docs.withColumn("__at", F.coalesce("date_of_publication", "qualifying_date", year_start))
+    return resolve.era_of(docs, eras, "__at").drop("__at").withColumn("era_name", F.coalesce("era_name", F.lit(NO_ERA)))
+
+
 def geography(docs: DataFrame) -> dict[str, DataFrame]:
     """Rows that a batch contributes to each dimension (folded by policy when read)."""
-    part = ["state_cd", "ac_no", "part_no"]
+    part = list(PART)
     sections = resolve.section_rows(docs.withColumn("sections", F.col("c_sections")), ["roll_id", *part])
     cover = lambda c: F.col(f"c_{c}").alias(c)
     return {
         "state": docs.select("roll_id", "state_cd", "state_name"),
-        "district": docs.select("roll_id", "state_cd", "district_name"),
+        "district": docs.select("roll_id", "state_cd", "district_name", _given(docs, "district_cd", "string")),
         "parliamentary_constituency": docs.filter("pc_no is not null").select("roll_id", "state_cd", "pc_no", "pc_name"),
         "assembly_constituency": docs.select(
-            "roll_id", "state_cd", "ac_no", "ac_name", "district_name", "pc_no",
+            "roll_id", "state_cd", "era_name", "ac_no", "ac_name", "district_name", "pc_no",
             values.reservation("c_ac_reservation").alias("reservation_status"),
         ),
         "part": docs.select(
@@ -67,55 +90,56 @@ def geography(docs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def roll_rows(docs: DataFrame, eras: DataFrame, revision_no: int | None = 1) -> DataFrame:
-    """The document rows, stamped with the era their publication (else revision year) falls in."""
-    dated = docs.withColumns(
-        {
-            "qualifying_date": values.iso_date("c_qualifying_date"),
-            "date_of_publication": values.iso_date("c_date_of_publication"),
-            "date_of_updation": values.iso_date("c_date_of_updation"),
-            "year_of_revision": F.coalesce("c_year_of_revision", F.lit(0)),
-        }
-    )
-    year_start = F.when(F.col("year_of_revision") > 0, F.make_date("year_of_revision", F.lit(1), F.lit(1)))
-    dated = dated.withColumn("__at", F.coalesce("date_of_publication", "qualifying_date", year_start))
-    return resolve.era_of(dated, eras, "__at").select(
-        "roll_id", "state_cd", "ac_no", "part_no",
-        F.concat_ws("/", "state_cd", "ac_no", "part_no").alias("part_id"), "era_name", "year_of_revision",
-        "qualifying_date", F.col("c_type_of_revision").alias("type_of_revision"), "date_of_publication",
+def _given(docs: DataFrame, name: str, kind: str):
+    """A column that the context may lack."""
+    return (F.col(name) if name in docs.columns else F.lit(None)).cast(kind).alias(name)
+
+
+def roll_rows(docs: DataFrame, revision_no: int | None = 1) -> DataFrame:
+    """The rows of ``dated`` documents."""
+    return docs.select(
+        "roll_id", *PART, F.concat_ws("/", *PART).alias("part_id"), "year_of_revision", "qualifying_date", F.col("c_type_of_revision").alias("type_of_revision"), "date_of_publication",
         "date_of_updation", F.col("c_roll_identification").alias("roll_identification"), "roll_type",
-        F.lit(revision_no).cast("int").alias("revision_no"), "language_code", "source_pdf_filename",
-        "source_pdf_sha256",
+        F.lit(revision_no).cast("int").alias("revision_no"), "language_code", _given(docs, "total_pages", "int"),
+        "source_pdf_filename", "source_pdf_sha256",
     )
 
 
 def load(
     spark: SparkSession, root: str, batch: int, result: RollBatch, cover: DataFrame, eras: DataFrame,
+    summary_rows: DataFrame | None = None, lineage: DataFrame | None = None,
 ) -> None:
-    """Writes all tables of a batch and commits its documents. Re-running a batch changes nothing."""
-    docs = cut(placed(result.context, cover))
-    rolls = roll_rows(docs, eras)
-    area = docs.select("roll_id", "state_cd", "ac_no", "part_no")
+    """Writes all tables of a batch and commits its documents. Re-running a batch replaces what it wrote.
+
+    ``eras`` don't overlap. ``summary_rows``: the component rows of printed totals, ``lineage``: edges between areas of two
+    eras, both by the declared columns. The context may also bring ``district_cd`` and ``total_pages``, entries ``marker_box``.
+    """
+    docs = cut(dated(placed(result.context, cover), eras))
+    rolls = roll_rows(docs)
+    area = docs.select("roll_id", *PART)
     flagged = resolve.has_supplement(result.summary, result.electors)
     linked = cut(resolve.supplement_link(result.electors, flagged))
     listed = geography(docs)
-    place = ["state_cd", "ac_no", "part_no"]
+    place = list(PART)
     known = listed["section"].unionByName(sinks.read_rows(spark, root, "section", batch)).select(*place, "section_no")
     known = known.distinct().withColumn("__known", F.lit(True))
     linked = lookup(lookup(linked, area, ["roll_id"], place), known, [*place, "section_no"], ["__known"])
     electors = cut(linked.select(
-        "roll_id", "state_cd", "ac_no", "part_no", F.when(F.col("__known"), F.col("section_no")).alias("section_no"),
+        "roll_id", *PART, F.when(F.col("__known"), F.col("section_no")).alias("section_no"),
         "serial_no", "epic_no", F.coalesce(F.nullif("full_name", F.lit("")), F.lit("UNKNOWN")).alias("full_name"),
         "relation_type", "relation_name", "house_number", "age", "gender", F.lit(True).alias("photo_present"),
         F.coalesce("status", F.lit("active")).alias("entry_status"), "deletion_reason_code",
-        F.col("linked_supplement_no").alias("supplement_no"), "source_page", "confidence", "flags",
+        F.col("linked_supplement_no").alias("supplement_no"),
+        F.nullif(_given(linked, "marker_box", "string"), F.lit("")).alias("modification_marker_raw"),
+        "source_page", "confidence", "flags",
     ))
     read = linked.filter("linked_supplement_no is not null").select("roll_id", F.col("linked_supplement_no").alias("supplement_no")).distinct()
-    # a change that only the totals tell of is of supplement 1
+    # a change that only the totals tell of is taken to be of supplement 1, and marked
     unread = flagged.filter("has_supplement").join(read, "roll_id", "left_anti").select("roll_id", F.lit(1).alias("supplement_no"))
+    read, unread = read.withColumn("inferred", F.lit(False)), unread.withColumn("inferred", F.lit(True))
     supplements = lookup(
         read.unionByName(unread), docs.withColumnRenamed("c_type_of_revision", "type_of_revision"), ["roll_id"], ["type_of_revision"],
-    )
+    ).select("roll_id", "supplement_no", "type_of_revision", "inferred")
     counts = ["starting_serial_no", "ending_serial_no", "net_male", "net_female", "net_third_gender", "net_total"]
     # the sequence of a document is its batch, then its id: what tier-1 identity calls "first"
     seen = electors.withColumn("ingest_seq", F.struct(F.lit(batch).alias("batch"), F.col("roll_id").alias("roll")))
@@ -129,6 +153,8 @@ def load(
             **listed,
             "supplement": supplements,
             "summary": result.summary,
+            "summary_row": _declared(spark, "summary_row", summary_rows).join(docs.select("roll_id"), "roll_id", "left_semi"),
+            "ac_lineage": _declared(spark, "ac_lineage", lineage),
             "cover_count": docs.select("roll_id", *[F.col(f"c_{c}").alias(c) for c in counts]),
             "person": persons.drop("first_roll_id"),
             "person_epic": fresh,
@@ -137,6 +163,22 @@ def load(
     )
 
 
+def _declared(spark: SparkSession, table: str, df: DataFrame | None) -> DataFrame:
+    """``df`` in the declared columns of ``table``; none: no rows."""
+    empty = spark.createDataFrame([], schemas.WAREHOUSE[table])
+    return empty if df is None else df.select(*[F.col(f.name).cast(f.dataType) for f in empty.schema.fields])
+
+
+def areas(spark: SparkSession, root: str, eras: list[str]) -> DataFrame:
+    """Areas of all eras, those first told of by lineage included, with what they inherit where their own documents are silent.
+
+    ``eras``: the names in the order of time; few, one for each redrawing of boundaries.
+    """
+    rows = sinks.read_dimension(spark, root, "assembly_constituency")
+    edges = sinks.read_rows(spark, root, "ac_lineage").distinct()
+    return lineages.inherit(rows, edges, ["state_cd", "era_name", "ac_no"], "era_name", eras, ["district_name", "pc_no", "reservation_status"])
+
+
 def register_views(spark: SparkSession, root: str) -> None:
     """The two analyst views over the committed tables, for ``spark.sql``."""
     fact = lambda t: sinks.read_facts(spark, root, t)

@@ -42,14 +42,20 @@ SAMPLES = (
     "relation_type string, relation_name string, house_number string, age int, gender string"
 )
 
-_PART = "state_cd string, ac_no int, part_no int"
+#: Numbers of areas are those of an era: one number in two eras is two areas.
+_AREA = "state_cd string, era_name string, ac_no int"
+_PART = f"{_AREA}, part_no int"
 #: The tables that a load writes; each also has the number of its batch.
 WAREHOUSE = {
     "state": "roll_id string, state_cd string, state_name string",
-    "district": "roll_id string, state_cd string, district_name string",
+    "district": "roll_id string, state_cd string, district_name string, district_cd string",
     "parliamentary_constituency": "roll_id string, state_cd string, pc_no int, pc_name string",
     "assembly_constituency": (
-        "roll_id string, state_cd string, ac_no int, ac_name string, district_name string, pc_no int, reservation_status string"
+        f"roll_id string, {_AREA}, ac_name string, district_name string, pc_no int, reservation_status string"
+    ),
+    "ac_lineage": (
+        "predecessor_state_cd string, predecessor_era_name string, predecessor_ac_no int, state_cd string, era_name string, "
+        "ac_no int, change_type string"
     ),
     "part": (
         f"roll_id string, {_PART}, main_town_or_village string, post_office string, police_station string, "
@@ -58,17 +64,23 @@ WAREHOUSE = {
     ),
     "section": f"roll_id string, {_PART}, section_no int, section_name string",
     "roll": (
-        f"roll_id string, {_PART}, part_id string, era_name string, year_of_revision int, qualifying_date date, "
+        f"roll_id string, {_PART}, part_id string, year_of_revision int, qualifying_date date, "
         "type_of_revision string, date_of_publication date, date_of_updation date, roll_identification string, "
-        "roll_type string, revision_no int, language_code string, source_pdf_filename string, source_pdf_sha256 string"
+        "roll_type string, revision_no int, language_code string, total_pages int, source_pdf_filename string, "
+        "source_pdf_sha256 string"
     ),
     "elector": (
         f"roll_id string, {_PART}, section_no int, serial_no int, epic_no string, full_name string, relation_type string, "
         "relation_name string, house_number string, age int, gender string, photo_present boolean, entry_status string, "
-        "deletion_reason_code string, supplement_no int, source_page int, confidence double, flags array<string>"
+        "deletion_reason_code string, supplement_no int, modification_marker_raw string, source_page int, confidence double, "
+        "flags array<string>"
     ),
-    "supplement": "roll_id string, supplement_no int, type_of_revision string",
+    "supplement": "roll_id string, supplement_no int, type_of_revision string, inferred boolean",
     "summary": f"roll_id string, {SUMMARY_PAYLOAD}, ending_serial_no int",
+    "summary_row": (
+        "roll_id string, row_ordinal string, row_label string, roll_type_label string, roll_identification string, "
+        "supplement_no int, male int, female int, third_gender int, total int"
+    ),
     "cover_count": (
         "roll_id string, starting_serial_no int, ending_serial_no int, net_male int, net_female int, "
         "net_third_gender int, net_total int"

@@ -87,18 +87,18 @@ def read_rows(spark: SparkSession, root: str, table: str, before: int | None = N
 # dimension -> (keys, columns whose last value counts, columns whose first value stays)
 DIMENSIONS: dict[str, tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]] = {
     "state": (("state_cd",), ("state_name",), ()),
-    "district": (("state_cd", "district_name"), (), ()),
+    "district": (("state_cd", "district_name"), (), ("district_cd",)),
     "parliamentary_constituency": (("state_cd", "pc_no"), ("pc_name",), ()),
     "assembly_constituency": (
-        ("state_cd", "ac_no"), ("ac_name",), ("district_name", "pc_no", "reservation_status"),
+        ("state_cd", "era_name", "ac_no"), ("ac_name",), ("district_name", "pc_no", "reservation_status"),
     ),
     "part": (
-        ("state_cd", "ac_no", "part_no"), (),
+        ("state_cd", "era_name", "ac_no", "part_no"), (),
         ("main_town_or_village", "post_office", "police_station", "tehsil_mandal", "block", "taluk", "pin_code",
          "polling_station_no", "polling_station_name", "polling_station_address", "polling_station_type",
          "num_auxiliary_stations"),
     ),
-    "section": (("state_cd", "ac_no", "part_no", "section_no"), (), ("section_name",)),
+    "section": (("state_cd", "era_name", "ac_no", "part_no", "section_no"), (), ("section_name",)),
 }
 
 

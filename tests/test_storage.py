@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snapledger import schemas
 from snapledger.operators import identity, manifest, quality
-from snapledger.plans import batches, rolls, warehouse
+from snapledger.plans import batches, constraints, rolls, warehouse
 from snapledger.sources import extractors, scans, sinks
 from snapledger.streaming import ledger as stream
 from tests import fixtures as fx
@@ -84,7 +84,7 @@ def test_state_run(spark, tmp_path, rows):
     assert electors.count() == 8 and electors.filter("entry_status = 'added' and supplement_no = 2").count() == 2
     assert electors.filter("serial_no = 6").first().section_no == 7
     roll = sinks.read_facts(spark, root, "roll").first()
-    assert roll.part_id == "S07/7/1" and roll.era_name == "2008 Delimitation" and str(roll.date_of_publication) == "2026-02-01"
+    assert roll.part_id == "S07/2008 Delimitation/7/1" and roll.era_name == "2008 Delimitation" and str(roll.date_of_publication) == "2026-02-01"
     ac = sinks.read_dimension(spark, root, "assembly_constituency").first()
     assert (ac.ac_name, ac.reservation_status) == ("North", "ST")
 
@@ -109,6 +109,32 @@ def test_state_run(spark, tmp_path, rows):
     assert {r.lifecycle_status for r in current} == {"active", "deceased", "shifted_out"}
 
 
+def test_one_number_in_two_eras_stays_two_areas(spark, tmp_path, rows):
+    root, ids = str(tmp_path / "w"), ("r1", "r2", "r3")
+    eras = spark.createDataFrame([("old", "2008-02-19", "2026-01-15"), ("new", "2026-01-15", None)], "era_name string, effective_from string, effective_to string")
+    eras = eras.withColumns({c: F.col(c).cast("date") for c in ("effective_from", "effective_to")})
+    dates = {"r1": "01-01-2026", "r2": "01-02-2026", "r3": None}
+    covers = [cover(spark, (r,), date_of_publication=d, year_of_revision=None, ac_reservation="SC" if r == "r1" else None) for r, d in dates.items()]
+    context = jobs(spark, ids).select("roll_id", "state_cd", "ac_no", F.lit(1).alias("part_no"), "roll_type", F.col("language").alias("language_code"),
+                                      F.col("file_name").alias("source_pdf_filename"), F.col("pdf_sha256").alias("source_pdf_sha256"))
+    payloads = spark.createDataFrame([s for r in ids for s in fx.good_roll(r)], fx.PAYLOADS)
+    result = rolls.run_rolls(context, payloads, spark.createDataFrame([fx.good_summary(r) for r in ids], fx.SUMMARY))
+    lineage = spark.createDataFrame([("S07", "old", 7, "S07", "new", 8, "renumber"), ("S07", "old", 7, "S07", "new", 7, "split")], schemas.WAREHOUSE["ac_lineage"])
+    warehouse.load(spark, root, 1, result, covers[0].unionByName(covers[1]).unionByName(covers[2]), eras, lineage=lineage)
+    assert rows(sinks.read_facts(spark, root, "roll").select("roll_id", "part_id")) == [("r1", "S07/old/7/1"), ("r2", "S07/new/7/1"), ("r3", "S07/none/7/1")]
+    for table, n in (("assembly_constituency", 3), ("part", 3), ("section", 3)):
+        assert sinks.read_dimension(spark, root, table).count() == n, table
+    assert sinks.read_facts(spark, root, "elector").select("roll_id", "era_name").distinct().count() == 3
+    found = {(r.era_name, r.ac_no): r for r in warehouse.areas(spark, root, ["old", "new"]).collect()}
+    assert {k: r.reservation_status for k, r in found.items()} == {("old", 7): "SC", ("new", 7): "SC", ("new", 8): "SC", ("none", 7): None}
+    assert found["new", 8].ac_name is None                                    # known from lineage only
+    tables = {t: sinks.read_dimension(spark, root, t) if t in sinks.DIMENSIONS else sinks.read_table(spark, root, t) for t in schemas.WAREHOUSE}
+    broken = {(r.table_name, r.rule): r.violations for r in constraints.audit(tables).collect() if r.violations}
+    assert broken == {("ac_lineage", "(state_cd, era_name, ac_no) references (state_cd, era_name, ac_no)"): 1}
+    assert sinks.read_facts(spark, root, "elector").filter("serial_no = 3").first().modification_marker_raw == "#"
+    assert rows(sinks.read_facts(spark, root, "supplement").select("supplement_no", "inferred").distinct()) == [(1, False), (2, False)]
+
+
 def test_uncommitted_rows_are_invisible(spark, tmp_path):
     root = str(tmp_path / "w")
     df = spark.createDataFrame([("r1", "S01", 1, 5)], "roll_id string, state_cd string, ac_no int, v int")

@@ -189,6 +189,25 @@ def test_audits(spark):
     assert found["roll", "known roll type"] == 0
 
 
+def test_composite_references(spark, rows):
+    child = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "a"), (1, None), (3, "z")], "k int, v string")
+    parent = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (1, "b", 0), (None, "z", 0)], "p int, q string, o int")
+    assert rows(quality.reference_orphans(child, ["k", "v"], parent, ["p", "q"])) == [(2, "a", 1), (3, "z", 1)]
+    audit = quality.reference_audit(child, "c", ["k", "v"], parent, ["p", "q"]).first()
+    assert tuple(audit) == ("c", "(k, v) references (p, q)", 2)
+    assert quality.reference_audit(child.filter("k is null"), "c", ["k", "v"], parent, ["p", "q"]).first().violations == 0
+
+
+def test_areas_inherit_along_lineage(spark):
+    areas = spark.createDataFrame([("e1", 1, "x"), ("e1", 2, "y"), ("e1", 4, "x"), ("e2", 1, None), ("e2", 5, "own"), (None, 9, None)], "era string, no int, v string")
+    edges = spark.createDataFrame([("e1", 1, "e2", 1), ("e1", 1, "e2", 2), ("e1", 2, "e2", 2), ("e1", 1, "e2", 3), ("e1", 4, "e2", 3), ("e1", 2, "e2", 5),
+                                   ("e2", 1, "e3", 1), (None, None, "e3", 7), ("e2", 3, None, None)],
+                                  "predecessor_era string, predecessor_no int, era string, no int")
+    found = {(r.era, r.no): r.v for r in lineage.inherit(areas, edges, ["era", "no"], "era", ["e1", "e2", "e3"], ["v"]).collect()}
+    assert found == {("e1", 1): "x", ("e1", 2): "y", ("e1", 4): "x", ("e2", 1): "x", ("e2", 2): None, ("e2", 3): "x", ("e2", 5): "own",
+                     ("e3", 1): "x", ("e3", 7): None, (None, 9): None}
+
+
 def test_every_declared_rule_parses(spark):
     for table, rules in constraints.CHECKS.items():
         for name, rule in rules.items():
