@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapledger.llm.batches import _SPACE, SLICE_BYTES, hash_runs, mix, slices, utf8
-from snapledger.llm.storage import stored
+from snapledger.llm.storage import discard, stored
 
 WINDOW, ANCHOR = 20, 8
+#: Bytes of text in a block, about.
+BLOCK = 1 << 20
 REACH = WINDOW - ANCHOR + 1
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: The id of rows without one: later than all others.
@@ -96,9 +98,6 @@ def _ids(column: pa.Array) -> np.ndarray:
     return column.fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-_BLOCK = "block long, texts binary, anchor long, phrase long, doc long"
-
-
 def _packed(table) -> bytes:
     """Rows as compressed Arrow bytes, so that a block of texts is written and shuffled small."""
     sink = pa.BufferOutputStream()
@@ -113,23 +112,29 @@ def _opened(packed: bytes) -> pa.RecordBatch:
 
 
 def _blocks(batches):
-    """A row with the texts of each block, and rows of the index: its anchors with a phrase (of several, two) and its first document."""
+    """A row with the texts of each block."""
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, BLOCK):
+            yield pa.record_batch([pa.array([block], pa.int64()), pa.array([_packed(part)], pa.binary())], ["block", "texts"])
+            block += 1
+
+
+def _index(batches):
+    """Rows of the index from the texts of blocks: each anchor with its phrase (of several, two) and its first document."""
+    for batch in batches:
+        for block, texts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            part = _opened(texts.as_py())
             parsed = Parsed(part.column(1))
             anchors, place = np.unique(parsed.anchor, return_inverse=True)
-            low = np.full(len(anchors), np.iinfo(np.uint64).max, np.uint64)
-            high, doc = np.zeros(len(anchors), np.uint64), np.full(len(anchors), LAST, np.int64)
-            np.minimum.at(low, place, parsed.phrase)
-            np.maximum.at(high, place, parsed.phrase)
+            phrase = (parsed.phrase >> np.uint64(32)).astype(np.int64)
+            low, high, doc = np.full(len(anchors), LAST, np.int64), np.zeros(len(anchors), np.int64), np.full(len(anchors), LAST, np.int64)
+            np.minimum.at(low, place, phrase)
+            np.maximum.at(high, place, phrase)
             np.minimum.at(doc, place, _ids(part.column(0))[parsed.phrase_text])
             two = low != high
             anchors, phrase, doc = np.concatenate([anchors, anchors[two]]), np.concatenate([low, high[two]]), np.concatenate([doc, doc[two]])
-            n = len(anchors)
-            yield pa.record_batch([pa.array([block], pa.int64()), pa.array([_packed(part)], pa.binary()), *[pa.nulls(1, pa.int64())] * 3], ["block", "texts", "anchor", "phrase", "doc"])
-            yield pa.record_batch([pa.array(np.full(n, block)), pa.nulls(n, pa.binary()), *(pa.array(x.view(np.int64)) for x in (anchors, phrase, doc))], ["block", "texts", "anchor", "phrase", "doc"])
-            block += 1
+            yield pa.record_batch([pa.array(np.full(len(anchors), block)), pa.array(anchors.view(np.int64)), pa.array(phrase.astype(np.uint32).view(np.int32)), pa.array(doc)], ["block", "anchor", "phrase", "doc"])
 
 
 def _judged(parsed: Parsed, doc: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -246,17 +251,19 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     document's own for a passage that it repeats itself, null without id). A null or empty text has no words. Other columns
     are left out; an empty table gives no rows. Windows are compared by hashes of 64 bits.
 
-    A block is about 4 MB of text. Both lookups are windows over one exchange whose rows under a key are two a block at most,
-    however many documents share a passage; the texts are shuffled once as compressed blocks, those still open once more.
+    A block is about BLOCK bytes of text. Both lookups are windows over one exchange whose rows under a key are two a block at most,
+    however many documents share a passage; the texts are shuffled once as compressed blocks, those still open once more. Two
+phrases of one anchor are told apart by 32 bits of their hashes.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    blocks = stored(rows.mapInArrow(_blocks, _BLOCK))
+    blocks = stored(rows.mapInArrow(_blocks, "block long, texts binary"))
     key = Window.partitionBy("anchor")
-    index = blocks.where("texts is null").select(
+    index = blocks.mapInArrow(_index, "block long, anchor long, phrase int, doc long").select(
         F.col("block").alias("of"), "anchor", (F.min("phrase").over(key) != F.max("phrase").over(key)).alias("several"), F.min("doc").over(key).alias("least"),
         (F.min("block").over(key) != F.max("block").over(key)).alias("shared"))
     index = index.where("shared").select("of", "anchor", "several", "least").distinct()
-    first = stored(blocks.where("texts is not null").select("block", "texts").groupBy("block").cogroup(index.groupBy("of")).applyInArrow(_whole_phrases, _SECOND))
+    first = stored(blocks.groupBy("block").cogroup(index.groupBy("of")).applyInArrow(_whole_phrases, _SECOND))
+    discard(blocks)
     key = Window.partitionBy("window")
     windows = first.where("window is not null").select(F.col("block").alias("of"), "window", F.min("first").over(key).alias("least"), F.count("*").over(key).alias("n")).where("n > 1")
     open_ = first.where("seen is not null").select("block", "texts", "seen")
