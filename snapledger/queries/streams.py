@@ -41,19 +41,47 @@ def stream_latest(spark, sf_dir):
     """,
 )
 def stream_identity(spark, sf_dir):
+    """The registry over documents that arrive era by era, each era in several files and a micro-batch of its own."""
     t = Tables(spark, sf_dir)
     rolls = t.orders.select(F.col("o_orderkey").alias("roll_id"), F.col("o_orderdate").alias("ingest_seq"))
-    lines = stream.read_stream(spark, f"{sf_dir}/lineitem.parquet", t.lineitem.schema)
-    entries = lines.select(
+    entries = t.lineitem.select(
         F.col("l_orderkey").alias("roll_id"), F.col("l_linenumber").alias("serial_no"),
         F.expr(persons.KEY).alias("epic_no"), F.expr(persons.NAME).alias("full_name"),
-    )
-    out = _folder(spark)
+    ).join(rolls, "roll_id")
+    out, year = _folder(spark), F.year("ingest_seq")
+    registry = "person_id string, epic_no string, first_roll_id bigint"
+    prepare = lambda df: df.withColumn("serial_no", F.struct("serial_no", "roll_id", "full_name"))
+    for start in sorted(r[0] for r in rolls.select(F.year("ingest_seq") - F.year("ingest_seq") % 2).distinct().collect()):
+        entries.filter((year >= start) & (year < start + 2)).repartition(3).write.mode("append").parquet(f"{out}/in")
+        stream.run_identity(stream.read_stream(spark, f"{out}/in", entries.schema), out, f"{out}/checkpoint", registry, prepare, every=2)
+    found = stream.read_identity(spark, out, registry)
+    return found["person"].join(found["placement"].groupBy("person_id").agg(F.count("*").alias("placements")), "person_id")
 
-    def prepare(df):
-        return df.join(rolls, "roll_id").withColumn("serial_no", F.struct("serial_no", "roll_id", "full_name"))
 
-    registry = "person_id string, epic_no string, first_roll_id bigint"
-    stream.run_identity(entries, out, f"{out}/checkpoint", registry, prepare)
-    placed = spark.read.parquet(f"{out}/placement").groupBy("person_id").agg(F.count("*").alias("placements"))
-    return spark.read.parquet(f"{out}/person").drop("batch").join(placed, "person_id")
+LATE = "event_id % 5 = 0"
+
+
+@query(
+    "stream_attempts",
+    f"""
+    with half as (select min(ts) + (max(ts) - min(ts)) / 2 as h from events),
+    first as (select e.* from events e, half where ts < h and not {LATE}),
+    mark as (select max(ts) - interval 3 day as w from first),
+    counted as (select user_id, event_type from first union all
+      select user_id, event_type from events, half, mark where (ts >= h or {LATE}) and ts >= w)
+    select user_id, count(*) filter (where event_type = 'click') as attempts from counted group by 1
+    """,
+)
+def stream_attempts(spark, sf_dir):
+    """Attempts from events that arrive twice or late: each counts once, and those over three days late do not count."""
+    e = Tables(spark, sf_dir).events.withColumn("ts", F.col("ts").cast("timestamp"))
+    ends = e.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    half = ends.select((F.col("a") + (F.col("b") - F.col("a")) / 2).alias("h")).first()["h"]
+    before, out = F.col("ts") < F.lit(half), _folder(spark)
+    first = e.filter(before & ~F.expr(LATE))
+    recent = first.filter(F.col("event_id") % 3 == 0)
+    for part in (first.unionByName(recent), e.filter(~before | F.expr(LATE)).unionByName(recent)):
+        part.repartition(2).write.mode("append").parquet(f"{out}/in")
+        events = stream.read_stream(spark, f"{out}/in", e.schema)
+        stream.run_attempts(events, ["user_id"], "event_id", "ts", "3 days", F.col("event_type") == "click", f"{out}/counts", f"{out}/checkpoint")
+    return stream.read_latest_state(spark, f"{out}/counts", ["user_id"])
