@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.storage import stored
+from snapledger.llm.storage import discard, stored
 
 
 def _parents(edges: DataFrame) -> DataFrame:
@@ -15,9 +15,10 @@ def _parents(edges: DataFrame) -> DataFrame:
     while True:
         above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
         lifted = stored(parents.join(above, "parent").select("node", F.col("grand").alias("parent"), (F.col("grand") != F.col("parent")).alias("moved")))
-        parents = lifted.select("node", "parent")
+        discard(parents)
+        parents = lifted
         if lifted.where("moved").isEmpty():
-            return parents
+            return lifted
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,11 +35,13 @@ def components(edges: DataFrame) -> DataFrame:
     while found is None or not left.isEmpty():
         parents = _parents(left)
         if found is None:
-            found = parents.select("node", F.col("parent").alias("component"))
+            found = stored(parents.select("node", F.col("parent").alias("component")))
         else:
-            step = parents.select(F.col("node").alias("component"), "parent")
-            found = stored(found.join(step, "component", "left").select("node", F.coalesce("parent", "component").alias("component")))
+            step, last = parents.select(F.col("node").alias("component"), "parent"), found
+            found = stored(last.join(step, "component", "left").select("node", F.coalesce("parent", "component").alias("component")))
+            discard(last)
         ends = left.join(parents.select(F.col("node").alias("a"), F.col("parent").alias("x")), "a").select("b", "x")
         ends = ends.join(parents.select(F.col("node").alias("b"), F.col("parent").alias("y")), "b")
-        left = stored(between(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+        past, left = left, stored(between(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+        discard(past, parents)
     return found

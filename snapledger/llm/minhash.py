@@ -7,7 +7,7 @@ of ERRORS symbols left out, and all pairs under that distance meet under an equa
 
 Documents of one shingle set are one class. Within a key, each class is confirmed against the key's smallest class first, so
 that a group of copies gives as many pairs as it has members, not their square. What these links leave in different components
-under a common key is then compared completely, in blocks of bounded size, so that no link is lost.
+under a common key is then compared completely, signatures before sets and in blocks of bounded size, so that no link is lost.
 """
 
 from __future__ import annotations
@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from snapledger.llm.batches import mix, slices, texts_of
 from snapledger.llm.graph import components
 from snapledger.llm.shingles import shingle_sets, signatures
-from snapledger.llm.storage import stored
+from snapledger.llm.storage import discard, stored
 
 CHUNKS, WIDTH, ERRORS = 11, 5, 1
 SYMBOLS = CHUNKS * WIDTH
-#: Rows of a block in the complete comparison under one key; a task holds two blocks at a time.
-BLOCK = 256
+#: Rows and bytes of sets of a block in the complete comparison under one key, about; a task holds two blocks at a time.
+SIGNED, BLOCK_BYTES = 4096, 8 << 20
+#: Signatures that differ in more symbols are not compared further; a link at similarity 0.8 does with probability 7e-8.
+MOST = 28
 SLICE = 2 << 20
 
 
@@ -112,61 +114,93 @@ def runs(batches, key: list[str]):
         yield pa.Table.from_batches(held)
 
 
-def _common(sets: list[np.ndarray]) -> np.ndarray:
-    """How many members each pair of sets has in common."""
-    member, place = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    several = np.bincount(place, minlength=len(member)) > 1
-    number = np.cumsum(several) - 1
-    own = several[place]
-    owner, place = owner[own], number[place[own]]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    width = max(1, (4 << 20) // len(sets))
-    order = np.argsort(place, kind="stable")
-    owner, place = owner[order], place[order]
-    for low in range(0, int(several.sum()), width):
-        lo, hi = np.searchsorted(place, [low, low + width])
-        matrix = np.zeros((len(sets), width), np.float32)
-        matrix[owner[lo:hi], place[lo:hi] - low] = 1
-        out += matrix @ matrix.T
-    return out
-
-
-def _compare(batches):
-    """Pairs (a, b) of different components under one key whose short sets are nearly as similar as is asked; a margin of 1 %."""
-    gathered: list[np.ndarray] = []
+def _groups(batches):
+    """Of each key and pair of blocks: classes, components, signatures, all columns, and whether two rows are to be compared, by row."""
     for table in runs(batches, ["key", "low", "high"]):
         if table.num_rows < 2:
             continue
         table = table.combine_chunks()
         name, part, block = (table.column(c).to_numpy() for c in ("class", "component", "block"))
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, SYMBOLS)
+        apart = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+        yield name, part, block if apart else np.arange(len(name)), signature, table
+
+
+def _near(batches):
+    """(key, class) of the rows that have one of another component within MOST symbols under their key."""
+    for name, part, block, signature, table in _groups(batches):
+        active = np.zeros(len(name), bool)
+        for k in range(len(name) - 1):
+            other = np.flatnonzero((part[k + 1:] != part[k]) & (block[k + 1:] != block[k])) + k + 1
+            if len(other):
+                other = other[(signature[other] != signature[k]).sum(axis=1) <= MOST]
+                active[other] = True
+                active[k] |= len(other) > 0
+        yield pa.record_batch([table.column("key").combine_chunks().filter(pa.array(active)), pa.array(name[active])], ["key", "class"])
+
+
+def _compare(batches):
+    """Pairs (a, b) of different components under one key whose short sets are as similar as is asked, or but for a margin of 1 %.
+
+    What a pair surely links is one component from then on, so that a group of near copies gives few pairs.
+    """
+    gathered: list[tuple[int, int]] = []
+    for name, part, block, signature, table in _groups(batches):
         sets = [np.frombuffer(x, "<u4") for x in table.column("short").to_pylist()]
-        common = _common(sets)
         size = np.array([len(s) for s in sets])
-        near = 100 * common >= (table.column("percent")[0].as_py() - 1) * (size[:, None] + size - common)
-        near &= (part[:, None] != part) & (name[:, None] < name)
-        if table.column("low")[0].as_py() != table.column("high")[0].as_py():
-            near &= block[:, None] != block
-        a, b = np.nonzero(near)
-        gathered.append(np.unique(np.column_stack([name[a], name[b]]), axis=0))
-        if len(gathered) > 4000:
-            gathered = [np.unique(np.concatenate(gathered), axis=0)]
-    pairs = np.unique(np.concatenate(gathered), axis=0) if gathered else np.zeros((0, 2), np.int64)
+        first = np.concatenate([[0], np.cumsum(size)])
+        member, place = np.unique(np.concatenate(sets), return_inverse=True)
+        flag, percent, root = np.zeros(len(member), bool), table.column("percent")[0].as_py(), part.copy()
+        for k in range(len(name) - 1):
+            other = np.flatnonzero((root[k + 1:] != root[k]) & (block[k + 1:] != block[k])) + k + 1
+            if len(other):
+                other = other[(signature[other] != signature[k]).sum(axis=1) <= MOST]
+            if not len(other):
+                continue
+            flag[place[first[k]:first[k + 1]]] = True
+            for j in other.tolist():
+                if root[j] != root[k]:
+                    common = 100 * int(np.count_nonzero(flag[place[first[j]:first[j + 1]]]))
+                    both = int(size[k] + size[j]) - common // 100
+                    if common >= (percent - 1) * both:
+                        gathered.append((min(name[k], name[j]), max(name[k], name[j])))
+                    if common >= (percent + 1) * both:
+                        root[root == root[j]] = root[k]
+            flag[place[first[k]:first[k + 1]]] = False
+        if len(gathered) > 100_000:
+            gathered = list(set(gathered))
+    pairs = np.array(sorted(set(gathered)), np.int64).reshape(-1, 2)
     yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def _rest(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs under a common key that are still in different components, compared in blocks."""
-    labelled = stored(shared.join(labels.withColumnRenamed("node", "class"), "class", "left").select("key", "class", F.coalesce("component", "class").alias("component")))
+def _dealt(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The rows under each key of ``blocks`` (key, blocks) by pairs of blocks, those of a pair together and in order; most keys have one block."""
+    rows = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(*(c for c in rows.columns if c not in ("blocks", "other")), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+
+def _rest(shared: DataFrame, classes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs under a common key that are still in different components, compared completely.
+
+    Signatures first, in blocks of SIGNED rows; only rows that have another one near them take their sets along, in blocks of
+    so many rows or bytes.
+    """
+    sized = classes.select("class", "signature", "n_shingles").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    sized = sized.select("class", "signature", "n_shingles", F.coalesce("component", "class").alias("component"))
+    labelled = stored(shared.select("key", "class").join(sized, "class"))
     keys = labelled.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("first"), F.max("component").alias("last"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("members"))
     # of the keys that hold the same classes one is enough
-    open_ = stored(keys.where("first != last").groupBy("members", "rows").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")))
-    rows = labelled.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class", "component", F.lit(percent).alias("percent"))
-    held = stored(rows).join(sets.select("class", "short"), "class")
-    dealt = held.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return dealt.mapInArrow(_compare, "a long, b long").distinct()
+    open_ = keys.where("first != last").groupBy("members", "rows").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("rows") / SIGNED).cast("int").alias("blocks"))
+    active = stored(_dealt(labelled.drop("n_shingles"), stored(open_)).mapInArrow(_near, "key long, class long").distinct())
+    held = labelled.join(active, ["key", "class"], "left_semi")
+    needed = F.greatest(F.ceil(F.count("*") / SIGNED), F.ceil(F.sum(4 * F.col("n_shingles")) / BLOCK_BYTES)).cast("int")
+    again = held.groupBy("key").agg(needed.alias("blocks"))
+    rows = stored(held.drop("n_shingles")).join(sets.select("class", "short"), "class").withColumn("percent", F.lit(percent))
+    pairs = stored(_dealt(rows, again).mapInArrow(_compare, "a long, b long").distinct())
+    discard(labelled, active)
+    return pairs
 
 
 def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -181,7 +215,7 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = texts_of(df, id_col, text_col)
     signed = stored(_signed(rows, words))
-    grouped = signed.where("n_shingles > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("class"), F.first("signature").alias("signature"))
+    grouped = signed.where("n_shingles > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("class"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
     classes = stored(grouped)
     keys = _keys(classes)
     several = keys.groupBy("key").agg(F.min("class").alias("leader"), F.max("class").alias("last")).where("leader < last").select("key", "leader")
@@ -192,9 +226,10 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pairs = shared.where("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
     links = stored(_confirmed(pairs, sets, percent))
     labels = components(links)
-    more = stored(_confirmed(_rest(shared, labels, sets, percent), sets, percent))
+    more = stored(_confirmed(_rest(shared, classes, labels, sets, percent), sets, percent))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
+    discard(shared, sets)
     found = signed.join(classes.select("name", "class"), "name", "left").join(labels.withColumnRenamed("node", "class"), "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "class", "doc_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
