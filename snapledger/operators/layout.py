@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from snapledger.functions import fixed, values
 from snapledger.functions.text import after_colon, contains_any, group, strip, strip_label, to_int, without_blanks
 from snapledger.operators.groupwise import attach, first_by, lookup
-from snapledger.operators.ordered import carry_forward, following, gap_sessions, previous, running_sum, upper_median
+from snapledger.operators.ordered import carry_forward, following, gap_sessions, previous, upper_median
 from snapledger.session import cut
 
 IMAGE = "image_id"
@@ -224,39 +224,70 @@ def serial_votes(rows: DataFrame) -> DataFrame:
     )
 
 
+#: Links that one step composes.
+LINKS = 64
+
+
+def _through(step: int):
+    """What a link makes of the base before it: its option nearest to the expected one, the first of equals, decides."""
+    def through(state, link):
+        expected = state["b"] + (step * (link["r"] - state["r"])).cast("int")
+        near = F.array_min(F.transform(link["options"], lambda o, i: F.struct(F.abs(o - expected).alias("d"), i.alias("i"))))
+        return F.get(link["outs"], near["i"])
+
+    return through
+
+
+def fold_rows(rows: DataFrame, keys: list[str], step: int) -> DataFrame:
+    """Base ``b`` of each row (``keys``, ``at``, ``options``): of its options the one nearest to the base before + step for each row since.
+
+    ``at`` counts from 0 or more; the first row of a key has one option. A run of rows is a function: it maps the option that
+    its first row takes to the base of its last. Such functions compose, so LINKS rows become one link, LINKS links the next,
+    up to one link per key; then the bases that come in are handed down again. No list is longer than LINKS, and the number
+    of rounds is the logarithm of the longest key.
+    """
+    state = "struct<r:bigint,b:int>"
+    through = _through(step)
+    outs = F.transform("options", lambda o: F.struct(F.col("at").cast("bigint").alias("r"), o.cast("int").alias("b")))
+    link = F.struct(F.col("at").cast("bigint").alias("r"), F.transform("options", lambda o: o.cast("int")).alias("options"), outs.alias("outs"))
+    levels = [cut(rows.select(*keys, F.col("at").cast("bigint").alias("at"), link.alias("link")))]
+    groups = []
+    last = levels[0].agg(F.max("at")).first()[0] or 0
+    while last > 0:
+        group = levels[-1].groupBy(*keys, F.floor(F.col("at") / LINKS).alias("at")).agg(F.array_sort(F.collect_list(F.struct("at", "link"))).alias("links"))
+        group = cut(group.withColumn("links", F.transform("links", lambda x: F.struct(x["link"]["r"].alias("r"), x["link"]["options"].alias("options"),
+                                                                                         x["link"]["outs"].alias("outs"), x["at"].alias("at")))))
+        rest = F.slice("links", 2, LINKS)
+        whole = F.transform(F.get("links", F.lit(0))["outs"], lambda out: F.aggregate(rest, out, through))
+        first = F.get("links", F.lit(0))
+        groups.append(group)
+        levels.append(cut(group.select(*keys, "at", F.struct(first["r"].alias("r"), first["options"].alias("options"), whole.alias("outs")).alias("link"))))
+        last //= LINKS
+    entering = levels[-1].select(*keys, "at", F.lit(None).cast(state).alias("before"))
+    for group in reversed(groups):
+        both = group.join(entering, [*keys, "at"])
+        start = F.struct(F.array().cast(f"array<struct<at:bigint,before:{state}>>").alias("done"), F.col("before").alias("state"))
+        walked = F.aggregate("links", start, lambda acc, x: F.struct(
+            F.concat(acc["done"], F.array(F.struct(x["at"].alias("at"), acc["state"].alias("before")))).alias("done"), through(acc["state"], x).alias("state")))
+        entering = both.select(*keys, F.inline(walked["done"]))
+    settled = levels[0].join(entering, [*keys, "at"])
+    return settled.select(*keys, "at", through(F.col("before"), F.col("link"))["b"].alias("b"))
+
+
 def serial_bases(rows: DataFrame, step: int = 3, rows_per_block: int = 1024) -> DataFrame:
     """Base of every grid row: the majority, else on a tie the one nearest to the row before + step.
 
-    Rows with one winner, and the first row of an image that has any, do not depend on the rows
-    before them. They cut an image into runs; only the tied rows inside a run are folded in
-    order. A row without votes continues its predecessor. Rows before the first vote have no base.
+    The first row of an image that has votes takes its first winner. A row without votes continues
+    its predecessor. Rows before the first vote have no base.
     """
     votes = cut(serial_votes(rows))
     all_rows = rows.select(IMAGE, "grid_row").distinct()
     image_block = F.floor(F.col("grid_row") / rows_per_block)
     firsts = votes.groupBy(IMAGE).agg(F.min("grid_row").alias("__first"))
     voted = lookup(votes, firsts, [IMAGE], ["__first"])
-    fixed_base = F.when((F.size("winners") == 1) | (F.col("grid_row") == F.col("__first")), F.col("winners")[0])
-    voted = voted.withColumn("sure", fixed_base)
-    runs = running_sum(
-        voted, [IMAGE], ["grid_row"], F.col("sure").isNotNull().cast("int"), image_block, "run"
-    )
-    start = F.struct(F.lit(0).cast("bigint").alias("r"), F.lit(0).alias("b"))
-    link = F.struct(F.col("grid_row").alias("r"), "sure", "winners")
-
-    def settle(done, row):
-        last = F.element_at(done, -1)
-        expected = last["b"] + (step * (row["r"] - last["r"])).cast("int")
-        near = F.array_min(
-            F.transform(row["winners"], lambda w, i: F.struct(F.abs(w - expected).alias("d"), i.alias("i"), w.alias("w")))
-        )["w"]
-        base = F.coalesce(row["sure"], near)
-        return F.concat(done, F.array(F.struct(row["r"].alias("r"), base.alias("b"))))
-
-    # a run: one sure row and the tied rows up to the next sure one
-    folded = runs.groupBy(IMAGE, "run").agg(F.array_sort(F.collect_list(link)).alias("links"))
-    settled = folded.select(IMAGE, F.explode(F.aggregate("links", F.array(start), settle)).alias("s")).filter("s.r > 0")
-    known = settled.select(IMAGE, F.col("s.r").alias("grid_row"), F.col("s.b").alias("b"))
+    options = F.when(F.col("grid_row") == F.col("__first"), F.slice("winners", 1, 1)).otherwise(F.col("winners"))
+    folded = fold_rows(voted.select(IMAGE, F.col("grid_row").alias("at"), options.alias("options")), [IMAGE], step)
+    known = folded.select(IMAGE, F.col("at").alias("grid_row"), "b")
     anchored = lookup(all_rows, known, [IMAGE, "grid_row"], ["b"])
     last = F.when(F.col("b").isNotNull(), F.struct(F.col("grid_row").alias("r"), "b"))
     carried = carry_forward(anchored, [IMAGE], ["grid_row"], last, image_block, "__k")

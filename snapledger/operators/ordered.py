@@ -3,8 +3,9 @@
 A window over ``(keys) order by (order)`` sorts a whole group in one task. Each function here
 takes ``block``: a column that never decreases along the order within a key (a page range, an
 hour). Rows are scanned per ``(keys, block)``; one summary row per block is scanned per key; and
-the two results are joined. The answer equals the plain window, rows per task are bounded by the
-block. ``keys`` must be non-null, ``order`` total within a key.
+the two results are joined. The answer equals the plain window. Blocks with more than TARGET rows
+are cut further along the order, so no task scans many more than that, however the rows lie.
+``keys`` must be non-null, ``order`` total within a key.
 """
 
 from __future__ import annotations
@@ -17,17 +18,36 @@ from pyspark.sql import functions as F
 from snapledger.operators.groupwise import lookup
 
 BLOCK = "__block"
+#: Rows of a block, about, and marks that are drawn from as many rows to place its cuts.
+TARGET, MARKS = 1 << 20, 64
 
 
 def _order(order: Sequence[str]) -> Column:
     return F.struct(*order)
 
 
+def bounded(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column) -> DataFrame:
+    """``df`` with BLOCK: (the given block, its part), in order; a part has about TARGET rows at most.
+
+    Counts per key and block, with marks at rows that a hash of key and order draws, so at the same ones whenever it runs.
+    Blocks that are too large are cut at every MARKS-th mark; these few cuts are joined to their rows.
+    """
+    rows = df.withColumn("__whole", block)
+    drawn = F.pmod(F.xxhash64(*keys, *order), F.lit(max(1, TARGET // MARKS))) == 0
+    counts = rows.groupBy(*keys, "__whole").agg(
+        F.count("*").alias("__n"), F.array_sort(F.collect_list(F.when(drawn, _order(order)))).alias("__marks"))
+    places = F.when(F.size("__marks") > MARKS, F.sequence(F.lit(MARKS), F.size("__marks") - 1, F.lit(MARKS)))
+    cuts = counts.filter(F.col("__n") > TARGET).select(*keys, "__whole", F.transform(places, lambda i: F.get("__marks", i)).alias("__cuts"))
+    out = lookup(rows, cuts, [*keys, "__whole"], ["__cuts"])
+    part = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= _order(order))), F.lit(0))
+    return out.withColumn(BLOCK, F.struct("__whole", F.greatest(part, F.lit(0)).alias("part"))).drop("__whole", "__cuts")
+
+
 def carry_forward(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, block: Column, name: str
 ) -> DataFrame:
     """Last non-null ``value`` up to and including the current row."""
-    rows = df.withColumn(BLOCK, block).withColumn("__v", value)
+    rows = bounded(df, keys, order, block).withColumn("__v", value)
     per_block = [*keys, BLOCK]
     last = F.max_by("__v", F.when(F.col("__v").isNotNull(), _order(order)))
     blocks = rows.groupBy(*per_block).agg(last.alias("__last"))
@@ -43,7 +63,7 @@ def _neighbour(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dict[str, Column], block: Column, step: int
 ) -> DataFrame:
     per_block = [*keys, BLOCK]
-    rows = df.withColumn(BLOCK, block).withColumn("__v", F.struct(*[c.alias(n) for n, c in cols.items()]))
+    rows = bounded(df, keys, order, block).withColumn("__v", F.struct(*[c.alias(n) for n, c in cols.items()]))
     edge = F.max_by("__v", _order(order)) if step > 0 else F.min_by("__v", _order(order))
     ends = rows.groupBy(*per_block).agg(edge.alias("__edge"))
     along = Window.partitionBy(*keys).orderBy(BLOCK)
@@ -74,7 +94,7 @@ def running_sum(
 ) -> DataFrame:
     """Sum of ``value`` from the start of the group to the current row (bigint)."""
     per_block = [*keys, BLOCK]
-    rows = df.withColumn(BLOCK, block).withColumn("__v", value.cast("bigint"))
+    rows = bounded(df, keys, order, block).withColumn("__v", value.cast("bigint"))
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy(*per_block).agg(F.sum("__v").alias("__sum"))
     offsets = sums.select(*per_block, F.sum("__sum").over(before).alias("__in"))
@@ -85,6 +105,11 @@ def running_sum(
     return out.withColumn(name, total).drop("__v", "__own", "__in", BLOCK)
 
 
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, name: str) -> DataFrame:
+    """Number of each row within its key, from 1: counts per block give the offset, rows are numbered within their block."""
+    return running_sum(df, keys, order, F.lit(1), block, name)
+
+
 def gap_sessions(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], new_when: Column, block: Column, name: str
 ) -> DataFrame:
@@ -102,7 +127,7 @@ def order_statistic(
     ``width`` finds the one range holding the rank, and only that range is sorted.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__c"))
-    counts = counts.withColumn(BLOCK, F.floor(F.col(value) / F.lit(float(width))))
+    counts = bounded(counts, keys, [value], F.floor(F.col(value) / F.lit(float(width))))
     coarse = counts.groupBy(*keys, BLOCK).agg(F.sum("__c").alias("__s"))
     # one row per value range: few enough to scan per key
     along = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)

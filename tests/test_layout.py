@@ -174,3 +174,30 @@ def test_cover(spark):
     assert [tuple(s) for s in r.sections] == [(1, "East"), (2, "West side")]
     assert (r.starting_serial_no, r.ending_serial_no, r.net_male, r.net_female, r.net_third_gender, r.net_total) == (
         1, 100, 50, 40, 0, 90)                                            # the first token of a column wins
+
+
+def test_a_fold_of_tied_rows_equals_the_loop(spark, rows):
+    import random
+    rnd = random.Random(3)
+    data = {}
+    for image, n in (("a", 1), ("b", 64), ("c", 65), ("d", 5000), ("e", 300)):
+        at = sorted(rnd.sample(range(2 * n), n))
+        data[image] = [(r, [rnd.randrange(40) + 3 * r for _ in range(1 if k == 0 or rnd.random() < 0.02 else rnd.choice([1, 2, 3]) if image == "e" else 3)]) for k, r in enumerate(at)]
+    want = []
+    for image, links in data.items():
+        before = None
+        for r, options in links:
+            expected = None if before is None else before[1] + 3 * (r - before[0])
+            base = options[0] if expected is None else min((abs(o - expected), i, o) for i, o in enumerate(options))[2]
+            want.append((image, r, base))
+            before = (r, base)
+    frame = spark.createDataFrame([(i, r, o) for i, links in data.items() for r, o in links], "image_id string, at long, options array<int>")
+    assert rows(layout.fold_rows(frame, ["image_id"], 3)) == sorted(want, key=repr)
+    assert layout.fold_rows(frame.limit(0), ["image_id"], 3).count() == 0
+
+
+def test_a_million_rows_that_all_tie(spark):
+    """Two bases tie in every row; the first row takes the first one, and every row after it the one that continues it."""
+    frame = spark.range(1_000_000).selectExpr("'i' as image_id", "id as at", "case when id = 0 then array(5) else array(cast(3 * id + 900 as int), cast(3 * id + 5 as int)) end as options")
+    found = layout.fold_rows(frame, ["image_id"], 3)
+    assert found.filter("b = 3 * at + 5").count() == 1_000_000
