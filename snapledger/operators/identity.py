@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.operators.groupwise import first_by, lookup
-from snapledger.operators.ordered import previous
+from snapledger.operators.ordered import positions, previous
 from snapledger.functions.values import lifecycle
 from snapledger.session import cut
 
@@ -149,16 +149,16 @@ def trigrams(c: Column | str) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(3))))
 
 
-def similar_names(
+def name_pairs(
     left: DataFrame, right: DataFrame, block: Sequence[str], name: str, threshold: float
 ) -> DataFrame:
-    """Best ``right`` name for each ``left`` name of the same block, by trigram Jaccard >= threshold.
+    """All ``right`` names for each ``left`` name of the same block, by trigram Jaccard >= threshold.
 
     Works on distinct (block, name) pairs, so copies cost nothing. Two sets that reach the
     threshold must share one of the rarest ``n - ceil(t * n) + 1`` trigrams of each (prefix
     filter), so only names that share a rare trigram and are near in size are ever compared;
-    the filter loses no match. Ties go to the smaller name. A score counts as rounded to 3 places;
-    all is decided on integers, by the least fraction that is rounded up to the threshold.
+    the filter loses no match. A score counts as rounded to 3 places; all is decided on integers,
+    by the least fraction that is rounded up to the threshold; ``milli`` is the score in thousandths.
     """
     least, scale = max(1, 2 * ceil(Fraction(str(threshold)) * 1000) - 1), 2000
     keys = [*block, name]
@@ -189,11 +189,24 @@ def similar_names(
     pairs = pairs.join(full("l"), [*block, "__l"]).join(full("r"), [*block, "__r"])
     common = F.size(F.array_intersect("__l_set", "__r_set"))
     union = F.col("__l_n") + F.col("__r_n") - common
-    scored = pairs.filter(common * scale >= union * least).select(
-        *block, F.col("__l").alias(name), F.col("__r").alias("matched_name"), F.round(common / union, 3).alias("score")
+    return pairs.filter(common * scale >= union * least).select(
+        *block, F.col("__l").alias(name), F.col("__r").alias("matched_name"), F.round(common / union, 3).alias("score"),
+        _thousandths(common, union).alias("milli"),
     )
+
+
+def _thousandths(part: Column, whole: Column) -> Column:
+    """``part / whole`` in thousandths, rounded half up, in integers."""
+    return F.floor((2000 * part + whole) / (2 * whole)).cast("int")
+
+
+def similar_names(
+    left: DataFrame, right: DataFrame, block: Sequence[str], name: str, threshold: float
+) -> DataFrame:
+    """Best ``right`` name for each ``left`` name of the same block (see ``name_pairs``). Ties go to the smaller name."""
+    scored = name_pairs(left, right, block, name, threshold).drop("milli")
     return first_by(
-        scored, keys, [F.col("score").desc(), F.col("matched_name").asc()]
+        scored, [*block, name], [F.col("score").desc(), F.col("matched_name").asc()]
     )
 
 
@@ -203,3 +216,98 @@ def fuzzy_match(
     """Rows without a key next to the most similar person name of their block (nulls: no match)."""
     best = similar_names(rows, persons, block, name, threshold)
     return lookup(rows, best, [*block, name], ["matched_name", "score"])
+
+
+# Weights of the fields of a tier-2 match, in thousandths. A field that is missing on a side adds nothing.
+WEIGHTS = {"name": 500, "relation": 200, "house": 150, "age": 150}
+
+
+def _profile(columns: Sequence[str]) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+
+
+def profile_pairs(
+    entries: DataFrame, persons: DataFrame, block: Sequence[str], fields: dict[str, str], threshold: int,
+) -> DataFrame:
+    """(l, r, score): profiles of entries and persons of one block whose weighted score reaches ``threshold`` (both in millionths).
+
+    A profile is the block with the four fields; equal ones are compared once. Name and relation count by trigrams, the house if
+    it is equal but for case and blanks, the age in full within a year and by half within two. What the other fields can add
+    at most gives the least name score a match needs, so names are compared under that threshold and no match is lost.
+    """
+    columns = [*block, *fields.values()]
+    own = {role: F.col(c) for role, c in fields.items()}
+    rest = 1000 * sum(w for role, w in WEIGHTS.items() if role != "name")
+    least = max(0, -(-(threshold - rest) // WEIGHTS["name"])) / 1000
+    lefts, rights = (df.select(*columns).distinct().withColumn("__p", _profile(columns)) for df in (entries, persons))
+    names = name_pairs(lefts, rights, block, fields["name"], least).select(*block, fields["name"], "matched_name", F.col("milli").alias("__name"))
+    keyed = names.join(lefts, [*block, fields["name"]])
+    other = rights.select(*block, F.col(fields["name"]).alias("matched_name"), F.col("__p").alias("r"),
+                          *[F.col(fields[f]).alias(f"__{f}") for f in ("relation", "house", "age")])
+    both = keyed.join(other, [*block, "matched_name"])
+    a, b = trigrams(fields["relation"]), trigrams("__relation")
+    common = F.size(F.array_intersect(a, b))
+    relation = F.when(own["relation"].isNotNull() & F.col("__relation").isNotNull(), _thousandths(common, F.size(a) + F.size(b) - common))
+    plain = lambda c: F.lower(F.regexp_replace(c.cast("string"), r"\s+", ""))
+    house = F.when(plain(own["house"]) == plain(F.col("__house")), 1000)
+    years = F.abs(own["age"] - F.col("__age"))
+    age = F.when(years <= 1, 1000).when(years <= 2, 500)
+    score = WEIGHTS["name"] * F.col("__name")
+    for role, part in (("relation", relation), ("house", house), ("age", age)):
+        score = score + WEIGHTS[role] * F.coalesce(part, F.lit(0))
+    return both.select(F.col("__p").alias("l"), "r", score.cast("int").alias("score")).filter(F.col("score") >= threshold)
+
+
+def assign(pairs: DataFrame, lefts: DataFrame, rights: DataFrame, scope: str) -> DataFrame:
+    """One-to-one assignment within each ``scope``: the pairs taken best first (score, then l, then r), each side until it is used up.
+
+    ``pairs``: scope, l, r, score; ``lefts`` and ``rights``: scope, l or r, and ``n``, how many stand for it. Returns scope, l, r,
+    score, ``n`` taken, and ``l_from`` and ``r_from``, the numbers of each side taken before. Pairs that are each other's best
+    are taken at once, so rounds are few; each ends with tables in the shared folder.
+    """
+    left = cut(lefts.select(scope, "l", F.col("n").alias("l_left"), F.lit(0).cast("bigint").alias("l_from")))
+    right = cut(rights.select(scope, "r", F.col("n").alias("r_left"), F.lit(0).cast("bigint").alias("r_from")))
+    open_, taken = cut(pairs), None
+    while not open_.isEmpty():
+        best_l = open_.groupBy(scope, "l").agg(F.min(F.struct(-F.col("score"), "r"))["r"].alias("r"))
+        best_r = open_.groupBy(scope, "r").agg(F.min(F.struct(-F.col("score"), "l"))["l"].alias("l"))
+        both = open_.join(best_l, [scope, "l", "r"], "left_semi").join(best_r, [scope, "l", "r"], "left_semi")
+        now = cut(both.join(left, [scope, "l"]).join(right, [scope, "r"]).select(
+            scope, "l", "r", "score", F.least("l_left", "r_left").alias("n"), "l_from", "r_from"))
+        taken = now if taken is None else taken.unionByName(now)
+        left = cut(_used(left, now, scope, "l"))
+        right = cut(_used(right, now, scope, "r"))
+        open_ = cut(open_.join(left.filter("l_left > 0"), [scope, "l"], "left_semi").join(right.filter("r_left > 0"), [scope, "r"], "left_semi"))
+    return open_.limit(0).withColumns({c: F.lit(0).cast("bigint") for c in ("n", "l_from", "r_from")}) if taken is None else taken
+
+
+def _used(side: DataFrame, now: DataFrame, scope: str, tag: str) -> DataFrame:
+    gone = now.select(scope, tag, F.col("n").alias("__n"))
+    out = lookup(side, gone, [scope, tag], ["__n"])
+    used = F.coalesce("__n", F.lit(0))
+    return out.select(scope, tag, (F.col(f"{tag}_left") - used).alias(f"{tag}_left"), (F.col(f"{tag}_from") + used).alias(f"{tag}_from"))
+
+
+def place_fuzzy(
+    entries: DataFrame, persons: DataFrame, block: Sequence[str], fields: dict[str, str], threshold: float = 0.75,
+    roll: str = "roll_id", serial: str = "serial_no",
+) -> DataFrame:
+    """Tier-2 placements of entries without a key: person_id, roll, serial, ``fuzzy`` and the score as confidence.
+
+    ``fields`` names the columns of name, relation, house and age, the same on both sides. Within a roll a person is placed
+    once and an entry has one person; the best scores come first, equal ones by profile, then serial and person.
+    """
+    columns = [*block, *fields.values()]
+    keyed = cut(entries.filter(F.col(fields["name"]).isNotNull()).select(roll, serial, _profile(columns).alias("l"), *columns))
+    known = cut(persons.filter(F.col(fields["name"]).isNotNull()).select("person_id", _profile(columns).alias("r"), *columns))
+    pairs = cut(profile_pairs(keyed, known, block, fields, round(threshold * 1_000_000)))
+    lefts = keyed.groupBy(roll, "l").agg(F.count("*").alias("n"))
+    scoped = cut(lefts.select(roll, "l").join(pairs, "l"))
+    rights = scoped.select(roll, "r").distinct().join(known.groupBy("r").agg(F.count("*").alias("n")), "r")
+    taken = assign(scoped, lefts, rights, roll)
+    numbered = lambda df, keys, order: positions(df, keys, [order], F.lit(0), "__no")
+    own = numbered(keyed.select(roll, serial, "l"), [roll, "l"], serial).join(taken, [roll, "l"])
+    own = own.filter((F.col("__no") > F.col("l_from")) & (F.col("__no") <= F.col("l_from") + F.col("n")))
+    own = own.withColumn("__no", F.col("__no") - F.col("l_from") + F.col("r_from"))
+    return own.join(numbered(known.select("person_id", "r"), ["r"], "person_id"), ["r", "__no"]).select(
+        "person_id", roll, serial, F.lit("fuzzy").alias("match_method"), F.round(F.col("score") / 1_000_000, 3).cast("decimal(4,3)").alias("match_confidence"))

@@ -107,12 +107,13 @@ def roll_rows(docs: DataFrame, revision_no: int | None = 1) -> DataFrame:
 
 def load(
     spark: SparkSession, root: str, batch: int, result: RollBatch, cover: DataFrame, eras: DataFrame,
-    summary_rows: DataFrame | None = None, lineage: DataFrame | None = None,
+    summary_rows: DataFrame | None = None, lineage: DataFrame | None = None, fuzzy: bool = False,
 ) -> None:
     """Writes all tables of a batch and commits its documents. Re-running a batch replaces what it wrote.
 
     ``eras`` don't overlap. ``summary_rows``: the component rows of printed totals, ``lineage``: edges between areas of two
-    eras, both by the declared columns. The context may also bring ``district_cd`` and ``total_pages``, entries ``marker_box``.
+    eras, both by the declared columns. The context may also bring ``district_cd`` and ``total_pages``, entries ``marker_box``. With
+    ``fuzzy``, entries without a key are placed with persons of their area who were known before the batch, where they match.
     """
     docs = cut(dated(placed(result.context, cover), eras))
     rolls = roll_rows(docs)
@@ -159,6 +160,7 @@ def load(
             "person": persons.drop("first_roll_id"),
             "person_epic": fresh,
             "placement": identity.place(seen, earlier.unionByName(fresh)),
+            "placement_fuzzy": _tier2(spark, root, batch, electors) if fuzzy else _declared(spark, "placement_fuzzy", None),
         },
     )
 
@@ -179,6 +181,18 @@ def areas(spark: SparkSession, root: str, eras: list[str]) -> DataFrame:
     return lineages.inherit(rows, edges, ["state_cd", "era_name", "ac_no"], "era_name", eras, ["district_name", "pc_no", "reservation_status"])
 
 
+def _tier2(spark: SparkSession, root: str, batch: int, electors: DataFrame) -> DataFrame:
+    """Placements of the batch's entries without a key, by the last profile of each person known before it."""
+    held = sinks.read_rows(spark, root, "placement", batch).select("person_id", "roll_id", "serial_no")
+    fields = {"name": "full_name", "relation": "relation_name", "house": "house_number", "age": "age"}
+    block = ["state_cd", "ac_no"]
+    earlier = sinks.read_table(spark, root, "elector").filter(F.col("batch") < batch)
+    seen = earlier.join(held, ["roll_id", "serial_no"]).select("person_id", *block, *fields.values(), F.struct("batch", "roll_id", "serial_no").alias("at"))
+    persons = seen.groupBy("person_id").agg(F.max_by(F.struct(*block, *fields.values()), "at").alias("p")).select("person_id", "p.*")
+    named = electors.filter("epic_no is null and full_name <> 'UNKNOWN'")
+    return identity.place_fuzzy(named, persons, block, fields).select("person_id", "roll_id", F.col("serial_no").cast("int").alias("serial_no"), "match_method", "match_confidence")
+
+
 def register_views(spark: SparkSession, root: str) -> None:
     """The two analyst views over the committed tables, for ``spark.sql``."""
     fact = lambda t: sinks.read_facts(spark, root, t)
@@ -187,4 +201,4 @@ def register_views(spark: SparkSession, root: str) -> None:
         "v_roll_reconciliation"
     )
     persons = sinks.read_rows(spark, root, "person")
-    identity.person_current(persons, fact("placement"), electors, rolls).createOrReplaceTempView("v_person_current")
+    identity.person_current(persons, fact("placement").unionByName(fact("placement_fuzzy")), electors, rolls).createOrReplaceTempView("v_person_current")

@@ -156,6 +156,49 @@ def fuzzy_match(spark, sf_dir):
     return identity.fuzzy_match(rows, persons, ["p_brand"], "p_name", 0.4).select("p_partkey", "matched_name", "score")
 
 
+TIER2 = {
+    "area": "cast(floor(p_partkey / 2) as int) % 4", "name": "case when p_partkey % 6 = 1 then substr(p_name, 1, length(p_name) - 2) else p_name end",
+    "relation": "case when p_partkey % 17 = 0 then null else p_type end", "house": "cast(p_size % 9 as varchar(9))", "age": "cast(p_partkey % 23 + 18 as int)",
+}
+TIER2_SQL = ", ".join(f"{e} as {c}" for c, e in TIER2.items())
+
+
+def _rounds(n: int) -> str:
+    """Greedy assignment: again and again the pairs that come first for their entry and their person."""
+    text = ""
+    for k in range(n):
+        text += f""",
+    f{k} as materialized (select * from p{k} qualify row_number() over (partition by roll_id, serial_no order by score desc, l, r, serial_no, person_id) = 1
+      and row_number() over (partition by roll_id, person_id order by score desc, l, r, serial_no, person_id) = 1),
+    p{k + 1} as materialized (select p.* from p{k} p where not exists (select 1 from f{k} f where f.roll_id = p.roll_id and f.serial_no = p.serial_no)
+      and not exists (select 1 from f{k} f where f.roll_id = p.roll_id and f.person_id = p.person_id))"""
+    return text + "\n    select * from (" + " union all ".join(f"select * from f{k}" for k in range(n)) + ")"
+
+
+@query(
+    "fuzzy_placements",
+    f"""
+    with d as (select p_partkey, p_partkey % 5 as roll_id, p_partkey % 2 as side, {TIER2_SQL} from part),
+    g as (select *, area || '|' || name || '|' || coalesce(relation, '') || '|' || house || '|' || age as prof,
+        list_distinct(list_transform(range(1, length(name) + 2), lambda i: substr('  ' || lower(name) || ' ', i, 3))) as tn,
+        list_distinct(list_transform(range(1, length(relation) + 2), lambda i: substr('  ' || lower(relation) || ' ', i, 3))) as tr from d),
+    c as (select a.roll_id, a.p_partkey as serial_no, b.p_partkey as person_id, a.prof as l, b.prof as r, len(list_intersect(a.tn, b.tn)) as cn,
+        len(a.tn) + len(b.tn) as un, len(list_intersect(a.tr, b.tr)) as cr, len(a.tr) + len(b.tr) as ur, a.house = b.house as same, abs(a.age - b.age) as years
+      from g a join g b on a.area = b.area and a.side = 1 and b.side = 0),
+    p0 as materialized (select roll_id, serial_no, person_id, l, r, 500 * ((2000 * cn + un - cn) // (2 * (un - cn))) + 200 * coalesce((2000 * cr + ur - cr) // (2 * (ur - cr)), 0)
+        + case when same then 150000 else 0 end + case when years <= 1 then 150000 when years <= 2 then 75000 else 0 end as score from c
+      where score >= 750000){_rounds(16)}
+    """.replace("select * from (select * from f0", "select person_id, roll_id, serial_no, 'fuzzy' as match_method, cast(round(score / 1000000, 3) as varchar) as match_confidence from (select * from f0"),
+)
+def fuzzy_placements(spark, sf_dir):
+    """Odd parts as entries without a key, even ones as persons, matched over four fields, each person once a roll."""
+    d = Tables(spark, sf_dir).part.select("p_partkey", (F.col("p_partkey") % 5).alias("roll_id"), *[F.expr(e).alias(c) for c, e in TIER2.items()])
+    entries = d.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "serial_no")
+    persons = d.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "person_id")
+    found = identity.place_fuzzy(entries, persons, ["area"], {c: c for c in ("name", "relation", "house", "age")})
+    return found.withColumn("match_confidence", F.col("match_confidence").cast("double").cast("string"))
+
+
 # area lineage drawn from orders: area c of era y comes from area (c - c % 7) of era y - 1; a few
 # orders make an edge back, so that the graph has cycles
 EDGE = ("concat(cast(o_custkey as varchar(20)), '@', cast(year(o_orderdate) as varchar(9)))",

@@ -90,4 +90,7 @@ WAREHOUSE = {
     "placement": (
         "person_id string, roll_id string, serial_no int, match_method string, match_confidence decimal(4,3)"
     ),
+    "placement_fuzzy": (
+        "person_id string, roll_id string, serial_no int, match_method string, match_confidence decimal(4,3)"
+    ),
 }

@@ -136,6 +136,23 @@ def test_one_number_in_two_eras_stays_two_areas(spark, tmp_path, rows):
     assert rows(sinks.read_facts(spark, root, "supplement").select("supplement_no", "inferred").distinct()) == [(1, False), (2, False)]
 
 
+def test_entries_without_a_key_are_placed_by_their_fields(spark, tmp_path):
+    root = str(tmp_path / "w")
+    context = jobs(spark).select("roll_id", "state_cd", "ac_no", F.lit(1).alias("part_no"), "roll_type", F.col("language").alias("language_code"),
+                                 F.col("file_name").alias("source_pdf_filename"), F.col("pdf_sha256").alias("source_pdf_sha256"))
+    named = {1: "Anna Example", 2: "Bert Sample", 3: "Clara Instance"}
+    for batch, roll in ((1, "r1"), (2, "r2")):
+        cards = [fx.card(n, name, **({} if batch == 1 or n == 3 else {"epic_no": ""})) for n, name in named.items()]
+        payloads = spark.createDataFrame([fx.strip(roll, 3, "top", "", cards)], fx.PAYLOADS)
+        result = rolls.run_rolls(context.filter(F.col("roll_id") == roll), payloads, spark.createDataFrame([fx.good_summary(roll)], fx.SUMMARY))
+        warehouse.load(spark, root, batch, result, cover(spark, (roll,)), scans.eras(spark), fuzzy=True)
+    found = sinks.read_facts(spark, root, "placement_fuzzy").join(sinks.read_rows(spark, root, "person"), "person_id").collect()
+    assert {(r.roll_id, r.serial_no, r.canonical_name, r.match_method, float(r.match_confidence)) for r in found} == {
+        ("r2", 1, "Anna Example", "fuzzy", 1.0), ("r2", 2, "Bert Sample", "fuzzy", 1.0)}
+    warehouse.register_views(spark, root)
+    assert {r.name: r.latest_roll_id for r in spark.sql("select * from v_person_current").collect()} == {n: "r2" for n in named.values()}
+
+
 def test_uncommitted_rows_are_invisible(spark, tmp_path):
     root = str(tmp_path / "w")
     df = spark.createDataFrame([("r1", "S01", 1, 5)], "roll_id string, state_cd string, ac_no int, v int")

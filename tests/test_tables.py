@@ -189,6 +189,41 @@ def test_audits(spark):
     assert found["roll", "known roll type"] == 0
 
 
+FIELDS = {"name": "name", "relation": "rel", "house": "house", "age": "age"}
+
+
+def tier2(entry, person):
+    def sim(a, b):
+        if a is None or b is None:
+            return 0
+        x, y = ({("  " + t.lower() + " ")[i:i + 3] for i in range(len(t) + 1)} for t in (a, b))
+        return (2000 * len(x & y) + len(x | y)) // (2 * len(x | y))
+    score = 500 * sim(entry[2], person[1]) + 200 * sim(entry[3], person[2])
+    score += 150_000 * (entry[4] is not None and entry[4] == person[3])
+    years = None if entry[5] is None or person[4] is None else abs(entry[5] - person[4])
+    return score + (0 if years is None else 150_000 if years <= 1 else 75_000 if years <= 2 else 0)
+
+
+def test_tier2_takes_each_person_once_a_roll_best_first(spark, rows):
+    rnd = random.Random(5)
+    names = ["anna maria", "anna mary", "ana maria", "bert long", "bert lang", "carl"]
+    some = lambda: (rnd.choice(names), rnd.choice(["otto", "otto", "olga", None]), rnd.choice(["1", "2", None]), rnd.choice([30, 31, 32, 40, None]))
+    entries = [(roll, serial, *some()) for roll in ("r1", "r2") for serial in range(40)] + [("r1", 99, None, "x", "1", 30)]
+    persons = [(f"p{k:02d}", *some()) for k in range(30)]
+    prof = lambda t: "a|" + "|".join("" if x is None else str(x) for x in t)
+    want, used = [], set()
+    pairs = [(-tier2(e, p), prof(e[2:]), prof(p[1:]), e[1], p[0], e[0]) for e in entries if e[2] for p in persons]
+    for score, _, _, serial, person, roll in sorted(pairs):
+        if -score >= 750_000 and ("e", roll, serial) not in used and ("p", roll, person) not in used:
+            used |= {("e", roll, serial), ("p", roll, person)}
+            want.append((person, roll, serial, "fuzzy", round(-score / 1_000_000 + 1e-9, 3)))
+    left = spark.createDataFrame(entries, "roll_id string, serial_no int, name string, rel string, house string, age int").withColumn("area", F.lit("a"))
+    right = spark.createDataFrame(persons, "person_id string, name string, rel string, house string, age int").withColumn("area", F.lit("a"))
+    got = [(*r[:4], float(r[4])) for r in identity.place_fuzzy(left, right, ["area"], FIELDS).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 20
+    assert identity.place_fuzzy(left.withColumn("area", F.lit("b")), right, ["area"], FIELDS).count() == 0
+
+
 def test_composite_references(spark, rows):
     child = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "a"), (1, None), (3, "z")], "k int, v string")
     parent = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (1, "b", 0), (None, "z", 0)], "p int, q string, o int")
