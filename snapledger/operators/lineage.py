@@ -17,21 +17,21 @@ def closure(
 ) -> DataFrame:
     """Every node that ``seeds`` (``root``, ``node``) reach along ``src -> dst``, seeds included.
 
-    Set semantics: a pair is expanded once, so cycles end. Each round is written to the shared
-    folder, which keeps the plan short and survives lost executors. Null targets (a new area has
-    no predecessor) end a walk. Runs jobs: one per round of depth.
+    Set semantics: a pair is kept once, so cycles end. Each round doubles the length of the paths that are followed, so
+    rounds grow with the logarithm of the depth; its two tables are written to the shared folder, which keeps the plan short
+    and survives lost executors. Null targets (a new area has no predecessor) end a walk.
     """
-    steps = edges.filter(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(
-        F.col(src).alias(node), F.col(dst).alias("__to")
-    ).distinct()
-    frontier = cut(seeds.select("root", node).distinct())
-    seen = frontier
+    hops = cut(edges.filter(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(F.col(src).alias(node), F.col(dst).alias("__to")).distinct())
+    seen = cut(seeds.select("root", node).distinct())
+    count = seen.count()
     while True:
-        reached = frontier.join(steps, node).select("root", F.col("__to").alias(node)).distinct()
-        frontier = cut(reached.join(seen, ["root", node], "left_anti"))
-        if frontier.isEmpty():
+        reached = seen.join(hops, node).select("root", F.col("__to").alias(node))
+        seen = cut(seen.unionByName(reached).distinct())
+        before, count = count, seen.count()
+        if count == before:
             return seen
-        seen = seen.unionByName(frontier)
+        further = hops.join(hops.select(F.col(node).alias("__to"), F.col("__to").alias("__next")), "__to").select(node, F.col("__next").alias("__to"))
+        hops = cut(hops.unionByName(further).distinct())
 
 
 def change_class(

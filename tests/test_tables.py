@@ -233,6 +233,18 @@ def test_composite_references(spark, rows):
     assert quality.reference_audit(child.filter("k is null"), "c", ["k", "v"], parent, ["p", "q"]).first().violations == 0
 
 
+def test_closure_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    written, plain = [], lineage.cut
+    monkeypatch.setattr(lineage, "cut", lambda df: written.append(1) or plain(df))
+    edges = spark.range(1000).selectExpr("concat('a', id + 1) as successor_ac_id", "concat('a', id) as predecessor_ac_id")
+    more = [("c1", "c2"), ("c2", "c1"), ("x", None), (None, "y")]
+    edges = edges.unionByName(spark.createDataFrame(more, "successor_ac_id string, predecessor_ac_id string"))
+    seeds = spark.createDataFrame([("r", "a1000"), ("c", "c1"), ("x", "x")], "root string, ac_id string")
+    found = lineage.closure(edges, seeds).groupBy("root").count().collect()
+    assert {r.root: r["count"] for r in found} == {"r": 1001, "c": 2, "x": 1}
+    assert len(written) <= 2 * 12
+
+
 def test_areas_inherit_along_lineage(spark):
     areas = spark.createDataFrame([("e1", 1, "x"), ("e1", 2, "y"), ("e1", 4, "x"), ("e2", 1, None), ("e2", 5, "own"), (None, 9, None)], "era string, no int, v string")
     edges = spark.createDataFrame([("e1", 1, "e2", 1), ("e1", 1, "e2", 2), ("e1", 2, "e2", 2), ("e1", 1, "e2", 3), ("e1", 4, "e2", 3), ("e1", 2, "e2", 5),
