@@ -6,10 +6,11 @@ both back off to four-character continuation counts that the classes share and t
 So an expression that was never labelled is no evidence. A text is judged by its log-likelihood ratio per character, over the
 whole text and over its best windows of several widths; a logistic fit on rows left out of the counts turns that into a score.
 
-All levels that belong to six characters hold the third to the fifth of them. So counts are dealt by these three, each part
-of the model is computed on its own, and a character is looked up in one part. Parts are tables in the shared folder, which
-the workers read; the driver never holds them. A sequence that no labelled text holds has the same probability in both models
-but for what its shorter levels differ, so only sequences, continuations and contexts of labelled texts are kept: this is exact.
+The classes are learned from at most about LEARNED labelled rows each, those whose ids have the smallest hashes; all other texts
+add to the shared counts, for which the distinct sequences of five characters are enough. All levels that belong to six
+characters hold the third to the fifth of them, so counts are dealt by these three and each part of the model is computed on
+its own. A sequence that no labelled text holds has the same probability in both models but for what its shorter levels
+differ, so only sequences, continuations and contexts of labelled texts are kept: this is exact, and bounds the model by LEARNED.
 """
 
 from __future__ import annotations
@@ -18,29 +19,25 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.batches import Slots, mix, slices, texts_of
 from snapledger.llm.language import held_out
-from snapledger.llm.storage import stored
-from snapledger.session import shared_dir
 
 ORDER = 6
 DISCOUNT = 0.75
-#: Counts in a part of the model, about; entries that a worker keeps in memory between its batches, others are read again.
-PART, RESIDENT = 1 << 18, 8 << 20
-#: Labels up to this number are sent to the texts, more are joined by a shuffle; results are the same.
-SENT = 1 << 20
+#: Learn a class from about so many labelled rows.
+LEARNED = 1 << 15
+#: Parts that counts are dealt into; entries that a task gathers before it merges them, and that it keeps merged.
+PARTS, GATHERED, MERGED = 1024, 1 << 21, 1 << 20
 #: Fit the score on about so many labelled rows that are left out of the counts (those whose ids have the smallest hashes).
 FITTED = 40_000
 WINDOWS = (8, 12, 16, 32, 64)
-SLICE, LARGE_SLICE = 1 << 20, 8 << 20
+SLICE = 1 << 20
 #: A sequence's key is the sum of its characters' terms by place; parts of it lack the terms of the characters they lack.
 _TERMS = mix(np.arange(1, ORDER + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_BUCKET_BITS = 16
+_BUCKET_BITS = 30
 
 
 def _term(codes: np.ndarray, place: int) -> np.ndarray:
@@ -71,12 +68,13 @@ def _keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def count_sequences(rows: DataFrame) -> DataFrame:
-    """(bucket, sequence, ends, toxic, plain): how often a sequence stands in texts of either class, from each task.
+    """(part, sequence, ends, toxic, plain): how often a sequence of six stands in texts of either class, from each task.
 
-    ``rows``: text, and toxic 1, 0 or null. ``ends``: its first, second and last character. Each task adds up its own counts
-    before it hands them on; those of several tasks are still to be added up.
+    ``rows``: text, and toxic 1, 0 or null. ``ends``: its first, second and last character. Texts without a class give their
+    distinct sequences of five with both counts 0. Each task adds up its own counts before it hands them on; those of several
+    tasks are still to be added up.
     """
-    schema = ["bucket", "sequence", "ends", "toxic", "plain"]
+    schema, parts = ["part", "sequence", "ends", "toxic", "plain"], PARTS
 
     def count(batches):
         gathered: list[tuple] = []
@@ -85,29 +83,29 @@ def count_sequences(rows: DataFrame) -> DataFrame:
         def merged():
             keys, at, place = np.unique(np.concatenate([g[1] for g in gathered]), return_index=True, return_inverse=True)
             return (np.concatenate([g[0] for g in gathered])[at], keys, np.concatenate([g[2] for g in gathered])[at],
-                    *(np.bincount(place, np.concatenate([g[k] for g in gathered])).astype(np.int64) for k in (3, 4)))
+                    *(np.bincount(place, np.concatenate([g[k] for g in gathered])).astype(np.int32) for k in (3, 4)))
 
         def batch_of(found):
-            return pa.record_batch([pa.array(found[0]), pa.array(found[1].view(np.int64)), *map(pa.array, found[2:])], schema)
+            return pa.record_batch([pa.array((found[0] * parts >> _BUCKET_BITS).astype(np.int64)), pa.array(found[1].view(np.int64)), pa.array(found[2]), *(pa.array(c.astype(np.int64)) for c in found[3:])], schema)
 
         for batch in batches:
             for part in slices(batch, SLICE):
                 codes, inside, starts = sequences(part.column(0).to_pylist())
                 if not len(inside):
                     continue
-                value, _, _, bucket = _keys(codes)
+                value, first, _, bucket = _keys(codes)
                 kind = part.column(1).fill_null(2).to_numpy(zero_copy_only=False).astype(np.int64)
                 kind = np.repeat(kind, np.diff(np.append(starts, len(codes))))[:len(value)]
                 for k in range(3):
                     own = np.flatnonzero(inside & (kind == k))
-                    keys, at, n = np.unique(value[own], return_index=True, return_counts=True)
+                    keys, at, n = np.unique(value[own] - first[own] if k == 2 else value[own], return_index=True, return_counts=True)
                     at = own[at]
                     ends = (codes[at] << np.uint64(42) | codes[at + 1] << np.uint64(21) | codes[at + 5]).astype(np.int64)
-                    gathered.append((bucket[at], keys, ends, n * (k == 1), n * (k == 0)))
+                    gathered.append((bucket[at], keys, ends, (n * (k == 1)).astype(np.int32), (n * (k == 0)).astype(np.int32)))
                     size += len(keys)
-                if size > 4 << 20:
+                if size > GATHERED:
                     gathered = [merged()]
-                    if len(gathered[0][0]) > 2 << 20:
+                    if len(gathered[0][0]) > MERGED:
                         yield batch_of(gathered.pop())
                     size = sum(len(g[0]) for g in gathered)
         if gathered:
@@ -119,14 +117,17 @@ def count_sequences(rows: DataFrame) -> DataFrame:
 def models(sequence: np.ndarray, ends: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys and log-likelihood ratios: of sequences of six and five characters, and what backing off adds after five and four.
 
-    Takes all counts of some middles; a sequence may be given several times.
+    Takes all counts of some middles, each sequence once; those with both counts 0 are sequences of five of other texts.
     """
-    sequence, at, place = np.unique(sequence, return_index=True, return_inverse=True)
-    toxic, plain, ends = np.bincount(place, toxic), np.bincount(place, plain), ends[at].astype(np.uint64)
+    own, ends = toxic + plain > 0, ends.astype(np.uint64)
+    others, other_ends = sequence[~own], ends[~own]
+    sequence, toxic, plain, ends = sequence[own], toxic[own], plain[own], ends[own]
     low = np.uint64((1 << 21) - 1)
+    before5, at_before5 = np.unique(sequence - _term(ends & low, 5), return_inverse=True)
+    fives, ends = np.concatenate([sequence - _term(ends >> np.uint64(42), 0), others]), np.concatenate([ends, other_ends])
     second, last = _term(ends >> np.uint64(21) & low, 1), _term(ends & low, 5)
-    before5, at_before5 = np.unique(sequence - last, return_inverse=True)
-    five, one, at_five = np.unique(sequence - _term(ends >> np.uint64(42), 0), return_index=True, return_inverse=True)
+    five, one, at_five = np.unique(fives, return_index=True, return_inverse=True)
+    at_five = at_five[:len(sequence)]
     before4, at_before4 = np.unique(five - last[one], return_inverse=True)
     four, at, at_four = np.unique(five - second[one], return_index=True, return_inverse=True)
     _, at_before3 = np.unique(four - last[one][at], return_inverse=True)
@@ -143,90 +144,62 @@ def models(sequence: np.ndarray, ends: np.ndarray, toxic: np.ndarray, plain: np.
         p6 = np.maximum(n - DISCOUNT, 0) / np.maximum(all5, 1)[at_before5] + rest5[at_before5] * p5[at_five]
         logs.append([np.log(x) for x in (rest4, p5, rest5, p6)])
     rest4, p5, rest5, p6 = (a - b for a, b in zip(*logs, strict=True))
-    labelled = toxic + plain > 0
-    levels = [(sequence, p6, labelled)]
-    levels += [(k, v, np.bincount(at, labelled, len(k)) > 0) for k, v, at in ((five, p5, at_five), (before5, rest5, at_before5), (before4, rest4, at_before4[at_five]))]
-    return np.concatenate([k[held] for k, _, held in levels]), np.concatenate([v[held] for _, v, held in levels]).astype(np.float32)
+    levels = [(sequence, p6, np.arange(len(sequence))), (five, p5, at_five), (before5, rest5, at_before5), (before4, rest4, at_before4[at_five])]
+    held = [np.bincount(at, minlength=len(k)) > 0 for k, _, at in levels]
+    return np.concatenate([k[h] for (k, _, _), h in zip(levels, held, strict=True)]), np.concatenate([v[h] for (_, v, _), h in zip(levels, held, strict=True)]).astype(np.float32)
 
 
 class Model:
-    """The model at ``path``, of so many ``entries`` by part, dealt over ``parts`` parts."""
-
-    def __init__(self, path: str, parts: int, entries: dict[int, int]):
-        self.path, self.parts, self.entries = path, parts, entries
-        self.kept: dict[int, tuple[Slots, np.ndarray]] = {}
-        self.room = RESIDENT
-        self.slice = SLICE if sum(entries.values()) <= RESIDENT else LARGE_SLICE
-
-    def part(self, k: int) -> tuple[Slots, np.ndarray]:
-        if k in self.kept:
-            return self.kept[k]
-        system, path = fs.FileSystem.from_uri(self.path)
-        table = pq.read_table(f"{path}/part={k}", filesystem=system, columns=["key", "value"], use_threads=False)
-        size = 1 << max(6, (3 * len(table) // 2).bit_length())
-        slots, values = Slots(size), np.zeros(size, np.float32)
-        values[slots.insert(table["key"].to_numpy().view(np.uint64))] = table["value"].to_numpy()
-        if len(table) <= self.room:
-            self.room -= len(table)
-            self.kept[k] = slots, values
-        return slots, values
+    """Log-likelihood ratios by key, ready to be looked up."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.slots = Slots(1 << max(6, (3 * len(keys) // 2).bit_length()))
+        self.values = np.zeros(len(self.slots.keys), np.float32)
+        self.values[self.slots.insert(keys)] = values
+
+    def _of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.slots.find(keys)
+        return at, np.where(at >= 0, self.values[at], 0)
 
     def odds(self, codes: np.ndarray) -> np.ndarray:
         """The log-likelihood ratio of the last character of the sequence from each character."""
-        six, first, last, bucket = _keys(codes)
-        part = bucket * self.parts >> _BUCKET_BITS
-        order = np.argsort(part.astype(np.uint16), kind="stable")
-        edges = np.searchsorted(part[order], np.arange(self.parts + 1))
-        out = np.zeros(len(six))
-        for k in self.entries:
-            own = order[edges[k]:edges[k + 1]]
-            if not len(own):
-                continue
-            slots, values = self.part(k)
-
-            def of(keys, slots=slots, values=values):
-                at = slots.find(keys)
-                return at, np.where(at >= 0, values[at], 0)
-
-            at, found = of(six[own])
-            new = np.flatnonzero(at < 0)
-            rare = own[new]
-            five = six[rare] - first[rare]
-            at, short = of(five)
-            shorter = np.flatnonzero(at < 0)
-            short[shorter] = of(five[shorter] - last[rare[shorter]])[1]
-            found[new] = of(six[rare] - last[rare])[1] + short
-            out[own] = found
-        return out
-
-
-_MODELS: dict[str, Model] = {}
-
-
-def model_of(path: str, parts: int, entries: dict[int, int]) -> Model:
-    """The worker's copy of the model at ``path``, in place of any other."""
-    if path not in _MODELS:
+        six, first, last, _ = _keys(codes)
+        six, place = np.unique(six, return_inverse=True)
+        at = np.zeros(len(six), np.int64)
+        at[place] = np.arange(len(place))
+        first, last = first[at], last[at]
+        at, found = self._of(six)
+        new = np.flatnonzero(at < 0)
+        five = six[new] - first[new]
+        at, short = self._of(five)
+        shorter = np.flatnonzero(at < 0)
+        short[shorter] = self._of(five[shorter] - last[new[shorter]])[1]
+        found[new] = self._of(six[new] - last[new])[1] + short
+        return found[place].astype(float)
+
+
+_MODELS: dict[int, Model] = {}
+
+
+def model_of(sent) -> Model:
+    """The worker's copy of the model that a broadcast holds, in place of any other."""
+    if sent.value[0] not in _MODELS:
         _MODELS.clear()
-        _MODELS[path] = Model(path, parts, entries)
-    return _MODELS[path]
+        _MODELS[sent.value[0]] = Model(*sent.value[1:])
+    return _MODELS[sent.value[0]]
 
 
-def learn(classed: DataFrame) -> tuple[str, int, dict[int, int]]:
-    """Where the model of ``classed`` (text, toxic) is stored, its number of parts, and the entries of each part that has any."""
-    spark = classed.sparkSession
-    counts = stored(count_sequences(classed))
-    parts = min(1 << _BUCKET_BITS, max(1, -(-counts.count() // PART)))
-    dealt = counts.select(F.shiftright(F.col("bucket") * parts, _BUCKET_BITS).cast("int").alias("part"), "sequence", "ends", "toxic", "plain")
+def learn(classed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of the model of ``classed`` (text, toxic; the rows with a class are bounded)."""
+    dealt = count_sequences(classed).repartition("part")
+    summed = dealt.groupBy("part", "sequence").agg(F.any_value("ends").alias("ends"), F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
 
-    def build(key, table):
+    def build(table):
         keys, values = models(table["sequence"].to_numpy().view(np.uint64), *(table[c].to_numpy() for c in ("ends", "toxic", "plain")))
-        return pa.table([pa.array(np.full(len(keys), key[0].as_py(), np.int32)), pa.array(keys.view(np.int64)), pa.array(values)], ["part", "key", "value"])
+        return pa.table([pa.array(keys.view(np.int64)), pa.array(values)], ["key", "value"])
 
-    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
-    schema = "part int, key long, value float"
-    dealt.groupBy("part").applyInArrow(build, schema).write.partitionBy("part").parquet(path)
-    found = spark.read.schema(schema).parquet(path).groupBy("part").count().collect()
-    return path, parts, {r["part"]: r["count"] for r in sorted(found)}
+    found = summed.groupBy("part").applyInArrow(build, "key long, value float").toArrow()
+    return found["key"].to_numpy().view(np.uint64), found["value"].to_numpy()
 
 
 def features(texts: list[str], model: Model) -> np.ndarray:
@@ -280,30 +253,36 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """
     rows = texts_of(df, id_col, text_col)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    known = known.where(~held_out(F.col("doc_id"), 5, 0))
-    span, total = 1 << 30, max(1, known.count())
+    known = known.where(~held_out(F.col("doc_id"), 5, 0)).withColumn("fitted", held_out(F.col("doc_id"), 5, 4))
+    span = 1 << 30
     near = F.pmod(F.xxhash64("doc_id"), F.lit(span))
-    fold = held_out(F.col("doc_id"), 5, 4)
-    classed = rows.join(F.broadcast(known) if total <= SENT else known, "doc_id", "left").select("text", F.when(~fold, F.col("toxic")).alias("toxic"))
-    model = learn(classed)
+    total = {(r["fitted"], r["toxic"]): r["count"] for r in known.groupBy("fitted", "toxic").count().collect()}
+    fitted = sum(n for (fold, _), n in total.items() if fold)
+    used = F.lit(False)
+    for (fold, kind), n in total.items():
+        share = FITTED / fitted if fold else LEARNED / n
+        used = used | ((F.col("fitted") == fold) & (F.col("toxic") == kind) & (near < int(span * min(1.0, share))))
+    # about 2 * LEARNED + FITTED rows, so this side is small whatever the input
+    bounded = F.broadcast(known.where(used))
+    classed = rows.join(bounded, "doc_id", "left").select("text", F.when(~F.col("fitted"), F.col("toxic")).alias("toxic"))
+    model = df.sparkSession.sparkContext.broadcast((uuid.uuid4().int, *learn(classed)))
     names = [f"x{k}" for k in range(2 + len(WINDOWS))]
 
     def measured(batches):
-        own = model_of(*model)
+        own = model_of(model)
         for batch in batches:
-            for part in slices(batch, own.slice):
+            for part in slices(batch, SLICE):
                 x = features(part.column(0).to_pylist(), own)
                 yield pa.record_batch([*(pa.array(c) for c in x.T), part.column(1)], [*names, "toxic"])
 
-    # about FITTED rows, so this side is small whatever the input
-    left_out = F.broadcast(known.where(fold & (near < int(span * min(1.0, 5 * FITTED / total)))))
-    fitted = rows.join(left_out, "doc_id").select("text", "toxic").mapInArrow(measured, ", ".join(f"{n} double" for n in names) + ", toxic int").toPandas()
+    left_out = rows.join(F.broadcast(known.where(used & F.col("fitted"))), "doc_id").select("text", "toxic")
+    fitted = left_out.mapInArrow(measured, ", ".join(f"{n} double" for n in names) + ", toxic int").toPandas()
     weights = logistic(fitted[names].to_numpy(float), fitted["toxic"].to_numpy(float))
 
     def scored(batches):
-        own = model_of(*model)
+        own = model_of(model)
         for batch in batches:
-            for part in slices(batch, own.slice):
+            for part in slices(batch, SLICE):
                 x = features(part.column(1).to_pylist(), own)
                 value = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -500, 500)))
                 yield pa.record_batch([part.column(0), pa.array(value)], ["doc_id", "score"])

@@ -239,9 +239,9 @@ def test_toxicity_odds_equal_brute_force(spark, monkeypatch):
     texts = [(prose(k, 12) + "!" * (k % 3), [1, 0, None][k % 3]) for k in range(30)]
     table = spark.createDataFrame(texts, "text string, toxic int")
     found = [toxicity.learn(table)]
-    monkeypatch.setattr(toxicity, "PART", 300)
+    monkeypatch.setattr(toxicity, "PARTS", 7)
     found.append(toxicity.learn(table.repartition(3)))
-    assert found[0][1] == 1 and found[1][1] > 3
+    assert len(found[0][0]) == len(found[1][0]) > 300
     grams = [(t[k:k + 6], c) for text, c in texts for t in [f" {text} "] for k in range(len(t) - 5)]
     fives = {g[1:] for g, _ in grams}
     n = {c: Counter(g for g, kind in grams if kind == c) for c in (1, 0)}
