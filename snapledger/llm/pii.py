@@ -7,6 +7,7 @@ context word nearby, to be taken.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import pandas as pd
 import pyarrow as pa
@@ -128,8 +129,17 @@ def scan_text(text: str) -> list[tuple]:
     """All base spans, and the further spans that score LEAST or more and overlap no base span."""
     base = base_spans(text)
     found = [(k, s, e, score(text, k, s, e)) for k, s, e in base]
+    starts, ends = [], []  # of what base spans cover together
+    for s, e in sorted((s, e) for _, s, e in base):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
     for k, s, e in more_spans(text):
-        if not any(s < y and x < e for _, x, y in base) and (value := score(text, k, s, e)) >= LEAST:
+        at = bisect_right(ends, s)
+        free = at == len(starts) or starts[at] >= e
+        if free and (value := score(text, k, s, e)) >= LEAST:
             found.append((k, s, e, value))
     return ordered(found, KINDS)
 

@@ -27,6 +27,7 @@ def _span_digest(found: DataFrame, base: tuple[str, ...], kinds: tuple[str, ...]
     return found.select(
         "doc_id", *(spans.count_of("found", k).alias(f"n_{k}") for k in base),
         F.sha2(spans.listed("found", base), 256).alias("base_sha256"), spans.listed("found", kinds).alias("spans"),
+        spans.scores("found", kinds).alias("scores"),
     )
 
 

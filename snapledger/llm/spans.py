@@ -24,6 +24,12 @@ def count_of(found: str, kind: str) -> Column:
     return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long")
 
 
+def scores(found: str, kinds: tuple[str, ...]) -> Column:
+    """The scores of the findings of ``kinds``, joined by commas, in the order of ``listed``."""
+    own = F.filter(found, lambda x: x["kind"].isin(*kinds))
+    return F.array_join(F.transform(own, lambda x: x["score"].cast("string")), ",")
+
+
 def listed(found: str, kinds: tuple[str, ...]) -> Column:
     """``kind:start:end`` of the findings of ``kinds``, joined by commas, in the order of the list."""
     own = F.filter(found, lambda x: x["kind"].isin(*kinds))

@@ -237,3 +237,96 @@ def test_scores_do_not_depend_on_the_piece_size(monkeypatch):
     whole = language.score(texts, matrix)
     monkeypatch.setattr(language, "GATHERED", 64)
     assert np.allclose(language.score(texts, matrix), whole, atol=1e-3)
+
+
+def plain_base(text, kinds):
+    """The base spans by one search after another, as the contract words them."""
+    found = []
+    for kind, pattern, good in kinds:
+        found += [(kind, m.start(), m.end()) for m in re.finditer(pattern, text) if good(m)]
+    order = [k for k, _, _ in kinds]
+    return [f"{k}:{s}:{e}" for k, s, e in sorted(found, key=lambda x: (x[1], order.index(x[0])))]
+
+
+def digits(m):
+    return [int(c) for c in m[0] if c.isdigit()]
+
+
+def luhn(m):
+    d = digits(m)
+    return 14 <= len(d) <= 19 and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(reversed(d))) % 10 == 0
+
+
+SECRETS = [
+    ("assign", r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 8),
+    ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 32),
+]
+PERSONAL = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m[0].split("."))),
+    ("card", r"[0-9]([\x20-]?[0-9])+", luhn), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(digits(m)) <= 15),
+]
+PIECES = ["password", "PassWord", "api_key", "apikey", "token", "secret", "=", " = ", ":", "'", '"', "AKIA", "ABCD1234EFGH5678", "0123456789abcdef0123456789abcdef", "deadbeef", " ", "\n",
+          "4111 1111 1111 1111", "4111-1111-1111-1112", "79927398713", "1.2.3.4", "300.1.1.1", "1.2.3.4.5", "a.b%c@d-e.f", "@x.y", "me@host", "+49 (30) 123456-78", "+1 2", ".", "-", "é", "😀", "hunter2hunter2", "+"]
+
+
+@pytest.mark.parametrize("module,kinds", [("secret_scan", SECRETS), ("pii", PERSONAL)])
+def test_base_spans_equal_plain_searches(module, kinds):
+    import importlib
+
+    scan = importlib.import_module(f"snapledger.llm.{module}")
+    rnd = np.random.default_rng(9)
+    for _ in range(3000):
+        text = "".join(rnd.choice(PIECES, int(rnd.integers(1, 14))))
+        found = [f"{k}:{s}:{e}" for k, s, e, _ in scan.scan_text(text) if k in scan.BASE_KINDS]
+        assert found == plain_base(text, kinds), text
+
+
+LONG = {
+    "chain of signs": "x=" * 500_000, "colons": "a:" * 500_000, "sensitive chain": "password=" * 100_000, "sum": "x=" * 20_000 + "+".join(["y"] * 20_000),
+    "constants": "x0 = 'a'\n" + "".join(f"x{k + 1} = x{k} + \"b{k}\"\n" for k in range(20_000)) + "password = x20000\n",
+    "one constant often": "k = 'hunter2hunter2'\n" + "".join(f"password{k} = k\n" for k in range(20_000)),
+    "findings": "".join(f"u{k}@host{k}.example.org 555-123-{k % 9000 + 1000} phone\n" for k in range(20_000)), "quotes": "x=\"" * 200_000, "spaces": " " * 1_000_000 + "password=abcdefgh1234",
+    "indented lines": (" " * 2000 + "a=b c=d e=f\n") * 300,
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_no_text_takes_the_square_of_its_length(name):
+    import time
+
+    from snapledger.llm import pii, secret_scan
+
+    start = time.time()
+    secret_scan.scan_text(LONG[name])
+    pii.scan_text(LONG[name])
+    assert time.time() - start < 30
+
+
+def literals(text):
+    from snapledger.llm import secret_scan
+
+    return [text[s:e] for k, s, e, _ in secret_scan.scan_text(text) if k == "literal"]
+
+
+def test_literals_by_name_and_place():
+    for indent in (0, 79, 81, 5000):
+        assert literals(" " * indent + "password=p@ss#w0rd1!\n") == ["p@ss#w0rd1!"]
+    for name in ("DBPassword", "dbpassword", "MYPASS", "passwords", "tokens", "client_secret", "userToken"):
+        assert literals(f"{name} = 'h7Xq93kLmP2z'") == ["h7Xq93kLmP2z"], name
+    assert literals("compass = 'h7Xq93kLmP2z'; monkey = 'h7Xq93kLmP2z'") == []
+    assert literals("<password>h7Xq93kLmP2z</password><name>h7Xq93kLmP2z</name>") == ["h7Xq93kLmP2z"]
+    assert literals("a = 'h7Xq93'\nb = a + 'kLmP2z'\npassword = b") == ["h7Xq93", "kLmP2z"]
+    assert literals("a = 'xxxxxxxxxxxx'\npassword = a\ntoken = '${VALUE_OF_IT}'\nsecret = 'your_password_goes_here'") == []
+    assert literals("token=" + "x" * 200) == [] and literals("opt=password=hunter2hunter2") == ["hunter2hunter2"]
+
+
+def test_queries_return_scores(spark):
+    from snapledger.llm import pii, queries, secret_scan
+
+    docs = spark.createDataFrame([(1, "call me: a@b.example now, mail c@d.example; password = 'hunter2hunter2'"), (2, None)], "doc_id long, text string")
+    for scan, module in ((pii.find_pii, pii), (secret_scan.find_secrets, secret_scan)):
+        rows = {r.doc_id: r for r in queries._span_digest(scan(docs), module.BASE_KINDS, module.KINDS).collect()}
+        assert len(rows[1].scores.split(",")) == len(rows[1].spans.split(",")) and rows[2].scores == rows[2].spans == ""
+    found = {r.doc_id: r.found for r in pii.find_pii(docs).collect()}
+    assert [x.score for x in found[1]] == [1.0, 1.0] or found[1][0].score <= found[1][1].score

@@ -320,7 +320,7 @@ def test_secrets_hold_whole_values(text, value):
 
 @pytest.mark.parametrize("text", ["password=$DB_PASSWORD\n", "password = get_password()[0]\n"])
 def test_references_are_no_settings(text):
-    assert not secret_scan._setting(text, secret_scan._PAIR.search(text))
+    assert not secret_scan._Reader(text).setting(secret_scan._PAIR.search(text))
 
 
 @pytest.mark.parametrize("after", ["", " BANK", " BANK OF X1", " ABC", ". BANK", " AT61 1904 3002 3457 3201 KONTO"])
