@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from snapledger import schemas
 from snapledger.functions import cards, values
 from snapledger.operators.groupwise import attach, first_by
-from snapledger.operators.ordered import carry_forward
+from snapledger.operators.ordered import carry_forward, positions
+from snapledger.session import cut
 
-PAGES_PER_BLOCK = 64
+PAGES_PER_BLOCK, SERIALS_PER_BLOCK = 64, 65_536
 
 
 def parse_strips(payloads: DataFrame, payload: str = "payload") -> DataFrame:
@@ -89,7 +90,11 @@ def best_reads(
 def guard_sections(
     cards_df: DataFrame, key: str = "roll_id", serial: str = "serial_no", region: str = "region"
 ) -> DataFrame:
-    """Supplement cards inside the main roll's serial span belong to the main roll."""
+    """Supplement cards inside the main roll's serial span belong to the main roll.
+
+    The cards are read for the span and for the answer, so they are written once before.
+    """
+    cards_df = cut(cards_df)
     in_main = F.when(F.col(region) == "main_roll", F.col(serial))
     spanned = attach(cards_df, [key], __main_max=F.max(in_main))
     strayed = F.col(region).isin("additions", "deletions") & (F.col(serial) <= F.col("__main_max"))
@@ -117,6 +122,11 @@ def assemble(cards_df: DataFrame) -> DataFrame:
     return classify(guard_sections(best_reads(cleaned)))
 
 
+def numbered(electors: DataFrame, key: str = "roll_id", serial: str = "serial_no", name: str = "ordinal") -> DataFrame:
+    """Entries with their place in print order, from 1; no task holds a whole roll (serials are printed from 1 on)."""
+    return positions(electors, [key], [serial], F.floor(F.col(serial) / SERIALS_PER_BLOCK), name)
+
+
 def in_order(electors: DataFrame, key: str = "roll_id", serial: str = "serial_no") -> DataFrame:
     """Entries in print order, for output only: a range-partitioned sort, one huge roll spans many tasks."""
     return electors.orderBy(key, serial)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from snapledger.functions import fixed, values
 from snapledger.functions.text import after_colon, contains_any, despace, filled, group, strip, to_int
 from snapledger.operators.groupwise import lookup
+from snapledger.session import cut
 
 IMAGE = "image_id"
 
@@ -65,12 +66,31 @@ def label_values(
 
     Right: the nearest token on the label's row. Below: the first one within ``max_gap`` label
     heights. A label without a token to its right may carry the value itself, after its own colon.
-    Each token meets only the few labels of its image, and only fitting ones leave the join.
+    Tokens and labels meet in bands of y, so a token meets the labels near it, not all of its image.
     """
-    labels = label_rows(tokens, {**right, **under}, keys)
-    is_below = F.col("label").isin(*under) if under else F.lit(False)
-    others = tokens.select(*keys, "x", "y", "tok_no", "text").join(labels, list(keys))
+    labels = cut(label_rows(tokens, {**right, **under}, keys))
+    lower = F.col("label").isin(*under) if under else F.lit(False)
+    h, y = F.col("at.h"), F.col("at.y")
+    ranged = labels.withColumns({
+        "__below": lower, "__lo": F.when(lower, y + fixed.BELOW_FROM * h).otherwise(y - tolerance * h),
+        "__hi": F.when(lower, y + max_gap * h).otherwise(y + tolerance * h)})
+    # a label reaches over a range of y; bands are as high as the largest range of its kind, so it lies in two of them at most
+    span = F.col("__hi") - F.col("__lo")
+    largest = ranged.agg(F.struct(F.max(F.when(~F.col("__below"), span)).alias("right"), F.max(F.when(F.col("__below"), span)).alias("below"))).scalar()
+
+    def band(v: Column, kind: str) -> Column:
+        return F.floor(v / F.greatest(F.col("__largest")[kind], F.lit(1.0)))
+
+    def bands(kind: str) -> Column:
+        return F.array_distinct(F.array(band(F.col("__lo"), kind), band(F.col("__hi"), kind)))
+
+    placed = ranged.withColumn("__largest", largest).withColumn("__band", F.explode(F.when(F.col("__below"), bands("below")).otherwise(bands("right"))))
+    both = F.array(F.struct(F.lit(False).alias("below"), band(F.col("y"), "right").alias("band")), F.struct(F.lit(True).alias("below"), band(F.col("y"), "below").alias("band")))
+    near = tokens.select(*keys, "x", "y", "tok_no", "text").withColumn("__largest", largest)
+    near = near.select(*keys, "x", "y", "tok_no", "text", F.inline(both).alias("__below", "__band"))
+    others = near.join(placed.drop("__lo", "__hi", "__largest"), [*keys, "__below", "__band"])
     at, dx, dy = F.col("at"), F.col("x") - F.col("at.x"), F.col("y") - F.col("at.y")
+    is_below = F.col("__below")
     on_row = ~is_below & (F.abs(dy) < tolerance * at["h"]) & (F.col("x") > at["x"] + fixed.RIGHT_OFFSET)
     beneath = (
         is_below & (F.col("y") > at["y"] + fixed.BELOW_FROM * at["h"]) & (F.col("y") < at["y"] + max_gap * at["h"])
@@ -79,7 +99,7 @@ def label_values(
     order = F.struct(F.when(is_below, F.col("y")).otherwise(F.col("x")), "x", "tok_no")
     near = others.filter(on_row | beneath).groupBy(*keys, "label").agg(F.min_by("text", order).alias("__v"))
     found = lookup(labels, near, [*keys, "label"], ["__v"])
-    own = F.when(~is_below & F.contains(F.col("at.text"), F.lit(":")), F.col("at.text"))
+    own = F.when(~lower & F.contains(F.col("at.text"), F.lit(":")), F.col("at.text"))
     found = found.withColumn("value", filled(after_colon(F.coalesce("__v", own))))
     names = [*right, *under]
     return lookup(tokens.select(*keys).distinct(), _wide(found, keys, "value", names), keys, names)

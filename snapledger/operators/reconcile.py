@@ -14,6 +14,8 @@ COUNTS = (
     "live_cards", "live_male", "live_female", "live_third_gender",
 )
 
+NETS = ("net_male", "net_female", "net_third_gender")
+
 
 def entry_counts(entries: DataFrame, key: str = "roll_id", status: str = "entry_status") -> DataFrame:
     """One aggregate over the entries; a missing status counts as live."""
@@ -31,7 +33,7 @@ def entry_counts(entries: DataFrame, key: str = "roll_id", status: str = "entry_
     )
 
 
-def _counted(rolls: DataFrame, entries: DataFrame, key: str, status: str) -> DataFrame:
+def counted(rolls: DataFrame, entries: DataFrame, key: str, status: str) -> DataFrame:
     """Every roll with its counts; a roll without entries has zeros."""
     out = lookup(rolls, entry_counts(entries, key, status), [key], COUNTS)
     return out.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in COUNTS})
@@ -50,10 +52,15 @@ def roll_reconciliation(
 
     Entries are aggregated before the 1:1 tables are joined, so the joins see one row per roll.
     """
-    out = _counted(rolls.select(key), entries, key, status)
+    out = counted(rolls.select(key), entries, key, status)
     printed = summary.withColumnsRenamed({"net_total": "summary_net_total"})
-    out = lookup(out, printed, [key], ["summary_net_total", "net_male", "net_female", "net_third_gender"])
+    out = lookup(out, printed, [key], ["summary_net_total", *NETS])
     out = lookup(out, cover.withColumnRenamed("net_total", "cover_net_total"), [key], ["cover_net_total"])
+    return judged(out)
+
+
+def judged(out: DataFrame) -> DataFrame:
+    """Rolls with counts and all printed totals (``summary_net_total``, ``cover_net_total``, NETS) and the verdict in their place."""
     total, cover_total = F.col("summary_net_total"), F.col("cover_net_total")
     verdict = (
         (F.col("live_cards") == total)
@@ -68,7 +75,7 @@ def roll_reconciliation(
             "cover_matches_summary": cover_total == total,
             "reconciles": F.coalesce(verdict, F.lit(False)),
         }
-    ).drop("net_male", "net_female", "net_third_gender")
+    ).drop(*NETS)
 
 
 CHECKS = {
@@ -85,7 +92,7 @@ def reconcile(
     rolls: DataFrame, entries: DataFrame, summary: DataFrame, key: str = "roll_id", status: str = "status",
 ) -> DataFrame:
     """Counts, a map of single checks and the overall verdict (all checks and a printed total)."""
-    out = lookup(_counted(rolls.select(key), entries, key, status), summary, [key], list(CHECKS))
+    out = lookup(counted(rolls.select(key), entries, key, status), summary, [key], list(CHECKS))
     pairs: list[Column] = []
     for printed, found in CHECKS.items():
         pairs += [F.lit(printed.removesuffix("_total") if "net" not in printed else printed),

@@ -15,7 +15,7 @@ from snapledger.functions.text import as_col, filled
 from snapledger.operators import identity, lineage as lineages, reconcile, resolve
 from snapledger.operators.groupwise import lookup
 from snapledger.plans.rolls import RollBatch
-from snapledger.session import cut
+from snapledger.session import cut, scratch
 from snapledger.sources import sinks
 
 #: The era of documents that fall into none of the eras given; their areas stay apart from all others.
@@ -115,6 +115,11 @@ def load(
     eras, both by the declared columns. The context may also bring ``district_cd`` and ``total_pages``, entries ``marker_box``. With
     ``fuzzy``, entries without a key are placed with persons of their area who were known before the batch, where they match.
     """
+    with scratch(spark):
+        _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy)
+
+
+def _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy) -> None:
     docs = cut(dated(placed(result.context, cover), eras))
     rolls = roll_rows(docs)
     area = docs.select("roll_id", *PART)

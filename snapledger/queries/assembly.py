@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from snapledger.functions import cards, values
 from snapledger.operators import assemble, reconcile, resolve
+from snapledger.plans import rolls as rolls_plan
 from snapledger.queries.registry import Tables, query
-from snapledger.session import cut
 
 ENTRY = {
     "roll_id": "l_orderkey",
@@ -70,11 +70,15 @@ def _documents(spark, sf_dir):
     """,
 )
 def recon_view(spark, sf_dir):
-    rolls, entries, printed = _documents(spark, sf_dir)
-    printed = cut(printed)  # the two printed tables: written once, read as summary and as cover
-    summary = printed.drop("cover_total")
-    cover = printed.select("roll_id", F.col("cover_total").alias("net_total"))
-    return reconcile.roll_reconciliation(rolls, entries, summary, cover)
+    t = Tables(spark, sf_dir)
+    rolls = t.orders.select(F.col("o_orderkey").alias("roll_id"))
+    counts = reconcile.counted(rolls, t.lineitem.select(*[F.expr(v).alias(k) for k, v in ENTRY.items()]), "roll_id", "entry_status")
+    # what the documents print is made from the counts themselves, so all comes from one aggregate over the entries
+    named = {"live": "live_cards", "male": "live_male", "female": "live_female", "third": "live_third_gender"}
+    known = counts.withColumns({k: F.col(v) for k, v in named.items()})
+    totals = {c: F.expr(PRINTED[c]) for c in reconcile.NETS} | {"summary_net_total": F.expr(PRINTED["net_total"]), "cover_net_total": F.expr(COVER_TOTAL)}
+    out = reconcile.judged(known.withColumns(totals).drop(*named))
+    return out
 
 
 CHECK_NAMES = ("net_total", "net_male", "net_female", "net_third_gender", "additions", "deletions", "has_summary")
@@ -362,3 +366,31 @@ def roll_assembly(spark, sf_dir):
     ).select("*", *[unread.alias(n) for n in ("net_male", "net_female", "net_third_gender", "deletions_total", "num_modifications")])
     recon = run_rolls(summary.select("roll_id"), strips, summary).recon
     return recon.drop("checks", "net_male", "net_female", "net_third_gender", "deletions_total")
+
+
+@query(
+    "enrich_context",
+    """
+    select o_orderkey as roll_id, case when o_custkey % 3 = 0 then nullif(o_custkey % 5, 0) else o_custkey % 7 end as ac_no,
+      case when o_orderkey % 4 = 0 then nullif(o_orderkey % 3, 0) else o_orderkey % 9 end as part_no from orders
+    """,
+)
+def enrich_context(spark, sf_dir):
+    """Area and part from the cover where the file name gave none; a zero on the cover is none."""
+    o = Tables(spark, sf_dir).orders
+    context = o.select(F.col("o_orderkey").alias("roll_id"), F.expr("case when o_custkey % 3 <> 0 then o_custkey % 7 end").alias("ac_no"),
+                       F.expr("case when o_orderkey % 4 <> 0 then o_orderkey % 9 end").alias("part_no"))
+    cover = o.select(F.col("o_orderkey").alias("roll_id"), (F.col("o_custkey") % 5).alias("ac_no"), (F.col("o_orderkey") % 3).alias("part_no"))
+    return rolls_plan.enrich_context(context, cover)
+
+
+@query(
+    "ordered_electors",
+    """
+    select o_orderstatus as roll_id, o_orderkey as serial_no, row_number() over (partition by o_orderstatus order by o_orderkey) as ordinal from orders
+    """,
+)
+def ordered_electors(spark, sf_dir):
+    """The place of each entry within its roll; three rolls hold all entries."""
+    o = Tables(spark, sf_dir).orders.select(F.col("o_orderstatus").alias("roll_id"), F.col("o_orderkey").alias("serial_no"))
+    return assemble.numbered(o)

@@ -332,3 +332,10 @@ def manifest_stats(spark, sf_dir):
         one(t.customer, "customers").unionByName(one(t.orders, "orders")).unionByName(one(t.events, "events"))
         .unionByName(failed.select(scope.alias("metric"), "n"))
     )
+
+
+@query("first_areas", "select distinct o_custkey % 97 as ac_no from orders where o_orderstatus = 'P' order by 1 limit 20")
+def first_areas(spark, sf_dir):
+    """The first twenty areas that have documents left, in order."""
+    o = Tables(spark, sf_dir).orders.filter("o_orderstatus = 'P'").select((F.col("o_custkey") % 97).alias("ac_no"))
+    return manifest.first_areas(o, n=20)

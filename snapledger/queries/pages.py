@@ -4,6 +4,8 @@ A page holds 30 customers in a grid of three columns; every tenth card has no se
 stamped, names wrap over two lines, and noise lines stand between the fields.
 """
 
+from html.parser import HTMLParser
+
 from pyspark.sql import functions as F
 
 from snapledger.functions import fixed
@@ -198,3 +200,84 @@ def reader_hook(spark, sf_dir):
     return out.select(
         "page_id", "failed", F.md5(F.get_json_object("payload", "$.section_header")).alias("title_md5"), "error"
     )
+
+
+class _Tags(HTMLParser):
+    """Depth of the tags that are open at once, and the targets of links."""
+
+    VOID = {"meta", "br", "img", "hr", "input", "link"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.depth = self.deepest = 0
+        self.links: set[str] = set()
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in self.VOID:
+            self.depth += 1
+            self.deepest = max(self.deepest, self.depth)
+        if tag == "a":
+            self.links |= {value for name, value in attrs if name == "href" and value is not None}
+
+    def handle_endtag(self, tag):
+        self.depth -= 1
+
+
+def _parsed(html: str) -> _Tags:
+    if "</html>" not in html:
+        raise ValueError("page is cut")
+    tags = _Tags()
+    tags.feed(html)
+    return tags
+
+
+@extractors.register("depth", batched=True)
+def depth(**_):
+    return lambda pages: [{"section_header": f"depth {_parsed(p['html']).deepest}"} for p in pages]
+
+
+@extractors.register("links", batched=True)
+def links(**_):
+    return lambda pages: [{"section_header": f"links {len(_parsed(p['html']).links)}"} for p in pages]
+
+
+LANGUAGE = r"://[^/]+/([a-z]{2})(?:[/?#]|$)"
+
+
+@query(
+    "language_routes",
+    f"""
+    with p as (select page_id, nullif(regexp_extract(url, '{LANGUAGE}', 1), '') as language_code,
+        contains(html, '</html>') as ok, regexp_replace(html, '(?s)<(script|style)>.*?</(script|style)>', '<script></script>', 'g') as h from pages),
+    t as (select *, list_filter(regexp_extract_all(h, '<(/?[a-zA-Z][a-zA-Z0-9]*)', 1), lambda x: x not in ('meta', 'br', 'img', 'hr', 'input', 'link')) as tags from p),
+    d as (select *, list_reduce(list_prepend({{'at': 0, 'top': 0}}, list_transform(tags, lambda x: {{'at': case when x[1] = '/' then -1 else 1 end, 'top': 0}})),
+        lambda a, x: {{'at': a.at + x.at, 'top': greatest(a.top, a.at + x.at)}}).top as deepest,
+        len(list_distinct(regexp_extract_all(h, '<a [^>]*href="([^"]*)"', 1))) as links from t)
+    select page_id, language_code, not ok as failed, case when not ok then null when language_code in ('en', 'de') then 'depth ' || deepest
+      else 'links ' || links end as found from d
+    """,
+)
+def language_routes(spark, sf_dir):
+    """Pages of two languages through one engine, all others through another; both parse the whole page."""
+    pages = Tables(spark, sf_dir).pages.select("page_id", F.nullif(F.regexp_extract("url", LANGUAGE, 1), F.lit("")).alias("language_code"), "html")
+    out = extractors.extract_by_language(pages, {"en": "depth", "de": "depth"}, "links", keep=("page_id", "language_code"))
+    return out.select("page_id", "language_code", "failed", F.get_json_object("payload", "$.section_header").alias("found"))
+
+
+HEADER = ("case when c_custkey % 7 = 3 then concat('  Section No and Name ', c_name) when c_custkey % 11 = 5 then 'List of Additions 2' "
+          "when c_custkey % 13 = 1 then 'LIST  OF DELETIONS' else c_name end")
+
+
+@query(
+    "section_headers",
+    f"""
+    with t as (select c_custkey // 12 as image_id, c_custkey as tok_no, c_custkey * 37 % 101 as y, {HEADER} as text from customer),
+    f as (select *, lower(regexp_replace(text, '\\s+', '', 'g')) as flat from t)
+    select image_id, coalesce(arg_min(text, (y, tok_no)) filter (where starts_with(flat, 'sectionnoandname')
+      or contains(flat, 'listofadditions') or contains(flat, 'listofdeletions')), '') as section_header from f group by 1
+    """,
+)
+def section_headers(spark, sf_dir):
+    c = Tables(spark, sf_dir).customer
+    tokens = c.select(F.expr("c_custkey div 12").alias("image_id"), F.col("c_custkey").alias("tok_no"), (F.col("c_custkey") * 37 % 101).alias("y"), F.expr(HEADER).alias("text"))
+    return layout.section_headers(tokens)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from snapledger.plans import manifest
 from snapledger.queries.registry import Tables, query
 from snapledger.session import shared_dir
-from snapledger.sources import sinks
+from snapledger.sources import scans, sinks
 
 
 @query(
@@ -105,3 +105,23 @@ def manifest_tables(spark, sf_dir):
             found = manifest.read(spark, root, name, as_of).select(F.lit(name).alias("table_name"), F.lit(as_of).alias("as_of"), text.alias("content"))
             out = found if out is None else out.unionByName(found)
     return out
+
+
+@query(
+    "token_table",
+    """
+    select user_id as image_id, count(*) as tokens, min(event_id) as first_token, cast(sum(floor(value * 100)) as bigint) as x_sum
+    from events where event_id % 3 <> 0 group by 1
+    """,
+)
+def token_table(spark, sf_dir):
+    """A token table written and read again for one of its two engines."""
+    e = Tables(spark, sf_dir).events
+    where = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    e.select(
+        F.col("user_id").cast("string").alias("image_id"), F.col("event_id").cast("int").alias("tok_no"),
+        F.when(F.col("event_id") % 3 == 0, "script").otherwise("latin").alias("engine"), F.col("value").alias("x"), F.lit(0.0).alias("y"),
+        F.lit(0.0).alias("x2"), F.lit(0.0).alias("y2"), F.col("event_type").alias("text"), F.lit(1.0).alias("conf"),
+    ).write.parquet(where)
+    found = scans.read_tokens(spark, where, "latin").groupBy(F.col("image_id").cast("bigint").alias("image_id"))
+    return found.agg(F.count("*").alias("tokens"), F.min("tok_no").cast("bigint").alias("first_token"), F.sum(F.floor(F.col("x") * 100)).alias("x_sum"))

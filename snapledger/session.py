@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 
 def local_session(cores: str = "*", app: str = "snapledger", **conf: str) -> SparkSession:
@@ -44,9 +50,33 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+_OPEN = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns what ``cut`` writes meanwhile, and deletes it at the end: for work that itself ends with a write.
+
+    Tables that are cut outside of any such block belong to whoever reads the result, and stay in the shared folder.
+    """
+    owned: list[str] = []
+    outer, _OPEN.owned = getattr(_OPEN, "owned", None), owned
+    try:
+        yield
+    finally:
+        _OPEN.owned = outer
+        for path in owned:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that retries never replay what came before it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """``df`` as a table in the shared folder: computed once, read by column, and no retry replays what came before it."""
+    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    empty = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, NullType)}
+    held = df.drop(*empty) if empty else df
+    held.write.parquet(path)
+    if getattr(_OPEN, "owned", None) is not None:
+        _OPEN.owned.append(path)
+    found = spark.read.schema(held.schema).parquet(path)
+    return found.withColumns({c: F.lit(None) for c in empty}).select(*df.columns) if empty else found

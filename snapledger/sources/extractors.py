@@ -1,7 +1,8 @@
 """Hook for page readers: the caller brings the engine, Spark brings the pages.
 
-An engine factory is called once per task and returns ``read(page: dict) -> dict`` (the payload of
-that page). A page that raises becomes a failure row; it never fails the job.
+An engine factory is called once per task. It returns ``read(page: dict) -> dict`` (the payload of that page) or, registered
+as ``batched``, ``read(pages: list[dict]) -> list[dict]``, so that an engine may work on many pages at once. A batch that
+raises is read again page by page; a page that raises becomes a failure row and never fails the job.
 """
 
 from __future__ import annotations
@@ -12,16 +13,22 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Reader = Callable[[dict], dict]
+Reader = Callable[[list[dict]], list[dict | None]]
 Factory = Callable[..., Reader]
 _FACTORIES: dict[str, Factory] = {}
 
 RESULT = "payload string, failed boolean, error string"
+#: Pages that an engine gets at a time.
+PAGES = 64
 
 
-def register(name: str) -> Callable[[Factory], Factory]:
-    def add(factory: Factory) -> Factory:
-        _FACTORIES[name] = factory
+def register(name: str, batched: bool = False) -> Callable[[Callable], Callable]:
+    def add(factory: Callable) -> Callable:
+        def rowwise(**options) -> Reader:
+            read = factory(**options)
+            return lambda pages: [read(page) for page in pages]
+
+        _FACTORIES[name] = factory if batched else rowwise
         return factory
 
     return add
@@ -45,22 +52,26 @@ def extract(pages: DataFrame, name: str, keep: tuple[str, ...] = ("roll_id", "pa
     def run(batches: Iterator):
         read = factory(**options)
         for batch in batches:
-            out = batch[list(keep)].copy()
-            payloads, failed, errors = [], [], []
-            for page in batch.to_dict("records"):
-                try:
-                    payloads.append(json.dumps(read(page) or {}, ensure_ascii=False))
-                    failed.append(False)
-                    errors.append(None)
-                except Exception as e:  # noqa: BLE001 - one bad page must not end the job
-                    payloads.append(None)
-                    failed.append(True)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield out.assign(payload=payloads, failed=failed, error=errors)
+            found = [x for low in range(0, len(batch), PAGES) for x in _read(read, batch.iloc[low:low + PAGES].to_dict("records"))]
+            payloads, failed, errors = zip(*found, strict=True) if found else ((), (), ())
+            yield batch[list(keep)].assign(payload=list(payloads), failed=list(failed), error=list(errors))
 
     return pages.mapInPandas(run, ", ".join(kept) + ", " + RESULT)
 
 
+def _read(read: Reader, pages: list[dict]) -> list[tuple[str | None, bool, str | None]]:
+    """(payload, failed, error) of each page."""
+    try:
+        found = read(pages)
+        if len(found) != len(pages):
+            raise ValueError(f"{len(found)} payloads for {len(pages)} pages")
+        return [(json.dumps(x or {}, ensure_ascii=False), False, None) for x in found]
+    except Exception as e:  # noqa: BLE001 - one bad page must not end the job
+        if len(pages) == 1:
+            return [(None, True, f"{type(e).__name__}: {e}")]
+        return [x for page in pages for x in _read(read, [page])]
+
+
 def extract_by_language(
     pages: DataFrame, routes: dict[str, str], default: str, language: str = "language_code", **options
 ) -> DataFrame:

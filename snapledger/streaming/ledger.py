@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapledger.operators import identity
 from snapledger.operators.manifest import latest_state
-from snapledger.session import cut
+from snapledger.session import cut, scratch
 from snapledger.sources.versions import Versions
 
 
@@ -104,6 +104,10 @@ def run_identity(
     registry = _registry(spark, root, registry_schema, buckets)
 
     def load(df: DataFrame, batch: int) -> None:
+        with scratch(spark):
+            register(df, batch)
+
+    def register(df: DataFrame, batch: int) -> None:
         rows = cut(prepare(df))
         touched = [r[0] for r in rows.filter("epic_no is not null").select(registry.bucket_of()).distinct().collect()]
         known = registry.read(batch - 1, touched).select("epic_no", F.col("person_id").alias("__known"))
