@@ -6,12 +6,8 @@ predecessor kept; all but the last return the columns of documents. Extra column
 
 from __future__ import annotations
 
-import re
-from itertools import islice
-
-import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger.llm import language, minhash, mixing, packing, pii
@@ -23,13 +19,16 @@ LEAST_LANGUAGE = 0.5
 #: Near duplicates: word shingles of this width with a similarity of so many percent.
 SHINGLE, PERCENT = 5, 80
 TOKENIZER = "byte_bpe_50k.json"
+#: Between the last character of a word and white space.
+WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known, with it as their ``lang``; texts that are null or without letters go."""
-    found = language.identify(docs.select(*COLUMNS), keep=("text", "source", "n_chars"))
-    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE))
-    return kept.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
+    docs = docs.select(*COLUMNS)
+    found = docs.withColumn("found", language.predicted(docs))
+    kept = found.where((F.col("found.lang_pred") != language.UNKNOWN) & (F.col("found.score") >= LEAST_LANGUAGE))
+    return kept.select("doc_id", "text", F.col("found.lang_pred").alias("lang"), "source", "n_chars")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +40,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     found = minhash.link_documents(docs, words=SHINGLE, percent=PERCENT).where("kept")
     kept = stored(found.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")))
-    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    same, repeated = F.col("doc_id").eqNullSafe(F.col("id")), kept.where("n > 1")
     once = docs.join(kept.where("n = 1"), same, "left_semi")
-    several = docs.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(several)
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,24 +53,33 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
-def _heads(texts: pd.Series, words: pd.Series) -> pd.Series:
-    """Each text up to the end of so many words."""
-    return pd.Series([t[:next(islice(re.finditer(mixing.WORD, t), n - 1, None)).end()] for t, n in zip(texts, words, strict=True)])
+def _head(text: Column, words: Column) -> Column:
+    """A text up to the end of so many words: cut at word ends, white space as it is."""
+    return F.array_join(F.slice(F.split(text, WORD_END, words + 1), F.lit(1), words), "")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: repeated for complete epochs, left out where it takes none.
 
-    Where a source's budget ends within a document, its text up to the end of its last word taken stands for it, white space as it is.
+    Where a source's budget ends within a document, its text up to the end of its last word taken stands for it, white space as
+    it is. The mix is found without texts; they meet it once, under a hash of the whole row. Equal rows are one document that
+    is taken as often as all of them together.
     """
-    kept = ("text", "lang", "n_chars")
-    rows = stored(mixing.measured(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=kept))
+    row = F.md5(F.concat_ws("|", *(F.coalesce(F.md5(F.col(c).cast("string")), F.lit("")) for c in COLUMNS)))
+    named = docs.select(*COLUMNS, row.alias("row"))
+    rows = stored(mixing.measured(named, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=("row",)))
     found = mixing.taken(rows, mixing.planned(rows)).where("taken > 0")
-    whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
-    whole_docs = found.where(whole > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), whole))).select("doc_id", "kept.text", "kept.lang", "source", "kept.n_chars")
-    heads = found.where(part > 0).select("doc_id", F.pandas_udf(_heads, "string")("kept.text", part).alias("text"), "kept.lang", "source")
-    heads = heads.select("doc_id", "text", "lang", "source", F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-    return whole_docs.unionByName(heads)
+    copies, part = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
+    mixed = stored(found.groupBy("kept.row").agg(F.sum(copies).cast("int").alias("copies"), F.max(part).alias("part"), F.count("*").alias("n")))
+    repeated = mixed.where("n > 1")
+    met = named.join(mixed.where("n = 1"), "row")
+    if not repeated.isEmpty():
+        met = met.unionByName(named.join(repeated, "row").dropDuplicates(["row"]))
+    words = F.concat(F.array_repeat(F.lit(0), F.col("copies")), F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<int>")))
+    taken = met.withColumn("words", F.explode(words))
+    whole = F.col("words") == 0
+    text = F.when(whole, F.col("text")).otherwise(_head(F.col("text"), F.col("words")))
+    return taken.select("doc_id", text.alias("text"), "lang", "source", F.when(whole, F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
