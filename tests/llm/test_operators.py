@@ -6,10 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from snapledger.llm import embeddings, fingerprint, language, license_scan, minhash, mixing, packing, pii, secret_scan, tokens, toxicity
@@ -330,6 +330,7 @@ def test_account_numbers_end_before_words(after):
     assert found == [(3, 27), (28, 52)][:1 + after.count(number)]
 
 
-def test_cut_texts_keep_their_white_space():
-    cut = corpus_pipeline._heads(pd.Series(["  a\n\nb\tc  d", "x"]), pd.Series([3, 1]))
-    assert cut.tolist() == ["  a\n\nb\tc", "x"]
+def test_cut_texts_keep_their_white_space(spark):
+    texts = spark.createDataFrame([("  a\n\nb\tc  d", 3), ("x", 1), ("é ü. ö", 2), ("a b", 2), ("a b  ", 2)], "text string, words int")
+    cut = [r[0] for r in texts.select(corpus_pipeline._head(F.col("text"), F.col("words"))).collect()]
+    assert cut == ["  a\n\nb\tc", "x", "é ü.", "a b", "a b"]
