@@ -30,7 +30,7 @@ SYMBOLS = CHUNKS * WIDTH
 SIGNED, BLOCK_BYTES = 4096, 8 << 20
 #: Signatures that differ in more symbols are not compared further; a link at similarity 0.8 does with probability 7e-8.
 MOST = 28
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def _signed(rows: DataFrame, words: int) -> DataFrame:
