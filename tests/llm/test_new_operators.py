@@ -330,3 +330,10 @@ def test_queries_return_scores(spark):
         assert len(rows[1].scores.split(",")) == len(rows[1].spans.split(",")) and rows[2].scores == rows[2].spans == ""
     found = {r.doc_id: r.found for r in pii.find_pii(docs).collect()}
     assert [x.score for x in found[1]] == [1.0, 1.0] or found[1][0].score <= found[1][1].score
+
+
+def test_substrings_ignore_other_columns_and_take_an_empty_table(spark):
+    docs = spark.createDataFrame(REPEATS[:12], "doc_id long, text string")
+    clash = docs.selectExpr("*", "1 as block", "'x' as texts", "2 as n_words", "'y' as kept", "3 as anchor", "4 as window")
+    assert sorted(map(str, substrings.remove_repeats(clash).collect())) == sorted(map(str, substrings.remove_repeats(docs).collect()))
+    assert substrings.remove_repeats(docs.limit(0)).count() == 0
