@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -182,12 +184,16 @@ def page_kind(page: Column | str, pages: Column | str) -> Column:
 
 
 def page_bands(y: Column | str, height: Column | str) -> Column:
-    """Bands a position lies in; the two overlap, so it may be in both."""
+    """Bands a position lies in; the two overlap, so it may be in both.
+
+    Their borders are fractions of whole numbers: as a double, 0.55 of 200 would lie above 110.
+    """
     y, height = as_col(y), as_col(height)
+    top, bottom = (Fraction(str(part)) for part in (fixed.TOP_BAND_END, fixed.BOTTOM_BAND_START))
     return F.array_compact(
         F.array(
-            F.when(y < height * fixed.TOP_BAND_END, "top"),
-            F.when(y >= height * fixed.BOTTOM_BAND_START, "bot"),
+            F.when(y < height * top.numerator / top.denominator, "top"),
+            F.when(y >= height * bottom.numerator / bottom.denominator, "bot"),
         )
     )
 

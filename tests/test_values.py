@@ -89,6 +89,12 @@ def test_pages(spark):
     assert one(spark, values.page_bands(F.lit(50.0), F.lit(100.0)), c=1) == ["top", "bot"]
 
 
+def test_page_bands_at_their_borders(spark):
+    at = lambda y, height: one(spark, values.page_bands(F.lit(y), F.lit(height)), c=1)
+    assert at(110.0, 200.0) == ["bot"] and at(109.99, 200.0) == ["top", "bot"]
+    assert at(96.0, 200.0) == ["top", "bot"] and at(95.99, 200.0) == ["top"]
+
+
 CARD = "region string, marker_box string, deleted_watermark boolean, deletion_reason_code string, supplement_no int"
 
 
