@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from fractions import Fraction
+from functools import reduce
+from itertools import combinations
 from math import ceil
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -226,6 +229,24 @@ def _profile(columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
+def _agreements(budget: int) -> tuple[int, list[tuple[str, ...]]]:
+    """What must agree in a match that may lose ``budget`` millionths: the least relation score, and the sets of fields.
+
+    House and age agree if they add anything at all. Each match agrees in all fields of one of the sets, as what it loses by the
+    other fields would be too much otherwise; the empty set means that the name alone may do.
+    """
+    others = [role for role in WEIGHTS if role != "name"]
+    full = {role: 1000 * WEIGHTS[role] for role in others}
+    spare = budget - min(full[role] for role in others if role != "relation")
+    related = min(1000, max(1, 1000 - spare // WEIGHTS["relation"]))
+    lost = full | {"relation": WEIGHTS["relation"] * (1001 - related)}
+    enough = [
+        set(kept) for n in range(len(others) + 1) for kept in combinations(others, n)
+        if sum(lost[role] for role in others if role not in kept) <= budget
+    ]
+    return related, [tuple(role for role in others if role in kept) for kept in enough if not any(less < kept for less in enough)]
+
+
 def profile_pairs(
     entries: DataFrame, persons: DataFrame, block: Sequence[str], fields: dict[str, str], threshold: int,
 ) -> DataFrame:
@@ -233,29 +254,60 @@ def profile_pairs(
 
     A profile is the block with the four fields; equal ones are compared once. Name and relation count by trigrams, the house if
     it is equal but for case and blanks, the age in full within a year and by half within two. What the other fields can add
-    at most gives the least name score a match needs, so names are compared under that threshold and no match is lost.
+    at most gives the least name score a match needs, so names are compared under that threshold and no match is lost (up to a
+    threshold of one half, where names without a common trigram might do, those are left out). Nor are
+    profiles compared by name alone: a match agrees in some of the other fields too (``_agreements``), which are keys of the
+    join, once for each set of them; a pair counts under the first set in which it agrees.
     """
     columns = [*block, *fields.values()]
-    own = {role: F.col(c) for role, c in fields.items()}
     rest = 1000 * sum(w for role, w in WEIGHTS.items() if role != "name")
     least = max(0, -(-(threshold - rest) // WEIGHTS["name"])) / 1000
-    lefts, rights = (df.select(*columns).distinct().withColumn("__p", _profile(columns)) for df in (entries, persons))
-    names = name_pairs(lefts, rights, block, fields["name"], least).select(*block, fields["name"], "matched_name", F.col("milli").alias("__name"))
-    keyed = names.join(lefts, [*block, fields["name"]])
-    other = rights.select(*block, F.col(fields["name"]).alias("matched_name"), F.col("__p").alias("r"),
-                          *[F.col(fields[f]).alias(f"__{f}") for f in ("relation", "house", "age")])
-    both = keyed.join(other, [*block, "matched_name"])
-    a, b = trigrams(fields["relation"]), trigrams("__relation")
-    common = F.size(F.array_intersect(a, b))
-    relation = F.when(own["relation"].isNotNull() & F.col("__relation").isNotNull(), _thousandths(common, F.size(a) + F.size(b) - common))
-    plain = lambda c: F.lower(F.regexp_replace(c.cast("string"), r"\s+", ""))
-    house = F.when(plain(own["house"]) == plain(F.col("__house")), 1000)
-    years = F.abs(own["age"] - F.col("__age"))
-    age = F.when(years <= 1, 1000).when(years <= 2, 500)
+    related, kept = _agreements(1000 * sum(WEIGHTS.values()) - threshold)
+    names = cut(name_pairs(entries, persons, block, fields["name"], least).select(
+        *block, F.col(fields["name"]).alias("__l_name"), F.col("matched_name").alias("__r_name"), F.col("milli").alias("__name")))
+    if any("relation" in roles for roles in kept):
+        relations = cut(name_pairs(entries, persons, block, fields["relation"], related / 1000).select(
+            *block, F.col(fields["relation"]).alias("__l_relation"), F.col("matched_name").alias("__r_relation")))
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        grams = F.when(F.col(fields["relation"]).isNotNull(), trigrams(fields["relation"]))
+        own = {"name": F.col(fields["name"]), "relation": F.col(fields["relation"]), "grams": grams, "age": F.col(fields["age"]),
+               "house": F.lower(F.regexp_replace(F.col(fields["house"]).cast("string"), r"\s+", ""))}
+        profiles = df.filter(F.col(fields["name"]).isNotNull()).select(*columns).distinct()
+        return cut(profiles.select(*block, _profile(columns).alias(tag), *[c.alias(f"__{tag}_{role}") for role, c in own.items()]))
+
+    lefts, rights = side(entries, "l"), side(persons, "r")
+    common = F.size(F.array_intersect("__l_grams", "__r_grams"))
+    relation = F.when(F.col("__l_grams").isNotNull() & F.col("__r_grams").isNotNull(),
+                      _thousandths(common, F.size("__l_grams") + F.size("__r_grams") - common))
+    years = F.abs(F.col("__l_age") - F.col("__r_age"))
+    parts = {"relation": F.coalesce("__relation", F.lit(0)), "house": F.when(F.col("__l_house") == F.col("__r_house"), 1000).otherwise(0),
+             "age": F.when(years <= 1, 1000).when(years <= 2, 500).otherwise(0)}
     score = WEIGHTS["name"] * F.col("__name")
-    for role, part in (("relation", relation), ("house", house), ("age", age)):
-        score = score + WEIGHTS[role] * F.coalesce(part, F.lit(0))
-    return both.select(F.col("__p").alias("l"), "r", score.cast("int").alias("score")).filter(F.col("score") >= threshold)
+    for role, part in parts.items():
+        score = score + WEIGHTS[role] * part
+    agree = {"relation": parts["relation"] >= related, "house": parts["house"] > 0, "age": parts["age"] > 0}
+    found = None
+    for place, roles in enumerate(kept):
+        on = [*block, "__r_name"]
+        some, other = names.join(lefts, [*block, "__l_name"]), rights
+        if "house" in roles:
+            on.append("__house")
+            some, other = (df.withColumn("__house", F.col(f"__{tag}_house")) for df, tag in ((some, "l"), (other, "r")))
+        if "age" in roles:
+            on.append("__age")
+            some = some.withColumn("__age", F.floor("__l_age"))
+            other = other.withColumn("__age", F.explode(F.sequence(F.floor("__r_age") - 2, F.floor("__r_age") + 2)))
+        if "relation" in roles:
+            on.append("__r_relation")
+            some = some.join(relations, [*block, "__l_relation"])
+        both = some.join(other, on)
+        earlier = F.lit(False)
+        for less in kept[:place]:
+            earlier = earlier | reduce(and_, [agree[role] for role in less])
+        own = both.withColumn("__relation", relation).filter(~earlier).select("l", "r", score.cast("int").alias("score")).filter(F.col("score") >= threshold)
+        found = own if found is None else found.unionByName(own)
+    return found
 
 
 def assign(pairs: DataFrame, lefts: DataFrame, rights: DataFrame, scope: str) -> DataFrame:

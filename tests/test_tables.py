@@ -224,6 +224,24 @@ def test_tier2_takes_each_person_once_a_roll_best_first(spark, rows):
     assert identity.place_fuzzy(left.withColumn("area", F.lit("b")), right, ["area"], FIELDS).count() == 0
 
 
+@pytest.mark.parametrize("threshold", (0.55, 0.6, 0.7, 0.75, 0.9))
+def test_tier2_profiles_meet_by_more_than_their_names(spark, rows, threshold):
+    rnd = random.Random(7)
+    some = lambda: (rnd.choice(["anna maria", "anna mary", "ana maria", "bert"]), rnd.choice(["otto", "otta", "olga", "", None]),
+                    rnd.choice(["1", " 1", "2", "", None]), rnd.choice([30, 31, 32, 33, None]))
+    left, right = {some() for _ in range(150)}, {some() for _ in range(150)}
+    shape = "area string, name string, rel string, house string, age int"
+    entries, persons = (spark.createDataFrame([("a", *t) for t in side], shape) for side in (left, right))
+    found = identity.profile_pairs(entries, persons, ["area"], FIELDS, round(threshold * 1_000_000))
+    prof = lambda t: "a|" + "|".join("" if x is None else str(x) for x in t)
+    bare = lambda t: (*t[:2], t[2] and t[2].strip(), t[3])
+    scored = [(prof(e), prof(p), tier2((0, 0, *bare(e)), (0, *bare(p)))) for e in left for p in right]
+    assert rows(found) == sorted((s for s in scored if s[2] >= threshold * 1_000_000), key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    met = [line for line in plan.splitlines() if "Join" in line and "= __r_name" in line and "__l_name" not in line]
+    assert met and (threshold < 0.75 or all("= __house" in m or "= __age" in m for m in met))
+
+
 def test_composite_references(spark, rows):
     child = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "a"), (1, None), (3, "z")], "k int, v string")
     parent = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (1, "b", 0), (None, "z", 0)], "p int, q string, o int")
