@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,6 +33,14 @@ def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.Record
         yield batch.slice(int(start), int(end - start))
 
 
+def give_back() -> None:
+    """Memory that is free in this worker back to the system, where the C library can: a worker outlives its task and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def lengths(column: pa.Array) -> np.ndarray:
     """Bytes of each text; 0 for null."""
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)

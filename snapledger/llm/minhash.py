@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.batches import mix, slices, texts_of
+from snapledger.llm.batches import give_back, mix, slices, texts_of
 from snapledger.llm.graph import components
 from snapledger.llm.shingles import shingle_sets, signatures
 from snapledger.llm.storage import discard, stored
@@ -171,6 +171,7 @@ def _compare(batches):
             gathered = list(set(gathered))
     pairs = np.array(sorted(set(gathered)), np.int64).reshape(-1, 2)
     yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    give_back()
 
 
 def _dealt(rows: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.batches import slices
-from snapledger.llm.tokens import encoder
+from snapledger.llm.tokens import encoding
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _SCHEMA = pa.schema([(name.split()[0], pa.int64()) for name in PIECES.split(", ")])
@@ -153,15 +153,15 @@ def pack(
 
     def run(batches):
         packer = Packer(TaskContext.get().partitionId() << 36, size, segments, loss)
-        encode = encoder(tokenizer).encode
-        for batch in batches:
-            for part in slices(batch, 2 << 20):
-                ids, counts = encode(part.column(1))
-                at = 0
-                for doc, count, first in zip(part.column(0).to_pylist(), counts.tolist(), part.column(2).to_pylist(), strict=True):
-                    packer.add(doc, np.append(ids[at:at + count], np.int32(0)), first)
-                    at += count
-                yield packer.batch()
+        with encoding(tokenizer) as encoder:
+            for batch in batches:
+                for part in slices(batch, 2 << 20):
+                    ids, counts = encoder.encode(part.column(1))
+                    at = 0
+                    for doc, count, first in zip(part.column(0).to_pylist(), counts.tolist(), part.column(2).to_pylist(), strict=True):
+                        packer.add(doc, np.append(ids[at:at + count], np.int32(0)), first)
+                        at += count
+                    yield packer.batch()
         packer.close()
         yield packer.batch()
 

@@ -1,17 +1,19 @@
 """Ids of a byte-level BPE tokenizer for many texts at once.
 
 A pre-token never crosses from other characters to white space, so a text may be cut before each run of white space and the
-pieces encoded alone. A special token that a text holds literally is one id, as by the tokenizer itself. Pieces recur, so their ids are kept in a bounded table per worker; only new ones reach the tokenizer.
+pieces encoded alone. A special token that a text holds literally is one id, as by the tokenizer itself. Pieces recur, so their ids are kept in a bounded table per task; only new ones reach the tokenizer.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 
-from snapledger.llm.batches import _SPACE, Slots, hash_runs, utf8
+from snapledger.llm.batches import _SPACE, Slots, give_back, hash_runs, utf8
 
 MOST_PIECES = 1 << 20
 
@@ -35,6 +37,12 @@ class Encoder:
         self.start, self.size = np.zeros(size, np.int32), np.zeros(size, np.int32)
         self.ids, self.used, self.pieces = np.zeros(1 << 16, np.int32), 0, 0
 
+    def close(self) -> None:
+        """Give back the tokenizer and the table; the encoder can't be used any more."""
+        self.tokenizer = None
+        self.clear(1)
+        give_back()
+
     def _insert(self, hashes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         """Distinct hashes that aren't kept yet."""
         slots = self.slots.insert(hashes)
@@ -103,11 +111,11 @@ def _maybe_space(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return tail & (lead2 | lead3)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for ``path``."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+@contextmanager
+def encoding(path: str) -> Iterator[Encoder]:
+    """An encoder for one task. What it holds is given back at the end: the worker lives on, and other work needs the memory."""
+    own = Encoder(path)
+    try:
+        yield own
+    finally:
+        own.close()

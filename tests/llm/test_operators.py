@@ -299,6 +299,19 @@ def test_packing_keeps_all_three_limits(spark):
     assert len(total) == 120
 
 
+def test_workers_keep_no_encoder_after_packing(spark):
+    docs = spark.createDataFrame([(k, f"some text {k}") for k in range(40)], "doc_id long, text string").repartition(4)
+    assert packing.pack(docs, tokenizer()).count() >= 40
+
+    def kept(batches):
+        import gc
+        for batch in batches:
+            held = sum(type(x).__name__ == "Encoder" and x.tokenizer is not None for x in gc.get_objects())
+            yield pa.record_batch([pa.array([held] * batch.num_rows, pa.int64())], ["held"])
+
+    assert {r.held for r in spark.range(0, 64, 1, 8).mapInArrow(kept, "held long").collect()} == {0}
+
+
 @pytest.mark.parametrize("text", ["a<|endoftext|>b", " x  <|endoftext|>\n\ny <|endoftext|> z", "<|endoftext|>"])
 def test_special_tokens_in_a_text_are_one_id(text):
     from tokenizers import Tokenizer
