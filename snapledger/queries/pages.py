@@ -20,13 +20,20 @@ STAMP = "c_custkey % 13 = 4 and c_custkey % 10 <> 5"
 HOUSE = "case when c_custkey % 4 = 0 then '' else concat('H ', cast(c_nationkey as varchar(9))) end"
 
 
+#: Customers that one task renders, about.
+ROWS = 20_000
+
+
 def _tokens(df, image, rows, engine="'latin'"):
     """``rows``: (x, y, text) SQL texts; the order of the list is the reading order."""
     cells = ", ".join(
         f"struct({i} as n, cast({x} as double) as x, cast({y} as double) as y, {t} as text, "
         f"{e[0] if e else engine} as engine)" for i, (x, y, t, *e) in enumerate(rows)
     )
-    tokens = df.select(F.expr(image).alias("image_id"), "c_custkey", F.expr(f"inline(array({cells}))"))
+    # a row becomes some twenty tokens, so files of a few megabytes are dealt out by their rows first, those of a page together
+    tasks = -(-df.count() // ROWS) or 1
+    dealt = df.withColumn("image_id", F.expr(image)).repartition(tasks, "image_id")
+    tokens = dealt.select("image_id", "c_custkey", F.expr(f"inline(array({cells}))"))
     return tokens.filter("text is not null").select(
         "image_id", (F.col("c_custkey") * 100 + F.col("n")).alias("tok_no"), "engine", "x", "y",
         F.when(F.col("text") == "WIDE", 1200.0).otherwise(F.col("x") + 50).alias("x2"), (F.col("y") + 12).alias("y2"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snapledger import schemas
 from snapledger.operators import forms, layout
 from snapledger.plans.rolls import run_tokens
+from snapledger.queries import pages
 from tests import fixtures as fx
 
 
@@ -201,3 +202,13 @@ def test_a_million_rows_that_all_tie(spark):
     frame = spark.range(1_000_000).selectExpr("'i' as image_id", "id as at", "case when id = 0 then array(5) else array(cast(3 * id + 900 as int), cast(3 * id + 5 as int)) end as options")
     found = layout.fold_rows(frame, ["image_id"], 3)
     assert found.filter("b = 3 * at + 5").count() == 1_000_000
+
+
+def test_rendered_tokens_are_dealt_by_the_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(pages, "ROWS", 10)
+    customers = spark.range(95, numPartitions=1).select(F.col("id").alias("c_custkey"))
+    tokens = pages._tokens(customers, "c_custkey div 30", [("0", "10", "'a'"), ("5", "10", "if(c_custkey % 2 = 0, 'b', null)")])
+    assert tokens.rdd.getNumPartitions() == 10 and tokens.count() == 95 + 48
+    placed = tokens.select("image_id", F.spark_partition_id().alias("task")).distinct()
+    assert placed.count() == placed.select("image_id").distinct().count() == 4
+    assert pages._tokens(customers.limit(0), "c_custkey", [("0", "10", "'a'")]).count() == 0
