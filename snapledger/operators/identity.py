@@ -28,7 +28,8 @@ def first_appearances(
     serial: str = "serial_no", name: str = "full_name",
 ) -> DataFrame:
     """Per key: name and roll of its first appearance (ingest order, then serial)."""
-    seen = F.min_by(F.struct(F.col(name).alias("n"), F.col(roll).alias("r")), F.struct(seq, serial, roll))
+    # the order holds the roll, and the name behind it: so each is sent once, and a tie goes to the smaller name
+    seen = F.min(F.struct(F.col(seq).alias("q"), F.col(serial).alias("s"), F.col(roll).alias("r"), F.col(name).alias("n")))
     return (
         entries.filter(F.col(key).isNotNull())
         .groupBy(key).agg(seen.alias("__s"))

@@ -328,3 +328,8 @@ def test_an_image_without_width_ends_no_job(spark):
 def test_a_null_status_is_active(spark):
     got = spark.createDataFrame([(None, None), ("deleted", None), ("kept", None)], "s string, r string").select(values.lifecycle("s", "r")).collect()
     assert [r[0] for r in got] == ["active", "removed", "active"]
+
+
+def test_first_name_of_a_tie_is_the_smaller_one(spark, rows):
+    seen = spark.createDataFrame([("k", 1, "r", 1, "b"), ("k", 1, "r", 1, "a"), ("k", 2, "q", 1, "A")], "epic_no string, ingest_seq int, roll_id string, serial_no int, full_name string").coalesce(1)
+    assert rows(identity.first_appearances(seen)) == [("k", "a", "r")]
