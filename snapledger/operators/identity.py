@@ -29,7 +29,10 @@ def first_appearances(
 ) -> DataFrame:
     """Per key: name and roll of its first appearance (ingest order, then serial)."""
     # the order holds the roll, and the name behind it: so each is sent once, and a tie goes to the smaller name
-    seen = F.min(F.struct(F.col(seq).alias("q"), F.col(serial).alias("s"), F.col(roll).alias("r"), F.col(name).alias("n")))
+    order = {"q": seq, "s": serial, "r": roll, "n": name}
+    if seq == roll:
+        order = {"r": roll, "s": serial, "n": name}
+    seen = F.min(F.struct(*[F.col(c).alias(a) for a, c in order.items()]))
     return (
         entries.filter(F.col(key).isNotNull())
         .groupBy(key).agg(seen.alias("__s"))
@@ -41,10 +44,11 @@ def new_keys(
     entries: DataFrame, registry: DataFrame | None = None, key: str = "epic_no", **names: str
 ) -> DataFrame:
     """One row per key that ``registry`` lacks: person_id, key, canonical_name, first_roll_id."""
-    unseen = entries
+    # one row per key meets the registry, not every entry
+    unseen = first_appearances(entries, key, **names)
     if registry is not None:
-        unseen = entries.join(registry.select(key).distinct(), key, "left_anti")
-    return first_appearances(unseen, key, **names).select(
+        unseen = unseen.join(registry.select(key).distinct(), key, "left_anti")
+    return unseen.select(
         person_id(key).alias("person_id"), key, "canonical_name", "first_roll_id"
     )
 
@@ -127,6 +131,25 @@ def person_current(
     )
 
 
+def latest_current(persons: DataFrame, placements: DataFrame, entries: DataFrame, rolls: DataFrame) -> DataFrame:
+    """``person_current`` of tables that loads wrote, rows with their ``batch``: every placement has its entry, of the same batch.
+
+    So a person's latest placement is found from rolls alone, and only that one meets its entry. ``rolls`` are those that count,
+    by their batch; placements and entries of other batches fall away as they meet them.
+    """
+    at = ["roll_id", "batch"]
+    dated = placements.select("person_id", *at, "serial_no").join(rolls.select(*at, "part_id", "date_of_publication"), at)
+    # nulls are the smallest values of a struct, so dates come last where they are missing
+    last = F.max(F.struct("date_of_publication", "roll_id", "serial_no", "batch", "part_id"))
+    latest = dated.groupBy("person_id").agg(last.alias("__last")).select("person_id", "__last.*")
+    named = latest.join(persons.select("person_id", "canonical_name"), "person_id")
+    seen = named.join(entries.select(*at, "serial_no", "epic_no", "full_name", "entry_status", "deletion_reason_code"), [*at, "serial_no"])
+    return seen.select(
+        "person_id", "epic_no", F.coalesce("canonical_name", "full_name").alias("name"), F.col("roll_id").alias("latest_roll_id"),
+        F.col("part_id").alias("latest_part_id"), F.col("date_of_publication").alias("latest_publication"), "entry_status",
+        "deletion_reason_code", lifecycle("entry_status", "deletion_reason_code").alias("lifecycle_status"))
+
+
 def current(
     seen: DataFrame, keys: Sequence[str], latest_first: Sequence[Column], status: str = "entry_status",
     reason: str = "deletion_reason_code",

@@ -124,12 +124,14 @@ def _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy
     rolls = roll_rows(docs)
     area = docs.select("roll_id", *PART)
     flagged = resolve.has_supplement(result.summary, result.electors)
-    linked = cut(resolve.supplement_link(result.electors, flagged))
+    # what is looked up by document follows in one plan: entries are dealt by document once
+    linked = lookup(resolve.supplement_link(result.electors, flagged), area, ["roll_id"], list(PART))
     listed = geography(docs)
     place = list(PART)
     known = listed["section"].unionByName(sinks.read_rows(spark, root, "section", batch)).select(*place, "section_no")
-    known = known.distinct().withColumn("__known", F.lit(True))
-    linked = lookup(lookup(linked, area, ["roll_id"], place), known, [*place, "section_no"], ["__known"])
+    # written, so that its size is known before entries would be dealt for it
+    known = cut(known.distinct().withColumn("__known", F.lit(True)))
+    linked = lookup(linked, known, [*place, "section_no"], ["__known"])
     electors = cut(linked.select(
         "roll_id", *PART, F.when(F.col("__known"), F.col("section_no")).alias("section_no"),
         "serial_no", "epic_no", F.coalesce(F.nullif("full_name", F.lit("")), F.lit("UNKNOWN")).alias("full_name"),
@@ -139,7 +141,7 @@ def _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy
         F.nullif(_given(linked, "marker_box", "string"), F.lit("")).alias("modification_marker_raw"),
         "source_page", "confidence", "flags",
     ))
-    read = linked.filter("linked_supplement_no is not null").select("roll_id", F.col("linked_supplement_no").alias("supplement_no")).distinct()
+    read = electors.filter("supplement_no is not null").select("roll_id", "supplement_no").distinct()
     # a change that only the totals tell of is taken to be of supplement 1, and marked
     unread = flagged.filter("has_supplement").join(read, "roll_id", "left_anti").select("roll_id", F.lit(1).alias("supplement_no"))
     read, unread = read.withColumn("inferred", F.lit(False)), unread.withColumn("inferred", F.lit(True))
@@ -147,10 +149,9 @@ def _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy
         read.unionByName(unread), docs.withColumnRenamed("c_type_of_revision", "type_of_revision"), ["roll_id"], ["type_of_revision"],
     ).select("roll_id", "supplement_no", "type_of_revision", "inferred")
     counts = ["starting_serial_no", "ending_serial_no", "net_male", "net_female", "net_third_gender", "net_total"]
-    # the sequence of a document is its batch, then its id: what tier-1 identity calls "first"
-    seen = electors.withColumn("ingest_seq", F.struct(F.lit(batch).alias("batch"), F.col("roll_id").alias("roll")))
+    # the sequence of a document is its batch, then its id: what tier-1 identity calls "first"; here the batch is one
     earlier = sinks.read_rows(spark, root, "person_epic", batch)
-    persons = cut(identity.new_keys(seen, earlier))
+    persons = cut(identity.new_keys(electors, earlier, seq="roll_id"))
     fresh = persons.drop("canonical_name")
     sinks.write_batch(
         root, batch, docs,
@@ -164,7 +165,7 @@ def _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy
             "cover_count": docs.select("roll_id", *[F.col(f"c_{c}").alias(c) for c in counts]),
             "person": persons.drop("first_roll_id"),
             "person_epic": fresh,
-            "placement": identity.place(seen, earlier.unionByName(fresh)),
+            "placement": identity.place(electors, earlier.unionByName(fresh)),
             "placement_fuzzy": _tier2(spark, root, batch, electors) if fuzzy else _declared(spark, "placement_fuzzy", None),
         },
     )
@@ -206,4 +207,7 @@ def register_views(spark: SparkSession, root: str) -> None:
         "v_roll_reconciliation"
     )
     persons = sinks.read_rows(spark, root, "person")
-    identity.person_current(persons, fact("placement").unionByName(fact("placement_fuzzy")), electors, rolls).createOrReplaceTempView("v_person_current")
+    written = lambda t: sinks.read_table(spark, root, t)
+    dated = sinks.read_facts(spark, root, "roll", keep_batch=True)
+    placements = written("placement").unionByName(written("placement_fuzzy"))
+    identity.latest_current(persons, placements, written("elector"), dated).createOrReplaceTempView("v_person_current")

@@ -73,15 +73,17 @@ def _loaded(spark, sf_dir):
     t, root = Tables(spark, sf_dir), f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}"
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag")
     once = first_by(lines, ["l_orderkey", "l_linenumber"], [F.col("l_suppkey"), F.col("l_partkey"), F.col("l_returnflag")])
+    once = once.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     entries = once.select(
-        "l_orderkey", "l_suppkey", *[F.expr(e).alias(c) for c, e in ENTRY.items()], F.lit(None).cast("string").alias("relation_type"),
-        F.lit(None).cast("string").alias("relation_name"), F.lit(None).cast("string").alias("house_number"), F.lit(None).cast("int").alias("age"),
-        F.lit(None).cast("int").alias("supplement_no"), F.lit(3).alias("source_page"), F.lit(1.0).alias("confidence"),
-        F.array().cast("array<string>").alias("flags"), F.concat(F.lit("#"), F.col("l_linenumber")).alias("marker_box"),
+        F.col("l_orderkey").alias("o_orderkey"), "l_suppkey", *[F.expr(e).alias(c) for c, e in ENTRY.items()], F.concat(F.lit("#"), F.col("l_linenumber")).alias("marker_box"),
     )
+    alike = {
+        **{c: F.lit(None).cast("string") for c in ("relation_type", "relation_name", "house_number")}, "age": F.lit(None).cast("int"),
+        "supplement_no": F.lit(None).cast("int"), "source_page": F.lit(3), "confidence": F.lit(1.0), "flags": F.array().cast("array<string>"),
+    }
     entries = cut(entries)
     live = entries.withColumn("entry_status", F.coalesce("status", F.lit("active"))).groupBy("roll_id").agg(*[F.count_if(F.expr(e)).alias(c) for c, e in COUNTED.items()])
-    docs = t.orders.select("*", *[F.expr(e).alias(c) for c, e in CONTEXT.items()]).join(live, "roll_id", "left").na.fill(0, list(COUNTED))
+    docs = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", *[F.expr(e).alias(c) for c, e in CONTEXT.items()]).join(live, "roll_id", "left").na.fill(0, list(COUNTED))
     docs = cut(docs.select("*", *[F.expr(e).cast("int").alias(c) for c, e in PRINTED.items()], F.expr(COVER_TOTAL).alias("cover_total")))
     eras, lineage = _eras(t.orders), _lineage(spark, sf_dir)
 
@@ -91,7 +93,7 @@ def _loaded(spark, sf_dir):
             *CONTEXT, F.lit("FinalRoll").alias("roll_type"), F.lit("ENG").alias("language_code"), F.lit("x.pdf").alias("source_pdf_filename"),
             F.col("roll_id").alias("source_pdf_sha256"), F.lit(12).alias("total_pages"),
         )
-        named = entries.join(own.select("roll_id"), "roll_id", "left_semi").withColumn("full_name", F.concat(F.lit(letter), F.col("l_suppkey")))
+        named = entries.filter(chosen).withColumns({"full_name": F.concat(F.lit(letter), F.col("l_suppkey")), **alike})
         summary = own.select("roll_id", *PRINTED, F.lit(0).alias("num_modifications"), F.lit(None).cast("int").alias("ending_serial_no"))
         parts = F.array(*[F.struct(F.lit(n).alias("row_ordinal"), F.expr(e).alias("total")) for n, e in (("I", "live + deleted - added"), ("II", "added"), ("III", "deleted"), ("IV", "0L"))])
         rows = own.select("roll_id", F.inline(parts))

@@ -24,10 +24,11 @@ COMMITS = "_commits"
 def write_table(df: DataFrame, root: str, table: str, batch: int, partition: Sequence[str] = ()) -> None:
     """The rows of one batch, in place of all that the batch held before, also if there are none now.
 
-    Rebalancing gives files of even size and splits a huge partition.
+    A table laid out by ``partition`` is rebalanced by it, which gives few files of even size and splits a huge partition; all
+    others are written as they come, since a shuffle of whole rows would only even out files.
     """
     (
-        df.hint("rebalance", *partition)
+        (df.hint("rebalance", *partition) if partition else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*partition)
@@ -69,11 +70,12 @@ def commits(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
     return read_table(spark, root, COMMITS, f"roll_id {like.schema['roll_id'].dataType.simpleString()}")
 
 
-def read_facts(spark: SparkSession, root: str, table: str, schema: str | None = None) -> DataFrame:
+def read_facts(spark: SparkSession, root: str, table: str, schema: str | None = None, keep_batch: bool = False) -> DataFrame:
     """Rows of committed documents, each from its last batch; area filters prune folders."""
     rows = read_table(spark, root, table, schema)
     last = commits(spark, root, rows).groupBy("roll_id").agg(F.max("batch").alias("batch"))
-    return rows.join(last, ["roll_id", "batch"], "left_semi").drop("batch")
+    found = rows.join(last, ["roll_id", "batch"], "left_semi")
+    return found if keep_batch else found.drop("batch")
 
 
 def read_rows(spark: SparkSession, root: str, table: str, before: int | None = None) -> DataFrame:

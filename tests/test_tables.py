@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from snapledger.functions import values
 from snapledger.operators import consensus, identity, layout, lineage, manifest, merge, quality, resolve
 from snapledger.plans import constraints
+from snapledger.sources import sinks
 
 
 def test_insert_absent_twice_adds_nothing(spark, rows):
@@ -333,3 +334,33 @@ def test_a_null_status_is_active(spark):
 def test_first_name_of_a_tie_is_the_smaller_one(spark, rows):
     seen = spark.createDataFrame([("k", 1, "r", 1, "b"), ("k", 1, "r", 1, "a"), ("k", 2, "q", 1, "A")], "epic_no string, ingest_seq int, roll_id string, serial_no int, full_name string").coalesce(1)
     assert rows(identity.first_appearances(seen)) == [("k", "a", "r")]
+
+
+def test_a_registry_meets_one_row_per_key(spark, rows):
+    seen = spark.createDataFrame([("1", "r", 1, "b"), ("1", "q", 2, "a"), ("1", "q", 2, "c"), ("7", "r", 2, "d")], "epic_no string, roll_id string, serial_no int, full_name string")
+    assert rows(identity.first_appearances(seen, seq="roll_id")) == [("1", "a", "q"), ("7", "d", "r")]
+    fresh = identity.new_keys(seen, spark.range(2).select(F.col("id").cast("string").alias("epic_no")), seq="roll_id")
+    assert [(r.epic_no, r.canonical_name, r.first_roll_id) for r in fresh.collect()] == [("7", "d", "r")]
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("min(")
+
+
+def test_latest_current(spark, rows):
+    """Finding the latest placement before its entry gives what ``person_current`` gives over committed rows."""
+    rolls = spark.createDataFrame([("r1", 1, "p1", None), ("r2", 2, "p2", "2020-01-01"), ("r3", 2, "p3", "2021-01-01")], "roll_id string, batch int, part_id string, date_of_publication string")
+    rolls = rolls.withColumn("date_of_publication", F.col("date_of_publication").cast("date"))
+    entries = spark.createDataFrame(
+        [("r1", 1, 1, "A", "a", "active", None), ("r2", 1, 1, "A", "old", "deleted", "E"), ("r2", 2, 1, "A", "b", "deleted", "S"), ("r2", 2, 2, "A", "c", "active", None),
+         ("r3", 1, 1, "A", "gone", "active", None), ("r1", 1, 2, "B", "d", "deleted", "E")],
+        "roll_id string, batch int, serial_no int, epic_no string, full_name string, entry_status string, deletion_reason_code string")
+    placements = entries.select(F.lower("epic_no").alias("person_id"), "roll_id", "batch", "serial_no")
+    persons = spark.createDataFrame([("a", None), ("b", "named")], "person_id string, canonical_name string")
+    counted = lambda df: df.join(rolls.select("roll_id", "batch"), ["roll_id", "batch"], "left_semi").drop("batch")
+    want = identity.person_current(persons, counted(placements), counted(entries), rolls.drop("batch"))
+    got = identity.latest_current(persons, placements, entries, rolls)
+    assert got.columns == want.columns and rows(got) == rows(want) and got.count() == 2
+
+
+def test_plain_tables_are_written_as_they_come(spark, tmp_path):
+    sinks.write_table(spark.range(9).repartition(3), str(tmp_path), "t", 1)
+    assert len(list((tmp_path / "t" / "batch=1").glob("*.parquet"))) == 3
