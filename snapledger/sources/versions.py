@@ -59,7 +59,7 @@ class Versions:
 
     def _write(self, df: DataFrame, version: int, base: bool) -> None:
         out = df.select(*self.schema.names)
-        writer = out.withColumn(BUCKET, self.bucket_of()).repartition(BUCKET).write.partitionBy(BUCKET) if self.buckets else out.hint("rebalance").write
+        writer = out.withColumn(BUCKET, self.bucket_of()).repartition(BUCKET).write.partitionBy(BUCKET) if self.buckets else out.write
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/version={version}/base={int(base)}")
 
     def write(self, df: DataFrame, version: int) -> None:

@@ -97,7 +97,8 @@ def run_identity(
 ) -> None:
     """Registers unseen keys and places the entries of every new batch of documents.
 
-    ``entries``: roll_id, serial_no, epic_no, full_name, ingest_seq (after ``prepare``). The registry is dealt into buckets
+    ``entries``: roll_id, serial_no, epic_no, full_name, ingest_seq (after ``prepare``, which is read twice, so it gives the same
+    rows each time). The registry is dealt into buckets
     by key: a micro-batch reads those that its keys fall into, once, and writes its new keys only.
     """
     spark = entries.sparkSession
@@ -108,7 +109,7 @@ def run_identity(
             register(df, batch)
 
     def register(df: DataFrame, batch: int) -> None:
-        rows = cut(prepare(df))
+        rows = prepare(df)
         touched = [r[0] for r in rows.filter("epic_no is not null").select(registry.bucket_of()).distinct().collect()]
         known = registry.read(batch - 1, touched).select("epic_no", F.col("person_id").alias("__known"))
         met = cut(rows.filter("epic_no is not null").join(known, "epic_no", "left"))

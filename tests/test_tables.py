@@ -10,6 +10,7 @@ from snapledger.functions import values
 from snapledger.operators import consensus, identity, layout, lineage, manifest, merge, quality, resolve
 from snapledger.plans import constraints
 from snapledger.sources import sinks
+from snapledger.sources.versions import Versions
 
 
 def test_insert_absent_twice_adds_nothing(spark, rows):
@@ -364,3 +365,14 @@ def test_latest_current(spark, rows):
 def test_plain_tables_are_written_as_they_come(spark, tmp_path):
     sinks.write_table(spark.range(9).repartition(3), str(tmp_path), "t", 1)
     assert len(list((tmp_path / "t" / "batch=1").glob("*.parquet"))) == 3
+
+
+def test_versions_without_buckets_are_written_as_they_come(spark, tmp_path):
+    table = Versions(spark, str(tmp_path / "t"), "id bigint")
+    table.write(spark.range(9).repartition(3), 0)
+    table.write(spark.range(9, 12).repartition(2), 1)
+    table.compact(1)
+    assert len(list((tmp_path / "t" / "version=1" / "base=1").glob("*.parquet"))) >= 1
+    table.write(spark.range(12, 21).repartition(3), 2)
+    assert len(list((tmp_path / "t" / "version=2" / "base=0").glob("*.parquet"))) == 3
+    assert sorted(r.id for r in table.read().collect()) == list(range(21))
