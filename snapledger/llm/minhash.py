@@ -84,6 +84,16 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(work, "class long, shingles array<long>, short binary")
 
 
+def _class_sets(rows: DataFrame, signed: DataFrame, words: int) -> DataFrame:
+    """``_sets`` of the rows, each once: those of an id that stands once are written as they come, only others are compared."""
+    repeated = stored(signed.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")).where("n > 1"))
+    if repeated.isEmpty():
+        return stored(_sets(rows, words))
+    same = F.col("doc_id") == F.col("id")
+    once, again = rows.join(repeated, same, "left_anti"), rows.join(repeated, same, "left_semi")
+    return stored(_sets(once, words).unionByName(_sets(again, words).dropDuplicates(["class", "short"])))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets have the similarity ``percent`` or more."""
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")), "b")
@@ -221,16 +231,17 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keys = _keys(classes)
     several = keys.groupBy("key").agg(F.min("class").alias("leader"), F.max("class").alias("last")).where("leader < last").select("key", "leader")
     shared = stored(keys.join(several, "key").select("key", "leader", "class"))
-    asked = shared.select("class").distinct()
+    # written, so that joins with whole texts and sets go by the size of these few ids, not of what they come from
+    asked = stored(shared.select("class").distinct())
     full = rows.join(asked.withColumnRenamed("class", "doc_id"), "doc_id", "left_semi")
-    sets = stored(_sets(full, words).dropDuplicates(["class", "short"]))
-    pairs = shared.where("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
+    sets = _class_sets(full, signed, words)
+    pairs = stored(shared.where("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct())
     links = stored(_confirmed(pairs, sets, percent))
     labels = components(links)
     more = stored(_confirmed(_rest(shared, classes, labels, sets, percent), sets, percent))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    discard(shared, sets)
+    discard(shared, sets, pairs, asked)
     found = signed.join(classes.select("name", "class"), "name", "left").join(labels.withColumnRenamed("node", "class"), "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "class", "doc_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

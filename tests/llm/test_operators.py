@@ -347,3 +347,18 @@ def test_cut_texts_keep_their_white_space(spark):
     texts = spark.createDataFrame([("  a\n\nb\tc  d", 3), ("x", 1), ("é ü. ö", 2), ("a b", 2), ("a b  ", 2)], "text string, words int")
     cut = [r[0] for r in texts.select(corpus_pipeline._head(F.col("text"), F.col("words"))).collect()]
     assert cut == ["  a\n\nb\tc", "x", "é ü.", "a b", "a b"]
+
+
+def test_sets_of_ids_that_stand_once_are_not_compared(spark):
+    from snapledger.llm import minhash
+
+    one = spark.createDataFrame([(1, "a b c d e"), (2, "f g h i j")], "doc_id long, text string")
+    more = one.unionByName(spark.createDataFrame([(1, "a b c d e"), (1, "k l m n o"), (3, None)], "doc_id long, text string"))
+    compared = []
+    given = type(one).dropDuplicates
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(one), "dropDuplicates", lambda df, *a: compared.append(a) or given(df, *a))
+        found = minhash._class_sets(one, minhash._signed(one, 4), 4)
+        assert not compared and sorted(r["class"] for r in found.collect()) == [1, 2]
+        found = minhash._class_sets(more.where("text is not null"), minhash._signed(more, 4), 4)
+    assert len(compared) == 1 and sorted(r["class"] for r in found.collect()) == [1, 1, 2]
