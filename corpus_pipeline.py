@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import language, minhash, mixing, packing, pii
+from snapledger.llm import language, members, minhash, mixing, packing, pii
 from snapledger.llm.storage import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -38,13 +38,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows with a null id are kept where their group has no other id, once for each text.
     """
     docs = docs.select(*COLUMNS)
-    found = minhash.link_documents(docs, words=SHINGLE, percent=PERCENT).where("kept")
-    kept = stored(found.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")))
-    same, repeated = F.col("doc_id").eqNullSafe(F.col("id")), kept.where("n > 1")
-    once = docs.join(kept.where("n = 1"), same, "left_semi")
+    found = minhash.link_documents(docs, words=SHINGLE, percent=PERCENT)
+    # ids of which other than one row is kept; most texts surely have another id and stay where they are
+    odd = stored(found.groupBy(F.col("doc_id").alias("id")).agg(F.count_if("kept").alias("n")).where("n != 1"))
+    maybe, others = members.divided(docs, "doc_id", odd.select("id"))
+    same, repeated = F.col("doc_id").eqNullSafe(F.col("id")), odd.where("n > 1")
+    once = others.unionByName(maybe.join(odd, same, "left_anti"))
     if repeated.isEmpty():
         return once
-    return once.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return once.unionByName(maybe.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

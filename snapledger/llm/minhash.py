@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from snapledger.llm.batches import give_back, mix, slices, texts_of
 from snapledger.llm.graph import components
+from snapledger.llm.members import divided, listed_only
 from snapledger.llm.shingles import shingle_sets, signatures
 from snapledger.llm.storage import discard, stored
 
@@ -184,11 +185,15 @@ def _compare(batches):
     give_back()
 
 
-def _dealt(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The rows under each key of ``blocks`` (key, blocks) by pairs of blocks, those of a pair together and in order; most keys have one block."""
+def _paired(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The rows under each key of ``blocks`` (key, blocks), once for each pair of blocks that they are in; most keys have one block."""
     rows = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(*(c for c in rows.columns if c not in ("blocks", "other")), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return rows.select(*(c for c in rows.columns if c not in ("blocks", "other")), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows of a key and pair of blocks together and in order."""
     return rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
 
 
@@ -204,12 +209,13 @@ def _rest(shared: DataFrame, classes: DataFrame, labels: DataFrame, sets: DataFr
     keys = labelled.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("first"), F.max("component").alias("last"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("members"))
     # of the keys that hold the same classes one is enough
     open_ = keys.where("first != last").groupBy("members", "rows").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("rows") / SIGNED).cast("int").alias("blocks"))
-    active = stored(_dealt(labelled.drop("n_shingles"), stored(open_)).mapInArrow(_near, "key long, class long").distinct())
+    active = stored(_dealt(_paired(labelled.drop("n_shingles"), stored(open_))).mapInArrow(_near, "key long, class long").distinct())
     held = labelled.join(active, ["key", "class"], "left_semi")
     needed = F.greatest(F.ceil(F.count("*") / SIGNED), F.ceil(F.sum(4 * F.col("n_shingles")) / BLOCK_BYTES)).cast("int")
     again = held.groupBy("key").agg(needed.alias("blocks"))
-    rows = stored(held.drop("n_shingles")).join(sets.select("class", "short"), "class").withColumn("percent", F.lit(percent))
-    pairs = stored(_dealt(rows, again).mapInArrow(_compare, "a long, b long").distinct())
+    # blocks are found before rows meet their sets, which so move once by class and once to where they are compared
+    rows = stored(_paired(held.drop("n_shingles"), again)).join(sets.select("class", "short"), "class").withColumn("percent", F.lit(percent))
+    pairs = stored(_dealt(rows).mapInArrow(_compare, "a long, b long").distinct())
     discard(labelled, active)
     return pairs
 
@@ -229,16 +235,17 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     grouped = signed.where("n_shingles > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("class"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
     classes = stored(grouped)
     keys = _keys(classes)
-    several = keys.groupBy("key").agg(F.min("class").alias("leader"), F.max("class").alias("last")).where("leader < last").select("key", "leader")
-    shared = stored(keys.join(several, "key").select("key", "leader", "class"))
+    several = stored(keys.groupBy("key").agg(F.min("class").alias("leader"), F.max("class").alias("last")).where("leader < last").select("key", "leader"))
+    shared = stored(divided(keys, "key", several.select("key"))[0].join(several, "key").select("key", "leader", "class"))
     # written, so that joins with whole texts and sets go by the size of these few ids, not of what they come from
     asked = stored(shared.select("class").distinct())
-    full = rows.join(asked.withColumnRenamed("class", "doc_id"), "doc_id", "left_semi")
-    sets = _class_sets(full, signed, words)
+    sets = _class_sets(listed_only(rows, "doc_id", asked), signed, words)
     pairs = stored(shared.where("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct())
     links = stored(_confirmed(pairs, sets, percent))
     labels = components(links)
-    more = stored(_confirmed(_rest(shared, classes, labels, sets, percent), sets, percent))
+    rest = _rest(shared, classes, labels, sets, percent)
+    ends = stored(rest.select(F.col("a").alias("class")).union(rest.select("b")).distinct())
+    more = stored(_confirmed(rest, stored(listed_only(sets, "class", ends)), percent))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     discard(shared, sets, pairs, asked)

@@ -362,3 +362,59 @@ def test_sets_of_ids_that_stand_once_are_not_compared(spark):
         assert not compared and sorted(r["class"] for r in found.collect()) == [1, 2]
         found = minhash._class_sets(more.where("text is not null"), minhash._signed(more, 4), 4)
     assert len(compared) == 1 and sorted(r["class"] for r in found.collect()) == [1, 1, 2]
+
+
+@pytest.mark.parametrize("n", [0, 3, 5000])
+def test_a_filter_divides_rows_and_misses_no_listed_key(spark, tmp_path, n):
+    from snapledger.llm import members
+
+    keys = [None, -7, 1 << 62, *range(0, 3 * n, 3)][:n]
+    spark.createDataFrame([(k,) for k in keys], "k long").write.parquet(f"{tmp_path}/listed")
+    rows = spark.createDataFrame([(k, f"t{k}") for k in [None, -7, -8, 1 << 62, *range(20_000), 5, 5]], "id long, text string")
+    maybe, others = members.divided(rows, "id", spark.read.parquet(f"{tmp_path}/listed"))
+    assert maybe.columns == others.columns == rows.columns
+    found, rest = [r["id"] for r in maybe.collect()], [r["id"] for r in others.collect()]
+    assert Counter(found) + Counter(rest) == Counter(r["id"] for r in rows.collect())
+    assert not set(keys) & set(rest)
+    assert len(found) <= n + 0.12 * len(rest)
+
+
+def test_a_filter_of_bounded_size_still_misses_no_key(spark, tmp_path, monkeypatch):
+    from snapledger.llm import members
+
+    monkeypatch.setattr(members, "MOST", members.BUCKET)
+    spark.range(0, 200_000, 2).write.parquet(f"{tmp_path}/listed")
+    got = members.listed_only(spark.range(199_900, 200_100), "id", spark.read.parquet(f"{tmp_path}/listed"))
+    assert sorted(r["id"] for r in got.collect()) == list(range(199_900, 200_000, 2))
+
+
+def test_texts_are_not_shuffled_to_leave_near_copies_out(spark, tmp_path):
+    """Also where no list of ids is small enough to be broadcast: few rows have near copies, and only these move."""
+    texts = [" ".join(np.random.default_rng(k).integers(0, 1 << 40, 3000).astype(str)) for k in range(200)]
+    texts[150] = texts[3] + " more"
+    docs = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts)]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    context = spark.sparkContext._jsc.sc()
+
+    def shuffled() -> int:
+        context.listenerBus().waitUntilEmpty(30_000)
+        told = context.statusStore().executorList(False)
+        return sum(told.apply(k).totalShuffleWrite() for k in range(told.size()))
+
+    before, limit = shuffled(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).write.parquet(f"{tmp_path}/kept")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/kept").collect()) == [k for k in range(200) if k != 150]
+    assert shuffled() - before < 0.1 * sum(map(len, texts))
+
+
+def test_near_copies_under_repeated_and_null_ids(spark, tmp_path):
+    """One of equal rows; none of an id that has a smaller near copy; empty texts of different ids stay apart."""
+    a, b, c = prose(31, 80), prose(32, 80), prose(33, 80)
+    given = [(1, a), (1, a), (2, a + " x"), (3, b), (None, b), (None, c), (None, c), (4, None), (4, None), (5, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in given], DOCS)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()]
+    assert sorted(k for k, _ in kept if k is not None) == [1, 3, 4, 5] and kept.count((None, c)) == 1
