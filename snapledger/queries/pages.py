@@ -238,7 +238,7 @@ def _parsed(html: str) -> _Tags:
     return tags
 
 
-@extractors.register("depth", batched=True)
+@extractors.register("tag_depth", batched=True)
 def depth(**_):
     return lambda pages: [{"section_header": f"depth {_parsed(p['html']).deepest}"} for p in pages]
 
@@ -267,7 +267,7 @@ LANGUAGE = r"://[^/]+/([a-z]{2})(?:[/?#]|$)"
 def language_routes(spark, sf_dir):
     """Pages of two languages through one engine, all others through another; both parse the whole page."""
     pages = Tables(spark, sf_dir).pages.select("page_id", F.nullif(F.regexp_extract("url", LANGUAGE, 1), F.lit("")).alias("language_code"), "html")
-    out = extractors.extract_by_language(pages, {"en": "depth", "de": "depth"}, "links", keep=("page_id", "language_code"))
+    out = extractors.extract_by_language(pages, {"en": "tag_depth", "de": "tag_depth"}, "links", keep=("page_id", "language_code"))
     return out.select("page_id", "language_code", "failed", F.get_json_object("payload", "$.section_header").alias("found"))
 
 
