@@ -8,6 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def dealt(side: DataFrame) -> DataFrame:
+    """``side`` of a join that has a row for each document, person or profile: both sides are dealt by key, always.
+
+    Whether a side is gathered on the driver and sent to all is decided by the size of its files times the share of its columns by
+    type. Written tables of few distinct values or of many empty columns come out up to a hundred times too small in that, so a
+    side that grows with the input could outgrow the driver.
+    """
+    return side.hint("merge")
+
+
 def attach(df: DataFrame, keys: Sequence[str], null_safe: bool = False, **aggs: Column) -> DataFrame:
     """Each row of ``df`` with aggregates of its group.
 
@@ -20,10 +30,11 @@ def attach(df: DataFrame, keys: Sequence[str], null_safe: bool = False, **aggs:
 
 
 def lookup(
-    df: DataFrame, side: DataFrame, keys: Sequence[str], cols: Sequence[str], null_safe: bool = False
+    df: DataFrame, side: DataFrame, keys: Sequence[str], cols: Sequence[str], null_safe: bool = False, grows: bool = False
 ) -> DataFrame:
-    """Left join of ``cols`` from ``side``, whose ``keys`` are unique; names stay those of ``df``."""
+    """Left join of ``cols`` from ``side``, whose ``keys`` are unique; names stay those of ``df``. ``grows``: see ``dealt``."""
     renamed = side.select(*[F.col(k).alias(f"__{k}") for k in keys], *cols)
+    renamed = dealt(renamed) if grows else renamed
     on = None
     for k in keys:
         same = F.col(k).eqNullSafe(F.col(f"__{k}")) if null_safe else F.col(k) == F.col(f"__{k}")

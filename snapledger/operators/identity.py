@@ -12,7 +12,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.operators.groupwise import first_by, lookup
+from snapledger.operators.groupwise import dealt, first_by, lookup
 from snapledger.operators.ordered import positions, previous
 from snapledger.functions.values import lifecycle
 from snapledger.session import cut
@@ -138,12 +138,12 @@ def latest_current(persons: DataFrame, placements: DataFrame, entries: DataFrame
     by their batch; placements and entries of other batches fall away as they meet them.
     """
     at = ["roll_id", "batch"]
-    dated = placements.select("person_id", *at, "serial_no").join(rolls.select(*at, "part_id", "date_of_publication"), at)
+    dated = placements.select("person_id", *at, "serial_no").join(dealt(rolls.select(*at, "part_id", "date_of_publication")), at)
     # nulls are the smallest values of a struct, so dates come last where they are missing
     last = F.max(F.struct("date_of_publication", "roll_id", "serial_no", "batch", "part_id"))
     latest = dated.groupBy("person_id").agg(last.alias("__last")).select("person_id", "__last.*")
     named = latest.join(persons.select("person_id", "canonical_name"), "person_id")
-    seen = named.join(entries.select(*at, "serial_no", "epic_no", "full_name", "entry_status", "deletion_reason_code"), [*at, "serial_no"])
+    seen = named.join(dealt(entries.select(*at, "serial_no", "epic_no", "full_name", "entry_status", "deletion_reason_code")), [*at, "serial_no"])
     return seen.select(
         "person_id", "epic_no", F.coalesce("canonical_name", "full_name").alias("name"), F.col("roll_id").alias("latest_roll_id"),
         F.col("part_id").alias("latest_part_id"), F.col("date_of_publication").alias("latest_publication"), "entry_status",

@@ -89,7 +89,7 @@ def has_supplement(rolls: DataFrame, entries: DataFrame, key: str = "roll_id", s
     printed = F.lit(False)
     for c in ("additions_total", "deletions_total", "num_modifications"):
         printed = printed | (F.coalesce(F.col(c), F.lit(0)) != 0)
-    out = lookup(rolls, moved, [key], ["__moved"])
+    out = lookup(rolls, moved, [key], ["__moved"], grows=True)
     return out.withColumn("has_supplement", printed | F.coalesce("__moved", F.lit(False))).drop("__moved")
 
 
@@ -98,7 +98,7 @@ def supplement_link(
     link: str = "linked_supplement_no",
 ) -> DataFrame:
     """Supplement that an added or modified entry belongs to (its own number, 1 when unread)."""
-    out = lookup(entries, rolls.filter("has_supplement"), [key], ["has_supplement"])
+    out = lookup(entries, rolls.filter("has_supplement"), [key], ["has_supplement"], grows=True)
     moved = F.col("has_supplement") & F.col(status).isin("added", "modified")
     number = F.coalesce("supplement_no", F.lit(1)) if "supplement_no" in entries.columns else F.lit(1)
     return out.withColumn(link, F.when(moved, number)).drop("has_supplement")

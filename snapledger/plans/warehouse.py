@@ -13,7 +13,7 @@ from snapledger import schemas
 from snapledger.functions import values
 from snapledger.functions.text import as_col, filled
 from snapledger.operators import identity, lineage as lineages, reconcile, resolve
-from snapledger.operators.groupwise import lookup
+from snapledger.operators.groupwise import dealt, lookup
 from snapledger.plans.rolls import RollBatch
 from snapledger.session import cut, scratch
 from snapledger.sources import sinks
@@ -28,7 +28,7 @@ COVER_COLUMNS = [f.strip().split(" ")[0] for f in schemas.COVER_PAYLOAD.replace(
 def placed(context: DataFrame, cover: DataFrame) -> DataFrame:
     """Documents with their place: default chains over context, cover and fixed names."""
     side = cover.select("roll_id", *[F.col(c).alias(f"c_{c}") for c in COVER_COLUMNS])
-    docs = lookup(context, side, ["roll_id"], [f"c_{c}" for c in COVER_COLUMNS])
+    docs = lookup(context, side, ["roll_id"], [f"c_{c}" for c in COVER_COLUMNS], grows=True)
     code = F.coalesce(F.nullif("state_cd", F.lit("")), F.lit("S00"))
     zero = lambda c: F.nullif(as_col(c), F.lit(0))
     ac_no = F.coalesce(zero("ac_no"), zero("c_ac_no"))
@@ -125,7 +125,7 @@ def _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy
     area = docs.select("roll_id", *PART)
     flagged = resolve.has_supplement(result.summary, result.electors)
     # what is looked up by document follows in one plan: entries are dealt by document once
-    linked = lookup(resolve.supplement_link(result.electors, flagged), area, ["roll_id"], list(PART))
+    linked = lookup(resolve.supplement_link(result.electors, flagged), area, ["roll_id"], list(PART), grows=True)
     listed = geography(docs)
     place = list(PART)
     known = listed["section"].unionByName(sinks.read_rows(spark, root, "section", batch)).select(*place, "section_no")
@@ -143,10 +143,10 @@ def _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy
     ))
     read = electors.filter("supplement_no is not null").select("roll_id", "supplement_no").distinct()
     # a change that only the totals tell of is taken to be of supplement 1, and marked
-    unread = flagged.filter("has_supplement").join(read, "roll_id", "left_anti").select("roll_id", F.lit(1).alias("supplement_no"))
+    unread = flagged.filter("has_supplement").join(dealt(read), "roll_id", "left_anti").select("roll_id", F.lit(1).alias("supplement_no"))
     read, unread = read.withColumn("inferred", F.lit(False)), unread.withColumn("inferred", F.lit(True))
     supplements = lookup(
-        read.unionByName(unread), docs.withColumnRenamed("c_type_of_revision", "type_of_revision"), ["roll_id"], ["type_of_revision"],
+        read.unionByName(unread), docs.withColumnRenamed("c_type_of_revision", "type_of_revision"), ["roll_id"], ["type_of_revision"], grows=True,
     ).select("roll_id", "supplement_no", "type_of_revision", "inferred")
     counts = ["starting_serial_no", "ending_serial_no", "net_male", "net_female", "net_third_gender", "net_total"]
     # the sequence of a document is its batch, then its id: what tier-1 identity calls "first"; here the batch is one
@@ -160,7 +160,7 @@ def _write(spark, root, batch, result, cover, eras, summary_rows, lineage, fuzzy
             **listed,
             "supplement": supplements,
             "summary": result.summary,
-            "summary_row": _declared(spark, "summary_row", summary_rows).join(docs.select("roll_id"), "roll_id", "left_semi"),
+            "summary_row": _declared(spark, "summary_row", summary_rows).join(dealt(docs.select("roll_id")), "roll_id", "left_semi"),
             "ac_lineage": _declared(spark, "ac_lineage", lineage),
             "cover_count": docs.select("roll_id", *[F.col(f"c_{c}").alias(c) for c in counts]),
             "person": persons.drop("first_roll_id"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger import schemas
-from snapledger.operators.groupwise import lookup
+from snapledger.operators.groupwise import dealt, lookup
 from snapledger.operators.merge import upsert
 
 AREA = ("state_cd", "ac_no")
@@ -74,7 +74,7 @@ def read_facts(spark: SparkSession, root: str, table: str, schema: str | None =
     """Rows of committed documents, each from its last batch; area filters prune folders."""
     rows = read_table(spark, root, table, schema)
     last = commits(spark, root, rows).groupBy("roll_id").agg(F.max("batch").alias("batch"))
-    found = rows.join(last, ["roll_id", "batch"], "left_semi")
+    found = rows.join(dealt(last), ["roll_id", "batch"], "left_semi")
     return found if keep_batch else found.drop("batch")
 
 

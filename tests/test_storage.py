@@ -153,6 +153,33 @@ def test_entries_without_a_key_are_placed_by_their_fields(spark, tmp_path):
     assert {r.name: r.latest_roll_id for r in spark.sql("select * from v_person_current").collect()} == {n: "r2" for n in named.values()}
 
 
+def test_documents_are_not_gathered_on_the_driver(spark, tmp_path, monkeypatch):
+    """Files of documents are small for their rows, so no plan of a load or a reader may send a side by document to all."""
+    plans, root = [], str(tmp_path / "w")
+    seen = lambda write: lambda df, *a, **k: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a, **k))[1]
+    monkeypatch.setattr(warehouse, "cut", seen(warehouse.cut))
+    monkeypatch.setattr(sinks, "write_table", seen(sinks.write_table))
+    context = jobs(spark).select("roll_id", "state_cd", "ac_no", F.lit(1).alias("part_no"), "roll_type", F.col("language").alias("language_code"),
+                                 F.col("file_name").alias("source_pdf_filename"), F.col("pdf_sha256").alias("source_pdf_sha256"))
+    electors = spark.createDataFrame([(r, n, f"K{n}", f"N{n}") for r in ("r1", "r2") for n in (1, 2)], "roll_id string, serial_no int, epic_no string, full_name string")
+    absent = {c: F.lit(None).cast(t) for c, t in {
+        "relation_type": "string", "relation_name": "string", "house_number": "string", "age": "int", "gender": "string", "status": "string", "supplement_no": "int",
+        "deletion_reason_code": "string", "section_no": "int", "source_page": "int", "confidence": "double", "flags": "array<string>"}.items()}
+    # tables that were written, as the estimates go by files
+    table = lambda df, name: (df.write.parquet(str(tmp_path / name)), spark.read.parquet(str(tmp_path / name)))[1]
+    summary = spark.createDataFrame([fx.good_summary(r) for r in ("r1", "r2")], fx.SUMMARY)
+    result = rolls.RollBatch(*(table(df, n) for n, df in (("c", context), ("e", electors.withColumns(absent)), ("s", summary))), None, None, None)
+    printed = spark.createDataFrame([("r1", "I")], "roll_id string, row_ordinal string")
+    printed = printed.withColumns({f: F.lit(None) for f in ("row_label", "roll_type_label", "roll_identification", "supplement_no", "male", "female", "third_gender", "total")})
+    warehouse.load(spark, root, 1, result, table(cover(spark), "v"), scans.eras(spark), printed)
+    warehouse.register_views(spark, root)
+    readers = [spark.table("v_person_current"), sinks.read_facts(spark, root, "roll")]
+    assert [r.count() for r in readers] == [2, 2] and len(plans) > 15
+    plans += [r._jdf.queryExecution().executedPlan().toString() for r in readers]
+    sent = [line for p in plans for line in p.splitlines() if "BroadcastHashJoin [" in line and "roll_id#" in line.split("]")[0]]
+    assert not sent, sent
+
+
 def test_uncommitted_rows_are_invisible(spark, tmp_path):
     root = str(tmp_path / "w")
     df = spark.createDataFrame([("r1", "S01", 1, 5)], "roll_id string, state_cd string, ac_no int, v int")
