@@ -108,7 +108,7 @@ def read_dimension(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A dimension folded from all committed batches under its column policy."""
     keys, last, first = DIMENSIONS[table]
     rows = read_table(spark, root, table)
-    rows = rows.join(commits(spark, root, rows), ["roll_id", "batch"], "left_semi")
+    rows = rows.join(dealt(commits(spark, root, rows)), ["roll_id", "batch"], "left_semi")
     if not last and not first:
         return rows.select(*keys).distinct()
     return upsert(rows, keys, F.struct("batch", "roll_id"), last=last, first=first)

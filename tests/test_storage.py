@@ -173,8 +173,8 @@ def test_documents_are_not_gathered_on_the_driver(spark, tmp_path, monkeypatch):
     printed = printed.withColumns({f: F.lit(None) for f in ("row_label", "roll_type_label", "roll_identification", "supplement_no", "male", "female", "third_gender", "total")})
     warehouse.load(spark, root, 1, result, table(cover(spark), "v"), scans.eras(spark), printed)
     warehouse.register_views(spark, root)
-    readers = [spark.table("v_person_current"), sinks.read_facts(spark, root, "roll")]
-    assert [r.count() for r in readers] == [2, 2] and len(plans) > 15
+    readers = [spark.table("v_person_current"), sinks.read_facts(spark, root, "roll"), sinks.read_dimension(spark, root, "assembly_constituency")]
+    assert [r.count() for r in readers] == [2, 2, 1] and len(plans) > 15
     plans += [r._jdf.queryExecution().executedPlan().toString() for r in readers]
     sent = [line for p in plans for line in p.splitlines() if "BroadcastHashJoin [" in line and "roll_id#" in line.split("]")[0]]
     assert not sent, sent
