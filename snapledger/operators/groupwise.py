@@ -18,6 +18,15 @@ def dealt(side: DataFrame) -> DataFrame:
     return side.hint("merge")
 
 
+#: Rows that a table may be sent with.
+FEW = 1 << 17
+
+
+def sized(side: DataFrame) -> DataFrame:
+    """A written ``side`` that is dealt if it is counted to be more than FEW rows; else Spark may choose."""
+    return side if side.count() <= FEW else dealt(side)
+
+
 def attach(df: DataFrame, keys: Sequence[str], null_safe: bool = False, **aggs: Column) -> DataFrame:
     """Each row of ``df`` with aggregates of its group.
 

@@ -12,7 +12,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.operators.groupwise import dealt, first_by, lookup
+from snapledger.operators.groupwise import dealt, first_by, lookup, sized
 from snapledger.operators.ordered import positions, previous
 from snapledger.functions.values import lifecycle
 from snapledger.session import cut
@@ -271,8 +271,14 @@ def _agreements(budget: int) -> tuple[int, list[tuple[str, ...]]]:
     return related, [tuple(role for role in others if role in kept) for kept in enough if not any(less < kept for less in enough)]
 
 
+def profiles(df: DataFrame, columns: Sequence[str], tag: str) -> DataFrame:
+    """Distinct ``columns`` with a number ``tag``, which grows with the text of the profile: it stands for that text, in 8 bytes."""
+    found = df.select(*columns).distinct().orderBy(_profile(columns), *columns)
+    return cut(found.withColumn(tag, F.monotonically_increasing_id()))
+
+
 def profile_pairs(
-    entries: DataFrame, persons: DataFrame, block: Sequence[str], fields: dict[str, str], threshold: int,
+    entries: DataFrame, persons: DataFrame, block: Sequence[str], fields: dict[str, str], threshold: int, numbered: bool = False,
 ) -> DataFrame:
     """(l, r, score): profiles of entries and persons of one block whose weighted score reaches ``threshold`` (both in millionths).
 
@@ -282,23 +288,28 @@ def profile_pairs(
     threshold of one half, where names without a common trigram might do, those are left out). Nor are
     profiles compared by name alone: a match agrees in some of the other fields too (``_agreements``), which are keys of the
     join, once for each set of them; a pair counts under the first set in which it agrees.
+
+    ``numbered``: both sides are ``profiles`` by l and r, and these numbers are returned; else the texts of the profiles are.
+    Profiles are dealt by these keys, never gathered: lists of trigrams take some hundred times the room of their files.
     """
     columns = [*block, *fields.values()]
     rest = 1000 * sum(w for role, w in WEIGHTS.items() if role != "name")
     least = max(0, -(-(threshold - rest) // WEIGHTS["name"])) / 1000
     related, kept = _agreements(1000 * sum(WEIGHTS.values()) - threshold)
-    names = cut(name_pairs(entries, persons, block, fields["name"], least).select(
-        *block, F.col(fields["name"]).alias("__l_name"), F.col("matched_name").alias("__r_name"), F.col("milli").alias("__name")))
+    names = sized(cut(name_pairs(entries, persons, block, fields["name"], least).select(
+        *block, F.col(fields["name"]).alias("__l_name"), F.col("matched_name").alias("__r_name"), F.col("milli").alias("__name"))))
     if any("relation" in roles for roles in kept):
-        relations = cut(name_pairs(entries, persons, block, fields["relation"], related / 1000).select(
-            *block, F.col(fields["relation"]).alias("__l_relation"), F.col("matched_name").alias("__r_relation")))
+        relations = sized(cut(name_pairs(entries, persons, block, fields["relation"], related / 1000).select(
+            *block, F.col(fields["relation"]).alias("__l_relation"), F.col("matched_name").alias("__r_relation"))))
 
     def side(df: DataFrame, tag: str) -> DataFrame:
         grams = F.when(F.col(fields["relation"]).isNotNull(), trigrams(fields["relation"]))
         own = {"name": F.col(fields["name"]), "relation": F.col(fields["relation"]), "grams": grams, "age": F.col(fields["age"]),
                "house": F.lower(F.regexp_replace(F.col(fields["house"]).cast("string"), r"\s+", ""))}
-        profiles = df.filter(F.col(fields["name"]).isNotNull()).select(*columns).distinct()
-        return cut(profiles.select(*block, _profile(columns).alias(tag), *[c.alias(f"__{tag}_{role}") for role, c in own.items()]))
+        some = df.filter(F.col(fields["name"]).isNotNull())
+        key = F.col(tag) if numbered else _profile(columns)
+        some = some if numbered else some.select(*columns).distinct()
+        return cut(some.select(*block, key.alias(tag), *[c.alias(f"__{tag}_{role}") for role, c in own.items()]))
 
     lefts, rights = side(entries, "l"), side(persons, "r")
     common = F.size(F.array_intersect("__l_grams", "__r_grams"))
@@ -325,7 +336,7 @@ def profile_pairs(
         if "relation" in roles:
             on.append("__r_relation")
             some = some.join(relations, [*block, "__l_relation"])
-        both = some.join(other, on)
+        both = some.join(dealt(other), on)
         earlier = F.lit(False)
         for less in kept[:place]:
             earlier = earlier | reduce(and_, [agree[role] for role in less])
@@ -339,29 +350,31 @@ def assign(pairs: DataFrame, lefts: DataFrame, rights: DataFrame, scope: str) ->
 
     ``pairs``: scope, l, r, score; ``lefts`` and ``rights``: scope, l or r, and ``n``, how many stand for it. Returns scope, l, r,
     score, ``n`` taken, and ``l_from`` and ``r_from``, the numbers of each side taken before. Pairs that are each other's best
-    are taken at once, so rounds are few; each ends with tables in the shared folder.
+    are taken at once, so rounds are few; each ends with tables in the shared folder. A pair stands in ``pairs`` once.
     """
     left = cut(lefts.select(scope, "l", F.col("n").alias("l_left"), F.lit(0).cast("bigint").alias("l_from")))
     right = cut(rights.select(scope, "r", F.col("n").alias("r_left"), F.lit(0).cast("bigint").alias("r_from")))
     open_, taken = cut(pairs), None
     while not open_.isEmpty():
-        best_l = open_.groupBy(scope, "l").agg(F.min(F.struct(-F.col("score"), "r"))["r"].alias("r"))
-        best_r = open_.groupBy(scope, "r").agg(F.min(F.struct(-F.col("score"), "l"))["l"].alias("l"))
-        both = open_.join(best_l, [scope, "l", "r"], "left_semi").join(best_r, [scope, "l", "r"], "left_semi")
-        now = cut(both.join(left, [scope, "l"]).join(right, [scope, "r"]).select(
+        best = lambda other: F.min(F.struct((-F.col("score")).alias("less"), other)).alias("__best")
+        best_l = open_.groupBy(scope, "l").agg(best("r")).select(scope, "l", F.col("__best.r").alias("r"), (-F.col("__best.less")).alias("score"))
+        best_r = open_.groupBy(scope, "r").agg(best("l")).select(scope, F.col("__best.l").alias("l"), "r")
+        both = best_l.join(dealt(best_r), [scope, "l", "r"])
+        now = cut(both.join(dealt(left), [scope, "l"]).join(dealt(right), [scope, "r"]).select(
             scope, "l", "r", "score", F.least("l_left", "r_left").alias("n"), "l_from", "r_from"))
         taken = now if taken is None else taken.unionByName(now)
-        left = cut(_used(left, now, scope, "l"))
-        right = cut(_used(right, now, scope, "r"))
-        open_ = cut(open_.join(left.filter("l_left > 0"), [scope, "l"], "left_semi").join(right.filter("r_left > 0"), [scope, "r"], "left_semi"))
+        left, right = cut(_used(left, now, scope, "l")), cut(_used(right, now, scope, "r"))
+        open_ = cut(open_.join(dealt(left), [scope, "l"], "left_semi").join(dealt(right), [scope, "r"], "left_semi"))
     return open_.limit(0).withColumns({c: F.lit(0).cast("bigint") for c in ("n", "l_from", "r_from")}) if taken is None else taken
 
 
 def _used(side: DataFrame, now: DataFrame, scope: str, tag: str) -> DataFrame:
+    """What is left of ``side`` when ``now`` is taken."""
     gone = now.select(scope, tag, F.col("n").alias("__n"))
-    out = lookup(side, gone, [scope, tag], ["__n"])
+    out = lookup(side, gone, [scope, tag], ["__n"], grows=True)
     used = F.coalesce("__n", F.lit(0))
-    return out.select(scope, tag, (F.col(f"{tag}_left") - used).alias(f"{tag}_left"), (F.col(f"{tag}_from") + used).alias(f"{tag}_from"))
+    out = out.select(scope, tag, (F.col(f"{tag}_left") - used).alias(f"{tag}_left"), (F.col(f"{tag}_from") + used).alias(f"{tag}_from"))
+    return out.filter(F.col(f"{tag}_left") > 0)
 
 
 def place_fuzzy(
@@ -374,15 +387,17 @@ def place_fuzzy(
     once and an entry has one person; the best scores come first, equal ones by profile, then serial and person.
     """
     columns = [*block, *fields.values()]
-    keyed = cut(entries.filter(F.col(fields["name"]).isNotNull()).select(roll, serial, _profile(columns).alias("l"), *columns))
-    known = cut(persons.filter(F.col(fields["name"]).isNotNull()).select("person_id", _profile(columns).alias("r"), *columns))
-    pairs = cut(profile_pairs(keyed, known, block, fields, round(threshold * 1_000_000)))
+    named, held = (df.filter(F.col(fields["name"]).isNotNull()) for df in (entries, persons))
+    of_entries, of_persons = profiles(named, columns, "l"), profiles(held, columns, "r")
+    keyed = cut(lookup(named, of_entries, columns, ["l"], null_safe=True, grows=True).select(roll, serial, "l"))
+    known = cut(lookup(held, of_persons, columns, ["r"], null_safe=True, grows=True).select("person_id", "r"))
+    pairs = cut(profile_pairs(of_entries, of_persons, block, fields, round(threshold * 1_000_000), numbered=True))
     lefts = keyed.groupBy(roll, "l").agg(F.count("*").alias("n"))
-    scoped = cut(lefts.select(roll, "l").join(pairs, "l"))
-    rights = scoped.select(roll, "r").distinct().join(known.groupBy("r").agg(F.count("*").alias("n")), "r")
+    scoped = cut(lefts.select(roll, "l").join(dealt(pairs), "l"))
+    rights = scoped.select(roll, "r").distinct().join(dealt(known.groupBy("r").agg(F.count("*").alias("n"))), "r")
     taken = assign(scoped, lefts, rights, roll)
     numbered = lambda df, keys, order: positions(df, keys, [order], F.lit(0), "__no")
-    own = numbered(keyed.select(roll, serial, "l"), [roll, "l"], serial).join(taken, [roll, "l"])
+    own = numbered(keyed.select(roll, serial, "l"), [roll, "l"], serial).join(dealt(taken), [roll, "l"])
     own = own.filter((F.col("__no") > F.col("l_from")) & (F.col("__no") <= F.col("l_from") + F.col("n")))
     own = own.withColumn("__no", F.col("__no") - F.col("l_from") + F.col("r_from"))
     return own.join(numbered(known.select("person_id", "r"), ["r"], "person_id"), ["r", "__no"]).select(

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -226,6 +227,20 @@ def test_tier2_takes_each_person_once_a_roll_best_first(spark, rows):
     assert identity.place_fuzzy(left.withColumn("area", F.lit("b")), right, ["area"], FIELDS).count() == 0
 
 
+def test_tier2_profiles_are_not_gathered_on_the_driver(spark, monkeypatch):
+    """Files of profiles and pairs are small for their rows, so no side of them may be sent to all; equal texts of two profiles place once."""
+    plans, cut = [], identity.cut
+    monkeypatch.setattr(identity, "cut", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), cut(df))[1])
+    shape = "name string, rel string, house string, age int"
+    left = spark.createDataFrame([("r1", n, "anna maria", "otto", house, 30) for n, house in enumerate((None, "", "1"))], f"roll_id string, serial_no int, {shape}")
+    right = spark.createDataFrame([(f"p{n}", "anna maria", "otto", house, 30) for n, house in enumerate((None, "", "1"))], f"person_id string, {shape}")
+    left, right = (df.withColumn("area", F.lit("a")) for df in (left, right))
+    got = {(r.serial_no, r.person_id) for r in identity.place_fuzzy(left, right, ["area"], FIELDS).collect()}
+    assert got == {(0, "p0"), (1, "p1"), (2, "p2")}
+    sent = [line for p in plans for line in p.splitlines() if re.search(r"BroadcastHashJoin \[([^\]]*[ \[])?(l|r|roll_id|__r_name)#", line)]
+    assert len(plans) > 10 and not sent, sent
+
+
 @pytest.mark.parametrize("threshold", (0.55, 0.6, 0.7, 0.75, 0.9))
 def test_tier2_profiles_meet_by_more_than_their_names(spark, rows, threshold):
     rnd = random.Random(7)
